@@ -5,7 +5,9 @@ range-partition the distinct values, number rows inside each partition
 with ``monotonically_increasing_id`` (partition id in the high bits, local
 position in the low bits), and add the count of all earlier partitions.
 The per-partition count table has one row per partition, so it is
-broadcast with a fixed size bound.
+broadcast with a fixed size bound. The numbered values are written once
+to the checkpoint folder so counts and offsets describe the same split
+(range bounds are sampled, so a second evaluation could split differently).
 """
 
 from __future__ import annotations
@@ -13,16 +15,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 
-def dense_index(df: DataFrame, col: str, out: str, partitions: int | None = None) -> DataFrame:
+
+# Up to this many distinct values the index is one ordered window in a
+# single task (the count is checked first); beyond it the distributed path.
+SINGLE_TASK_MAX = 200_000
+
+
+def dense_index(df: DataFrame, col: str, out: str, partitions: int | None = None,
+                single_task_max: int = SINGLE_TASK_MAX) -> DataFrame:
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     values = df.select(col).where(F.col(col).isNotNull()).distinct()
+    if values.count() <= single_task_max:
+        w = Window.orderBy(F.col(col).asc())
+        return values.select(col, (F.row_number().over(w) - 1).cast("int").alias(out))
     ranged = (values.repartitionByRange(n_parts, col).sortWithinPartitions(col)
               .select(col, F.spark_partition_id().alias("_pid"),
                       F.monotonically_increasing_id().alias("_mid")))
-    local = ranged.select(col, "_pid", (F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
-                          .alias("_local"))
+    local = materialize(ranged.select(col, "_pid", (F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+                                      .alias("_local")), "dense-index")
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select("_pid", (F.sum("_n").over(w) - F.col("_n")).alias("_offset"))

@@ -6,6 +6,11 @@ keeps a carry across Arrow batches) and shifted by the total of all
 earlier partitions (a table of one row per partition, broadcast).
 Range partitioning splits a hot time span across tasks like any other,
 so a burst of events cannot pile into one task.
+
+The partition-local result is written once to the checkpoint folder:
+range bounds come from sampling, so two evaluations of the same plan may
+split the rows differently, and the per-partition totals must describe
+exactly the partitions the running totals were computed on.
 """
 
 from __future__ import annotations
@@ -15,6 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 
 def running_sum(df: DataFrame, order_cols: list[str], value_col: str, out: str,
                 partitions: int | None = None) -> DataFrame:
@@ -33,7 +40,7 @@ def running_sum(df: DataFrame, order_cols: list[str], value_col: str, out: str,
                 carry = int(cs.iloc[-1])
             yield pdf.assign(_local=cs.astype("int64"))
 
-    local = ranged.mapInPandas(local_cumsum, schema)
+    local = materialize(ranged.mapInPandas(local_cumsum, schema), "running-sum")
     totals = local.groupBy("_pid").agg(F.sum(value_col).cast("bigint").alias("_tot"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = totals.select("_pid", (F.sum("_tot").over(w) - F.col("_tot")).alias("_off"))

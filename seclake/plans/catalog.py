@@ -270,3 +270,199 @@ SELECT count(*) AS total_events, count(*) FILTER (WHERE final_risk_level = 'CRIT
  count(*) FILTER (WHERE final_risk_level = 'HIGH') AS high_events FROM analyzed""")
 def q_run_summary(spark, base):
     return scoring.run_summary(_analyzed(spark, base))
+
+
+# ---------------------------------------------------------------- reports over analyzed rows
+
+HIGH = "final_risk_level IN ('CRITICAL', 'HIGH')"
+
+
+@register("summary_kpis", O.chain() + f""",
+k AS (SELECT count(*) AS total_events, count(*) FILTER (WHERE is_anomaly = 1) AS total_anomalies,
+  sum(total_threat_score) AS score_sum, count(total_threat_score) AS score_n,
+  count(*) FILTER (WHERE total_threat_score >= 7) AS high_confidence_cases,
+  count(*) FILTER (WHERE total_threat_score BETWEEN 4 AND 6) AS medium_confidence_cases,
+  count(*) FILTER (WHERE total_threat_score <= 3) AS low_confidence_cases,
+  count(DISTINCT CASE WHEN {HIGH} THEN username END) AS unique_high_users,
+  count(DISTINCT CASE WHEN {HIGH} THEN source_ip END) AS unique_high_ips,
+  count(DISTINCT CASE WHEN {HIGH} THEN mitre_techniques END) AS unique_mitre_techniques FROM analyzed)
+SELECT total_events, total_anomalies, {O.round2('100 * total_anomalies', 'total_events')} AS anomaly_rate,
+ {O.round2('score_sum', 'score_n')} AS avg_threat_score,
+ high_confidence_cases, medium_confidence_cases, low_confidence_cases, unique_high_users, unique_high_ips,
+ unique_mitre_techniques, unique_high_users > 1 AS multi_user_flag, unique_high_ips > 1 AS multi_ip_flag,
+ unique_mitre_techniques > 1 AS multi_technique_flag,
+ CASE WHEN high_confidence_cases > 5 AND unique_high_users > 1 AND unique_high_ips > 1 AND unique_mitre_techniques > 1
+      THEN 'STRONG_CORRELATED_ATTACK' WHEN medium_confidence_cases > 0 THEN 'MODERATE_CORRELATION_NO_CONFIRMED_COMPROMISE'
+      ELSE 'LOW_CONFIDENCE_ACTIVITY' END AS machine_verdict,
+ CAST(least(100, high_confidence_cases * 5 + medium_confidence_cases * 2 + unique_mitre_techniques * 3
+      + unique_high_ips * 2) AS BIGINT) AS confidence_score FROM k""")
+def q_summary_kpis(spark, base):
+    return reports.summary_kpis(_analyzed(spark, base))
+
+
+@register("risk_distribution", O.chain() + """
+SELECT final_risk_level, count(*) AS count FROM analyzed GROUP BY final_risk_level""")
+def q_risk_distribution(spark, base):
+    return reports.risk_distribution(_analyzed(spark, base))
+
+
+@register("risk_distribution_full", O.chain() + """
+SELECT l.final_risk_level, CAST(coalesce(c.count, 0) AS BIGINT) AS count
+FROM (VALUES ('CRITICAL'), ('HIGH'), ('MEDIUM'), ('LOW')) l(final_risk_level)
+LEFT JOIN (SELECT final_risk_level, count(*) AS count FROM analyzed GROUP BY final_risk_level) c
+ ON l.final_risk_level = c.final_risk_level""")
+def q_risk_distribution_full(spark, base):
+    return reports.risk_distribution_full(_analyzed(spark, base))
+
+
+INCIDENT_SQL = ", ".join(reports.INCIDENT_COLUMNS)
+
+
+@register("top_incidents", O.chain() + f"""
+SELECT {INCIDENT_SQL} FROM analyzed
+ORDER BY total_threat_score DESC, timestamp DESC NULLS LAST, log_id ASC LIMIT 20""")
+def q_top_incidents(spark, base):
+    return reports.top_incidents(_analyzed(spark, base))
+
+
+@register("top_high_risk", O.chain() + f"""
+SELECT log_id, username, source_ip, final_risk_level, total_threat_score, mitre_techniques FROM analyzed
+WHERE {HIGH} ORDER BY total_threat_score DESC, timestamp DESC NULLS LAST, log_id ASC LIMIT 10""")
+def q_top_high_risk(spark, base):
+    return reports.top_high_risk(_analyzed(spark, base))
+
+
+TECH_COUNTS_SQL = """tc AS (SELECT trim(t) AS technique, count(*) AS count
+ FROM (SELECT unnest(string_split(mitre_techniques, ',')) AS t FROM analyzed) x
+ WHERE trim(t) <> '' GROUP BY trim(t))"""
+
+
+@register("technique_counts", O.chain() + "," + TECH_COUNTS_SQL + " SELECT technique, count FROM tc")
+def q_technique_counts(spark, base):
+    return reports.technique_counts(_analyzed(spark, base))
+
+
+@register("technique_top10_short", O.chain() + "," + TECH_COUNTS_SQL + """
+SELECT technique, split_part(technique, ' - ', 1) AS short_id, count FROM tc
+ORDER BY count DESC, technique ASC LIMIT 10""")
+def q_technique_top10_short(spark, base):
+    return reports.technique_top10_short(_analyzed(spark, base))
+
+
+@register("timeline_hourly", O.chain() + """
+SELECT strftime(timestamp, '%Y-%m-%d %H:00') AS hour, count(*) AS count FROM analyzed
+WHERE timestamp IS NOT NULL GROUP BY 1""")
+def q_timeline_hourly(spark, base):
+    return reports.timeline_hourly(_analyzed(spark, base))
+
+
+@register("user_risk_top10", O.chain() + """
+SELECT username, max(total_threat_score) AS max_threat_score FROM analyzed WHERE username IS NOT NULL
+GROUP BY username ORDER BY max_threat_score DESC, username ASC LIMIT 10""")
+def q_user_risk_top10(spark, base):
+    return reports.user_risk_top10(_analyzed(spark, base))
+
+
+@register("ip_top10", O.chain() + """
+SELECT source_ip, count(*) AS count FROM analyzed WHERE source_ip IS NOT NULL AND source_ip <> 'N/A'
+GROUP BY source_ip ORDER BY count DESC, source_ip ASC LIMIT 10""")
+def q_ip_top10(spark, base):
+    return reports.ip_top10(_analyzed(spark, base))
+
+
+@register("incident_search", O.chain() + f"""
+SELECT log_id, username, source_ip, final_risk_level, mitre_techniques FROM analyzed
+WHERE contains(lower(coalesce(username, '')), '{SEARCH_TERM}') OR contains(lower(coalesce(source_ip, '')), '{SEARCH_TERM}')
+   OR contains(lower(coalesce(final_risk_level, '')), '{SEARCH_TERM}')
+   OR contains(lower(coalesce(mitre_techniques, '')), '{SEARCH_TERM}')""")
+def q_incident_search(spark, base):
+    return reports.incident_search(_analyzed(spark, base), SEARCH_TERM).select(
+        "log_id", "username", "source_ip", "final_risk_level", "mitre_techniques")
+
+
+@register("incident_sort", O.chain() + """,
+top AS (SELECT log_id, username, source_ip, final_risk_level, total_threat_score FROM analyzed
+ ORDER BY total_threat_score DESC, timestamp DESC NULLS LAST, log_id ASC LIMIT 20)
+SELECT *, CAST(row_number() OVER (ORDER BY lower(coalesce(username, '')) ASC, log_id ASC) AS INTEGER) AS sort_rank
+FROM top""")
+def q_incident_sort(spark, base):
+    top = reports.top_incidents(_analyzed(spark, base)).select(
+        "log_id", "username", "source_ip", "final_risk_level", "total_threat_score")
+    return reports.incident_sort(top, "username", descending=False)
+
+
+@register("after_cutoff", O.chain() + f"""
+SELECT log_id, timestamp, final_risk_level, total_threat_score FROM analyzed WHERE timestamp > TIMESTAMP '{CUTOFF}'""")
+def q_after_cutoff(spark, base):
+    cutoff = spark.createDataFrame([(CUTOFF,)], "c string").select(F.col("c").cast("timestamp_ntz").alias("watermark_ts"))
+    return reports.after_cutoff(_analyzed(spark, base), cutoff).select(
+        "log_id", "timestamp", "final_risk_level", "total_threat_score")
+
+
+# ---------------------------------------------------------------- raw-log metrics per collector
+
+def _top_sql(metric: str, key: str, n: int, where: str = "TRUE") -> str:
+    return f"""SELECT source_machine, '{metric}' AS metric, key, value, CAST(rank AS INTEGER) AS rank FROM (
+ SELECT source_machine, key, value, row_number() OVER (PARTITION BY source_machine ORDER BY value DESC, key ASC) AS rank
+ FROM (SELECT source_machine, coalesce(CAST({key} AS VARCHAR), '') AS key, count(*) AS value FROM raw_logs
+       WHERE source_machine IN ('DOMAIN_CONTROLLER', 'CLIENT_MACHINE') AND {where} GROUP BY 1, 2) c) r
+WHERE rank <= {n} AND trim(key) <> ''"""
+
+
+@register("event_id_counts", O.chain("raw_logs") + _top_sql("event_id_counts", "event_id", 50))
+def q_event_id_counts(spark, base):
+    return rawmetrics.event_id_counts(_raw(spark, base))
+
+
+@register("top_processes", O.chain("raw_logs") + _top_sql("top_processes", "process_name", 15)
+          + " UNION ALL " + _top_sql("top_commands", "command_line", 10))
+def q_top_processes(spark, base):
+    return rawmetrics.top_processes(_raw(spark, base))
+
+
+@register("raw_metrics", O.chain("raw_logs") + """
+SELECT source_machine, count(*) AS rows, count(DISTINCT coalesce(username, '')) AS unique_users,
+ count(DISTINCT coalesce(regexp_replace(source_ip, '^\\s+|\\s+$', '', 'g'), '')) AS unique_ips
+FROM raw_logs WHERE source_machine IN ('DOMAIN_CONTROLLER', 'CLIENT_MACHINE') GROUP BY source_machine""")
+def q_raw_metrics(spark, base):
+    return rawmetrics.raw_metrics(_raw(spark, base))
+
+
+@register("logon_pairs", O.chain("raw_logs") + f""",
+pairs AS (SELECT source_machine, concat(coalesce(username, ''), '@',
+   coalesce(regexp_replace(source_ip, '^\\s+|\\s+$', '', 'g'), '')) AS key, count(*) AS value
+ FROM raw_logs WHERE event_id = {EV_LOGON_SUCCESS} GROUP BY 1, 2 HAVING count(*) >= 5),
+machines AS (SELECT * FROM (VALUES ('DOMAIN_CONTROLLER'), ('CLIENT_MACHINE')) m(source_machine))
+SELECT m.source_machine, 'brute_force_suspects' AS metric, '' AS key,
+ CAST((SELECT count(*) FROM pairs p WHERE p.source_machine = m.source_machine) AS BIGINT) AS value, 0 AS rank
+FROM machines m
+UNION ALL
+SELECT source_machine, 'top_bruteforce_pairs', key, value, CAST(rank AS INTEGER) FROM (
+ SELECT *, row_number() OVER (PARTITION BY source_machine ORDER BY value DESC, key ASC) AS rank FROM pairs) r
+WHERE rank <= 10""")
+def q_logon_pairs(spark, base):
+    return rawmetrics.logon_pairs(_raw(spark, base))
+
+
+NEAR_ANOMALY_SCORE = 6
+
+
+@register("proc_near_anomaly", O.chain() + f""",
+anom AS (SELECT timestamp AS ta FROM analyzed WHERE total_threat_score >= {NEAR_ANOMALY_SCORE} AND timestamp IS NOT NULL),
+src AS (SELECT * FROM raw_logs WHERE source_machine = CASE WHEN EXISTS (
+   SELECT 1 FROM raw_logs WHERE source_machine = 'DOMAIN_CONTROLLER') THEN 'DOMAIN_CONTROLLER' ELSE 'CLIENT_MACHINE' END),
+procs AS (SELECT timestamp AS tp, coalesce(process_name, '') AS name FROM src WHERE event_id = 4688 AND timestamp IS NOT NULL),
+m AS (SELECT p.name FROM anom a JOIN procs p
+   ON p.tp >= a.ta - INTERVAL 15 MINUTE AND p.tp <= a.ta + INTERVAL 15 MINUTE),
+c AS (SELECT name AS key, count(*) AS value FROM m GROUP BY name)
+SELECT 'matches' AS metric, '' AS key, CAST((SELECT count(*) FROM m) AS BIGINT) AS value, 0 AS rank, 15 AS window_minutes
+UNION ALL
+SELECT 'top_processes', key, value, CAST(rank AS INTEGER), 15 FROM (
+ SELECT *, row_number() OVER (ORDER BY value DESC, key ASC) AS rank FROM c) r WHERE rank <= 10 AND trim(key) <> ''""")
+def q_proc_near_anomaly(spark, base):
+    analyzed = _analyzed(spark, base)
+    anomalies = analyzed.where(F.col("total_threat_score") >= NEAR_ANOMALY_SCORE)
+    raw = _raw(spark, base)
+    dc = normalize.split_by_machine(raw, "DOMAIN_CONTROLLER")
+    logs = dc if dc.limit(1).count() > 0 else normalize.split_by_machine(raw, "CLIENT_MACHINE")
+    return rawmetrics.process_near_anomalies(anomalies, logs, DEFAULT.near_anomaly_minutes)

@@ -50,7 +50,9 @@ def analyze(raw: DataFrame, cfg: DetectionConfig = DEFAULT, model: str = "forest
         offset = anomaly.score_offset(scored, "_forest_score", cfg)
         feats = anomaly.with_anomaly(scored, "_forest_score", offset).drop("_forest_score")
     elif model == "score":
-        offset = anomaly.score_offset(feats, score_col, cfg)
+        # Features keep every input row once, so the offset is taken on the
+        # (column-pruned) input instead of the feature plan.
+        offset = anomaly.score_offset(raw, score_col, cfg)
         feats = anomaly.with_anomaly(feats, score_col, offset)
     else:
         feats = feats.withColumns({"anomaly_score_raw": F.lit(None).cast("double"), "is_anomaly": F.lit(0)})
