@@ -466,3 +466,92 @@ def q_proc_near_anomaly(spark, base):
     dc = normalize.split_by_machine(raw, "DOMAIN_CONTROLLER")
     logs = dc if dc.limit(1).count() > 0 else normalize.split_by_machine(raw, "CLIENT_MACHINE")
     return rawmetrics.process_near_anomalies(anomalies, logs, DEFAULT.near_anomaly_minutes)
+
+
+# ---------------------------------------------------------------- text guardrails over reports
+
+from ..operators import guardrails as G  # noqa: E402
+from ..operators import retrieval as V  # noqa: E402
+from . import evidence  # noqa: E402
+
+
+def _reports(spark, base) -> DataFrame:
+    return fixtures.reports(spark, base)
+
+
+@register("prompt_scrub", O.chain("raw_logs") + "," + O.REPORTS + f"""
+SELECT id, {O.scrub_sql('text')} AS scrubbed FROM reports""")
+def q_prompt_scrub(spark, base):
+    return _reports(spark, base).select("id", G.scrub("text").alias("scrubbed"))
+
+
+@register("technique_split", O.chain() + f""",
+p AS (SELECT log_id, {O.split_sql('mitre_techniques')} AS parts FROM analyzed)
+SELECT log_id, CAST(unnest(generate_series(0, len(parts) - 1)) AS INTEGER) AS pos, unnest(parts) AS part FROM p""")
+def q_technique_split(spark, base):
+    return _analyzed(spark, base).select("log_id", F.posexplode(G.split_techniques("mitre_techniques"))
+                                         .alias("pos", "part"))
+
+
+ALLOWED_TECH_SQL = f"""allowed_t AS (
+ SELECT technique, CASE WHEN regexp_extract(technique, '\\b(T\\d{{4,5}}(?:\\.\\d{{3}})?)\\b', 1) = '' THEN 'ZZZZZ'
+   ELSE regexp_extract(technique, '\\b(T\\d{{4,5}}(?:\\.\\d{{3}})?)\\b', 1) END AS sort_id
+ FROM (SELECT DISTINCT {O.scrub_sql(O.strip_sql("regexp_replace(t, '\\s+', ' ', 'g')"))} AS technique
+       FROM (SELECT unnest({O.split_sql('mitre_techniques')}) AS t FROM analyzed
+             WHERE final_risk_level IN ('CRITICAL', 'HIGH')) x) y
+ WHERE technique <> '' AND technique <> 'N/A'),
+ranked_t AS (SELECT technique, sort_id, CAST(row_number() OVER (ORDER BY sort_id, technique) AS INTEGER) AS rank
+ FROM allowed_t)"""
+
+
+@register("allowed_techniques", O.chain() + "," + ALLOWED_TECH_SQL + " SELECT technique, sort_id, rank FROM ranked_t")
+def q_allowed_techniques(spark, base):
+    return G.allowed_techniques(_analyzed(spark, base))
+
+
+@register("technique_ids", O.chain("raw_logs") + "," + O.REPORTS + f"""
+SELECT id, array_to_string({O.ids_sql('text')}, ',') AS ids FROM reports""")
+def q_technique_ids(spark, base):
+    return _reports(spark, base).select("id", F.array_join(G.technique_ids("text"), ",").alias("ids"))
+
+
+@register("allowed_ids", O.chain("raw_logs") + "," + O.REPORTS + f"""
+SELECT id, array_to_string(list_sort({O.allowed_ids_sql('allowed')}), ',') AS allowed_ids FROM reports""")
+def q_allowed_ids(spark, base):
+    return _reports(spark, base).select("id", F.array_join(F.array_sort(G.allowed_ids("allowed")), ",")
+                                        .alias("allowed_ids"))
+
+
+@register("report_validate", O.chain("raw_logs") + "," + O.REPORTS + f""",
+v AS (SELECT id, list_concat(list_concat(
+   CASE WHEN contains(lower(coalesce(text, '')), 'known compromised') OR contains(lower(coalesce(text, '')), 'compromised ip')
+        THEN [{O._q(G.REASON_COMPROMISED)}] ELSE [] END,
+   list_transform(list_filter({O.ids_sql('text')}, lambda i: NOT list_contains({O.allowed_ids_sql('allowed')}, i)),
+                  lambda i: concat({O._q(G.REASON_ID)}, i))),
+   CASE WHEN contains(lower(coalesce(text, '')), 'credential stuffing')
+         AND NOT contains(lower(array_to_string(coalesce(allowed, []), ' ')), 'credential stuffing')
+        THEN [{O._q(G.REASON_STUFFING)}] ELSE [] END) AS reasons FROM reports)
+SELECT id, len(reasons) = 0 AS ok, CAST(len(reasons) AS INTEGER) AS n_reasons,
+ array_to_string(reasons, ' | ') AS reasons_text FROM v""")
+def q_report_validate(spark, base):
+    v = _reports(spark, base).select("id", G.validate("text", "allowed").alias("v"))
+    return v.select("id", F.col("v.ok").alias("ok"), F.size("v.reasons").alias("n_reasons"),
+                    F.array_join("v.reasons", " | ").alias("reasons_text"))
+
+
+@register("report_soften", O.chain("raw_logs") + "," + O.REPORTS + f"""
+SELECT id, {O.soften_sql('text', 'allowed')} AS softened FROM reports""")
+def q_report_soften(spark, base):
+    return _reports(spark, base).select("id", G.soften("text", "allowed").alias("softened"))
+
+
+@register("report_squeeze", O.chain("raw_logs") + "," + O.REPORTS + f"""
+SELECT id, {O.squeeze_sql('text')} AS squeezed FROM reports""")
+def q_report_squeeze(spark, base):
+    return _reports(spark, base).select("id", G.squeeze("text").alias("squeezed"))
+
+
+@register("report_sanitize")
+def q_report_sanitize(spark, base):
+    """G7–G12 (rows-only: the id filter needs a look-ahead RE2 lacks)."""
+    return _reports(spark, base).select("id", G.sanitize("text", "allowed").alias("sanitized"))

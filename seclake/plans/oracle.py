@@ -175,3 +175,55 @@ SELECT doc_id AS id, concat(CASE doc_id % 4 WHEN 0 THEN {_q(REPORT_PREFIXES[0])}
 FROM documents)"""
 
 TID = r"\bT\d{4,5}(?:\.\d{3})?\b"
+
+
+# ---------------------------------------------------------------- guardrail expressions
+
+from ..operators import guardrails as G  # noqa: E402
+
+WS = r"'^\s+|\s+$'"
+
+
+def strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, {WS}, '', 'g')"
+
+
+def scrub_sql(x: str) -> str:
+    s1 = f"regexp_replace(CAST({x} AS VARCHAR), {_q(G.SPECIAL_TOKEN)}, '', 'g')"
+    s2 = f"regexp_replace({s1}, {_q(G.INJECTION_WORDS.replace('(?iu)', '(?i)'))}, {_q(G.REDACTED)}, 'g')"
+    s3 = f"CASE WHEN length({s2}) > {G.SCRUB_MAX} THEN concat(substr({s2}, 1, {G.SCRUB_KEEP}), '...') ELSE {s2} END"
+    return f"CASE WHEN {x} IS NULL THEN 'N/A' ELSE {strip_sql(f'translate({s3}, chr(10) || chr(13), chr(32) || chr(32))')} END"
+
+
+def split_sql(x: str) -> str:
+    parts = (f"list_filter(list_transform(string_split(translate(coalesce({x}, ''), chr(10) || '|', ';;'), ';'), "
+             f"lambda p: {strip_sql('p')}), lambda p: p <> '')")
+    return (f"flatten(list_transform({parts}, lambda p: CASE WHEN contains(p, ',') AND contains(p, 'T') THEN "
+            f"list_filter(list_transform(string_split(p, ','), lambda y: {strip_sql('y')}), lambda y: y <> '') "
+            f"ELSE [p] END))")
+
+
+def ids_sql(x: str) -> str:
+    all_ids = f"regexp_extract_all(coalesce({x}, ''), {_q(G.TECHNIQUE_ID)})"
+    return f"list_filter({all_ids}, lambda v, i: list_position({all_ids}, v) = i)"
+
+
+def allowed_ids_sql(a: str) -> str:
+    return f"list_distinct(flatten(list_transform(coalesce({a}, []), lambda z: regexp_extract_all(z, {_q(G.TECHNIQUE_ID)}))))"
+
+
+def soften_sql(t: str, a: str) -> str:
+    x = f"regexp_replace(coalesce({t}, ''), {_q(G.VERIFY_NOTE)}, '', 'g')"
+    for pat in G.CLOSING_PATTERNS:
+        x = f"regexp_replace({x}, {_q('(?i)' + pat)}, '', 'g')"
+    for pat, repl in G.SOFTEN_REPLACEMENTS:
+        x = f"regexp_replace({x}, {_q('(?i)' + pat)}, {_q(repl)}, 'g')"
+    return (f"CASE WHEN contains(lower(array_to_string(coalesce({a}, []), ' ')), {_q(G.STUFFING)}) THEN {x} "
+            f"ELSE regexp_replace({x}, {_q('(?i)' + G.STUFFING_PATTERN)}, {_q(G.STUFFING_REPLACEMENT)}, 'g') END")
+
+
+def squeeze_sql(t: str) -> str:
+    x = f"regexp_replace(coalesce({t}, ''), '[ \\t]+', ' ', 'g')"
+    x = f"regexp_replace({x}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
+    x = f"regexp_replace({x}, '\\(\\s*\\)', '', 'g')"
+    return f"concat({strip_sql(x)}, chr(10))"
