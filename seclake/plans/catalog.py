@@ -555,3 +555,110 @@ def q_report_squeeze(spark, base):
 def q_report_sanitize(spark, base):
     """G7–G12 (rows-only: the id filter needs a look-ahead RE2 lacks)."""
     return _reports(spark, base).select("id", G.sanitize("text", "allowed").alias("sanitized"))
+
+
+@register("evidence_lines", O.chain() + "," + ALLOWED_TECH_SQL + f""",
+top8 AS (SELECT *, CAST(row_number() OVER (ORDER BY total_threat_score DESC, log_id ASC) AS INTEGER) AS rank FROM (
+  SELECT * FROM analyzed WHERE final_risk_level IN ('CRITICAL', 'HIGH')
+  ORDER BY total_threat_score DESC, timestamp DESC NULLS LAST, log_id ASC LIMIT 10) t
+  ORDER BY total_threat_score DESC, log_id ASC LIMIT 8),
+inc AS (SELECT 'incident' AS section, rank, concat('  ', CAST(rank AS VARCHAR), '. User=', {O.scrub_sql('username')},
+  ' | IP=', {O.scrub_sql('source_ip')}, ' | Risk=', coalesce(final_risk_level, 'None'), ' | Score=',
+  CAST(total_threat_score AS VARCHAR), ' | Techniques=', {O.scrub_sql('mitre_techniques')}) AS line FROM top8),
+tech AS (SELECT 'technique' AS section, rank, concat('  ', CAST(rank AS VARCHAR), '. ', technique) AS line FROM ranked_t),
+k AS (SELECT count(*) AS n, count(*) FILTER (WHERE is_anomaly = 1) AS a,
+  count(*) FILTER (WHERE total_threat_score >= 7) AS hi, count(*) FILTER (WHERE total_threat_score BETWEEN 4 AND 6) AS med,
+  count(DISTINCT CASE WHEN final_risk_level IN ('CRITICAL', 'HIGH') THEN username END) AS u,
+  count(DISTINCT CASE WHEN final_risk_level IN ('CRITICAL', 'HIGH') THEN source_ip END) AS ip FROM analyzed),
+kt AS (SELECT *, ((CASE WHEN n > 0 THEN (20000 * a + n) // (2 * n) ELSE 0 END) + 5) // 10 AS tenths FROM k),
+risk AS (SELECT 'risk' AS section, 1 AS rank, concat('The ML model flagged ', format('{{:,}}', a), ' anomalies out of ',
+  format('{{:,}}', n), ' events (', CAST(tenths // 10 AS VARCHAR), '.', CAST(tenths % 10 AS VARCHAR),
+  '% anomaly rate), with ', CAST(hi AS VARCHAR), ' high-confidence and ', CAST(med AS VARCHAR),
+  ' medium-confidence cases across ', CAST(u AS VARCHAR), ' distinct user(s) and ', CAST(ip AS VARCHAR),
+  ' distinct source IP(s).') AS line FROM kt)
+SELECT * FROM inc UNION ALL SELECT 'incident', 0, '{evidence.NO_INCIDENTS}' WHERE NOT EXISTS (SELECT 1 FROM inc)
+UNION ALL SELECT * FROM tech UNION ALL SELECT 'technique', 0, '{evidence.NO_TECHNIQUES}' WHERE NOT EXISTS (SELECT 1 FROM tech)
+UNION ALL SELECT * FROM risk""")
+def q_evidence_lines(spark, base):
+    return evidence.evidence_lines(_analyzed(spark, base))
+
+
+@register("retrieval_query", O.chain() + "," + ALLOWED_TECH_SQL + f"""
+SELECT CAST(count(*) AS INTEGER) AS n_techniques,
+ CASE WHEN count(*) > 0 THEN concat({O._q(V.QUERY_PREFIX)}, string_agg(technique, ', ' ORDER BY rank)) END AS query_text
+FROM ranked_t""")
+def q_retrieval_query(spark, base):
+    techs = G.allowed_techniques(_analyzed(spark, base)).agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("rank", "technique"))), lambda s: s["technique"]).alias("t"))
+    return techs.select(F.size("t").alias("n_techniques"), V.retrieval_query(F.col("t")).alias("query_text"))
+
+
+KNN_SQL = """e AS (SELECT vec_id, label, embedding FROM embeddings),
+parts AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS v
+  FROM (SELECT label, embedding, unnest(generate_series(1, len(embedding))) AS i FROM e) x GROUP BY label, i),
+cent AS (SELECT label AS query_id, list(v ORDER BY i) AS q FROM parts GROUP BY label),
+dist AS (SELECT c.query_id, e.vec_id, e.label,
+  round(list_sum(list_transform(generate_series(1, len(c.q)),
+        lambda i: (c.q[i] - CAST(e.embedding[i] AS DOUBLE)) * (c.q[i] - CAST(e.embedding[i] AS DOUBLE)))), 6) AS distance
+  FROM cent c JOIN e ON true),
+hits AS (SELECT query_id, vec_id, label, distance, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM dist) r WHERE rank <= 3)"""
+
+
+def _knn_hits(spark, base) -> DataFrame:
+    emb = fixtures.read_table(spark, base, "embeddings")
+    queries = V.centroids(emb, "label").withColumnRenamed("label", "query_id")
+    return V.knn(emb, queries).join(emb.select("vec_id", "label"), "vec_id")
+
+
+@register("knn_top3", "WITH " + KNN_SQL + " SELECT query_id, vec_id, distance, rank FROM hits")
+def q_knn_top3(spark, base):
+    return _knn_hits(spark, base).select("query_id", "vec_id", "distance", "rank")
+
+
+@register("context_join", "WITH " + KNN_SQL + """
+SELECT query_id, string_agg(concat('vector ', CAST(vec_id AS VARCHAR), ' (label ', CAST(label AS VARCHAR), ')'),
+  chr(10) || chr(10) ORDER BY rank) AS context FROM hits GROUP BY query_id""")
+def q_context_join(spark, base):
+    hits = _knn_hits(spark, base).withColumn(
+        "text", F.concat(F.lit("vector "), F.col("vec_id").cast("string"), F.lit(" (label "),
+                         F.col("label").cast("string"), F.lit(")")))
+    return V.context_join(hits)
+
+
+# ---------------------------------------------------------------- rows-only: model, full run, text jobs
+
+@register("anomaly_scores")
+def q_anomaly_scores(spark, base):
+    """M1–M6: fit the isolation forest on the feature rows and score them."""
+    an = detection.analyze(_raw(spark, base), model="forest")
+    return an.select("log_id", "anomaly_score_raw", "is_anomaly")
+
+
+@register("full_detection")
+def q_full_detection(spark, base):
+    """Everything: features, forest, rules, techniques, scores."""
+    return detection.analyze(_raw(spark, base), model="forest")
+
+
+@register("evidence_summary")
+def q_evidence_summary(spark, base):
+    """R18 over the forest-scored run."""
+    raw = _raw(spark, base)
+    return evidence.evidence_summary(detection.analyze(raw, model="forest"), raw)
+
+
+@register("chunk_documents")
+def q_chunk_documents(spark, base):
+    """V1 over every document."""
+    docs = fixtures.read_table(spark, base, "documents").select(F.col("doc_id").cast("string").alias("doc_path"),
+                                                                "text")
+    return V.chunk_documents(docs)
+
+
+@register("embed_chunks")
+def q_embed_chunks(spark, base):
+    """V2: hashed TF-IDF vectors for every chunk."""
+    chunks = q_chunk_documents(spark, base)
+    model = V.fit_embedder(chunks)
+    return V.embed(model, chunks).select("doc_path", "chunk_idx", "embedding")
