@@ -66,8 +66,7 @@ def export_incidents_csv(incidents: DataFrame, path: str) -> None:
 
 def load_runbooks(spark: SparkSession, root: str) -> DataFrame:
     """Every ``*.md`` below ``root`` as ``(doc_path, text)``."""
-    return (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.md").text(root)
+    return (spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
             .select(F.col("_metadata.file_path").alias("doc_path"), F.col("value").alias("text")))
 
 
