@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, DetectionConfig
 
 
-def score_offset(df: DataFrame, score_col: str, cfg: DetectionConfig = DEFAULT) -> float | None:
+def score_offset(df: DataFrame, score_col: str, cfg: DetectionConfig = DEFAULT,
+                 rows: int | None = None) -> float | None:
     """Exact interpolated percentile up to ``exact_quantile_max_rows`` rows;
     beyond, ``percentile_approx`` with rank error ≤ 1/1e6 of the rows.
 
     The exact aggregate keeps every distinct value of the column in one
-    merge buffer, so it is only used below a checked row count.
+    merge buffer, so it is only used below a checked row count. ``rows``
+    (an upper bound of the non-null scores) skips the counting pass.
     """
     scores = df.select(score_col).where(F.col(score_col).isNotNull())
-    n = scores.count()
+    n = rows if rows is not None else scores.count()
     if n == 0:
         return None
     if n <= cfg.exact_quantile_max_rows:

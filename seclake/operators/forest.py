@@ -198,13 +198,14 @@ def load(spark, path: str, max_samples: int) -> Forest:
 
 
 def score(feats: DataFrame, forest: Forest, out: str = "anomaly_score") -> DataFrame:
-    """M3: append the score column; every other column passes through."""
+    """M3: append the score column. A scalar pandas UDF: only the feature
+    columns travel to Python (Arrow batches); the rest of the row stays in
+    the JVM projection."""
     cols = list(forest.features)
-    schema = T.StructType(feats.schema.fields + [T.StructField(out, T.DoubleType())])
 
-    def apply(batches):
-        for pdf in batches:
-            x = pdf[cols].to_numpy(dtype=np.float64, na_value=0.0)
-            yield pdf.assign(**{out: forest.score_samples(x) if len(pdf) else np.zeros(0)})
+    @F.pandas_udf(T.DoubleType())
+    def iso_score(*series: pd.Series) -> pd.Series:
+        x = np.column_stack([s.to_numpy(dtype=np.float64, na_value=0.0) for s in series])
+        return pd.Series(forest.score_samples(x) if len(x) else np.zeros(0))
 
-    return feats.mapInPandas(apply, schema)
+    return feats.withColumn(out, iso_score(*[F.col(c).cast("double") for c in cols]))

@@ -580,7 +580,9 @@ SELECT * FROM inc UNION ALL SELECT 'incident', 0, '{evidence.NO_INCIDENTS}' WHER
 UNION ALL SELECT * FROM tech UNION ALL SELECT 'technique', 0, '{evidence.NO_TECHNIQUES}' WHERE NOT EXISTS (SELECT 1 FROM tech)
 UNION ALL SELECT * FROM risk""")
 def q_evidence_lines(spark, base):
-    return evidence.evidence_lines(_analyzed(spark, base))
+    # Reports read the saved analyzed table, as every dashboard reader does.
+    analyzed = detection.analyze_saved(fixtures.raw_logs_with_value(spark, base), model="score", score_col="value")
+    return evidence.evidence_lines(analyzed)
 
 
 @register("retrieval_query", O.chain() + "," + ALLOWED_TECH_SQL + f"""
@@ -645,7 +647,7 @@ def q_full_detection(spark, base):
 def q_evidence_summary(spark, base):
     """R18 over the forest-scored run."""
     raw = _raw(spark, base)
-    return evidence.evidence_summary(detection.analyze(raw, model="forest"), raw)
+    return evidence.evidence_summary(detection.analyze_saved(raw, model="forest"), raw)
 
 
 @register("chunk_documents")
@@ -659,6 +661,7 @@ def q_chunk_documents(spark, base):
 @register("embed_chunks")
 def q_embed_chunks(spark, base):
     """V2: hashed TF-IDF vectors for every chunk."""
-    chunks = q_chunk_documents(spark, base)
+    from ..session import materialize
+    chunks = materialize(q_chunk_documents(spark, base), "chunks")  # read by the fit and the transform
     model = V.fit_embedder(chunks)
     return V.embed(model, chunks).select("doc_path", "chunk_idx", "embedding")

@@ -45,9 +45,11 @@ def analyze(raw: DataFrame, cfg: DetectionConfig = DEFAULT, model: str = "forest
         from ..operators import forest
         if persist_features:
             feats = materialize(feats, "features")
+        n_rows = feats.count()
         fitted = forest.fit(feats, cfg)
         scored = forest.score(feats, fitted, out="_forest_score")
-        offset = anomaly.score_offset(scored, "_forest_score", cfg)
+        # Every row gets a score, so the row count bounds the score count.
+        offset = anomaly.score_offset(scored, "_forest_score", cfg, rows=n_rows)
         feats = anomaly.with_anomaly(scored, "_forest_score", offset).drop("_forest_score")
     elif model == "score":
         # Features keep every input row once, so the offset is taken on the
@@ -57,3 +59,9 @@ def analyze(raw: DataFrame, cfg: DetectionConfig = DEFAULT, model: str = "forest
     else:
         feats = feats.withColumns({"anomaly_score_raw": F.lit(None).cast("double"), "is_anomaly": F.lit(0)})
     return scoring.with_scores(rules.with_rules(feats, cfg), cfg)
+
+
+def analyze_saved(raw: DataFrame, cfg: DetectionConfig = DEFAULT, **kw) -> DataFrame:
+    """``analyze`` written once to the checkpoint folder (the saved
+    ``analyzed_logs`` every reader aggregates) and read back."""
+    return materialize(analyze(raw, cfg, **kw), "analyzed")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, DetectionConfig
 from ..operators import guardrails, rawmetrics, reports
+from ..session import materialize
 
 # Evidence text templates.
 NO_INCIDENTS = "  (no high-risk incidents)"
@@ -90,21 +91,32 @@ def _long_to_map(long: DataFrame, metric: str, machine: str) -> DataFrame:
                                                   lambda s: F.struct(s["key"], s["value"]))).alias(metric))
 
 
-def raw_metrics_struct(raw: DataFrame, machine: str) -> DataFrame:
+def raw_metrics_long(raw: DataFrame) -> DataFrame:
+    """L2, L3, L5 for both collectors in one long table."""
+    return (rawmetrics.event_id_counts(raw).unionByName(rawmetrics.top_processes(raw))
+            .unionByName(rawmetrics.logon_pairs(raw)))
+
+
+def raw_metrics_struct(raw: DataFrame, machine: str, long: DataFrame | None = None) -> DataFrame:
     """L2–L6 for one collector as one row (empty input → zeros and empty maps)."""
-    counts = rawmetrics.event_id_counts(raw)
-    procs = rawmetrics.top_processes(raw)
-    pairs = rawmetrics.logon_pairs(raw)
+    long = raw_metrics_long(raw) if long is None else long
     base = rawmetrics.raw_metrics(raw).where(F.col("source_machine") == machine)
     scalars = base.groupBy().agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
                                  F.coalesce(F.sum("unique_users"), F.lit(0)).alias("unique_users"),
                                  F.coalesce(F.sum("unique_ips"), F.lit(0)).alias("unique_ips"))
-    suspects = pairs.where((F.col("metric") == "brute_force_suspects") & (F.col("source_machine") == machine)) \
-        .groupBy().agg(F.coalesce(F.sum("value"), F.lit(0)).alias("brute_force_suspects"))
-    parts = [scalars, _long_to_map(counts, "event_id_counts", machine), _long_to_map(procs, "top_processes", machine),
-             _long_to_map(procs, "top_commands", machine), suspects,
-             _long_to_map(pairs, "top_bruteforce_pairs", machine)]
-    out = _one_row_join(parts)
+    mine = long.where(F.col("source_machine") == machine)
+
+    def as_map(metric: str) -> Column:
+        entries = F.collect_list(F.when(F.col("metric") == metric, F.struct("rank", "key", "value")))
+        return F.map_from_entries(F.transform(F.array_sort(entries), lambda e: F.struct(e["key"], e["value"])))
+
+    maps = mine.groupBy().agg(
+        as_map("event_id_counts").alias("event_id_counts"), as_map("top_processes").alias("top_processes"),
+        as_map("top_commands").alias("top_commands"),
+        F.coalesce(F.sum(F.when(F.col("metric") == "brute_force_suspects", F.col("value"))), F.lit(0))
+        .alias("brute_force_suspects"),
+        as_map("top_bruteforce_pairs").alias("top_bruteforce_pairs"))
+    out = _one_row_join([scalars, maps])
     return out.select(F.struct(*out.columns).alias("m"))
 
 
@@ -121,8 +133,9 @@ def evidence_summary(analyzed: DataFrame, raw: DataFrame, cfg: DetectionConfig =
     allowed = guardrails.allowed_techniques(analyzed).agg(F.transform(
         F.array_sort(F.collect_list(F.struct("rank", "technique"))), lambda s: s["technique"])
         .alias("allowed_mitre_techniques"))
-    dc = raw_metrics_struct(raw, "DOMAIN_CONTROLLER").select(F.col("m").alias("dc_log_metrics"))
-    client = raw_metrics_struct(raw, "CLIENT_MACHINE").select(F.col("m").alias("client_log_metrics"))
+    long = materialize(raw_metrics_long(raw), "raw-metrics")  # small; read by both collectors
+    dc = raw_metrics_struct(raw, "DOMAIN_CONTROLLER", long).select(F.col("m").alias("dc_log_metrics"))
+    client = raw_metrics_struct(raw, "CLIENT_MACHINE", long).select(F.col("m").alias("client_log_metrics"))
     dc_rows = raw.where(F.col("source_machine") == "DOMAIN_CONTROLLER")
     logs = dc_rows if dc_rows.limit(1).count() > 0 else raw.where(F.col("source_machine") == "CLIENT_MACHINE")
     near = rawmetrics.process_near_anomalies(analyzed.where(F.col("is_anomaly") == 1), logs,
