@@ -66,14 +66,22 @@ def with_failed_window(df: DataFrame, cfg: DetectionConfig = DEFAULT) -> DataFra
     width = cfg.window_seconds * MICROS_PER_SECOND
     correlated = cfg.priv_esc_mode == "correlated"
     us = micros("timestamp")
-    base = df.withColumns({"_us": us, "_bucket": F.floor(us / width), "_copy": F.lit(False)})
+    base = df.withColumns({"_us": us, "_bucket": F.floor(us / width)})
     carried = F.col("is_failed_login") == 1
     if correlated:
         carried = carried | (F.col("is_successful_login") == 1)
-    copies = (base.where(carried & F.col("username").isNotNull() & F.col("_us").isNotNull())
-              .select("username", (F.col("_bucket") + 1).alias("_bucket"), "_us", "is_failed_login",
-                      "is_successful_login", F.lit(True).alias("_copy")))
-    both = base.unionByName(copies, allowMissingColumns=True)
+    carried = carried & F.col("username").isNotNull() & F.col("_us").isNotNull()
+    # One scan: a carried row explodes into itself and a copy for the next
+    # bucket; the copy keeps only key, time and flags (other columns null,
+    # which cost nothing in the shuffle).
+    tagged = base.withColumn("_copy", F.explode(F.when(carried, F.array(F.lit(False), F.lit(True)))
+                                                .otherwise(F.array(F.lit(False)))))
+    keep = {"username", "_us", "is_failed_login", "is_successful_login", "_copy"}
+    copy = F.col("_copy")
+    both = tagged.select(*[
+        (F.when(copy, F.col("_bucket") + 1).otherwise(F.col("_bucket")).alias("_bucket") if c == "_bucket"
+         else F.col(c) if c in keep else F.when(~copy, F.col(c)).alias(c))
+        for c in tagged.columns])
     keyed = Window.partitionBy("username", "_bucket").orderBy("_us")
     cols = {"failed_last_10min": F.sum("is_failed_login").over(keyed.rangeBetween(-(width - 1), 0))}
     if correlated:
