@@ -97,11 +97,16 @@ def build_tree(rows: np.ndarray, rng: np.random.Generator, height_limit: int):
 
 @dataclass
 class Forest:
-    feature: np.ndarray    # trees × nodes
-    threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    leaf_depth_add: np.ndarray  # c(size) at leaves
+    """All trees as flat arrays over global node ids (tree × width + node).
+
+    Leaves point to themselves with threshold +inf, so a walk needs no
+    branch on leafness; ``leaf_value`` holds depth + c(size) of each leaf.
+    """
+    feature: np.ndarray    # int64 per node (0 at leaves)
+    threshold: np.ndarray  # float64 per node (+inf at leaves)
+    child: np.ndarray      # int64, 2 per node: [left, right]
+    leaf_value: np.ndarray
+    roots: np.ndarray
     max_samples: int
     height: int
     features: tuple = MODEL_FEATURES
@@ -110,40 +115,45 @@ class Forest:
     def from_nodes(cls, nodes: pd.DataFrame, max_samples: int, features=MODEL_FEATURES) -> "Forest":
         trees = int(nodes["tree_id"].max()) + 1
         width = int(nodes["node_id"].max()) + 1
-        shape = (trees, width)
-        feat = np.full(shape, -1, dtype=np.int64)
-        thr = np.zeros(shape)
-        left = np.full(shape, -1, dtype=np.int64)
-        right = np.full(shape, -1, dtype=np.int64)
-        add = np.zeros(shape)
-        t, n = nodes["tree_id"].to_numpy(), nodes["node_id"].to_numpy()
-        feat[t, n] = nodes["feature"].to_numpy()
-        thr[t, n] = nodes["threshold"].to_numpy()
-        left[t, n] = nodes["left"].to_numpy()
-        right[t, n] = nodes["right"].to_numpy()
-        add[t, n] = avg_path_length(nodes["size"].to_numpy())
+        total = trees * width
+        t = nodes["tree_id"].to_numpy(dtype=np.int64)
+        n = nodes["node_id"].to_numpy(dtype=np.int64)
+        gid = t * width + n
+        feat = np.zeros(total, dtype=np.int64)
+        thr = np.full(total, np.inf)
+        child = np.repeat(np.arange(total, dtype=np.int64), 2)
+        left = nodes["left"].to_numpy(dtype=np.int64)
+        right = nodes["right"].to_numpy(dtype=np.int64)
+        inner = left >= 0
+        feat[gid[inner]] = nodes["feature"].to_numpy(dtype=np.int64)[inner]
+        thr[gid[inner]] = nodes["threshold"].to_numpy()[inner]
+        child[2 * gid[inner]] = t[inner] * width + left[inner]
+        child[2 * gid[inner] + 1] = t[inner] * width + right[inner]
+        # depth of every node: parents come before children in node order
+        depth = np.zeros(total)
+        order = np.argsort(gid, kind="stable")
+        for g, l_, r_ in zip(gid[order], left[order], right[order]):
+            if l_ >= 0:
+                base = (g // width) * width
+                depth[base + l_] = depth[g] + 1
+                depth[base + r_] = depth[g] + 1
+        size = np.zeros(total)
+        size[gid] = nodes["size"].to_numpy(dtype=np.float64)
+        leaf_value = depth + avg_path_length(size)
         height = max(1, math.ceil(math.log2(max(max_samples, 2))))
-        return cls(feat, thr, left, right, add, max_samples, height, tuple(features))
+        return cls(feat, thr, child, leaf_value, np.arange(trees, dtype=np.int64) * width, max_samples, height,
+                   tuple(features))
 
     def score_samples(self, x: np.ndarray) -> np.ndarray:
         """Vectorised over rows and trees: −2^(−mean path / c(ψ))."""
-        trees, b = self.feature.shape[0], x.shape[0]
-        tree_idx = np.arange(trees)[:, None]
-        rows = np.arange(b)[None, :]
-        node = np.zeros((trees, b), dtype=np.int64)
-        depth = np.zeros((trees, b))
-        for _ in range(self.height + 1):
-            f = self.feature[tree_idx, node]
-            inner = f >= 0
-            if not inner.any():
-                break
-            val = x[rows, np.where(inner, f, 0)]
-            nxt = np.where(val <= self.threshold[tree_idx, node], self.left[tree_idx, node],
-                           self.right[tree_idx, node])
-            node = np.where(inner, nxt, node)
-            depth += inner
-        depth += self.leaf_depth_add[tree_idx, node]
-        mean = depth.mean(axis=0)
+        b, d = x.shape
+        flat = np.ascontiguousarray(x, dtype=np.float64).ravel()
+        row_base = (np.arange(b, dtype=np.int64) * d)[None, :]
+        node = np.broadcast_to(self.roots[:, None], (self.roots.size, b)).copy()
+        for _ in range(self.height):
+            val = flat[row_base + self.feature[node]]
+            node = self.child[2 * node + (val > self.threshold[node])]
+        mean = self.leaf_value[node].mean(axis=0)
         return -np.power(2.0, -mean / avg_path_length([self.max_samples])[0])
 
 

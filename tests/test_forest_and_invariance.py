@@ -41,3 +41,33 @@ def test_same_answer_at_1_and_8_partitions(spark):
         assert _run(spark, 1) == _run(spark, 8)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_vectorised_walk_equals_naive_traversal():
+    import math
+
+    import pandas as pd
+    rng = np.random.default_rng(5)
+    data = rng.normal(size=(300, 4))
+    frames = []
+    for t in range(7):
+        feat, thr, left, right, size = forest.build_tree(data[rng.choice(300, 64, replace=False)],
+                                                         np.random.default_rng(t), 6)
+        frames.append(pd.DataFrame({"tree_id": t, "node_id": range(len(size)), "feature": feat, "threshold": thr,
+                                    "left": left, "right": right, "size": size}))
+    nodes = pd.concat(frames)
+    f = forest.Forest.from_nodes(nodes, 64, features=("a", "b", "c", "d"))
+    x = rng.normal(size=(50, 4))
+    fast = f.score_samples(x)
+    c = forest.avg_path_length([64])[0]
+    for i, row in enumerate(x):
+        total = 0.0
+        for t, tree in nodes.groupby("tree_id"):
+            tree = tree.set_index("node_id")
+            node, depth = 0, 0
+            while tree.loc[node, "left"] >= 0:
+                node = tree.loc[node, "left"] if row[tree.loc[node, "feature"]] <= tree.loc[node, "threshold"] \
+                    else tree.loc[node, "right"]
+                depth += 1
+            total += depth + forest.avg_path_length([tree.loc[node, "size"]])[0]
+        assert math.isclose(fast[i], -2 ** (-(total / 7) / c), rel_tol=1e-12)
