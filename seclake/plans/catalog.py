@@ -665,3 +665,103 @@ def q_embed_chunks(spark, base):
     chunks = materialize(q_chunk_documents(spark, base), "chunks")  # read by the fit and the transform
     model = V.fit_embedder(chunks)
     return V.embed(model, chunks).select("doc_path", "chunk_idx", "embedding")
+
+
+# ---------------------------------------------------------------- collectors over derived event records
+
+def _records_sql() -> str:
+    def arr(width, at):
+        return "[" + ", ".join(at.get(i, "'-'") for i in range(width)) + "]"
+    user = "coalesce(username, '-')"
+    lt = "CASE log_id % 4 WHEN 0 THEN '2' WHEN 1 THEN '3' WHEN 2 THEN '10' ELSE '-' END"
+    ip18 = "CASE log_id % 5 WHEN 0 THEN concat('::ffff:', source_ip) WHEN 1 THEN concat(' ', source_ip) WHEN 2 THEN '-' ELSE source_ip END"
+    ip9 = "CASE log_id % 3 WHEN 0 THEN source_ip WHEN 1 THEN 'x' ELSE '-' END"
+    ins = (f"CASE WHEN event_id IN (4624, 4625) THEN {arr(20, {5: user, 8: lt, 18: ip18})} "
+           f"WHEN event_id = 4672 THEN {arr(3, {1: user})} "
+           f"WHEN event_id IN (4768, 4769) THEN {arr(13, {0: user, 9: ip9, 12: 'source_ip'})} "
+           f"ELSE {arr(9, {1: user, 5: 'process_name', 8: 'command_line'})} END")
+    return f"""recs AS (SELECT log_id AS record_number, event_id + 65536 * (log_id % 3) AS event_id_raw,
+  CASE WHEN log_id % 2 = 0 THEN strftime(timestamp, '%Y-%m-%d %H:%M:%S') ELSE strftime(timestamp, '%a %b %d %H:%M:%S %Y') END
+    AS time_generated, {ins} AS s, concat('h', CAST(log_id % 4 AS VARCHAR)) AS host,
+  CASE WHEN source_machine = 'DOMAIN_CONTROLLER' THEN 'dc' ELSE 'client' END AS profile,
+  concat('10.9.9.', CAST(log_id % 7 AS VARCHAR)) AS host_ip FROM raw_logs),
+masked AS (SELECT *, CAST(event_id_raw & 65535 AS INTEGER) AS ev FROM recs),
+kept AS (SELECT * FROM masked WHERE (profile = 'dc' AND ev IN (4624, 4625, 4672, 4768, 4769, 4688))
+   OR (profile = 'client' AND ev IN (4624, 4625, 4688)))"""
+
+
+def _projection_sql() -> str:
+    sg, rg = O.safe_get_sql, O.raw_get_sql
+    first_ip = f"list_filter(s, lambda e: e IS NOT NULL AND {O.looks_like_sql('e')})[1]"
+    dc_user = (f"CASE WHEN ev IN (4624, 4625) THEN {sg('s', 5)} WHEN ev = 4672 THEN {sg('s', 1)} "
+               f"WHEN ev IN (4768, 4769) THEN {sg('s', 0)} WHEN ev = 4688 THEN {sg('s', 1)} ELSE 'N/A' END")
+    kerb_ip = (f"CASE WHEN {O.looks_like_sql(sg('s', 9, ''))} THEN {O.dc_sanitize_sql(sg('s', 9, ''))} "
+               f"WHEN {first_ip} IS NULL THEN '127.0.0.1' ELSE {O.dc_sanitize_sql(O.strip_sql(first_ip))} END")
+    dc_ip = (f"CASE WHEN ev IN (4624, 4625) THEN CASE WHEN {sg('s', 8, '0')} IN ('2', '0') THEN '127.0.0.1' "
+             f"ELSE {O.dc_sanitize_sql(sg('s', 18, ''))} END WHEN ev = 4672 THEN '127.0.0.1' "
+             f"WHEN ev IN (4768, 4769) THEN {kerb_ip} WHEN ev = 4688 THEN '127.0.0.1' ELSE 'N/A' END")
+    has = "s IS NOT NULL AND len(s) > 0"
+    cl_user = (f"CASE WHEN {has} AND ev IN (4624, 4625) THEN {rg('s', 5, 'N/A')} "
+               f"WHEN {has} AND ev = 4688 THEN {rg('s', 1, 'N/A')} ELSE 'N/A' END")
+    cl_ip = (f"CASE WHEN {has} AND ev IN (4624, 4625) THEN {O.client_sanitize_sql(rg('s', 18, '127.0.0.1'))} "
+             f"WHEN {has} AND ev = 4688 THEN coalesce(host_ip, '127.0.0.1') ELSE '127.0.0.1' END")
+    ts = ("coalesce(try_strptime(time_generated, '%Y-%m-%d %H:%M:%S'), "
+          "try_strptime(time_generated, '%a %b %d %H:%M:%S %Y'))")
+    return f"""
+SELECT host, record_number, {ts} AS timestamp, ev AS event_id,
+ CASE WHEN profile = 'dc' THEN {dc_user} ELSE {cl_user} END AS username,
+ CASE WHEN profile = 'dc' THEN {dc_ip} ELSE {cl_ip} END AS source_ip,
+ CASE WHEN profile = 'dc' THEN CASE WHEN ev = 4688 THEN {sg('s', 5)} ELSE 'N/A' END
+      ELSE CASE WHEN {has} AND ev = 4688 THEN {rg('s', 5, 'N/A')} ELSE 'N/A' END END AS process_name,
+ CASE WHEN profile = 'dc' THEN CASE WHEN ev = 4688 THEN {sg('s', 8, '')} ELSE 'N/A' END
+      ELSE CASE WHEN {has} AND ev = 4688 THEN {rg('s', 8, 'N/A')} ELSE 'N/A' END END AS command_line,
+ CASE WHEN profile = 'dc' THEN 'DOMAIN_CONTROLLER' ELSE 'CLIENT_MACHINE' END AS source_machine
+FROM kept"""
+
+
+@register("win_event_projection", O.chain("raw_logs") + "," + _records_sql() + _projection_sql())
+def q_win_event_projection(spark, base):
+    from ..sources import records, winevents
+    return winevents.to_raw_logs(records.records_from_raw(_raw(spark, base)), host_ip_col="host_ip")
+
+
+UPLOAD_ROWS = 40
+
+
+def _payloads(spark, base) -> DataFrame:
+    """JSON upload bodies built from raw_logs: ``UPLOAD_ROWS`` rows per body,
+    with some empty-array and non-array bodies."""
+    raw = _raw(spark, base)
+    pid = F.floor(F.col("log_id") / UPLOAD_ROWS).cast("bigint")
+    item = F.struct(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), "event_id", "username",
+                    "source_ip", "process_name", "command_line", "source_machine")
+    grouped = raw.groupBy(pid.alias("payload_id")).agg(F.to_json(F.collect_list(item)).alias("json"))
+    p = F.col("payload_id")
+    return grouped.select("payload_id", F.when(p % 25 == 0, F.lit("{}")).when(p % 25 == 1, F.lit("[]"))
+                          .otherwise(F.col("json")).alias("body"))
+
+
+@register("upload_parse", O.chain("raw_logs") + f""",
+grouped AS (SELECT CAST(floor(log_id / {UPLOAD_ROWS}) AS BIGINT) AS payload_id,
+  to_json(list({{'timestamp': strftime(timestamp, '%Y-%m-%d %H:%M:%S'), 'event_id': event_id, 'username': username,
+   'source_ip': source_ip, 'process_name': process_name, 'command_line': command_line,
+   'source_machine': source_machine}})) AS json FROM raw_logs GROUP BY 1),
+payloads AS (SELECT payload_id, CASE WHEN payload_id % 25 = 0 THEN '{{}}' WHEN payload_id % 25 = 1 THEN '[]'
+  ELSE json END AS body FROM grouped),
+parsed AS (SELECT payload_id, unnest(from_json(body, '[{{"timestamp":"VARCHAR","event_id":"VARCHAR","username":"VARCHAR",
+  "source_ip":"VARCHAR","process_name":"VARCHAR","command_line":"VARCHAR","source_machine":"VARCHAR"}}]')) AS r
+  FROM payloads WHERE coalesce(json_array_length(body) > 0, false))
+SELECT payload_id, 'accepted' AS status, r.timestamp AS timestamp, TRY_CAST(r.event_id AS INTEGER) AS event_id,
+ r.username AS username, r.source_ip AS source_ip, r.process_name AS process_name, r.command_line AS command_line,
+ r.source_machine AS source_machine FROM parsed
+UNION ALL
+SELECT payload_id, 'rejected', NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM payloads
+WHERE NOT coalesce(json_array_length(body) > 0, false)""")
+def q_upload_parse(spark, base):
+    from ..sources import upload
+    rows, rejected = upload.parse_uploads(_payloads(spark, base))
+    fields = upload.UPLOAD_FIELDS
+    acc = rows.select("payload_id", F.lit("accepted").alias("status"), *fields)
+    rej = rejected.select("payload_id", F.lit("rejected").alias("status"),
+                          *[F.lit(None).cast("int" if f == "event_id" else "string").alias(f) for f in fields])
+    return acc.unionByName(rej)

@@ -227,3 +227,37 @@ def squeeze_sql(t: str) -> str:
     x = f"regexp_replace({x}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
     x = f"regexp_replace({x}, '\\(\\s*\\)', '', 'g')"
     return f"concat({strip_sql(x)}, chr(10))"
+
+
+# ---------------------------------------------------------------- collector projection
+
+def looks_like_sql(x: str) -> str:
+    s = strip_sql(x)
+    return (f"coalesce({s} <> '' AND (regexp_matches(CASE WHEN starts_with(lower({s}), '::ffff:') THEN substr({s}, 8) "
+            f"ELSE {s} END, {_q(IPV4_SHAPE)}) OR regexp_matches({s}, {_q(IPV6_LIKE)})), false)")
+
+
+def dc_sanitize_sql(x: str) -> str:
+    s = strip_sql(x)
+    return (f"CASE WHEN {x} IS NULL THEN '127.0.0.1' WHEN {s} IN {_in(DC_LOOPBACK_FORMS)} THEN '127.0.0.1' "
+            f"WHEN starts_with(lower({s}), '::ffff:') THEN substr({s}, 8) "
+            f"WHEN regexp_matches({s}, {_q(IPV4_SHAPE)}) THEN {s} "
+            f"WHEN starts_with({s}, '::') OR {s} = '0:0:0:0:0:0:0:1' THEN '127.0.0.1' "
+            f"WHEN length({s}) > 1 THEN {s} ELSE '127.0.0.1' END")
+
+
+def client_sanitize_sql(x: str) -> str:
+    s = strip_sql(x)
+    return (f"CASE WHEN {x} IS NULL THEN '127.0.0.1' WHEN {s} IN {_in(CLIENT_LOOPBACK_FORMS)} THEN '127.0.0.1' "
+            f"WHEN regexp_matches({s}, {_q(CLIENT_IPV4)}) THEN {s} "
+            f"WHEN regexp_matches({s}, {_q(CLIENT_IPV6)}) AND starts_with({s}, 'fe80') THEN '127.0.0.1' "
+            f"WHEN regexp_matches({s}, {_q(CLIENT_IPV6)}) THEN {s} ELSE '127.0.0.1' END")
+
+
+def safe_get_sql(arr: str, i: int, default: str = "N/A") -> str:
+    v = strip_sql(f"{arr}[{i + 1}]")
+    return f"CASE WHEN {v} IS NULL OR {v} = '' OR {v} = '-' THEN {_q(default)} ELSE {v} END"
+
+
+def raw_get_sql(arr: str, i: int, default: str) -> str:
+    return f"CASE WHEN len({arr}) > {i} THEN {arr}[{i + 1}] ELSE {_q(default)} END"

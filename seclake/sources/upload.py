@@ -15,14 +15,16 @@ UPLOAD_SCHEMA = T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f
 def parse_uploads(payloads: DataFrame, body_col: str = "body") -> tuple[DataFrame, DataFrame]:
     """→ (accepted rows, rejected payloads). A body that is not a non-empty
     JSON array is rejected whole; inside an accepted body a missing field
-    becomes null."""
+    becomes null. Columns other than the body (payload id, sender …) are
+    carried onto every row."""
     n = F.json_array_length(F.col(body_col))
     ok = F.coalesce(n > 0, F.lit(False))
     tagged = payloads.withColumn("_ok", ok)
     rejected = tagged.where(~F.col("_ok")).drop("_ok") \
         .withColumn("reason", F.lit("Invalid payload format. Expected JSON array."))
+    carried = [c for c in payloads.columns if c != body_col]
     rows = (tagged.where(F.col("_ok"))
-            .select(F.explode(F.from_json(F.col(body_col), UPLOAD_SCHEMA)).alias("r"))
-            .select(*[F.col(f"r.{f}").alias(f) for f in UPLOAD_FIELDS])
+            .select(*carried, F.explode(F.from_json(F.col(body_col), UPLOAD_SCHEMA)).alias("r"))
+            .select(*carried, *[F.col(f"r.{f}").alias(f) for f in UPLOAD_FIELDS])
             .withColumn("event_id", F.col("event_id").try_cast("int")))
     return rows, rejected
