@@ -765,3 +765,13 @@ def q_upload_parse(spark, base):
     rej = rejected.select("payload_id", F.lit("rejected").alias("status"),
                           *[F.lit(None).cast("int" if f == "event_id" else "string").alias(f) for f in fields])
     return acc.unionByName(rej)
+
+
+@register("runbook_context")
+def q_runbook_context(spark, base):
+    """V2–V5: context for the run's allowed techniques, retrieved from the
+    chunked ``documents`` corpus."""
+    from ..session import materialize
+    from . import context
+    chunks = materialize(q_chunk_documents(spark, base), "chunks")
+    return context.runbook_context(_analyzed(spark, base), chunks)

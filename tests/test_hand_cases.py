@@ -240,3 +240,21 @@ def test_d2_strict_never_fires_correlated_does(spark):
     cfg = replace(DEFAULT, priv_esc_mode="correlated")
     corr = detection.analyze(raw(spark, rows), cfg, model="none").where("event_id = 4672").first()
     assert corr.privilege_escalation_flag == 1
+
+
+def test_r20_empty_input_gives_zero_rows_not_errors(spark):
+    empty = spark.createDataFrame([], RAW_SCHEMA)
+    an = detection.analyze(empty, model="none")
+    assert an.count() == 0
+    k = reports.summary_kpis(an).first()
+    assert (k.total_events, k.anomaly_rate, k.avg_threat_score, k.machine_verdict) == \
+        (0, 0.0, 0.0, "LOW_CONFIDENCE_ACTIVITY")
+    assert [r["count"] for r in reports.risk_distribution_full(an).collect()] == [0, 0, 0, 0]
+    assert rawmetrics.raw_metrics(empty).count() == 0
+
+
+def test_l6_missing_columns_are_added(spark):
+    df = spark.createDataFrame([(0, T("2024-01-01 10:00:00"), 4624)], "log_id long, timestamp timestamp_ntz, event_id int")
+    out = normalize.normalize(df).first()
+    assert (out.username, out.source_ip, out.process_name, out.command_line, out.machine) == \
+        ("N/A", "N/A", "N/A", "N/A", "UNKNOWN")

@@ -80,3 +80,21 @@ def test_windowed_stream_aggregates(spark, scratch):
         q.awaitTermination(300)
     assert spark.sql("SELECT sum(count) FROM k6_out").first()[0] > 0
     assert spark.sql("SELECT count(*) FROM k8_out").first()[0] >= 0
+
+
+def test_detection_loop_on_stream(spark, scratch):
+    from seclake.sources import sinks
+    from seclake.streaming import detect
+    src = os.path.join(scratch, "in")
+    write_records(spark, src)
+    raw_path, ck = os.path.join(scratch, "raw"), os.path.join(scratch, "ck")
+    q = ingest.start_raw_sink(ingest.to_raw_stream(ingest.read_event_stream(spark, src)), raw_path, ck)
+    q.awaitTermination(300)
+    stream = ingest.to_raw_stream(ingest.read_event_stream(spark, src))
+    an_base = os.path.join(scratch, "analyzed")
+    q = detect.start_detection(stream.drop("event_time"), raw_path, an_base, os.path.join(scratch, "ck4"),
+                               lookback_hours=24 * 40, model="none")
+    q.awaitTermination(300)
+    analyzed = sinks.read_analyzed(spark, an_base)
+    assert analyzed.count() == spark.read.parquet(raw_path).count()
+    assert "final_risk_level" in analyzed.columns
