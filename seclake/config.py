@@ -108,13 +108,14 @@ class DetectionConfig:
     after_hours_start: int = 20
     after_hours_end: int = 6
     window_seconds: int = 600             # W1 trailing window
+    window_ties: str = "peers"            # W1: "peers" (all rows of equal time) or "row" (by log_id)
     priv_esc_mode: str = "strict"         # D2: "strict" (one row) or "correlated"
     priv_esc_seconds: int = 300           # D2 correlated: 4672 within N s of a 4624
     ml_weight: int = 3                    # X3
     trees: int = 100                      # M2
     max_samples: int = 256                # M2 psi
     seed: int = 42
-    exact_quantile_max_rows: int = 50_000_000  # M4: exact percentile up to here
+    exact_quantile_max_rows: int = 5_000_000  # M4: exact percentile up to here (one merge buffer)
     near_anomaly_minutes: int = 15        # J2
     suspicious_process_pattern: str = SUSPICIOUS_PROCESS_PATTERN
     suspicious_cmdline_pattern: str = SUSPICIOUS_CMDLINE_PATTERN

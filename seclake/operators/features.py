@@ -58,7 +58,8 @@ def with_failed_window(df: DataFrame, cfg: DetectionConfig = DEFAULT) -> DataFra
     the RANGE window runs per ``(username, bucket)``. A frame never reaches
     back more than one bucket, so the answer equals the plain per-user
     window while partitions stay bounded by time, not by user size.
-    Rows with a null user or time get 0.
+    Rows with a null user or time get 0. ``window_ties="row"`` counts rows of
+    equal time only up to the current one in ``log_id`` order.
 
     With ``priv_esc_mode="correlated"`` the same window also finds the last
     successful logon within ``priv_esc_seconds`` (D2 correlated).
@@ -76,7 +77,7 @@ def with_failed_window(df: DataFrame, cfg: DetectionConfig = DEFAULT) -> DataFra
     # which cost nothing in the shuffle).
     tagged = base.withColumn("_copy", F.explode(F.when(carried, F.array(F.lit(False), F.lit(True)))
                                                 .otherwise(F.array(F.lit(False)))))
-    keep = {"username", "_us", "is_failed_login", "is_successful_login", "_copy"}
+    keep = {"username", "_us", "is_failed_login", "is_successful_login", "_copy", "log_id"}
     copy = F.col("_copy")
     both = tagged.select(*[
         (F.when(copy, F.col("_bucket") + 1).otherwise(F.col("_bucket")).alias("_bucket") if c == "_bucket"
@@ -88,7 +89,16 @@ def with_failed_window(df: DataFrame, cfg: DetectionConfig = DEFAULT) -> DataFra
         reach = min(cfg.priv_esc_seconds, cfg.window_seconds) * MICROS_PER_SECOND
         cols["_last_success_us"] = F.max(F.when(F.col("is_successful_login") == 1, F.col("_us"))) \
             .over(keyed.rangeBetween(-(reach - 1), 0))
+    if cfg.window_ties == "row":
+        # Rows of equal time count only up to themselves (order by log_id):
+        # subtract the failures among later peers.
+        peers = Window.partitionBy("username", "_bucket", "_us").orderBy("log_id") \
+            .rowsBetween(1, Window.unboundedFollowing)
+        cols["_later_peer_fails"] = F.coalesce(F.sum("is_failed_login").over(peers), F.lit(0))
     out = both.withColumns(cols).where(~F.col("_copy"))
+    if cfg.window_ties == "row":
+        out = out.withColumn("failed_last_10min", F.col("failed_last_10min") - F.col("_later_peer_fails")) \
+            .drop("_later_peer_fails")
     valid = F.col("username").isNotNull() & F.col("_us").isNotNull()
     out = out.withColumn("failed_last_10min",
                          F.when(valid, F.col("failed_last_10min")).otherwise(F.lit(0)).cast("bigint"))

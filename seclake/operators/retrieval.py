@@ -147,18 +147,11 @@ def _sq_l2(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return d
 
 
-def knn(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str = "vec_id",
-        vec_col: str = "embedding", qid_col: str = "query_id", qvec_col: str = "query_vec",
-        max_queries: int = MAX_QUERIES) -> DataFrame:
-    """V4: for every query the ``k`` nearest corpus rows by squared L2
-    (distance rounded to 6 dp, ties by id) → ``(query_id, id, distance, rank)``."""
-    n_q = queries.count()
-    if n_q > max_queries:
-        raise ValueError(f"{n_q} queries exceed the checked bound {max_queries}; split the query set")
-    qpdf = queries.select(qid_col, qvec_col).toPandas()
+def _knn_pass(corpus: DataFrame, qpdf: pd.DataFrame, qid_type, k: int, id_col: str, vec_col: str,
+              qid_col: str, qvec_col: str) -> DataFrame:
+    """One pass over the corpus for a bounded set of queries held in memory."""
     qids = qpdf[qid_col].tolist()
     qmat = np.vstack([np.asarray(v, dtype=np.float64) for v in qpdf[qvec_col]]) if len(qpdf) else np.zeros((0, 1))
-    qid_type = queries.schema[qid_col].dataType
     schema = T.StructType([T.StructField(qid_col, qid_type), T.StructField(id_col, T.LongType()),
                            T.StructField("distance", T.DoubleType())])
 
@@ -181,7 +174,29 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str = "ve
         if rows:
             yield pd.DataFrame(rows, columns=[qid_col, id_col, "distance"])
 
-    local = corpus.select(id_col, vec_col).mapInPandas(local_topk, schema)
+    return corpus.select(id_col, vec_col).mapInPandas(local_topk, schema)
+
+
+def knn(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str = "vec_id",
+        vec_col: str = "embedding", qid_col: str = "query_id", qvec_col: str = "query_vec",
+        max_queries: int = MAX_QUERIES) -> DataFrame:
+    """V4: for every query the ``k`` nearest corpus rows by squared L2
+    (distance rounded to 6 dp, ties by id) → ``(query_id, id, distance, rank)``.
+
+    Queries are counted first; at most ``max_queries`` are held in memory at
+    a time. A larger query set is split by a hash of the query id into
+    chunks of about that size, one corpus pass per chunk."""
+    n_q = queries.count()
+    qid_type = queries.schema[qid_col].dataType
+    q = queries.select(qid_col, qvec_col)
+    chunks = max(1, -(-n_q // max_queries))
+    parts = []
+    for c in range(chunks):
+        part = q if chunks == 1 else q.where(F.pmod(F.xxhash64(qid_col), F.lit(chunks)) == c)
+        parts.append(_knn_pass(corpus, part.toPandas(), qid_type, k, id_col, vec_col, qid_col, qvec_col))
+    local = parts[0]
+    for p in parts[1:]:
+        local = local.unionByName(p)
     w = Window.partitionBy(qid_col).orderBy("distance", id_col)
     return local.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
 

@@ -258,3 +258,22 @@ def test_l6_missing_columns_are_added(spark):
     out = normalize.normalize(df).first()
     assert (out.username, out.source_ip, out.process_name, out.command_line, out.machine) == \
         ("N/A", "N/A", "N/A", "N/A", "UNKNOWN")
+
+
+def test_w1_row_ties_option(spark):
+    from dataclasses import replace
+    rows = [logon("2024-01-01 00:00:00"), logon("2024-01-01 00:10:00"), logon("2024-01-01 00:10:00"),
+            logon("2024-01-01 00:20:00")]
+    cfg = replace(DEFAULT, window_ties="row")
+    df = features.with_failed_window(normalize.with_flags(normalize.normalize(raw(spark, rows))), cfg)
+    assert [r.failed_last_10min for r in df.orderBy("log_id").collect()] == [1, 1, 2, 1]
+
+
+def test_knn_chunks_large_query_sets(spark):
+    from seclake.operators import retrieval
+    corpus = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(40)], "vec_id long, embedding array<float>")
+    queries = spark.createDataFrame([(q, [float(q) + 0.1, 0.0]) for q in range(9)], "query_id long, query_vec array<double>")
+    one = retrieval.knn(corpus, queries, k=2).collect()
+    many = retrieval.knn(corpus, queries, k=2, max_queries=2).collect()
+    assert sorted(one) == sorted(many)
+    assert {(r.query_id, r.vec_id) for r in one if r.rank == 1} == {(q, q) for q in range(9)}
