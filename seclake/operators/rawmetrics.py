@@ -19,37 +19,75 @@ MACHINES = ("DOMAIN_CONTROLLER", "CLIENT_MACHINE")
 LONG_SCHEMA = "source_machine string, metric string, key string, value bigint, rank int"
 
 
+def key_counts(raw: DataFrame, pair_event: int = EV_LOGON_SUCCESS) -> DataFrame:
+    """Every counted key of L2, L3 and L5 in one aggregation:
+    ``(source_machine, metric, key, value)``. Each row emits its entries
+    (null → ''); partial aggregation collapses them before the one shuffle."""
+    pair = F.concat(F.coalesce(F.col("username"), F.lit("")), F.lit("@"),
+                    F.coalesce(strip_ws(F.col("source_ip")), F.lit("")))
+    entries = F.array(
+        F.struct(F.lit("event_id_counts").alias("metric"), F.coalesce(F.col("event_id").cast("string"), F.lit("")).alias("key")),
+        F.struct(F.lit("top_processes").alias("metric"), F.coalesce(F.col("process_name").cast("string"), F.lit("")).alias("key")),
+        F.struct(F.lit("top_commands").alias("metric"), F.coalesce(F.col("command_line").cast("string"), F.lit("")).alias("key")),
+        F.struct(F.lit("logon_pairs").alias("metric"),
+                 F.when(F.col("event_id") == pair_event, pair).alias("key")))
+    return (raw.where(F.col("source_machine").isin(*MACHINES))
+            .select("source_machine", F.inline(entries))
+            .where(F.col("key").isNotNull())
+            .groupBy("source_machine", "metric", "key").agg(F.count(F.lit(1)).alias("value")))
+
+
+def shared_key_counts(raw: DataFrame, pair_event: int = EV_LOGON_SUCCESS) -> DataFrame:
+    """``key_counts`` written once to the checkpoint folder (distinct keys
+    only), so every top-n branch reads it instead of rescanning ``raw``."""
+    from ..session import materialize
+    return materialize(key_counts(raw, pair_event), "key-counts")
+
+
+def _top(counts: DataFrame, machine: str, metric: str, n: int, out_metric: str | None = None,
+         min_value: int | None = None, drop_blank: bool = True) -> DataFrame:
+    """First ``n`` keys of one fixed (collector, metric) group by count, ties
+    by key (a TakeOrdered over that group's counts); ``rank`` 1..n."""
+    from pyspark.sql import Window
+    sel = counts.where((F.col("source_machine") == machine) & (F.col("metric") == metric))
+    if min_value is not None:
+        sel = sel.where(F.col("value") >= min_value)
+    top = sel.orderBy(F.col("value").desc(), F.col("key").asc()).limit(n)
+    w = Window.orderBy(F.col("value").desc(), F.col("key").asc())  # n rows at most
+    out = top.withColumn("rank", F.row_number().over(w).cast("int"))
+    if drop_blank:
+        out = out.where(F.trim("key") != "")
+    return out.select(F.lit(machine).alias("source_machine"), F.lit(out_metric or metric).alias("metric"), "key",
+                      F.col("value").cast("bigint"), "rank")
+
+
 def top_counts(df: DataFrame, key: Column, n: int, metric: str, machine: str) -> DataFrame:
     """L1: null → '', count, keep the first ``n`` by count (ties by key),
     then drop blank keys, so a blank may take one of the ``n`` places."""
     counted = df.groupBy(F.coalesce(key.cast("string"), F.lit("")).alias("key")) \
         .agg(F.count(F.lit(1)).alias("value"))
-    top = counted.orderBy(F.col("value").desc(), F.col("key").asc()).limit(n)
-    from pyspark.sql import Window
-    w = Window.orderBy(F.col("value").desc(), F.col("key").asc())  # n rows at most
-    return (top.withColumn("rank", F.row_number().over(w).cast("int"))
-            .where(F.trim("key") != "")
-            .select(F.lit(machine).alias("source_machine"), F.lit(metric).alias("metric"), "key",
-                    F.col("value").cast("bigint"), "rank"))
+    tagged = counted.select(F.lit(machine).alias("source_machine"), F.lit(metric).alias("metric"), "key", "value")
+    return _top(tagged, machine, metric, n)
 
 
-def _per_machine(raw: DataFrame, build) -> DataFrame:
-    parts = [build(raw.where(F.col("source_machine") == m), m) for m in MACHINES]
+def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def event_id_counts(raw: DataFrame, n: int = 50) -> DataFrame:
+def event_id_counts(raw: DataFrame, n: int = 50, counts: DataFrame | None = None) -> DataFrame:
     """L2."""
-    return _per_machine(raw, lambda d, m: top_counts(d, F.col("event_id"), n, "event_id_counts", m))
+    counts = shared_key_counts(raw) if counts is None else counts
+    return _union([_top(counts, m, "event_id_counts", n) for m in MACHINES])
 
 
-def top_processes(raw: DataFrame, n_proc: int = 15, n_cmd: int = 10) -> DataFrame:
+def top_processes(raw: DataFrame, n_proc: int = 15, n_cmd: int = 10, counts: DataFrame | None = None) -> DataFrame:
     """L3: top processes and top command lines."""
-    return _per_machine(raw, lambda d, m: top_counts(d, F.col("process_name"), n_proc, "top_processes", m)
-                        .unionByName(top_counts(d, F.col("command_line"), n_cmd, "top_commands", m)))
+    counts = shared_key_counts(raw) if counts is None else counts
+    return _union([_top(counts, m, metric, n) for m in MACHINES
+                   for metric, n in (("top_processes", n_proc), ("top_commands", n_cmd))])
 
 
 def raw_metrics(raw: DataFrame) -> DataFrame:
@@ -61,24 +99,20 @@ def raw_metrics(raw: DataFrame) -> DataFrame:
 
 
 def logon_pairs(raw: DataFrame, event_id: int = EV_LOGON_SUCCESS, min_events: int = 5,
-                n: int = 10) -> DataFrame:
+                n: int = 10, counts: DataFrame | None = None) -> DataFrame:
     """``user@ip`` pairs with at least ``min_events`` rows of ``event_id``:
     their number and the top ``n``."""
-    def build(d: DataFrame, m: str) -> DataFrame:
-        pair = F.concat(F.coalesce(F.col("username"), F.lit("")), F.lit("@"),
-                        F.coalesce(strip_ws(F.col("source_ip")), F.lit("")))
-        pairs = (d.where(F.col("event_id") == event_id).groupBy(pair.alias("key"))
-                 .agg(F.count(F.lit(1)).alias("value")).where(F.col("value") >= min_events))
-        total = pairs.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(
-            F.lit(m).alias("source_machine"), F.lit("brute_force_suspects").alias("metric"),
-            F.lit("").alias("key"), "value", F.lit(0).alias("rank"))
-        from pyspark.sql import Window
-        w = Window.orderBy(F.col("value").desc(), F.col("key").asc())
-        top = (pairs.orderBy(F.col("value").desc(), F.col("key").asc()).limit(n)
-               .select(F.lit(m).alias("source_machine"), F.lit("top_bruteforce_pairs").alias("metric"), "key",
-                       F.col("value").cast("bigint"), F.row_number().over(w).cast("int").alias("rank")))
-        return total.unionByName(top)
-    return _per_machine(raw, build)
+    counts = shared_key_counts(raw, event_id) if counts is None else counts
+    parts = []
+    for m in MACHINES:
+        sel = counts.where((F.col("source_machine") == m) & (F.col("metric") == "logon_pairs")
+                           & (F.col("value") >= min_events))
+        parts.append(sel.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(
+            F.lit(m).alias("source_machine"), F.lit("brute_force_suspects").alias("metric"), F.lit("").alias("key"),
+            "value", F.lit(0).alias("rank")))
+        parts.append(_top(counts, m, "logon_pairs", n, out_metric="top_bruteforce_pairs", min_value=min_events,
+                          drop_blank=False))
+    return _union(parts)
 
 
 def process_near_anomalies(anomalies: DataFrame, logs: DataFrame, window_minutes: int = 15,

@@ -653,8 +653,8 @@ def q_evidence_summary(spark, base):
 @register("chunk_documents")
 def q_chunk_documents(spark, base):
     """V1 over every document."""
-    docs = fixtures.read_table(spark, base, "documents").select(F.col("doc_id").cast("string").alias("doc_path"),
-                                                                "text")
+    docs = fixtures.read_table(spark, base, "documents", balance=True).select(
+        F.col("doc_id").cast("string").alias("doc_path"), "text")
     return V.chunk_documents(docs)
 
 

@@ -91,10 +91,11 @@ def _long_to_map(long: DataFrame, metric: str, machine: str) -> DataFrame:
                                                   lambda s: F.struct(s["key"], s["value"]))).alias(metric))
 
 
-def raw_metrics_long(raw: DataFrame) -> DataFrame:
-    """L2, L3, L5 for both collectors in one long table."""
-    return (rawmetrics.event_id_counts(raw).unionByName(rawmetrics.top_processes(raw))
-            .unionByName(rawmetrics.logon_pairs(raw)))
+def raw_metrics_long(raw: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """L2, L3, L5 for both collectors in one long table (one key count)."""
+    counts = rawmetrics.shared_key_counts(raw) if counts is None else counts
+    return (rawmetrics.event_id_counts(raw, counts=counts).unionByName(rawmetrics.top_processes(raw, counts=counts))
+            .unionByName(rawmetrics.logon_pairs(raw, counts=counts)))
 
 
 def raw_metrics_struct(raw: DataFrame, machine: str, long: DataFrame | None = None) -> DataFrame:
@@ -133,7 +134,7 @@ def evidence_summary(analyzed: DataFrame, raw: DataFrame, cfg: DetectionConfig =
     allowed = guardrails.allowed_techniques(analyzed).agg(F.transform(
         F.array_sort(F.collect_list(F.struct("rank", "technique"))), lambda s: s["technique"])
         .alias("allowed_mitre_techniques"))
-    long = materialize(raw_metrics_long(raw), "raw-metrics")  # small; read by both collectors
+    long = raw_metrics_long(raw, rawmetrics.shared_key_counts(raw))
     dc = raw_metrics_struct(raw, "DOMAIN_CONTROLLER", long).select(F.col("m").alias("dc_log_metrics"))
     client = raw_metrics_struct(raw, "CLIENT_MACHINE", long).select(F.col("m").alias("client_log_metrics"))
     dc_rows = raw.where(F.col("source_machine") == "DOMAIN_CONTROLLER")
