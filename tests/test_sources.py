@@ -117,3 +117,17 @@ def test_runbooks_and_chunks(spark, scratch):
     first = sinks.save_chunks(chunks, os.path.join(scratch, "vec"))
     again = sinks.save_chunks(chunks, os.path.join(scratch, "vec"), spark.read.parquet(first))
     assert spark.read.parquet(again).count() == chunks.count()
+
+
+def test_cutoff_reaches_the_scan_and_prunes_dates(spark, scratch):
+    from seclake.operators import reports
+    path = os.path.join(scratch, "raw2")
+    rows = [(i, dt.datetime(2024, 1, 1 + i % 5, 12), 4624, "u", "1.1.1.1", "N/A", "", "DOMAIN_CONTROLLER")
+            for i in range(50)]
+    sinks.append_raw_logs(spark.createDataFrame(rows, sinks.RAW_LOGS_SCHEMA), path)
+    cutoff = spark.createDataFrame([(dt.datetime(2024, 1, 3, 0),)], "watermark_ts timestamp_ntz")
+    out = reports.after_cutoff(spark.read.parquet(path), cutoff, date_col="event_date").select("log_id", "timestamp")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(timestamp), GreaterThan(timestamp" in plan
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "ReadSchema: struct<log_id:bigint,timestamp" in plan
+    assert out.count() == sum(1 for r in rows if r[1] > dt.datetime(2024, 1, 3))
