@@ -41,3 +41,22 @@ def dense_index(df: DataFrame, col: str, out: str, partitions: int | None = None
     offsets = counts.select("_pid", (F.sum("_n").over(w) - F.col("_n")).alias("_offset"))
     return (local.join(F.broadcast(offsets), "_pid")
             .select(col, (F.col("_offset") + F.col("_local")).cast("int").alias(out)))
+
+
+def row_numbers(df: DataFrame, order: list, out: str, partitions: int | None = None) -> DataFrame:
+    """1-based row number over a total order (``order`` must break all ties),
+    distributed the same way as ``dense_index``: range partitions, local
+    numbering, per-partition offsets."""
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    ranged = df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+    cols = df.columns
+    local = materialize(ranged.select(*cols, F.spark_partition_id().alias("_pid"),
+                                      (F.monotonically_increasing_id()
+                                       - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)).alias("_local")),
+                        "row-numbers")
+    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = counts.select("_pid", (F.sum("_n").over(w) - F.col("_n")).alias("_offset"))
+    return (local.join(F.broadcast(offsets), "_pid")
+            .select(*cols, (F.col("_offset") + F.col("_local") + 1).alias(out)))

@@ -47,8 +47,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (a local test) a folder is created
-    under the system temp dir and registered on the context.
+    Only when nothing is configured and the master is local (a test) a
+    folder is created under the system temp dir; on a cluster a missing
+    setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -56,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         import tempfile
         configured = tempfile.mkdtemp(prefix="seclake-ckpt-")
     sc.setCheckpointDir(configured)

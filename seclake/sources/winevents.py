@@ -108,7 +108,7 @@ def incremental(records: DataFrame, high_water: DataFrame | None) -> DataFrame:
     if high_water is None:
         return records
     hw = high_water.select("host", F.col("mark").alias("_mark"))
-    return (records.join(F.broadcast(hw), "host", "left")
+    return (records.join(hw, "host", "left")  # AQE broadcasts the mark table when it is small
             .where(F.col("_mark").isNull() | (F.col("_mark") <= 0) | (F.col("record_number") > F.col("_mark")))
             .drop("_mark"))
 

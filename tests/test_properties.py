@@ -94,3 +94,22 @@ def test_running_sum_matches_cumsum(spark):
     for r in got.collect():
         before = sum(v for key, v in by_key.items() if key < (r.t, r.kind))
         assert before < r.cum <= before + by_key[(r.t, r.kind)] or (r.w == 0 and before <= r.cum <= before + by_key[(r.t, r.kind)])
+
+
+def test_incident_sort_distributed_path_equals_window(spark):
+    from seclake.operators import indexing, reports
+    import random
+    rnd = random.Random(11)
+    rows = [(i, f"user{rnd.randint(0, 30)}", rnd.randint(0, 12)) for i in range(400)]
+    df = spark.createDataFrame(rows, "log_id long, username string, total_threat_score int")
+    small = {(r.log_id, r.sort_rank) for r in reports.incident_sort(df, "username", descending=False).collect()}
+    old = reports.SORT_SINGLE_TASK_MAX
+    reports.SORT_SINGLE_TASK_MAX = 10
+    try:
+        big = {(r.log_id, r.sort_rank) for r in reports.incident_sort(df, "username", descending=False).collect()}
+        num = {(r.log_id, r.sort_rank) for r in reports.incident_sort(df, "total_threat_score").collect()}
+    finally:
+        reports.SORT_SINGLE_TASK_MAX = old
+    assert small == big
+    expect = sorted(rows, key=lambda r: (-r[2], r[0]))
+    assert num == {(r[0], i + 1) for i, r in enumerate(expect)}
