@@ -48,3 +48,12 @@ def parse_mixed_timestamp(s: Column | str) -> Column:
     no_weekday = F.regexp_replace(t, r"^[A-Za-z]{3}\s+", "")
     ctime = F.try_to_timestamp(F.regexp_replace(no_weekday, r"\s+", " "), F.lit("MMM d HH:mm:ss yyyy"))
     return F.coalesce(iso, ctime).cast("timestamp_ntz")
+
+
+def ntz_lit(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a Python datetime or text, built from
+    its text so neither the Python process zone nor the session zone moves it."""
+    import datetime as _dt
+    if isinstance(value, _dt.datetime):
+        value = value.isoformat(sep=" ")
+    return F.lit(str(value)).cast("timestamp_ntz")

@@ -35,7 +35,8 @@ def after_cutoff(df: DataFrame, cutoff: DataFrame | None, ts_col: str = "timesta
     row = cutoff.select(F.max("watermark_ts").alias("c")).first()
     if row is None or row["c"] is None:
         return df
-    c = F.lit(row["c"]).cast("timestamp_ntz")
+    from ..functions.timecols import ntz_lit
+    c = ntz_lit(row["c"])
     out = df.where(F.col(ts_col) > c)
     if date_col and date_col in df.columns:
         out = out.where(F.col(date_col) >= F.to_date(c))

@@ -26,7 +26,8 @@ def newest(raw: DataFrame, max_rows: int | None = None, cutoff=None) -> DataFram
     """S7 + R19: rows after the view cutoff, optionally only the newest N."""
     df = raw
     if cutoff is not None:
-        df = df.where(F.col("timestamp") > F.lit(cutoff))
+        from ..functions.timecols import ntz_lit
+        df = df.where(F.col("timestamp") > ntz_lit(cutoff))
     if max_rows is not None:
         df = df.orderBy(F.col("timestamp").desc_nulls_last(), F.col("log_id").desc()).limit(max_rows)
     return df

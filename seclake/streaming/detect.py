@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, DetectionConfig
+from ..functions.timecols import ntz_lit
 from ..plans import detection
 from ..sources import sinks
 
@@ -27,7 +28,8 @@ def detection_batch(raw_path: str, analyzed_base: str, lookback_hours: int = 24,
             return
         since = newest - dt.timedelta(hours=lookback_hours)
         raw = spark.read.parquet(raw_path).where(
-            (F.col("event_date") >= F.lit(since.date())) & (F.col("timestamp") > F.lit(since)))
+            (F.col("event_date") >= F.lit(since.date().isoformat()).cast("date"))
+            & (F.col("timestamp") > ntz_lit(since)))
         sinks.replace_analyzed(detection.analyze(raw.drop("event_date"), cfg, model=model), analyzed_base)
     return run
 

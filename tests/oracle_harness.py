@@ -94,6 +94,8 @@ def main(argv):
     import __spark_entry__ as entry
     from seclake.session import build_session
     spark = build_session("local[8]", 8)
+    if os.environ.get("HARNESS_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["HARNESS_TZ"])
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(base)
     qs, sqls = entry.queries(), entry.oracle_sql()
