@@ -109,6 +109,7 @@ class DetectionConfig:
     after_hours_end: int = 6
     window_seconds: int = 600             # W1 trailing window
     window_ties: str = "peers"            # W1: "peers" (all rows of equal time) or "row" (by log_id)
+    window_salt: int = 1                  # W1: buckets per window; raise for bursty sources
     priv_esc_mode: str = "strict"         # D2: "strict" (one row) or "correlated"
     priv_esc_seconds: int = 300           # D2 correlated: 4672 within N s of a 4624
     ml_weight: int = 3                    # X3

@@ -53,11 +53,13 @@ def ip_profile(df: DataFrame, scope: tuple = ()) -> DataFrame:
 def with_failed_window(df: DataFrame, cfg: DetectionConfig = DEFAULT) -> DataFrame:
     """Failures of the same user in ``(t - window, t]`` (peers included).
 
-    Salting by time: every row goes to its window-wide bucket, failed rows
-    are also copied (narrow: key, time, flag only) to the next bucket, and
-    the RANGE window runs per ``(username, bucket)``. A frame never reaches
-    back more than one bucket, so the answer equals the plain per-user
-    window while partitions stay bounded by time, not by user size.
+    Salting by time: every row goes to its bucket (``window / window_salt``
+    wide), failed rows are also copied (narrow: key, time, flag only) to the
+    next ``window_salt`` buckets, and the RANGE window runs per
+    ``(username, bucket)``. A frame never reaches back further than the
+    copies, so the answer equals the plain per-user window while partitions
+    stay bounded by time, not by user size; a larger salt splits a burst
+    of one user further.
     Rows with a null user or time get 0. ``window_ties="row"`` counts rows of
     equal time only up to the current one in ``log_id`` order.
 
@@ -65,9 +67,12 @@ def with_failed_window(df: DataFrame, cfg: DetectionConfig = DEFAULT) -> DataFra
     successful logon within ``priv_esc_seconds`` (D2 correlated).
     """
     width = cfg.window_seconds * MICROS_PER_SECOND
+    salt = max(1, int(cfg.window_salt))
     correlated = cfg.priv_esc_mode == "correlated"
     us = micros("timestamp")
-    base = df.withColumns({"_us": us, "_bucket": F.floor(us / width)})
+    # Buckets of width window/salt; a carried row is copied to the next
+    # ``salt`` buckets, which together span one window.
+    base = df.withColumns({"_us": us, "_bucket": F.floor(us * salt / width)})
     carried = F.col("is_failed_login") == 1
     if correlated:
         carried = carried | (F.col("is_successful_login") == 1)
@@ -75,14 +80,15 @@ def with_failed_window(df: DataFrame, cfg: DetectionConfig = DEFAULT) -> DataFra
     # One scan: a carried row explodes into itself and a copy for the next
     # bucket; the copy keeps only key, time and flags (other columns null,
     # which cost nothing in the shuffle).
-    tagged = base.withColumn("_copy", F.explode(F.when(carried, F.array(F.lit(False), F.lit(True)))
-                                                .otherwise(F.array(F.lit(False)))))
+    tagged = base.withColumn("_shift", F.explode(F.when(carried, F.sequence(F.lit(0), F.lit(salt)))
+                                                 .otherwise(F.array(F.lit(0)))))
+    tagged = tagged.withColumn("_copy", F.col("_shift") > 0)
     keep = {"username", "_us", "is_failed_login", "is_successful_login", "_copy", "log_id"}
     copy = F.col("_copy")
     both = tagged.select(*[
-        (F.when(copy, F.col("_bucket") + 1).otherwise(F.col("_bucket")).alias("_bucket") if c == "_bucket"
+        ((F.col("_bucket") + F.col("_shift")).alias("_bucket") if c == "_bucket"
          else F.col(c) if c in keep else F.when(~copy, F.col(c)).alias(c))
-        for c in tagged.columns])
+        for c in tagged.columns if c != "_shift"])
     keyed = Window.partitionBy("username", "_bucket").orderBy("_us")
     cols = {"failed_last_10min": F.sum("is_failed_login").over(keyed.rangeBetween(-(width - 1), 0))}
     if correlated:

@@ -26,10 +26,11 @@ def make_raw(spark, rows):
 
 
 @SETTINGS
-@given(st.lists(row_st, min_size=1, max_size=60))
-def test_salted_window_equals_plain_window(spark, rows):
+@given(st.lists(row_st, min_size=1, max_size=60), st.sampled_from([1, 3, 10]))
+def test_salted_window_equals_plain_window(spark, rows, salt):
+    from dataclasses import replace
     df = normalize.with_flags(normalize.normalize(make_raw(spark, rows)))
-    salted = features.with_failed_window(df).select("log_id", "failed_last_10min")
+    salted = features.with_failed_window(df, replace(DEFAULT, window_salt=salt)).select("log_id", "failed_last_10min")
     w = Window.partitionBy("username").orderBy("_us").rangeBetween(-599_999_999, 0)
     plain = (df.withColumn("_us", micros("timestamp"))
              .withColumn("p", F.when(F.col("username").isNotNull(), F.sum("is_failed_login").over(w)).otherwise(0))
