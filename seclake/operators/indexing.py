@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, partitions_for
 
 
 # Up to this many distinct values the index is one ordered window in a
@@ -26,8 +26,8 @@ SINGLE_TASK_MAX = 200_000
 def dense_index(df: DataFrame, col: str, out: str, partitions: int | None = None,
                 single_task_max: int = SINGLE_TASK_MAX) -> DataFrame:
     spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     values = df.select(col).where(F.col(col).isNotNull()).distinct()
+    n_parts = partitions_for(values, partitions)
     if values.count() <= single_task_max:
         w = Window.orderBy(F.col(col).asc())
         return values.select(col, (F.row_number().over(w) - 1).cast("int").alias(out))
@@ -48,7 +48,7 @@ def row_numbers(df: DataFrame, order: list, out: str, partitions: int | None = N
     distributed the same way as ``dense_index``: range partitions, local
     numbering, per-partition offsets."""
     spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n_parts = partitions_for(df, partitions)
     ranged = df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
     cols = df.columns
     local = materialize(ranged.select(*cols, F.spark_partition_id().alias("_pid"),

@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import materialize, partitions_for
 
 
 def running_sum(df: DataFrame, order_cols: list[str], value_col: str, out: str,
                 partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n_parts = partitions_for(df, partitions)
     ranged = (df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(ranged.schema.fields + [T.StructField("_local", T.LongType())])

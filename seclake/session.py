@@ -76,3 +76,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+MAX_RANGE_PARTITIONS = 100_000
+
+
+def partitions_for(df: DataFrame, requested: int | None = None) -> int:
+    """Partition count for an explicit range repartition: at least the
+    configured shuffle partitions, and enough that each holds about the AQE
+    advisory size by Catalyst's size estimate of the plan (no job is run)."""
+    if requested:
+        return requested
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    try:
+        target_bytes = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(target))
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return base
+    return int(min(MAX_RANGE_PARTITIONS, max(base, -(-size // max(target_bytes, 1)))))
