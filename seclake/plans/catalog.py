@@ -775,3 +775,41 @@ def q_runbook_context(spark, base):
     from . import context
     chunks = materialize(q_chunk_documents(spark, base), "chunks")
     return context.runbook_context(_analyzed(spark, base), chunks)
+
+
+STREAM_SLICES = 6
+FILES_PER_SLICE = 2
+
+
+@register("stream_failed_window")
+def q_stream_failed_window(spark, base):
+    """K1, K3, K5, K7 on a stream: event records derived from raw_logs are
+    written as time-ordered files, read as a file stream (a few files per
+    trigger), deduplicated within the watermark, and the exact trailing
+    failure count is kept in per-user state. Returns the emitted rows
+    (rows still inside the final watermark delay are not emitted yet)."""
+    import os
+    import uuid
+
+    from ..functions.timecols import micros
+    from ..session import checkpoint_dir
+    from ..sources import records
+    from ..streaming import ingest, stateful
+    work = os.path.join(checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
+    raw = _raw(spark, base)
+    lo, hi = raw.agg(F.min(micros("timestamp")), F.max(micros("timestamp"))).first()
+    span = max(1, (hi - lo) // STREAM_SLICES + 1) if lo is not None else 1
+    # Collectors deliver in time order: one folder per time slice, written in order.
+    for k in range(STREAM_SLICES):
+        part = raw.where((micros("timestamp") - F.lit(lo or 0)).between(k * span, (k + 1) * span - 1))
+        (records.records_from_raw(part).drop("host_ip").repartition(FILES_PER_SLICE)
+         .write.mode("overwrite").json(os.path.join(work, "in", f"slice={k:03d}")))
+    stream = ingest.to_raw_stream(ingest.read_event_stream(spark, os.path.join(work, "in", "*"),
+                                                           max_files=FILES_PER_SLICE))
+    flagged = stream.withColumn("log_id", F.col("record_number")).withColumn(
+        "is_failed_login", (F.col("event_id") == 4625).cast("int"))
+    q = (stateful.failed_window_stream(flagged).writeStream.format("parquet")
+         .option("path", os.path.join(work, "out")).option("checkpointLocation", os.path.join(work, "ck"))
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(stateful.OUTPUT_SCHEMA).parquet(os.path.join(work, "out"))

@@ -6,8 +6,11 @@ small state keeps (a) rows whose time is still above the watermark
 still fall inside a future row's window. A row is emitted once the
 watermark passes its time, with the count of that user's failures in
 ``(t - window, t]`` — the same number the batch window gives, whatever
-the arrival order within the watermark delay. State per user is bounded
-by time (delay + window), not by the user's volume.
+the arrival order within the watermark delay. An event-time timeout just
+past the newest pending row makes an idle user's rows come out once the
+watermark passes them; rows newer than the final watermark wait in the
+checkpointed state for more data. State per user is bounded by time
+(delay + window), not by the user's volume.
 """
 
 from __future__ import annotations
@@ -50,8 +53,6 @@ def _counter(window_us: int):
             pend_fail.extend(flags)
             fail_us.extend(u for u, f in zip(pdf["event_us"].astype("int64").tolist(), flags) if f == 1)
         wm_us = state.getCurrentWatermarkMs() * 1000
-        if state.hasTimedOut:
-            wm_us = max(wm_us, max(pend_us, default=wm_us))
         p_us = np.asarray(pend_us, dtype=np.int64)
         ready = p_us <= wm_us
         fails = np.sort(np.asarray(fail_us, dtype=np.int64))
@@ -71,7 +72,11 @@ def _counter(window_us: int):
         if p_left.size or fails.size:
             state.update((p_left.tolist(), np.asarray(pend_id, dtype=np.int64)[keep].tolist(),
                           np.asarray(pend_fail, dtype=np.int32)[keep].tolist(), fails.tolist()))
-            state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), 0) + 1 + (window_us // 1000))
+            # Wake up once the watermark passes the newest pending row (all of
+            # them are final then), or, with nothing pending, once the last
+            # failure can no longer fall inside a future row's window.
+            until_us = int(p_left.max()) if p_left.size else int(fails.max()) + window_us
+            state.setTimeoutTimestamp(max(until_us // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         else:
             state.remove()
         if out is not None:

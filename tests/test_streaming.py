@@ -98,3 +98,15 @@ def test_detection_loop_on_stream(spark, scratch):
     analyzed = sinks.read_analyzed(spark, an_base)
     assert analyzed.count() == spark.read.parquet(raw_path).count()
     assert "final_risk_level" in analyzed.columns
+
+
+def test_stream_query_matches_batch_on_emitted_rows(spark):
+    from seclake.plans import catalog
+    from seclake.sources import records, winevents
+    got = {r.log_id: r.failed_last_10min for r in catalog.q_stream_failed_window(spark, SF_SMALL).collect()}
+    rows = winevents.to_raw_logs(records.records_from_raw(fixtures.raw_logs(spark, SF_SMALL)), "host_ip") \
+        .withColumn("log_id", F.col("record_number"))
+    batch = features.with_failed_window(normalize.with_flags(normalize.normalize(rows)))
+    expect = {r.log_id: r.failed_last_10min for r in batch.collect()}
+    assert len(got) > 0.9 * len(expect)
+    assert all(expect[k] == v for k, v in got.items())
