@@ -813,3 +813,22 @@ def q_stream_failed_window(spark, base):
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.schema(stateful.OUTPUT_SCHEMA).parquet(os.path.join(work, "out"))
+
+
+
+def _sectioned(spark, base) -> DataFrame:
+    return fixtures.sectioned_reports_from_documents(fixtures.read_table(spark, base, "documents"))
+
+
+@register("report_list_filter", "WITH " + O.SECTIONED + f"""
+SELECT id, {O.list_filter_sql('text', 'allowed')} AS filtered FROM sectioned""")
+def q_report_list_filter(spark, base):
+    """G9 on sectioned report texts."""
+    return _sectioned(spark, base).select("id", G.drop_disallowed_list_lines("text", "allowed").alias("filtered"))
+
+
+@register("report_mitre_rewrite", "WITH " + O.SECTIONED + f"""
+SELECT id, {O.mitre_rewrite_sql('text', 'allowed')} AS rewritten FROM sectioned""")
+def q_report_mitre_rewrite(spark, base):
+    """G11 on sectioned report texts."""
+    return _sectioned(spark, base).select("id", G.rewrite_mitre_section("text", "allowed").alias("rewritten"))

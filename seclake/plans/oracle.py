@@ -261,3 +261,51 @@ def safe_get_sql(arr: str, i: int, default: str = "N/A") -> str:
 
 def raw_get_sql(arr: str, i: int, default: str) -> str:
     return f"CASE WHEN len({arr}) > {i} THEN {arr}[{i + 1}] ELSE {_q(default)} END"
+
+
+
+from ..sources.fixtures import SECTION_BODIES  # noqa: E402
+
+
+def _sql_text(v: str) -> str:
+    """A SQL string expression with real newlines (chr(10))."""
+    parts = v.split("\n")
+    return " || chr(10) || ".join(_q(p) for p in parts)
+
+
+SECTIONED = f"""sectioned AS (
+SELECT doc_id AS id, concat('### EXECUTIVE THREAT SUMMARY' || chr(10), substr(text, 1, 80),
+  chr(10) || chr(10) || '### MITRE ATT&CK OBSERVATIONS' || chr(10),
+  CASE doc_id % 3 WHEN 0 THEN {_sql_text(SECTION_BODIES[0])} WHEN 1 THEN {_sql_text(SECTION_BODIES[1])}
+   ELSE {_sql_text(SECTION_BODIES[2])} END,
+  CASE WHEN doc_id % 2 = 0 THEN concat(chr(10) || '### PRIORITY RESPONSE ACTIONS' || chr(10), substr(text, 81, 60))
+   ELSE '' END) AS text,
+ CASE WHEN doc_id % 2 = 0 THEN [{", ".join(_q(x) for x in ALLOWED_EVEN)}]
+      ELSE [{", ".join(_q(x) for x in ALLOWED_ODD)}] END AS allowed
+FROM documents)"""
+
+
+def list_filter_sql(t: str, a: str) -> str:
+    ok = allowed_ids_sql(a)
+    lead = "regexp_replace(l, '^\\s+', '')"
+    is_list = (f"(starts_with({lead}, '-') OR starts_with({lead}, '*') OR starts_with({lead}, '•') "
+               f"OR regexp_matches({lead}, '^\\d+[.)]'))")
+    ids = ids_sql("l")
+    only_bad = f"(len({ids}) > 0 AND len(list_filter({ids}, lambda i: list_contains({ok}, i))) = 0)"
+    return (f"array_to_string(list_filter(string_split(coalesce({t}, ''), chr(10)), "
+            f"lambda l: NOT ({is_list} AND {only_bad})), chr(10))")
+
+
+def mitre_rewrite_sql(t: str, a: str) -> str:
+    from ..operators import guardrails as G
+    head = f"regexp_extract(coalesce({t}, ''), {_q('(?is)^(.*?' + G.MITRE_HEADING + ')')}, 1)"
+    rest = f"substr(coalesce({t}, ''), length({head}) + 1)"
+    tail = f"regexp_extract({rest}, {_q(r'(?s)^.*?(\n###\s+.*)$')}, 1)"
+    ok = allowed_ids_sql(a)
+    al = f"coalesce({a}, [])"
+    keep = (f"list_filter({al}, lambda item: len(list_filter({ids_sql('item')}, lambda i: list_contains({ok}, i))) > 0 "
+            f"OR len({ids_sql('item')}) = 0)")
+    lines = f"list_transform({keep}, lambda item: concat({_q(G.MITRE_LINE_PREFIX)}, item, {_q(G.MITRE_LINE_SUFFIX)}))"
+    block = (f"CASE WHEN len({al}) > 0 THEN concat(array_to_string({lines}, chr(10)), chr(10)) "
+             f"ELSE {_q(G.NO_MITRE_LINE)} || chr(10) END")
+    return f"CASE WHEN {head} = '' THEN coalesce({t}, '') ELSE concat({head}, {block}, {tail}) END"

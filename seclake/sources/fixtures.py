@@ -85,3 +85,25 @@ def reports_from_documents(documents: DataFrame) -> DataFrame:
 
 def reports(spark: SparkSession, base: str) -> DataFrame:
     return reports_from_documents(read_table(spark, base, "documents"))
+
+
+# Fixed values of the sectioned-report fixture (list lines with technique ids).
+SECTION_BODIES = (
+    "- T1059 - Command: seen\n- T1110 - Brute Force: seen\nplain line T1059",
+    "1) T1558.003 kerberoast\n* note T1021\n  - T1110.003 spray",
+    "none listed",
+)
+
+
+def sectioned_reports_from_documents(documents: DataFrame) -> DataFrame:
+    """Report texts with headings and list lines, built from ``documents``."""
+    d = F.col("doc_id")
+    body = F.when(d % 3 == 0, F.lit(SECTION_BODIES[0])).when(d % 3 == 1, F.lit(SECTION_BODIES[1])) \
+        .otherwise(F.lit(SECTION_BODIES[2]))
+    tail = F.when(d % 2 == 0, F.concat(F.lit("\n### PRIORITY RESPONSE ACTIONS\n"), F.expr("substr(text, 81, 60)"))) \
+        .otherwise(F.lit(""))
+    text = F.concat(F.lit("### EXECUTIVE THREAT SUMMARY\n"), F.expr("substr(text, 1, 80)"),
+                    F.lit("\n\n### MITRE ATT&CK OBSERVATIONS\n"), body, tail)
+    allowed = F.when(d % 2 == 0, F.array(*[F.lit(x) for x in ALLOWED_EVEN])) \
+        .otherwise(F.array(*[F.lit(x) for x in ALLOWED_ODD]))
+    return documents.select(d.alias("id"), text.alias("text"), allowed.alias("allowed"))
