@@ -7,7 +7,6 @@ in full; limits appear only where a top-k is the operator.
 
 from __future__ import annotations
 
-import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, DetectionConfig
 from ..operators import guardrails, rawmetrics, reports
-from ..session import materialize
 
 # Evidence text templates.
 NO_INCIDENTS = "  (no high-risk incidents)"

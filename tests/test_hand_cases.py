@@ -2,13 +2,12 @@
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from seclake.config import DEFAULT
 from seclake.functions import ipcols
 from seclake.functions.timecols import parse_mixed_timestamp
-from seclake.operators import features, guardrails, normalize, rawmetrics, reports, rules, scoring
+from seclake.operators import features, guardrails, normalize, rawmetrics, reports, scoring
 from seclake.plans import detection
 
 RAW_SCHEMA = ("log_id long, timestamp timestamp_ntz, event_id int, username string, source_ip string, "
