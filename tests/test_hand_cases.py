@@ -276,3 +276,12 @@ def test_knn_chunks_large_query_sets(spark):
     many = retrieval.knn(corpus, queries, k=2, max_queries=2).collect()
     assert sorted(one) == sorted(many)
     assert {(r.query_id, r.vec_id) for r in one if r.rank == 1} == {(q, q) for q in range(9)}
+
+
+def test_scope_key_makes_lifetime_per_day(spark):
+    rows = [logon("2024-01-01 10:00:00"), logon("2024-01-01 11:00:00"), logon("2024-01-02 10:00:00")]
+    df = raw(spark, rows).withColumn("event_date", F.to_date("timestamp"))
+    out = detection.analyze(df, model="none", scope=("event_date",)).orderBy("log_id").collect()
+    assert [r.user_event_count for r in out] == [2, 2, 1]
+    whole = detection.analyze(raw(spark, rows), model="none").orderBy("log_id").collect()
+    assert [r.user_event_count for r in whole] == [3, 3, 3]
