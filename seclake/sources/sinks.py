@@ -31,10 +31,15 @@ def create_raw_table(spark: SparkSession, path: str) -> None:
     with_event_date(empty).write.mode("append").partitionBy("event_date").parquet(path)
 
 
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
 def append_raw_logs(df: DataFrame, path: str) -> None:
-    """Append rows; the date partition lets time filters prune files."""
-    (with_event_date(df).repartition("event_date")
-     .write.mode("append").partitionBy("event_date").parquet(path))
+    """Append rows; the date partition lets time filters prune files.
+    Every task writes the dates it holds (no shuffle by date, which would put
+    a whole day into one task); files are capped in rows."""
+    (with_event_date(df).write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .partitionBy("event_date").parquet(path))
 
 
 def replace_analyzed(df: DataFrame, base: str) -> str:
@@ -53,15 +58,22 @@ def read_analyzed(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(current)
 
 
+SINGLE_FILE_EXPORT_MAX = 100_000
+
+
 def export_incidents_csv(incidents: DataFrame, path: str) -> None:
-    """Five columns, header, every value quoted."""
+    """Five columns, header, every value quoted. An incident list up to
+    a checked size goes into one file; a larger one is written in parallel
+    (one header per part file)."""
     cols = [F.coalesce(F.col("username"), F.lit("")).alias("username"),
             F.coalesce(F.col("source_ip"), F.lit("")).alias("source_ip"),
             F.coalesce(F.col("final_risk_level"), F.lit("")).alias("risk_level"),
             F.coalesce(F.col("total_threat_score").cast("string"), F.lit("")).alias("threat_score"),
             F.coalesce(F.col("mitre_techniques"), F.lit("")).alias("mitre_techniques")]
-    (incidents.select(*cols).coalesce(1).write.mode("overwrite")
-     .option("header", True).option("quoteAll", True).option("escape", '"').csv(path))
+    out = incidents.select(*cols)
+    if incidents.limit(SINGLE_FILE_EXPORT_MAX + 1).count() <= SINGLE_FILE_EXPORT_MAX:
+        out = out.coalesce(1)
+    out.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
 
 
 def load_runbooks(spark: SparkSession, root: str) -> DataFrame:
