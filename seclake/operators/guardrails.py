@@ -40,6 +40,7 @@ MITRE_HEADING = r"###\s+MITRE ATT&CK OBSERVATIONS\s*\n"
 MITRE_LINE_PREFIX = "- **"
 MITRE_LINE_SUFFIX = "** — observed in incident data."
 NO_MITRE_LINE = "No MITRE techniques observed in evidence."
+LABELS_SINGLE_TASK_MAX = 100_000
 
 
 def _c(x) -> Column:
@@ -93,7 +94,12 @@ def allowed_techniques(analyzed: DataFrame, high_levels=("CRITICAL", "HIGH")) ->
               .where((F.col("technique") != "") & (F.col("technique") != "N/A")).distinct())
     sort_id = F.regexp_extract("technique", r"\b(T\d{4,5}(?:\.\d{3})?)\b", 1)
     labels = labels.withColumn("sort_id", F.when(sort_id == "", F.lit(NO_ID_SORT_KEY)).otherwise(sort_id))
-    # Bounded: one row per distinct technique label.
+    # One row per distinct label: the technique vocabulary, normally a handful.
+    # Beyond a checked count the labels are numbered distributedly.
+    if labels.count() > LABELS_SINGLE_TASK_MAX:
+        from .indexing import row_numbers
+        return row_numbers(labels, [F.col("sort_id").asc(), F.col("technique").asc()], "rank") \
+            .withColumn("rank", F.col("rank").cast("int"))
     w = Window.orderBy("sort_id", "technique")
     return labels.withColumn("rank", F.row_number().over(w).cast("int"))
 
