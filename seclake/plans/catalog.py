@@ -721,7 +721,8 @@ FROM kept"""
 @register("win_event_projection", O.chain("raw_logs") + "," + _records_sql() + _projection_sql())
 def q_win_event_projection(spark, base):
     from ..sources import records, winevents
-    return winevents.to_raw_logs(records.records_from_raw(_raw(spark, base)), host_ip_col="host_ip")
+    # ``log_id`` is a Spark hash of (host, record_number); the projection is compared without it.
+    return winevents.to_raw_logs(records.records_from_raw(_raw(spark, base)), host_ip_col="host_ip").drop("log_id")
 
 
 UPLOAD_ROWS = 40

@@ -16,15 +16,19 @@ def parse_uploads(payloads: DataFrame, body_col: str = "body") -> tuple[DataFram
     """→ (accepted rows, rejected payloads). A body that is not a non-empty
     JSON array is rejected whole; inside an accepted body a missing field
     becomes null. Columns other than the body (payload id, sender …) are
-    carried onto every row."""
+    carried onto every row, and ``log_id`` is a stable hash of the payload
+    (its other columns, or its body when it has none) and the position."""
     n = F.json_array_length(F.col(body_col))
     ok = F.coalesce(n > 0, F.lit(False))
     tagged = payloads.withColumn("_ok", ok)
     rejected = tagged.where(~F.col("_ok")).drop("_ok") \
         .withColumn("reason", F.lit("Invalid payload format. Expected JSON array."))
     carried = [c for c in payloads.columns if c != body_col]
+    identity = [F.col(c) for c in carried] or [F.col(body_col)]
     rows = (tagged.where(F.col("_ok"))
-            .select(*carried, F.explode(F.from_json(F.col(body_col), UPLOAD_SCHEMA)).alias("r"))
-            .select(*carried, *[F.col(f"r.{f}").alias(f) for f in UPLOAD_FIELDS])
+            .select(*carried, F.xxhash64(*identity).alias("_payload"),
+                    F.posexplode(F.from_json(F.col(body_col), UPLOAD_SCHEMA)).alias("_pos", "r"))
+            .select(*carried, F.xxhash64("_payload", "_pos").alias("log_id"),
+                    *[F.col(f"r.{f}").alias(f) for f in UPLOAD_FIELDS])
             .withColumn("event_id", F.col("event_id").try_cast("int")))
     return rows, rejected

@@ -95,6 +95,7 @@ def to_raw_logs(records: DataFrame, host_ip_col: str | None = None) -> DataFrame
     cols = {k: F.when(is_dc, dc[k]).otherwise(cl[k]) for k in dc}
     return df.select(
         "host", "record_number",
+        F.xxhash64("host", "record_number").alias("log_id"),  # stable row id for sampling and ties
         parse_mixed_timestamp("time_generated").alias("timestamp"),
         e.alias("event_id"),
         *[v.alias(k) for k, v in cols.items()],

@@ -131,3 +131,21 @@ def test_cutoff_reaches_the_scan_and_prunes_dates(spark, scratch):
     assert "PushedFilters: [IsNotNull(timestamp), GreaterThan(timestamp" in plan
     assert "PartitionFilters: [isnotnull(event_date" in plan and "ReadSchema: struct<log_id:bigint,timestamp" in plan
     assert out.count() == sum(1 for r in rows if r[1] > dt.datetime(2024, 1, 3))
+
+
+def test_ingest_to_detection_end_to_end(spark):
+    """Event records and JSON uploads both feed the full detection run."""
+    from seclake.plans import detection
+    from seclake.sources import fixtures, records
+    from conftest import SF_SMALL
+    raw = winevents.to_raw_logs(records.records_from_raw(fixtures.raw_logs(spark, SF_SMALL)), "host_ip")
+    assert raw.select("log_id").distinct().count() == raw.count()
+    an = detection.analyze(raw.drop("host", "record_number"), model="forest")
+    assert an.count() == raw.count() and an.agg(F.sum("is_anomaly")).first()[0] > 0
+    bodies = spark.createDataFrame([(1, '[{"timestamp": "Mon Jan 15 08:00:00 2024", "event_id": 4625, '
+                                        '"username": "a", "source_ip": "1.2.3.4"}, {"event_id": "4624"}]')],
+                                   "payload_id long, body string")
+    rows, _ = upload.parse_uploads(bodies)
+    out = detection.analyze(rows.drop("payload_id"), model="none").orderBy("event_id").collect()
+    assert [r.event_id for r in out] == [4624, 4625] and out[1].timestamp is not None
+    assert len({r.log_id for r in out}) == 2
