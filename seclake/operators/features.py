@@ -27,6 +27,7 @@ from .indexing import dense_index
 USER_FEATURES = ("user_event_count", "user_failed_count", "user_success_count", "user_unique_machines",
                  "user_unique_ips", "user_tgs_count")
 IP_FEATURES = ("ip_event_count", "ip_unique_failed_users")
+NULL_KEY_SPREAD = 64
 
 
 def user_profile(df: DataFrame, scope: tuple = ()) -> DataFrame:
@@ -89,7 +90,13 @@ def with_failed_window(df: DataFrame, cfg: DetectionConfig = DEFAULT) -> DataFra
         ((F.col("_bucket") + F.col("_shift")).alias("_bucket") if c == "_bucket"
          else F.col(c) if c in keep else F.when(~copy, F.col(c)).alias(c))
         for c in tagged.columns if c != "_shift"])
-    keyed = Window.partitionBy("username", "_bucket").orderBy("_us")
+    # Rows without a user or time get 0 and need no neighbours: spread them
+    # over NULL_KEY_SPREAD partitions instead of one (null, bucket) group.
+    row_id = [F.col("log_id")] if "log_id" in both.columns else [F.col(c) for c in df.columns]
+    both = both.withColumn("_spread", F.when(F.col("username").isNull() | F.col("_us").isNull(),
+                                             F.pmod(F.xxhash64(*row_id), F.lit(NULL_KEY_SPREAD)))
+                           .otherwise(F.lit(0)))
+    keyed = Window.partitionBy("username", "_bucket", "_spread").orderBy("_us")
     cols = {"failed_last_10min": F.sum("is_failed_login").over(keyed.rangeBetween(-(width - 1), 0))}
     if correlated:
         reach = min(cfg.priv_esc_seconds, cfg.window_seconds) * MICROS_PER_SECOND
@@ -98,7 +105,7 @@ def with_failed_window(df: DataFrame, cfg: DetectionConfig = DEFAULT) -> DataFra
     if cfg.window_ties == "row":
         # Rows of equal time count only up to themselves (order by log_id):
         # subtract the failures among later peers.
-        peers = Window.partitionBy("username", "_bucket", "_us").orderBy("log_id") \
+        peers = Window.partitionBy("username", "_bucket", "_us", "_spread").orderBy("log_id") \
             .rowsBetween(1, Window.unboundedFollowing)
         cols["_later_peer_fails"] = F.coalesce(F.sum("is_failed_login").over(peers), F.lit(0))
     out = both.withColumns(cols).where(~F.col("_copy"))
@@ -111,7 +118,7 @@ def with_failed_window(df: DataFrame, cfg: DetectionConfig = DEFAULT) -> DataFra
     if correlated:
         out = out.withColumn("recent_success", F.when(valid, F.col("_last_success_us").isNotNull())
                              .otherwise(F.lit(False)).cast("int")).drop("_last_success_us")
-    return out.drop("_us", "_bucket", "_copy")
+    return out.drop("_us", "_bucket", "_copy", "_spread")
 
 
 def subnet_index(df: DataFrame) -> DataFrame:
