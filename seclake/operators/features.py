@@ -133,7 +133,14 @@ def with_features(df: DataFrame, cfg: DetectionConfig = DEFAULT, scope: tuple =
     ips = ip_profile(df, scope)
     subnets = subnet_index(df)
     rows = with_failed_window(df, cfg)
-    out = (rows.join(users, [*scope, "username"], "left")
+    # Null users never match; giving them distinct never-matching keys keeps
+    # them from hashing into one partition if the join falls back to
+    # sort-merge (no user name starts with NUL).
+    row_id = [F.col("log_id")] if "log_id" in rows.columns else [F.col(c) for c in df.columns]
+    ukey = F.coalesce(F.col("username"), F.concat(F.lit("\u0000"),
+                                                  F.pmod(F.xxhash64(*row_id), F.lit(NULL_KEY_SPREAD)).cast("string")))
+    out = (rows.withColumn("_ukey", ukey)
+           .join(users.withColumnRenamed("username", "_ukey"), [*scope, "_ukey"], "left").drop("_ukey")
            .join(ips, [*scope, "source_ip"], "left")
            .join(subnets, "ip_subnet", "left"))
     fills = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in (*USER_FEATURES, *IP_FEATURES)}

@@ -96,6 +96,9 @@ def main(argv):
     spark = build_session("local[8]", 8)
     if os.environ.get("HARNESS_TZ"):
         spark.conf.set("spark.sql.session.timeZone", os.environ["HARNESS_TZ"])
+    for kv in filter(None, os.environ.get("HARNESS_CONF", "").split(";")):
+        k, v = kv.split("=", 1)
+        spark.conf.set(k.strip(), v.strip())
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(base)
     qs, sqls = entry.queries(), entry.oracle_sql()

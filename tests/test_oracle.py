@@ -31,3 +31,17 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert [r.final_risk_level for r in rows] and set(df.columns) == {"final_risk_level", "count"}
     assert sum(r["count"] for r in rows) == 1000
+
+
+@pytest.mark.parametrize("name", ["row_features", "summary_kpis", "proc_near_anomaly"])
+def test_sort_merge_fallback_matches_oracle(spark, con, name):
+    """The attach joins when AQE may not broadcast (large aggregated sides)."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        assert compare(spark, con, name, QUERIES[name], ORACLE[name], SF_SMALL)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
