@@ -22,6 +22,7 @@ QUERIES: dict = {}
 ORACLE: dict = {}
 
 CUTOFF = "2024-01-20 00:00:00"
+NEWEST_N = 100_000  # rows per detection run in the reference
 SEARCH_TERM = "t1110"
 
 
@@ -151,9 +152,10 @@ def q_table_scan(spark, base):
 
 @register("newest_n", O.chain("raw_logs") + """
 SELECT log_id, timestamp, event_id, username, source_ip, process_name, command_line, source_machine FROM raw_logs
-ORDER BY timestamp DESC NULLS LAST, log_id DESC LIMIT 5000""")
+ORDER BY timestamp DESC NULLS LAST, log_id DESC LIMIT 100000""")
 def q_newest_n(spark, base):
-    return detection.newest(_raw(spark, base), max_rows=5000)
+    """S7 with the reference's run size (the newest 100,000 rows)."""
+    return detection.newest(_raw(spark, base), max_rows=NEWEST_N)
 
 
 @register("raw_count", O.chain("raw_logs") + f"""

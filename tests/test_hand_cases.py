@@ -285,3 +285,12 @@ def test_scope_key_makes_lifetime_per_day(spark):
     assert [r.user_event_count for r in out] == [2, 2, 1]
     whole = detection.analyze(raw(spark, rows), model="none").orderBy("log_id").collect()
     assert [r.user_event_count for r in whole] == [3, 3, 3]
+
+
+def test_s7_newest_n_cut_and_ties(spark):
+    rows = [logon("2024-01-01 00:00:00"), logon("2024-01-03 00:00:00"), logon("2024-01-02 00:00:00"),
+            logon("2024-01-03 00:00:00")]
+    got = [r.log_id for r in detection.newest(raw(spark, rows), max_rows=3).collect()]
+    assert got == [3, 1, 2]
+    cutoff = T("2024-01-02 00:00:00")
+    assert sorted(r.log_id for r in detection.newest(raw(spark, rows), cutoff=cutoff).collect()) == [1, 3]
