@@ -169,7 +169,7 @@ trimmed AS (SELECT log_id, candidate, regexp_replace(candidate, '^\\s+|\\s+$', '
 
 REPORTS = f"""reports AS (
 SELECT doc_id AS id, concat(CASE doc_id % 4 WHEN 0 THEN {_q(REPORT_PREFIXES[0])} WHEN 1 THEN {_q(REPORT_PREFIXES[1])}
-   WHEN 2 THEN {_q(REPORT_PREFIXES[2])} ELSE {_q(REPORT_PREFIXES[3])} END, ' ', substr(text, 1, 60 + 60 * (doc_id % 5))) AS text,
+   WHEN 2 THEN {_q(REPORT_PREFIXES[2])} ELSE {_q(REPORT_PREFIXES[3])} END, ' ', coalesce(text, '')) AS text,
  CASE WHEN doc_id % 2 = 0 THEN [{", ".join(_q(x) for x in ALLOWED_EVEN)}]
       ELSE [{", ".join(_q(x) for x in ALLOWED_ODD)}] END AS allowed
 FROM documents)"""
@@ -264,7 +264,7 @@ def raw_get_sql(arr: str, i: int, default: str) -> str:
 
 
 
-from ..sources.fixtures import SECTION_BODIES  # noqa: E402
+from ..sources.fixtures import PRIORITY_LINE, SECTION_BODIES  # noqa: E402
 
 
 def _sql_text(v: str) -> str:
@@ -274,11 +274,11 @@ def _sql_text(v: str) -> str:
 
 
 SECTIONED = f"""sectioned AS (
-SELECT doc_id AS id, concat('### EXECUTIVE THREAT SUMMARY' || chr(10), substr(text, 1, 80),
+SELECT doc_id AS id, concat('### EXECUTIVE THREAT SUMMARY' || chr(10), coalesce(text, ''),
   chr(10) || chr(10) || '### MITRE ATT&CK OBSERVATIONS' || chr(10),
   CASE doc_id % 3 WHEN 0 THEN {_sql_text(SECTION_BODIES[0])} WHEN 1 THEN {_sql_text(SECTION_BODIES[1])}
    ELSE {_sql_text(SECTION_BODIES[2])} END,
-  CASE WHEN doc_id % 2 = 0 THEN concat(chr(10) || '### PRIORITY RESPONSE ACTIONS' || chr(10), substr(text, 81, 60))
+  CASE WHEN doc_id % 2 = 0 THEN chr(10) || '### PRIORITY RESPONSE ACTIONS' || chr(10) || {_q(PRIORITY_LINE)}
    ELSE '' END) AS text,
  CASE WHEN doc_id % 2 = 0 THEN [{", ".join(_q(x) for x in ALLOWED_EVEN)}]
       ELSE [{", ".join(_q(x) for x in ALLOWED_ODD)}] END AS allowed

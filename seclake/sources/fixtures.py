@@ -77,7 +77,9 @@ def reports_from_documents(documents: DataFrame) -> DataFrame:
     d = F.col("doc_id")
     prefix = F.when(d % 4 == 0, F.lit(REPORT_PREFIXES[0])).when(d % 4 == 1, F.lit(REPORT_PREFIXES[1])) \
         .when(d % 4 == 2, F.lit(REPORT_PREFIXES[2])).otherwise(F.lit(REPORT_PREFIXES[3]))
-    text = F.concat(prefix, F.lit(" "), F.expr("substr(text, 1, 60 + 60 * (doc_id % 5))"))
+    # Whole document texts (FIXTURES.md §4 cut them to 60–300 characters; every
+    # text job here runs on complete texts).
+    text = F.concat(prefix, F.lit(" "), F.coalesce(F.col("text"), F.lit("")))
     allowed = F.when(d % 2 == 0, F.array(*[F.lit(x) for x in ALLOWED_EVEN])) \
         .otherwise(F.array(*[F.lit(x) for x in ALLOWED_ODD]))
     return documents.select(d.alias("id"), text.alias("text"), allowed.alias("allowed"))
@@ -93,6 +95,7 @@ SECTION_BODIES = (
     "1) T1558.003 kerberoast\n* note T1021\n  - T1110.003 spray",
     "none listed",
 )
+PRIORITY_LINE = "1. Reset the affected accounts."
 
 
 def sectioned_reports_from_documents(documents: DataFrame) -> DataFrame:
@@ -100,9 +103,8 @@ def sectioned_reports_from_documents(documents: DataFrame) -> DataFrame:
     d = F.col("doc_id")
     body = F.when(d % 3 == 0, F.lit(SECTION_BODIES[0])).when(d % 3 == 1, F.lit(SECTION_BODIES[1])) \
         .otherwise(F.lit(SECTION_BODIES[2]))
-    tail = F.when(d % 2 == 0, F.concat(F.lit("\n### PRIORITY RESPONSE ACTIONS\n"), F.expr("substr(text, 81, 60)"))) \
-        .otherwise(F.lit(""))
-    text = F.concat(F.lit("### EXECUTIVE THREAT SUMMARY\n"), F.expr("substr(text, 1, 80)"),
+    tail = F.when(d % 2 == 0, F.lit("\n### PRIORITY RESPONSE ACTIONS\n" + PRIORITY_LINE)).otherwise(F.lit(""))
+    text = F.concat(F.lit("### EXECUTIVE THREAT SUMMARY\n"), F.coalesce(F.col("text"), F.lit("")),
                     F.lit("\n\n### MITRE ATT&CK OBSERVATIONS\n"), body, tail)
     allowed = F.when(d % 2 == 0, F.array(*[F.lit(x) for x in ALLOWED_EVEN])) \
         .otherwise(F.array(*[F.lit(x) for x in ALLOWED_ODD]))
