@@ -834,3 +834,11 @@ SELECT id, {O.mitre_rewrite_sql('text', 'allowed')} AS rewritten FROM sectioned"
 def q_report_mitre_rewrite(spark, base):
     """G11 on sectioned report texts."""
     return _sectioned(spark, base).select("id", G.rewrite_mitre_section("text", "allowed").alias("rewritten"))
+
+
+@register("conversation_scrub", f"""
+SELECT conv_id, turn, role, {O.scrub_sql('text')} AS scrubbed FROM conversations""")
+def q_conversation_scrub(spark, base):
+    """G1 over every conversation turn (realistic chat text)."""
+    conv = fixtures.read_table(spark, base, "conversations")
+    return conv.select("conv_id", "turn", "role", G.scrub("text").alias("scrubbed"))
