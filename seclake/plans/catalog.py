@@ -819,7 +819,7 @@ def q_stream_failed_window(spark, base):
 
 
 def _sectioned(spark, base) -> DataFrame:
-    return fixtures.sectioned_reports_from_documents(fixtures.read_table(spark, base, "documents"))
+    return fixtures.sectioned_reports_from_documents(fixtures.read_table(spark, base, "documents", balance=True))
 
 
 @register("report_list_filter", "WITH " + O.SECTIONED + f"""
@@ -840,5 +840,5 @@ def q_report_mitre_rewrite(spark, base):
 SELECT conv_id, turn, role, {O.scrub_sql('text')} AS scrubbed FROM conversations""")
 def q_conversation_scrub(spark, base):
     """G1 over every conversation turn (realistic chat text)."""
-    conv = fixtures.read_table(spark, base, "conversations")
+    conv = fixtures.read_table(spark, base, "conversations", balance=True)
     return conv.select("conv_id", "turn", "role", G.scrub("text").alias("scrubbed"))

@@ -86,7 +86,8 @@ def reports_from_documents(documents: DataFrame) -> DataFrame:
 
 
 def reports(spark: SparkSession, base: str) -> DataFrame:
-    return reports_from_documents(read_table(spark, base, "documents"))
+    # Whole-text regex work dominates: spread an under-split scan over all cores.
+    return reports_from_documents(read_table(spark, base, "documents", balance=True))
 
 
 # Fixed values of the sectioned-report fixture (list lines with technique ids).
