@@ -29,10 +29,14 @@ SESSION_DEFAULTS = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "seclake") -> SparkSession:
+                  app_name: str = "seclake", driver_memory: str | None = None) -> SparkSession:
+    """``driver_memory`` matters in local mode, where every task runs in the
+    driver JVM; it only takes effect when this call starts the JVM."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

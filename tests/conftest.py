@@ -14,7 +14,7 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from seclake.session import build_session, checkpoint_dir
-    s = build_session("local[4]", 8, app_name="seclake-tests")
+    s = build_session("local[4]", 8, app_name="seclake-tests", driver_memory="6g")
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)
     yield s

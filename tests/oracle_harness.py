@@ -93,7 +93,7 @@ def main(argv):
     only = set(argv[2:])
     import __spark_entry__ as entry
     from seclake.session import build_session
-    spark = build_session("local[8]", 8)
+    spark = build_session("local[8]", 8, driver_memory="8g")
     if os.environ.get("HARNESS_TZ"):
         spark.conf.set("spark.sql.session.timeZone", os.environ["HARNESS_TZ"])
     for kv in filter(None, os.environ.get("HARNESS_CONF", "").split(";")):
