@@ -157,9 +157,10 @@ class Forest:
         return -np.power(2.0, -mean / avg_path_length([self.max_samples])[0])
 
 
-def sample_for_trees(feats: DataFrame, cfg: DetectionConfig = DEFAULT, key: str = "log_id") -> tuple[DataFrame, int]:
+def sample_for_trees(feats: DataFrame, cfg: DetectionConfig = DEFAULT, key: str = "log_id",
+                     rows: int | None = None) -> tuple[DataFrame, int]:
     """M2 sampling → rows ``(tree_id, h, x)`` with at most ψ rows per tree."""
-    n = feats.count()
+    n = feats.count() if rows is None else rows
     psi = int(min(cfg.max_samples, max(n, 1)))
     fraction = min(1.0, POOL_FACTOR * psi / max(n, 1))
     pool = feats.select(F.col(key).alias("_key"), feature_vector().alias("x"))
@@ -172,9 +173,9 @@ def sample_for_trees(feats: DataFrame, cfg: DetectionConfig = DEFAULT, key: str
     return chosen.select("tree_id", "h", "_key", "x"), psi
 
 
-def fit_nodes(feats: DataFrame, cfg: DetectionConfig = DEFAULT) -> tuple[DataFrame, int]:
+def fit_nodes(feats: DataFrame, cfg: DetectionConfig = DEFAULT, rows: int | None = None) -> tuple[DataFrame, int]:
     """M2: node table DataFrame (lazy) and ψ."""
-    chosen, psi = sample_for_trees(feats, cfg)
+    chosen, psi = sample_for_trees(feats, cfg, rows=rows)
     height = max(1, math.ceil(math.log2(max(psi, 2))))
     seed = cfg.seed
 
@@ -192,10 +193,10 @@ def fit_nodes(feats: DataFrame, cfg: DetectionConfig = DEFAULT) -> tuple[DataFra
     return chosen.groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA), psi
 
 
-def fit(feats: DataFrame, cfg: DetectionConfig = DEFAULT) -> Forest:
+def fit(feats: DataFrame, cfg: DetectionConfig = DEFAULT, rows: int | None = None) -> Forest:
     """M2/M6: fit on these rows. The node table has a fixed size bound
     (trees × 511 rows), so collecting it to ship with the scorer is safe."""
-    nodes, psi = fit_nodes(feats, cfg)
+    nodes, psi = fit_nodes(feats, cfg, rows=rows)
     return Forest.from_nodes(nodes.toPandas(), psi)
 
 

@@ -47,7 +47,7 @@ def analyze(raw: DataFrame, cfg: DetectionConfig = DEFAULT, model: str = "forest
         if persist_features:
             feats = materialize(feats, "features")
         n_rows = feats.count()
-        fitted = forest.fit(feats, cfg)
+        fitted = forest.fit(feats, cfg, rows=n_rows)
         scored = forest.score(feats, fitted, out="_forest_score")
         # Every row gets a score, so the row count bounds the score count.
         offset = anomaly.score_offset(scored, "_forest_score", cfg, rows=n_rows)
