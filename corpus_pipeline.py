@@ -1,25 +1,63 @@
-"""The corpus pipeline: documents through the training-data operators, stage by stage."""
+"""The corpus pipeline: documents through five of the training-data operators.
+
+A stage takes all rows that its predecessor kept. All but the last return the
+columns of ``documents``; the last returns one row per packed piece.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seclake.llm import simhash
+from seclake.llm import langid, mixing, packing, pii, queries, simhash
+from seclake.llm.common import free_name, table
 from seclake.session import materialize
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go; a missing ``lang`` is filled in."""
+    model = langid.train(docs)
+    found = langid.predict_column(model, F.col("text"), spark)
+    return docs.where(~langid.rejected(model, F.col("text"), spark)).withColumn("lang", F.coalesce("lang", found["lang"]))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates one document stays."""
     return simhash.keep_one(docs, words=4, max_bits=4)
 
 
-STAGES = [("SimHash near-dedup", near_duplicates)]
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind."""
+    field = pii.train(docs)
+    docs = docs.withColumn("text", pii.redact_column(field, F.col("text"), spark))
+    return docs.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are drawn at the rates that meet the target weights, none more than once."""
+    labels = mixing.labelled_domains(table(spark, sf_dir, "labels"))
+    classifier = mixing.train(docs, labels, list(queries.TARGETS))
+    name = free_name(docs, "soft")
+    soft = materialize(docs.withColumn(name, mixing.classified(docs, classifier)), "soft")
+    rate, _, _ = mixing.rates(soft, list(queries.TARGETS.values()), max_rate=1.0, posterior=f"{name}.posterior", tokens=f"{name}.tokens")
+    return soft.where(mixing.copies(rate, F.col("doc_id")) > 0).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, each with its place in a sequence."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("language ID", language), ("SimHash near-dedup", near_duplicates), ("PII", personal_data),
+          ("mixing to target weights", mixture), ("best-fit packing", packed)]
 
-#: Fingerprints need XXH64, which SQL lacks; the tests hold the stages against brute force.
+#: No stage can be put in SQL (models, XXH64, a tokenizer); the tests hold each against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
