@@ -17,7 +17,10 @@ of their own, each with its own pieces. Empty input gives no rows.
 
 from __future__ import annotations
 
+import functools
+import os
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -33,46 +36,97 @@ from seclake.session import materialize, partitions_for
 
 ROOM = 2048
 END = 0
-MEMO_WORDS = 300_000
-#: A space between two characters that aren't white space begins a pre-token of the byte-level tokenizer, whatever stands around it.
+MEMO_WORDS = 250_000  # in each of the two halves of the memory
+LONG_WORD = 200
+#: Where a space doesn't simply part two words.
+ODD = re.compile(r"\s\s|^\s|\s\Z")
 SPLIT = re.compile(r"(?<=\S) (?=\S)")
+PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 PIECES = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
 class Encoder:
-    """Token ids of texts. The ids of words are kept, as no merge crosses the
-    space before a word; the tokenizer sees each new word once."""
+    """Token ids of texts. No merge of the byte-level tokenizer crosses a space
+    between two words (it begins the next token), a single line break between
+    words, or the start of the punctuation that a word ends in. So the ids of
+    such parts are put together, and the tokenizer sees each new part once."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
-        self.tokenizer, self.memo = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.young: dict[str, bytes] = {}  # of words with the space before them
+        self.old: dict[str, bytes] = {}
+
+    @staticmethod
+    def atoms(word: str) -> list[str]:
+        """The parts of a word (a space at its front belongs to it)."""
+        out, lines = [], word.split("\n")
+        if any(not x.strip(" ") or k and x[0].isspace() or x[-1].isspace() for k, x in enumerate(lines)):
+            lines = [word]
+        for k, line in enumerate(lines):
+            if k:
+                out.append("\n")
+            core = line.rstrip(PUNCTUATION)
+            if core and core != line and core[-1].isalnum():
+                out += [core, line[len(core):]]
+            else:
+                out.append(line)
+        return out
 
-    def many(self, texts: list[str]) -> list[np.ndarray]:
-        words = []
+    def learn(self, words: set[str]) -> None:
+        """Puts the ids of ``words`` into the young half."""
+        young, old = self.young, self.old
+        parts, new = {}, {}
+        for w in words:
+            if (known := old.get(w)) is not None:
+                young[w] = known
+                continue
+            parts[w] = self.atoms(w)
+            for x in parts[w]:
+                if x not in young and x not in new:
+                    new[x] = old.get(x)
+        unseen = [x for x, ids in new.items() if ids is None]
+        for k in range(0, len(unseen), 4096):
+            part = unseen[k:k + 4096]
+            for x, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                new[x] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        young.update(new)
+        for w, xs in parts.items():
+            if len(xs) > 1:
+                young[w] = b"".join([young[x] for x in xs])
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Ids as little-endian unsigned 32-bit numbers."""
+        if len(self.young) > MEMO_WORDS:
+            self.old, self.young = self.young, {}
+        docs, long = [], []
         for text in texts:
             if any(s in text for s in self.specials):
-                words.append([text])  # a special token's string may stand inside a word or hold spaces
-                continue
-            parts = SPLIT.split(text)
-            words.append([parts[0], *[" " + p for p in parts[1:]]] if parts[0] or len(parts) > 1 else [])
-        memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        new = list({w for doc in words for w in doc if w not in memo})
-        for k in range(0, len(new), 4096):
-            part = new[k:k + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                memo[w] = np.array(e.ids, dtype="<u4").tobytes()
-        get = memo.__getitem__
-        out = [np.frombuffer(b"".join(map(get, doc)), dtype="<u4") for doc in words]
-        for doc in words:  # long "words" are whole texts; don't keep them
-            for w in doc:
-                if len(w) > 1000:
-                    memo.pop(w, None)
+                docs.append([text])  # a special token's string may stand inside a word
+            else:
+                first, *rest = SPLIT.split(text) if ODD.search(text) else text.split(" ")
+                docs.append([first, *[" " + w for w in rest]])
+        words = set().union(*docs)
+        words.difference_update(self.young)
+        self.learn(words)
+        get = self.young.__getitem__
+        out = [b"".join(map(get, doc)) for doc in docs]
+        for w in words:
+            if len(w) > LONG_WORD:
+                long += [w, *self.atoms(w)]
+        for w in long:
+            self.young.pop(w, None)
         return out
 
 
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One for each Python worker, which serves many tasks."""
+    return Encoder(path)
+
+
 def pieces_of(n: int, room: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document of ``n`` tokens."""
     first = n % room or room
@@ -82,18 +136,18 @@ def pieces_of(n: int, room: int) -> list[tuple[int, int]]:
 def cut(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, room: int = ROOM, with_ids: bool = False) -> DataFrame:
     """The pieces of all documents: ``row, id, piece, start, length, ids_crc32, ids`` (null unless asked for)."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encode = encoder(tokenizer_path).many
 
         def rows():
             for batch in it:
                 for k in range(0, batch.num_rows, 256):
                     part = batch.slice(k, 256)
                     texts = [t or "" for t in part.column(2).to_pylist()]
-                    for row, doc, ids in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), encoder.many(texts)):
-                        ids = np.append(ids, np.uint32(END)).astype("<u4", copy=False)
-                        for number, (start, length) in enumerate(pieces_of(len(ids), room)):
-                            piece = ids[start:start + length]
-                            yield row, doc, number, start, length, zlib.crc32(piece.tobytes()), piece.astype(np.int32) if with_ids else None
+                    for row, doc, ids in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), encode(texts)):
+                        ids += struct.pack("<I", END)
+                        for number, (start, length) in enumerate(pieces_of(len(ids) // 4, room)):
+                            piece = ids[4 * start:4 * (start + length)]
+                            yield row, doc, number, start, length, zlib.crc32(piece), np.frombuffer(piece, dtype="<i4") if with_ids else None
         yield from batches(rows(), PIECES, 500 if with_ids else 20_000)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -10,7 +10,7 @@ from seclake.llm import packing
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = [None, "", " ", "a", "a b  c\n\nd \t e", " lead and trail ", "x y   z\x85q \x1c r", "it's we'll 'tis 12 34", "a<|endoftext|>b <|endoftext|> c",
-         "éè 中文 \U0001f600 ok", "word " * 5000, "z" * 30_000, "one two three " * 900, "tab\tspace \n line\r\n end"]
+         "éè 中文 \U0001f600 ok", "a.\nB c,\n\nd e\n f \ng", "x's it's. don't!' 'll' a'", "m²! n½?! \n", "-- a-- b\n-- c\n", "a\t.\nb \xa0c\xa0 d", "\n", "a\n", " \n ", "É!!\r\nx\r\ny", "word " * 5000, "z" * 30_000, "one two three " * 900, "tab\tspace \n line\r\n end"]
 
 
 def test_ids_equal_the_tokenizers():
@@ -19,7 +19,7 @@ def test_ids_equal_the_tokenizers():
         encoder = packing.Encoder(PATH)
         got = encoder.many([t or "" for t in TEXTS]) if memo else [encoder.many([t or ""])[0] for t in TEXTS]
         for text, ids in zip(TEXTS, got):
-            assert ids.tolist() == plain.encode(text or "", add_special_tokens=False).ids
+            assert np.frombuffer(ids, dtype="<u4").tolist() == plain.encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("n,want", [(1, [(0, 1)]), (8, [(0, 8)]), (9, [(0, 1), (1, 8)]), (16, [(0, 8), (8, 8)]), (20, [(0, 4), (4, 8), (12, 8)])])
@@ -85,3 +85,11 @@ def test_documents_table(spark):
 
 def test_empty(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_ids_of_random_texts():
+    import random
+    plain, encoder, draw = Tokenizer.from_file(PATH), packing.Encoder(PATH), random.Random(5)
+    texts = ["".join(draw.choice([" ", " ", "\n", "\t", "a", "bc", "The", "é", "'", "s", "'ll", ".", ",", "!!", "1", "23", "²", "\xa0", "中", "_", "-"]) for _ in range(draw.randint(1, 25))) for _ in range(4000)]
+    for text, ids in zip(texts, encoder.many(texts)):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
