@@ -40,12 +40,13 @@ from pyspark.sql import functions as F
 from seclake.llm.common import batches
 from seclake.session import materialize
 
-HEAD = 1022           # tokens with vectors, besides the end and the class of the others
+HEAD = 2046           # tokens with vectors, besides the end and the class of the others
 KNOWN = 60_000        # tokens whose counts every task holds
 WIDTH = 24
 NOISE = 32
-BATCH = 2048
+BATCH = 256
 RATE = 0.1
+FIRST_SIZE = 1e-7     # AdaGrad's sums of squares at the start
 ROUNDS = 1
 SMOOTH = 0.1
 COUNTED_AT_ONCE = 300_000
@@ -95,26 +96,37 @@ class Net:
         a, b, c, d = np.split(flat.astype(np.float32), cut)
         return cls(a.reshape(n, WIDTH), b.reshape(n, WIDTH), c.reshape(2, WIDTH), d)
 
+    def sizes(self) -> list[np.ndarray]:
+        return [np.full(x.shape, FIRST_SIZE, dtype=np.float32) for x in (self.seen, self.made, self.place, self.bias[:, None])]
+
     def train(self, before2: np.ndarray, before1: np.ndarray, token: np.ndarray, unigram: np.ndarray, draw: np.random.Generator, size: list[np.ndarray]) -> None:
-        """One pass over the examples in mini-batches, with AdaGrad's ``size`` of each parameter."""
+        """One pass over the examples in mini-batches. ``size``: AdaGrad's sum of squares of each parameter."""
         log_noise, total = np.log(NOISE * unigram).astype(np.float32), np.cumsum(unigram)
-        n = len(unigram)
         for k in range(0, len(token), BATCH):
             w2, w1, w = before2[k:k + BATCH], before1[k:k + BATCH], token[k:k + BATCH]
-            fake = np.minimum(np.searchsorted(total, draw.random(NOISE)), n - 1)  # shared by the batch
-            predicted = self.seen[w1] * self.place[0] + self.seen[w2] * self.place[1]
-            off_true = 1 - _logistic(np.einsum("ij,ij->i", predicted, self.made[w]) + self.bias[w] - log_noise[w])
-            off_fake = -_logistic(predicted @ self.made[fake].T + self.bias[fake] - log_noise[fake])
-            back = off_true[:, None] * self.made[w] + off_fake @ self.made[fake]
-            made, bias = _sum_rows(w, off_true[:, None] * predicted, n), np.bincount(w, off_true, n)
-            np.add.at(made, fake, off_fake.T @ predicted)
-            np.add.at(bias, fake, off_fake.sum(axis=0))
-            seen = _sum_rows(w1, back * self.place[0], n) + _sum_rows(w2, back * self.place[1], n)
-            place = np.stack([(back * self.seen[w1]).sum(axis=0), (back * self.seen[w2]).sum(axis=0)])
-            for x, step, s in zip((self.seen, self.made, self.place, self.bias), (seen, made, place, bias), size):
-                step = step / len(w)
-                s += step ** 2
-                x += (RATE * step / np.sqrt(s + 1e-10)).astype(np.float32)
+            n = len(w)
+            fake = np.minimum(np.searchsorted(total, draw.random(NOISE)), len(unigram) - 1)  # shared by the batch
+            seen1, seen2, made, noise = self.seen[w1], self.seen[w2], self.made[w], self.made[fake]
+            predicted = seen1 * self.place[0] + seen2 * self.place[1]
+            off_true = 1 - _logistic(np.einsum("ij,ij->i", predicted, made) + self.bias[w] - log_noise[w])
+            off_fake = -_logistic(predicted @ noise.T + self.bias[fake] - log_noise[fake])
+            back = off_true[:, None] * made + off_fake @ noise
+            self._step(0, np.concatenate([w1, w2]), np.concatenate([back * self.place[0], back * self.place[1]]), n, size)
+            self._step(1, np.concatenate([w, fake]), np.concatenate([off_true[:, None] * predicted, off_fake.T @ predicted]), n, size)
+            self._step(3, np.concatenate([w, fake]), np.concatenate([off_true, off_fake.sum(axis=0)])[:, None], n, size)
+            place = np.stack([(back * seen1).sum(axis=0), (back * seen2).sum(axis=0)]) / n
+            size[2] += place ** 2
+            self.place += RATE * place / np.sqrt(size[2])
+
+    def _step(self, which: int, rows: np.ndarray, change: np.ndarray, n: int, size: list[np.ndarray]) -> None:
+        """Moves the rows of a table along the batch's mean gradient; a row may stand there several times."""
+        table = (self.seen, self.made, self.place, self.bias[:, None])[which]
+        order = np.argsort(rows, kind="stable")
+        at = rows[order]
+        first = np.nonzero(np.r_[True, at[1:] != at[:-1]])[0]
+        at, change = at[first], np.add.reduceat(change[order], first, axis=0) / n
+        size[which][at] += change ** 2
+        table[at] += RATE * change / np.sqrt(size[which][at])
 
     def look_ups(self) -> tuple[np.ndarray, np.ndarray]:
         """Scores of (token before, token) and (token two before, token) pairs, without bias."""
@@ -125,16 +137,6 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _sum_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Rows added up by number: one sorted pass, as one is much faster than scattered additions."""
-    order = np.argsort(at, kind="stable")
-    at = at[order]
-    first = np.nonzero(np.r_[True, at[1:] != at[:-1]])[0]
-    out = np.zeros((n, rows.shape[1]), dtype=np.float32)
-    out[at[first]] = np.add.reduceat(rows[order], first, axis=0)
-    return out
-
-
 def _numbers(text: str | None, head: dict[bytes, int]) -> np.ndarray:
     get = head.get
     return np.array([*[get(w, OTHER) for w in words_of(text)], END], dtype=np.int64)
@@ -150,7 +152,7 @@ def _trained(docs: DataFrame, text_col: str, head: dict[bytes, int], unigram: np
         def run(it: Iterator[pa.RecordBatch], number: int = number, start=start) -> Iterator[pa.RecordBatch]:
             head, unigram, flat = start.value
             net, draw, seen = Net.of(flat, len(unigram)), np.random.default_rng(number), 0
-            size = [np.full(x.shape, 1e-6, dtype=np.float64) for x in (net.seen, net.made, net.place, net.bias)]
+            size = net.sizes()
             for batch in it:
                 for k in range(0, batch.num_rows, 200):
                     parts = [_numbers(t.as_py(), head) for t in batch.column(0).slice(k, 200)]

@@ -2,9 +2,10 @@
 
 1. A classifier fitted on the labelled table gives every document a posterior
    over the domains. It is a softmax regression on the presence of the
-   ``FEATURES`` words that tell most about the domain, fitted on about
-   ``SAMPLE_DOCS`` labelled documents of each domain, drawn by a hash of the
-   id. Whole texts of all documents are classified.
+   ``FEATURES`` words and marks of style (what words end in, how many are in
+   capitals) that tell most about the domain, fitted on about ``SAMPLE_DOCS``
+   labelled documents of each domain, drawn by a hash of the id. Whole texts
+   of all documents are classified.
 2. Each document gets a nonnegative rate (the number of times it is taken, on
    average), such that the expected tokens of each domain, summed over
    all documents by posterior, meet the targets. Projected gradient descent
@@ -40,22 +41,38 @@ ROUNDS = 60
 TOLERANCE = 1e-3      # largest miss of a target, as a share of it
 FIT_ROUNDS = 300
 DECAY = 1e-3
+PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+USUAL = frozenset({"", ".", ",", ";", ":", "?", "!", ")", "\"", "'"})
 
 
 class Classifier:
     def __init__(self, domains: list[str], words: dict[str, int], weights: np.ndarray, bias: np.ndarray):
         self.domains, self.words, self.weights, self.bias = domains, words, weights, bias
 
-    def posterior(self, words: list[str]) -> np.ndarray:
+    def posterior(self, features: set[str]) -> np.ndarray:
         get = self.words.get
-        rows = [k for k in map(get, set(words)) if k is not None]
+        rows = [k for k in map(get, features) if k is not None]
         x = self.bias + self.weights[rows].sum(axis=0)
         x = np.exp(x - x.max())
         return x / x.sum()
 
 
-def words_of(text: str | None) -> list[str]:
-    return (text or "").lower().split()
+def features_of(words: list[str]) -> set[str]:
+    """Words in lower case without the punctuation around them; and marks of style, which begin with a space."""
+    out, capitals, marked = set(), 0, 0
+    distinct = set(words)
+    for word in distinct:
+        core = word.strip(PUNCTUATION)
+        out.add(core.lower())
+        capitals += len(core) > 1 and core.isupper()
+        if core != word and (end := word[word.rfind(core) + len(core):] if core else word) not in USUAL:
+            marked += 1
+            out.add(f" {end[:5]}")
+    if distinct:
+        out.add(f" capitals {int(8 * capitals / len(distinct))}")
+        out.add(f" marked {int(8 * marked / len(distinct))}")
+    out.discard("")
+    return out
 
 
 def softmax_regression(rows: list[np.ndarray], domain: np.ndarray, n_features: int, n_domains: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,7 +110,7 @@ def train(docs: DataFrame, labels: DataFrame, domains: list[str], id_col: str =
 
     def words(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in it:
-            yield pd.DataFrame({"domain": frame["domain"], "words": [sorted(set(words_of(t))) for t in frame["text"]]})
+            yield pd.DataFrame({"domain": frame["domain"], "words": [sorted(features_of((t or "").split())) for t in frame["text"]]})
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(drawn), "id")  # the sample's ids are few
     sample = materialize(texts.mapInPandas(words, "domain string, words array<string>"), "sample")
@@ -131,8 +148,8 @@ def classified(docs: DataFrame, classifier: Classifier, text_col: str = "text")
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
 
     def run(texts: pd.Series) -> pd.DataFrame:
-        words = [words_of(t) for t in texts]
-        return pd.DataFrame({"tokens": [len(w) for w in words], "posterior": [shared.value.posterior(w) for w in words]})
+        words = [(t or "").split() for t in texts]
+        return pd.DataFrame({"tokens": [len(w) for w in words], "posterior": [shared.value.posterior(features_of(w)) for w in words]})
     return F.pandas_udf(run, "tokens long, posterior array<double>")(F.col(text_col))
 
 

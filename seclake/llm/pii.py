@@ -163,7 +163,7 @@ def candidates(text: str, low: int, high: int) -> tuple[list[int], list[tuple[in
             if holds[j] > holds[i] and end.isascii() and end.isalnum():
                 spans.append((i, j))
                 features.append(span_features(text, bounds[i], bounds[j], tokens[i:j]))
-    return bounds, spans, np.array(features, dtype=np.int64).reshape(len(spans), -1)
+    return bounds, spans, np.array(features, dtype=np.int64) if spans else np.zeros((0, 1), dtype=np.int64)
 
 
 class Field:

@@ -17,9 +17,9 @@ is dealt over several ranges. In a range the sorted pieces of all runs meet in
 a loser tree, which gives the captures in global order and, by the range's
 number and the place in it, their ``position`` in the whole index.
 
-Null html is an empty payload. A null id takes part and comes last among
-equals; repeated rows are records of their own, of which one is the response.
-A null URL has the empty key.
+Null html is an empty payload. Repeated rows are records of their own, all of
+them responses if they have the smallest id. A null id is a revisit of any
+other id's page; if all ids are null, all are responses. A null URL has the empty key.
 """
 
 from __future__ import annotations
@@ -73,15 +73,13 @@ def base32_of_hex(digest: Column) -> Column:
 
 def decided(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """``pages(page_id, url, html)`` with ``payload, payload_bytes, sha1, record_type, refers_to``."""
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"), F.monotonically_increasing_id().alias("row"))
+    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"))
     rows = rows.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "sha1": F.sha1(F.col("payload").cast("binary"))})
-    order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")
-    first = (rows.where(F.col("payload_bytes") >= least_bytes).groupBy("sha1", "payload_bytes").agg(F.min(order).alias("first"))
-             .select("sha1", "payload_bytes", F.col("first.page_id").alias("first_id"), F.col("first.row").alias("first_row")))
-    revisit = F.col("first_row").isNotNull() & (F.col("row") != F.col("first_row"))
+    first = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("sha1", "payload_bytes").agg(F.min("page_id").alias("first_id"))
+    revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return (rows.join(first, ["sha1", "payload_bytes"], "left")
             .withColumns({"record_type": F.when(revisit, "revisit").otherwise("response"), "refers_to": F.when(revisit, F.col("first_id"))})
-            .drop("first_id", "first_row"))
+            .drop("first_id"))
 
 
 def write_archives(rows: DataFrame, path: str, first_capture: int = FIRST_CAPTURE) -> None:

@@ -64,7 +64,7 @@ def test_equals_brute_force(spark, monkeypatch, sizes):
 
 def test_odd_rows(spark):
     v = [1.0, 2.0, 3.0]
-    rows = [(5, v, 1), (5, v, 1), (None, v, 1), (3, [2.0, 4.0, 6.0], 1), (4, v, None), (6, None, 1), (7, [0.0, 0.0, 0.0], 1), (8, [0.0, 0.0, 0.0], 1), (9, [float("nan"), 1, 1], 1),
+    rows = [(5, v, 1), (5, v, 1), (None, v, 1), (3, [2.0, 4.0, 6.0], 1), (4, v, None), (6, None, 1), (7, [0.0, 0.0, 0.0], 1), (8, [0.0, 0.0, 0.0], 1), (9, [float("nan"), 1.0, 1.0], 1),
             (10, [None, 1.0, 1.0], 1), (11, [], 1), (12, [float("inf"), 1.0, 1.0], 1), (13, [1.0, 2.0], 1), (None, None, None), (14, [1e38, 2e38, 3e38], 1), (15, [1e-40, 2e-40, 3e-40], 1), (16, v, 2)]
     got = run(spark, rows)
     want = brute([r for r in rows if r[0] not in (14, 15)] )

@@ -37,7 +37,7 @@ def test_documents_table(spark, monkeypatch):
 
 
 def test_probabilities_sum_to_one(spark):
-    docs = spark.createDataFrame([(k, "a b c a b d " * 20 + f"rare{k}") for k in range(30)], "doc_id long, text string")
+    docs = spark.createDataFrame([(k, "a b c a b d " * 20 + f"rare{k}") for k in range(300)], "doc_id long, text string")
     model, _ = lm.train(docs)
     one, two, bias, normaliser = model.tables
     p = np.exp(one[:, None, :] + two[None, :, :] + bias - normaliser[:, :, None])

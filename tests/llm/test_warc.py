@@ -11,21 +11,14 @@ from seclake.llm import queries, warc
 def brute(rows):
     first = {}
     for i, _, html in rows:
-        key = html or ""
-        first[key] = min((x for x in (first.get(key), i) if x is not None), default=None)
-    out, taken = [], set()
-    for i, _, html in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
-        data = (html or "").encode()
-        kind = "revisit" if html_key(html) in taken else "response"
-        taken.add(html_key(html))
-        out.append((i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), kind, first[html or ""] if kind == "revisit" else None))
+        first[html or ""] = min((x for x in (first.get(html or ""), i) if x is not None), default=None)
+    out = []
+    for i, _, html in rows:
+        data, f = (html or "").encode(), first[html or ""]
+        out.append((i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "response" if i == f else "revisit", None if i == f else f))
     return sorted(out, key=repr)
 
 
-def html_key(html):
-    return html or ""
-
-
 ODD = [(1, "http://a.example/x", "one"), (2, "http://a.example/x", "one"), (3, None, None), (4, "http://b.example/", ""), (5, "https://www.b.example:8080/p/?b=2&a=1#f", "\r\n\r\nWARC/1.1\r\nWARC-Type: x\r\n\r\n"),
        (6, "not a url", "\n"), (7, "http://[bad", "é中\U0001f600"), (8, "line\r\nbreak", "x" * 500_000), (None, "http://a.example/x", "one"), (None, "u", "only null ids"), (None, "u", "only null ids"), (1, "http://a.example/x", "one"),
        (-5, "http://a.example/?q=%20%C3%A9", "neg")]
@@ -47,11 +40,11 @@ def test_payloads_come_back(spark, scratch):
     warc.write_archives(warc.decided(pages), scratch + "/w")
     from pathlib import Path
     payloads = [b.partition(b"\r\n\r\n")[2].decode() for f in Path(scratch, "w").glob("part-*") for h, b, _, _ in warc.parse(f.read_bytes()) if h["WARC-Type"] == "response"]
-    assert sorted(payloads) == sorted({h or "" for _, _, h in ODD})
+    assert set(payloads) == {h or "" for _, _, h in ODD} and len(payloads) == sum(r[3] == "response" for r in brute(ODD))
 
 
 def test_small_payloads_are_all_responses(spark):
-    pages = spark.createDataFrame(ODD, "page_id long, url string, html string")
+    pages = spark.createDataFrame([*ODD, (20, "u", "four"), (21, "u", "four")], "page_id long, url string, html string")
     kinds = [(r.payload_bytes, r.record_type) for r in warc.archive(pages, least_bytes=4).collect()]
     assert all(k == "response" for n, k in kinds if n < 4) and ("revisit" in {k for n, k in kinds if n >= 4})
 
