@@ -1,11 +1,11 @@
 """Mixing to target weights by soft membership.
 
 1. A classifier fitted on the labelled table gives every document a posterior
-   over the domains. It is a softmax regression on the presence of the
-   ``FEATURES`` words and marks of style (what words end in, how many are in
-   capitals) that tell most about the domain, fitted on about ``SAMPLE_DOCS``
-   labelled documents of each domain, drawn by a hash of the id. Whole texts
-   of all documents are classified.
+   over the domains. It is a softmax regression on the presence of words and
+   marks of style (what words end in; how many words are in capitals, how many
+   lines are repeated) that depend on the domain (by the G test, at most ``FEATURES`` of them), fitted on
+   about ``SAMPLE_DOCS`` labelled documents of each domain, drawn by a hash of
+   the id. Whole texts of all documents are classified.
 2. Each document gets a nonnegative rate (the number of times it is taken, on
    average), such that the expected tokens of each domain, summed over
    all documents by posterior, meet the targets. Projected gradient descent
@@ -35,12 +35,13 @@ from seclake.llm.common import unit_hash
 from seclake.session import materialize
 
 SAMPLE_DOCS = 2000
-FEATURES = 6000
+FEATURES = 2000
 LEAST_DOCS = 3        # sampled documents that a feature stands in
+LEAST_G = 30.0        # the G statistic (of independence) of a feature and the domain
 ROUNDS = 60
 TOLERANCE = 1e-3      # largest miss of a target, as a share of it
 FIT_ROUNDS = 300
-DECAY = 1e-3
+DECAY = 3e-4
 PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 USUAL = frozenset({"", ".", ",", ";", ":", "?", "!", ")", "\"", "'"})
 
@@ -57,10 +58,11 @@ class Classifier:
         return x / x.sum()
 
 
-def features_of(words: list[str]) -> set[str]:
+def features_of(text: str | None) -> set[str]:
     """Words in lower case without the punctuation around them; and marks of style, which begin with a space."""
     out, capitals, marked = set(), 0, 0
-    distinct = set(words)
+    lines = [x for x in (text or "").split("\n") if x]
+    distinct = set((text or "").split())
     for word in distinct:
         core = word.strip(PUNCTUATION)
         out.add(core.lower())
@@ -71,6 +73,7 @@ def features_of(words: list[str]) -> set[str]:
     if distinct:
         out.add(f" capitals {int(8 * capitals / len(distinct))}")
         out.add(f" marked {int(8 * marked / len(distinct))}")
+        out.add(f" repeated {int(8 - 8 * len(set(lines)) / len(lines))}")
     out.discard("")
     return out
 
@@ -110,7 +113,7 @@ def train(docs: DataFrame, labels: DataFrame, domains: list[str], id_col: str =
 
     def words(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in it:
-            yield pd.DataFrame({"domain": frame["domain"], "words": [sorted(features_of((t or "").split())) for t in frame["text"]]})
+            yield pd.DataFrame({"domain": frame["domain"], "words": [sorted(features_of(t)) for t in frame["text"]]})
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(drawn), "id")  # the sample's ids are few
     sample = materialize(texts.mapInPandas(words, "domain string, words array<string>"), "sample")
@@ -127,7 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, domains: list[str], id_col: str =
             share = found[d] / total
             for part, whole in ((F.col(f"n{k}"), F.col("n")), (F.lit(float(found[d])) - F.col(f"n{k}"), F.lit(total) - F.col("n"))):
                 told = told + F.when(part > 0, part / total * F.log(part / (whole * share))).otherwise(0.0)
-    best = counts.select("word", told.alias("told")).orderBy(F.desc("told"), "word").limit(FEATURES).collect()
+    best = counts.select("word", told.alias("told")).where(F.col("told") > LEAST_G / (2 * total)).orderBy(F.desc("told"), "word").limit(FEATURES).collect()
     index = {r["word"]: k for k, r in enumerate(best)}
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -148,8 +151,8 @@ def classified(docs: DataFrame, classifier: Classifier, text_col: str = "text")
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
 
     def run(texts: pd.Series) -> pd.DataFrame:
-        words = [(t or "").split() for t in texts]
-        return pd.DataFrame({"tokens": [len(w) for w in words], "posterior": [shared.value.posterior(features_of(w)) for w in words]})
+        posterior = shared.value.posterior
+        return pd.DataFrame({"tokens": [len((t or "").split()) for t in texts], "posterior": [posterior(features_of(t)) for t in texts]})
     return F.pandas_udf(run, "tokens long, posterior array<double>")(F.col(text_col))
 
 

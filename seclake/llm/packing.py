@@ -45,79 +45,108 @@ PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 PIECES = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 bytes stand for themselves, the others follow from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or b >= 161 and b != 173]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(shown)))}
+
+
 class Encoder:
     """Token ids of texts. No merge of the byte-level tokenizer crosses a space
     between two words (it begins the next token), a single line break between
     words, or the start of the punctuation that a word ends in. So the ids of
-    such parts are put together, and the tokenizer sees each new part once."""
+    such parts are put together, and the tokenizer sees each new part once;
+    a part of nothing but letters is one pre-token, and goes straight to its merges."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.letters = Tokenizer.from_file(path), byte_letters()
+        self.merges = self.tokenizer.model
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.young: dict[str, bytes] = {}  # of words with the space before them
-        self.old: dict[str, bytes] = {}
+        # Ids of words: a word by itself is the key if a space stands before it, a tuple of it if none does.
+        self.young: dict[str | tuple[str], bytes] = {}
+        self.old: dict[str | tuple[str], bytes] = {}
 
     @staticmethod
-    def atoms(word: str) -> list[str]:
-        """The parts of a word (a space at its front belongs to it)."""
-        out, lines = [], word.split("\n")
-        if any(not x.strip(" ") or k and x[0].isspace() or x[-1].isspace() for k, x in enumerate(lines)):
-            lines = [word]
-        for k, line in enumerate(lines):
-            if k:
-                out.append("\n")
-            core = line.rstrip(PUNCTUATION)
-            if core and core != line and core[-1].isalnum():
-                out += [core, line[len(core):]]
+    def parts(key: str | tuple[str]) -> list[str | tuple[str]]:
+        word, spaced = (key, True) if isinstance(key, str) else (key[0], False)
+        if "\n" not in word:
+            core = word.rstrip(PUNCTUATION)
+            if len(core) == len(word) or not core or not core[-1].isalnum():
+                return [key]
+            return [core if spaced else (core,), (word[len(core):],)]
+        lines = word.split("\n")
+        if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+            return [key]
+        out = Encoder.parts(lines[0] if spaced else (lines[0],))
+        for line in lines[1:]:
+            out += [("\n",), *Encoder.parts((line,))]
+        return out
+
+    def encode(self, keys: set[str | tuple[str]]) -> dict[str | tuple[str], bytes]:
+        out, rest, letters, merges = {}, [], self.letters, self.merges.tokenize
+        for key in keys:
+            word, text = (key, " " + key) if isinstance(key, str) else (key[0], key[0])
+            if word.isalpha():
+                ids = [t.id for t in merges(text.encode().decode("latin-1").translate(letters))]
+                out[key] = struct.pack(f"<{len(ids)}I", *ids)
             else:
-                out.append(line)
+                rest.append((key, text))
+        for k in range(0, len(rest), 4096):
+            block = rest[k:k + 4096]
+            for (key, _), e in zip(block, self.tokenizer.encode_batch_fast([t for _, t in block], add_special_tokens=False)):
+                out[key] = struct.pack(f"<{len(e.ids)}I", *e.ids)
         return out
 
-    def learn(self, words: set[str]) -> None:
-        """Puts the ids of ``words`` into the young half."""
-        young, old = self.young, self.old
-        parts, new = {}, {}
-        for w in words:
-            if (known := old.get(w)) is not None:
-                young[w] = known
+    def learn(self, keys: set) -> None:
+        """Puts the ids of ``keys`` into the young half."""
+        young, old, made, new, missing = self.young, self.old, {}, set(), []
+        for key in keys:
+            if (known := old.get(key)) is not None:
+                young[key] = known
                 continue
-            parts[w] = self.atoms(w)
-            for x in parts[w]:
-                if x not in young and x not in new:
-                    new[x] = old.get(x)
-        unseen = [x for x, ids in new.items() if ids is None]
-        for k in range(0, len(unseen), 4096):
-            part = unseen[k:k + 4096]
-            for x, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                new[x] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        young.update(new)
-        for w, xs in parts.items():
+            xs = self.parts(key)
             if len(xs) > 1:
-                young[w] = b"".join([young[x] for x in xs])
+                made[key] = xs
+                missing += [x for x in xs if x not in young]
+            else:
+                new.add(key)
+        for x in missing:
+            if (known := old.get(x)) is not None:
+                young[x] = known
+            else:
+                new.add(x)
+        young.update(self.encode(new))
+        for key, xs in made.items():
+            young[key] = b"".join([young[x] for x in xs])
 
     def many(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit numbers."""
         if len(self.young) > MEMO_WORDS:
             self.old, self.young = self.young, {}
-        docs, long = [], []
+        young, docs, unknown = self.young, [], set()
         for text in texts:
             if any(s in text for s in self.specials):
-                docs.append([text])  # a special token's string may stand inside a word
+                first, rest = text, []  # a special token's string may stand inside a word
             else:
                 first, *rest = SPLIT.split(text) if ODD.search(text) else text.split(" ")
-                docs.append([first, *[" " + w for w in rest]])
-        words = set().union(*docs)
-        words.difference_update(self.young)
-        self.learn(words)
-        get = self.young.__getitem__
-        out = [b"".join(map(get, doc)) for doc in docs]
-        for w in words:
-            if len(w) > LONG_WORD:
-                long += [w, *self.atoms(w)]
-        for w in long:
-            self.young.pop(w, None)
+            ids = list(map(young.get, rest))
+            gaps = [k for k, x in enumerate(ids) if x is None] if None in ids else []
+            unknown.update([rest[k] for k in gaps])
+            if (first,) not in young:
+                unknown.add((first,))
+            docs.append((first, rest, ids, gaps))
+        self.learn(unknown)
+        out = []
+        for first, rest, ids, gaps in docs:
+            for k in gaps:
+                ids[k] = young[rest[k]]
+            out.append(b"".join([young[first,], *ids]))
+        for key in unknown:
+            if len(key if isinstance(key, str) else key[0]) > LONG_WORD:
+                for x in (key, *self.parts(key)):
+                    young.pop(x, None)
         return out
 
 
