@@ -116,7 +116,6 @@ class DetectionConfig:
     trees: int = 100                      # M2
     max_samples: int = 256                # M2 psi
     seed: int = 42
-    exact_quantile_max_rows: int = 5_000_000  # M4: exact percentile up to here (one merge buffer)
     near_anomaly_minutes: int = 15        # J2
     suspicious_process_pattern: str = SUSPICIOUS_PROCESS_PATTERN
     suspicious_cmdline_pattern: str = SUSPICIOUS_CMDLINE_PATTERN

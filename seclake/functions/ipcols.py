@@ -32,7 +32,7 @@ CLIENT_IPV6_ALTERNATIVES = (
 CLIENT_IPV6 = "^(?:" + CLIENT_IPV6_ALTERNATIVES + ")"
 MAPPED_PREFIX = "::ffff:"
 
-_WS = r"^\s+|\s+$"
+_WS = r"(?U)^\s+|\s+$"  # all Unicode white space
 
 
 def _c(x: Column | str) -> Column:

@@ -28,26 +28,44 @@ def from_micros(us: Column | str) -> Column:
     return F.timestamp_add("MICROSECOND", c, F.expr(EPOCH_NTZ))
 
 
+_TIME = r"(?:[T\s]+(\d{1,2}):(\d{2})(?::(\d{2})(?:\.(\d{1,9}))?)?\s*(Z|[+-]\d{2}:?\d{2})?)?$"
+ISO_TIME = r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})" + _TIME
+US_TIME = r"^(\d{1,2})/(\d{1,2})/(\d{4})" + _TIME
+C_TIME = r"^[A-Za-z]{3}\s+([A-Za-z]{3})\s+(\d{1,2})\s+(\d{1,2}):(\d{2}):(\d{2})\s+(\d{4})$"
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+
 def parse_mixed_timestamp(s: Column | str) -> Column:
     """Text → TIMESTAMP_NTZ; unparseable → null.
 
-    Accepts ISO-like forms (``2024-01-15 08:00:00``, ``2024-01-15T08:00:00``,
-    optional fraction) and the ctime form ``Mon Jan 15 08:00:00 2024``. The
-    weekday name is dropped before parsing (Spark cannot parse pattern
-    letter E), so it is not checked against the date.
+    Accepts ISO-like forms (date alone, or with ``T`` or blanks a time with
+    or without seconds and up to nine decimals, which are cut to six),
+    the same with slashes, the month-first ``01/15/2024``, and the ctime form
+    ``Mon Jan 15 08:00:00 2024`` (its weekday is not checked). A time with ``Z`` or an
+    offset is converted to UTC. The parts become one canonical text, which
+    is cast without any session time zone.
     """
     c = F.col(s) if isinstance(s, str) else s
-    t = F.regexp_replace(c.cast("string"), r"^\s+|\s+$", "")
-    t = F.when(t == "", F.lit(None)).otherwise(t)
-    iso = F.coalesce(
-        F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]")),
-        F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")),
-        F.try_to_timestamp(t, F.lit("yyyy-MM-dd")),
-        F.try_to_timestamp(t, F.lit("yyyy/MM/dd HH:mm:ss")),
-    )
-    no_weekday = F.regexp_replace(t, r"^[A-Za-z]{3}\s+", "")
-    ctime = F.try_to_timestamp(F.regexp_replace(no_weekday, r"\s+", " "), F.lit("MMM d HH:mm:ss yyyy"))
-    return F.coalesce(iso, ctime).cast("timestamp_ntz")
+    t = F.regexp_replace(c.cast("string"), r"(?U)^\s+|\s+$", "")
+
+    def build(pattern: str, date: tuple[int, int, int]) -> Column:
+        part = lambda k: F.regexp_extract(t, pattern, k)
+        two = lambda x: F.lpad(x, 2, "0")
+        or_zero = lambda x: F.when(x == "", "00").otherwise(two(x))
+        text = F.concat(part(date[0]), F.lit("-"), two(part(date[1])), F.lit("-"), two(part(date[2])), F.lit(" "),
+                        or_zero(part(4)), F.lit(":"), or_zero(part(5)), F.lit(":"), or_zero(part(6)), F.lit("."), F.rpad(F.substring(part(7), 1, 6), 6, "0"))
+        zone = part(8)
+        minutes = (F.when(zone.rlike("^[+-]"), F.concat(F.substring(zone, 1, 1), F.lit("1")).cast("int")
+                          * (F.substring(zone, 2, 2).cast("int") * 60 + F.substring(F.regexp_replace(zone, ":", ""), 4, 2).cast("int")))
+                   .otherwise(0))
+        return F.when(t.rlike(pattern), F.timestamp_add("MINUTE", -minutes, text.try_cast("timestamp_ntz")))
+
+    c_part = lambda k: F.regexp_extract(t, C_TIME, k)
+    month = F.instr(F.lit(MONTHS), F.lower(c_part(1)))
+    c_text = F.concat(c_part(6), F.lit("-"), F.lpad(((month + 2) / 3).cast("int").cast("string"), 2, "0"), F.lit("-"), F.lpad(c_part(2), 2, "0"),
+                      F.lit(" "), F.lpad(c_part(3), 2, "0"), F.lit(":"), c_part(4), F.lit(":"), c_part(5))
+    ctime = F.when(t.rlike(C_TIME) & (month % 3 == 1), c_text.try_cast("timestamp_ntz"))
+    return F.coalesce(build(ISO_TIME, (1, 2, 3)), build(US_TIME, (3, 1, 2)), ctime)
 
 
 def ntz_lit(value) -> Column:

@@ -13,24 +13,46 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, DetectionConfig
 
 
+BINS = 1024
+
+
+def order_statistic(values: DataFrame, rank: int, bins: int = BINS) -> float:
+    """The value of 0-based ``rank`` among the non-null ``values(v)``, exactly:
+    count the values per equal-width bin, go on inside the bin that holds
+    the rank, until that holds one value. Every round is one grouped
+    count; at most ``bins`` rows come back, whatever the number of values."""
+    low, high = values.agg(F.min("v"), F.max("v")).first()
+    while low < high:
+        width = (high - low) / bins
+        if not width or low + width == low:  # neighbours in floating point: bins would be empty
+            width = high - low
+        found = (values.where((F.col("v") >= low) & (F.col("v") <= high))
+                 .groupBy(F.floor((F.col("v") - F.lit(low)) / F.lit(width)).alias("bin"))
+                 .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("bin").collect())
+        for r in found:
+            if rank < r["n"]:
+                break
+            rank -= r["n"]
+        low, high = r["low"], r["high"]
+    return low
+
+
 def score_offset(df: DataFrame, score_col: str, cfg: DetectionConfig = DEFAULT,
                  rows: int | None = None) -> float | None:
-    """Exact interpolated percentile up to ``exact_quantile_max_rows`` rows;
-    beyond, ``percentile_approx`` with rank error ≤ 1/1e6 of the rows.
-
-    The exact aggregate keeps every distinct value of the column in one
-    merge buffer, so it is only used below a checked row count. ``rows``
-    (an upper bound of the non-null scores) skips the counting pass.
-    """
-    scores = df.select(score_col).where(F.col(score_col).isNotNull())
-    n = rows if rows is not None else scores.count()
+    """The ``contamination`` quantile with linear interpolation, exact at every
+    size (see ``order_statistic``). ``rows``: the number of non-null scores, if known."""
+    values = df.select(F.col(score_col).cast("double").alias("v")).where("v is not null")
+    n = rows if rows is not None else values.count()
     if n == 0:
         return None
-    if n <= cfg.exact_quantile_max_rows:
-        agg = F.percentile(F.col(score_col), F.lit(cfg.contamination))
-    else:
-        agg = F.percentile_approx(F.col(score_col), F.lit(cfg.contamination), F.lit(1_000_000))
-    return scores.agg(agg.alias("offset")).first()["offset"]
+    at = (n - 1) * cfg.contamination
+    rank = int(at)
+    value = order_statistic(values, rank)
+    if at == rank:
+        return value
+    upto, above = values.agg(F.count(F.when(F.col("v") <= value, 1)), F.min(F.when(F.col("v") > value, F.col("v")))).first()
+    following = value if upto > rank + 1 else above
+    return value + (at - rank) * (following - value)
 
 
 def with_anomaly(df: DataFrame, score_col: str, offset: float | None) -> DataFrame:

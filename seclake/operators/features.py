@@ -9,9 +9,9 @@ and loopback addresses can own a large share of all rows):
 * the aggregates are attached with left joins. AQE measures the
   aggregated side at runtime and broadcasts it when it is under the
   threshold, otherwise keeps a sort-merge join with skew splitting;
-* the trailing 10-minute window is salted by time (see
-  ``with_failed_window``) so no partition holds more than one user's
-  20 minutes of rows.
+* the trailing 10-minute window is a running sum, split by time (see
+  ``with_failed_window``), so no group holds more than one user's
+  20 minutes of rows and a burst costs time in proportion to its rows.
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ from .indexing import dense_index
 USER_FEATURES = ("user_event_count", "user_failed_count", "user_success_count", "user_unique_machines",
                  "user_unique_ips", "user_tgs_count")
 IP_FEATURES = ("ip_event_count", "ip_unique_failed_users")
-NULL_KEY_SPREAD = 64
 
 
 def user_profile(df: DataFrame, scope: tuple = ()) -> DataFrame:
@@ -54,71 +53,67 @@ def ip_profile(df: DataFrame, scope: tuple = ()) -> DataFrame:
 def with_failed_window(df: DataFrame, cfg: DetectionConfig = DEFAULT) -> DataFrame:
     """Failures of the same user in ``(t - window, t]`` (peers included).
 
-    Salting by time: every row goes to its bucket (``window / window_salt``
-    wide), failed rows are also copied (narrow: key, time, flag only) to the
-    next ``window_salt`` buckets, and the RANGE window runs per
-    ``(username, bucket)``. A frame never reaches back further than the
-    copies, so the answer equals the plain per-user window while partitions
-    stay bounded by time, not by user size; a larger salt splits a burst
-    of one user further.
+    Linear in a burst: a failure adds 1 at its own time and takes 1 away at
+    ``t + window``, and a running sum over ``(username, bucket)`` gives every
+    row its count (a sliding frame would add the same rows up again for
+    each row). Split by time: a row goes to its bucket (``window /
+    window_salt`` wide); a failure also leaves narrow copies (key, time and
+    change only) in the next ``window_salt`` buckets, the last of which gets its
+    expiry as well. The sums equal the plain per-user window, while no group
+    holds more than two windows of one user; a larger salt makes them smaller.
     Rows with a null user or time get 0. ``window_ties="row"`` counts rows of
     equal time only up to the current one in ``log_id`` order.
 
-    With ``priv_esc_mode="correlated"`` the same window also finds the last
-    successful logon within ``priv_esc_seconds`` (D2 correlated).
+    With ``priv_esc_mode="correlated"`` the same groups also give the last
+    successful logon within ``priv_esc_seconds`` (D2 correlated), as a running maximum.
     """
     width = cfg.window_seconds * MICROS_PER_SECOND
     salt = max(1, int(cfg.window_salt))
     correlated = cfg.priv_esc_mode == "correlated"
-    us = micros("timestamp")
-    # Buckets of width window/salt; a carried row is copied to the next
-    # ``salt`` buckets, which together span one window.
-    base = df.withColumns({"_us": us, "_bucket": F.floor(us * salt / width)})
-    carried = F.col("is_failed_login") == 1
-    if correlated:
-        carried = carried | (F.col("is_successful_login") == 1)
-    carried = carried & F.col("username").isNotNull() & F.col("_us").isNotNull()
-    # One scan: a carried row explodes into itself and a copy for the next
-    # bucket; the copy keeps only key, time and flags (other columns null,
-    # which cost nothing in the shuffle).
-    tagged = base.withColumn("_shift", F.explode(F.when(carried, F.sequence(F.lit(0), F.lit(salt)))
-                                                 .otherwise(F.array(F.lit(0)))))
-    tagged = tagged.withColumn("_copy", F.col("_shift") > 0)
-    keep = {"username", "_us", "is_failed_login", "is_successful_login", "_copy", "log_id"}
-    copy = F.col("_copy")
-    both = tagged.select(*[
-        ((F.col("_bucket") + F.col("_shift")).alias("_bucket") if c == "_bucket"
-         else F.col(c) if c in keep else F.when(~copy, F.col(c)).alias(c))
-        for c in tagged.columns if c != "_shift"])
-    # Rows without a user or time get 0 and need no neighbours: spread them
-    # over NULL_KEY_SPREAD partitions instead of one (null, bucket) group.
+    base = df.withColumns({"_us": micros("timestamp"), "_bucket": F.floor(micros("timestamp") * salt / width)})
+    valid = F.col("username").isNotNull() & F.col("_us").isNotNull()
+    failed = valid & (F.col("is_failed_login") == 1)
+    success = valid & (F.col("is_successful_login") == 1) if correlated else F.lit(False)
+
+    def mark(shift, us, change, copy):
+        return F.struct(F.lit(shift).alias("shift"), us.alias("us"), change.cast("bigint").alias("change"), F.lit(copy).alias("copy"))
+
+    own = mark(0, F.col("_us"), F.coalesce(failed.cast("int"), F.lit(0)), False)
+    copies = [mark(s, F.col("_us"), F.coalesce(failed.cast("int"), F.lit(0)), True) for s in range(1, salt + 1)]
+    expiry = mark(salt, F.col("_us") + F.lit(width), F.lit(-1), True)
+    marks = F.when(failed, F.array(own, *copies, expiry)).when(success, F.array(own, *copies)).otherwise(F.array(own))
+    tagged = base.withColumn("_m", F.explode(marks))
+    copy = F.col("_m.copy")
+    both = tagged.select(
+        *[F.col(c) if c in ("username", "log_id") else F.when(~copy, F.col(c)).alias(c) for c in df.columns],
+        (F.col("_bucket") + F.col("_m.shift")).alias("_bucket"), F.col("_m.us").alias("_us"), F.col("_m.change").alias("_change"), copy.alias("_copy"),
+        *([F.when(success & (F.col("_m.change") >= 0), F.col("_us")).alias("_success_us")] if correlated else []))
+    # Rows without a user or time need no neighbours: each is a group of its own.
     row_id = [F.col("log_id")] if "log_id" in both.columns else [F.col(c) for c in df.columns]
-    both = both.withColumn("_spread", F.when(F.col("username").isNull() | F.col("_us").isNull(),
-                                             F.pmod(F.xxhash64(*row_id), F.lit(NULL_KEY_SPREAD)))
-                           .otherwise(F.lit(0)))
-    keyed = Window.partitionBy("username", "_bucket", "_spread").orderBy("_us")
-    cols = {"failed_last_10min": F.sum("is_failed_login").over(keyed.rangeBetween(-(width - 1), 0))}
+    both = both.withColumn("_spread", F.when(F.col("username").isNull() | F.col("_us").isNull(), F.xxhash64(*row_id)).otherwise(F.lit(0)))
+    running = Window.partitionBy("username", "_bucket", "_spread").orderBy("_us").rangeBetween(Window.unboundedPreceding, 0)
+    cols = {"failed_last_10min": F.sum("_change").over(running)}
     if correlated:
-        reach = min(cfg.priv_esc_seconds, cfg.window_seconds) * MICROS_PER_SECOND
-        cols["_last_success_us"] = F.max(F.when(F.col("is_successful_login") == 1, F.col("_us"))) \
-            .over(keyed.rangeBetween(-(reach - 1), 0))
+        cols["_last_success_us"] = F.max("_success_us").over(running)
     if cfg.window_ties == "row":
         # Rows of equal time count only up to themselves (order by log_id):
-        # subtract the failures among later peers.
-        peers = Window.partitionBy("username", "_bucket", "_us", "_spread").orderBy("log_id") \
-            .rowsBetween(1, Window.unboundedFollowing)
-        cols["_later_peer_fails"] = F.coalesce(F.sum("is_failed_login").over(peers), F.lit(0))
+        # take away the failures among later peers.
+        peers = Window.partitionBy("username", "_bucket", "_spread", "_us")
+        own_fail = F.when(~F.col("_copy"), F.col("_change")).otherwise(0)
+        cols["_later_peer_fails"] = F.sum(own_fail).over(peers) - F.sum(own_fail).over(
+            peers.orderBy(F.col("_copy").cast("int"), "log_id").rowsBetween(Window.unboundedPreceding, 0))
     out = both.withColumns(cols).where(~F.col("_copy"))
     if cfg.window_ties == "row":
-        out = out.withColumn("failed_last_10min", F.col("failed_last_10min") - F.col("_later_peer_fails")) \
-            .drop("_later_peer_fails")
+        out = out.withColumn("failed_last_10min", F.col("failed_last_10min") - F.col("_later_peer_fails")).drop("_later_peer_fails")
     valid = F.col("username").isNotNull() & F.col("_us").isNotNull()
     out = out.withColumn("failed_last_10min",
                          F.when(valid, F.col("failed_last_10min")).otherwise(F.lit(0)).cast("bigint"))
     if correlated:
-        out = out.withColumn("recent_success", F.when(valid, F.col("_last_success_us").isNotNull())
-                             .otherwise(F.lit(False)).cast("int")).drop("_last_success_us")
-    return out.drop("_us", "_bucket", "_copy", "_spread")
+        reach = min(cfg.priv_esc_seconds, cfg.window_seconds) * MICROS_PER_SECOND
+        recent = F.coalesce(F.col("_us") - F.col("_last_success_us") < reach, F.lit(False))
+        out = out.withColumn("recent_success", F.when(valid, recent).otherwise(F.lit(False)).cast("int")) \
+            .drop("_last_success_us", "_success_us")
+    return out.drop("_us", "_bucket", "_copy", "_spread", "_change")
 
 
 def subnet_index(df: DataFrame) -> DataFrame:
@@ -137,8 +132,7 @@ def with_features(df: DataFrame, cfg: DetectionConfig = DEFAULT, scope: tuple =
     # them from hashing into one partition if the join falls back to
     # sort-merge (no user name starts with NUL).
     row_id = [F.col("log_id")] if "log_id" in rows.columns else [F.col(c) for c in df.columns]
-    ukey = F.coalesce(F.col("username"), F.concat(F.lit("\u0000"),
-                                                  F.pmod(F.xxhash64(*row_id), F.lit(NULL_KEY_SPREAD)).cast("string")))
+    ukey = F.coalesce(F.col("username"), F.concat(F.lit("\u0000"), F.xxhash64(*row_id).cast("string")))
     out = (rows.withColumn("_ukey", ukey)
            .join(users.withColumnRenamed("username", "_ukey"), [*scope, "_ukey"], "left").drop("_ukey")
            .join(ips, [*scope, "source_ip"], "left")

@@ -1,11 +1,10 @@
 """Isolation forest on Spark (M1–M6), after Liu, Ting & Zhou (2008).
 
-* Sampling (M2): a row's membership is decided by hashes of
-  ``(seed, log_id)`` and ``(seed, tree, log_id)``, never by partition
-  layout, so the fit is the same at any partitioning. A Bernoulli pool of
-  about ``POOL_FACTOR × ψ`` rows is drawn first (a narrow filter, sized
-  from the row count), then each tree takes the ψ pool rows with the
-  smallest tree hash.
+* Sampling (M2): each tree draws its own rows from all rows. A row enters a
+  tree's draw if the hash of ``(seed, tree, log_id)`` falls below about
+  ``DRAW × ψ / rows``, and the tree keeps the ψ smallest hashes. That is a
+  narrow filter and never depends on the partition layout, so the fit is
+  the same at any partitioning.
 * Building (M2): ``groupBy(tree_id).applyInPandas`` — one task per tree,
   ψ rows each; numpy random splits (random feature, uniform threshold,
   height limit ⌈log2 ψ⌉; constant features are skipped).
@@ -28,7 +27,7 @@ from pyspark.sql import types as T
 
 from ..config import DEFAULT, MODEL_FEATURES, DetectionConfig
 
-POOL_FACTOR = 16
+DRAW = 2.0  # rows that a tree draws, in multiples of ψ; fewer than ψ would take a 16σ miss
 EULER_GAMMA = 0.5772156649015329
 _U53 = float(1 << 53)
 
@@ -162,12 +161,12 @@ def sample_for_trees(feats: DataFrame, cfg: DetectionConfig = DEFAULT, key: str
     """M2 sampling → rows ``(tree_id, h, x)`` with at most ψ rows per tree."""
     n = feats.count() if rows is None else rows
     psi = int(min(cfg.max_samples, max(n, 1)))
-    fraction = min(1.0, POOL_FACTOR * psi / max(n, 1))
-    pool = feats.select(F.col(key).alias("_key"), feature_vector().alias("x"))
-    if fraction < 1.0:
-        pool = pool.where(_unit_hash(F.lit(cfg.seed), F.col("_key")) < F.lit(fraction))
-    per_tree = (pool.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(cfg.trees - 1))))
-                .withColumn("h", F.xxhash64(F.lit(cfg.seed), F.col("tree_id"), F.col("_key"))))
+    below = min(1.0, DRAW * psi / max(n, 1))
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(cfg.trees - 1)),
+                     lambda t: _unit_hash(F.lit(cfg.seed), t, F.col("_key")) < F.lit(below))
+    per_tree = (feats.select(F.col(key).alias("_key"), feature_vector().alias("x"))
+                .withColumn("tree_id", F.explode(drawn))
+                .withColumn("h", _unit_hash(F.lit(cfg.seed), F.col("tree_id"), F.col("_key"))))
     w = Window.partitionBy("tree_id").orderBy("h", "_key")
     chosen = per_tree.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= psi)
     return chosen.select("tree_id", "h", "_key", "x"), psi
@@ -200,12 +199,25 @@ def fit(feats: DataFrame, cfg: DetectionConfig = DEFAULT, rows: int | None = Non
     return Forest.from_nodes(nodes.toPandas(), psi)
 
 
-def save(nodes: DataFrame, path: str) -> None:
-    nodes.write.mode("overwrite").parquet(path)
+@dataclass
+class SavedModel:
+    """M6: what scoring new rows needs: the trees, ψ, the features in order, and the offset."""
+    forest: Forest
+    offset: float | None
+
+
+def save(nodes: DataFrame, psi: int, offset: float | None, path: str, features: tuple = MODEL_FEATURES) -> None:
+    """The node table and one row with ψ, the features and the offset."""
+    spark = nodes.sparkSession
+    nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+    spark.createDataFrame([(psi, list(features), offset)], "max_samples int, features array<string>, offset double") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
 
 
-def load(spark, path: str, max_samples: int) -> Forest:
-    return Forest.from_nodes(spark.read.parquet(path).toPandas(), max_samples)
+def load(spark, path: str) -> SavedModel:
+    model = spark.read.parquet(f"{path}/model").first()
+    nodes = spark.read.parquet(f"{path}/nodes").toPandas()  # at most trees × (2^(h+1) − 1) rows
+    return SavedModel(Forest.from_nodes(nodes, model["max_samples"], tuple(model["features"])), model["offset"])
 
 
 def score(feats: DataFrame, forest: Forest, out: str = "anomaly_score") -> DataFrame:

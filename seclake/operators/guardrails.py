@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 
 # Prompt-scrub, technique-id and sanitising patterns.
 SPECIAL_TOKEN = r"<\|[^\n]*?\|>"
-INJECTION_WORDS = r"(?iu)\b(ignore|system\s+prompt|new\s+instructions|sysprompt)\b"
+INJECTION_WORDS = r"(?iU)\b(ignore|system\s+prompt|new\s+instructions|sysprompt)\b"
 REDACTED = "[REDACTED]"
 SCRUB_MAX = 200
-SCRUB_KEEP = 197
-TECHNIQUE_ID = r"\bT\d{4,5}(?:\.\d{3})?\b"
+TECHNIQUE_ID = r"(?U)\bT\d{4,5}(?:\.\d{3})?\b"
 NO_ID_SORT_KEY = "ZZZZZ"
 VERIFY_NOTE = r"(?is)\[VERIFY before finishing.*?\]\.?"
 CLOSING_PATTERNS = (
@@ -40,24 +39,28 @@ MITRE_HEADING = r"###\s+MITRE ATT&CK OBSERVATIONS\s*\n"
 MITRE_LINE_PREFIX = "- **"
 MITRE_LINE_SUFFIX = "** — observed in incident data."
 NO_MITRE_LINE = "No MITRE techniques observed in evidence."
-LABELS_SINGLE_TASK_MAX = 100_000
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# Texts are in several languages: white space, digits, letters and word
+# boundaries follow Unicode ((?U)), as in the rules being reproduced.
+
 def strip_ws(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
-def scrub(text) -> Column:
+def scrub(text, max_chars: int | None = SCRUB_MAX) -> Column:
     """G1: null → N/A; drop special tokens; redact injection words; cap at
-    200 characters (197 + ...); newlines → spaces; strip."""
+    ``max_chars`` characters (the last three are dots; None: no cap, for whole
+    texts); newlines → spaces; strip."""
     t = _c(text).cast("string")
     s = F.regexp_replace(t, SPECIAL_TOKEN, "")
     s = F.regexp_replace(s, INJECTION_WORDS, REDACTED)
-    s = F.when(F.length(s) > SCRUB_MAX, F.concat(F.substring(s, 1, SCRUB_KEEP), F.lit("..."))).otherwise(s)
+    if max_chars is not None:
+        s = F.when(F.length(s) > max_chars, F.concat(F.substring(s, 1, max_chars - 3), F.lit("..."))).otherwise(s)
     s = strip_ws(F.translate(s, "\n\r", "  "))
     return F.when(t.isNull(), F.lit("N/A")).otherwise(s)
 
@@ -84,24 +87,23 @@ def allowed_ids(allowed) -> Column:
                                                   lambda a: F.regexp_extract_all(a, F.lit(TECHNIQUE_ID), 0))))
 
 
-def allowed_techniques(analyzed: DataFrame, high_levels=("CRITICAL", "HIGH")) -> DataFrame:
+def allowed_techniques(analyzed: DataFrame, high_levels=("CRITICAL", "HIGH"), scope: tuple = ()) -> DataFrame:
     """Distinct technique labels of high-risk rows (split, squeezed,
-    scrubbed), ordered by their id (no id → ZZZZZ) then text; adds ``rank``."""
+    scrubbed), ordered by their id (no id → ZZZZZ) then text; adds ``rank``.
+    With ``scope`` columns the labels are listed and ranked per scope."""
     from pyspark.sql import Window
+
+    from .indexing import row_numbers
     parts = (analyzed.where(F.col("final_risk_level").isin(*high_levels))
-             .select(F.explode(split_techniques(F.coalesce(F.col("mitre_techniques"), F.lit("")))).alias("t")))
-    labels = (parts.select(scrub(strip_ws(F.regexp_replace("t", r"\s+", " "))).alias("technique"))
+             .select(*scope, F.explode(split_techniques(F.coalesce(F.col("mitre_techniques"), F.lit("")))).alias("t")))
+    labels = (parts.select(*scope, scrub(strip_ws(F.regexp_replace("t", r"(?U)\s+", " "))).alias("technique"))
               .where((F.col("technique") != "") & (F.col("technique") != "N/A")).distinct())
-    sort_id = F.regexp_extract("technique", r"\b(T\d{4,5}(?:\.\d{3})?)\b", 1)
+    sort_id = F.regexp_extract("technique", r"(?U)\b(T\d{4,5}(?:\.\d{3})?)\b", 1)
     labels = labels.withColumn("sort_id", F.when(sort_id == "", F.lit(NO_ID_SORT_KEY)).otherwise(sort_id))
-    # One row per distinct label: the technique vocabulary, normally a handful.
-    # Beyond a checked count the labels are numbered distributedly.
-    if labels.count() > LABELS_SINGLE_TASK_MAX:
-        from .indexing import row_numbers
-        return row_numbers(labels, [F.col("sort_id").asc(), F.col("technique").asc()], "rank") \
-            .withColumn("rank", F.col("rank").cast("int"))
-    w = Window.orderBy("sort_id", "technique")
-    return labels.withColumn("rank", F.row_number().over(w).cast("int"))
+    order = [F.col("sort_id").asc(), F.col("technique").asc()]
+    if scope:  # a window per scope holds one scope's distinct labels
+        return labels.withColumn("rank", F.row_number().over(Window.partitionBy(*scope).orderBy(*order)).cast("int"))
+    return row_numbers(labels, order, "rank").withColumn("rank", F.col("rank").cast("int"))
 
 
 def validate(text, allowed) -> Column:
@@ -141,7 +143,7 @@ def drop_disallowed_list_lines(text, allowed) -> Column:
     ok_ids = allowed_ids(allowed)
 
     def keep(line: Column) -> Column:
-        lead = F.regexp_replace(line, r"^\s+", "")
+        lead = F.regexp_replace(line, r"(?U)^\s+", "")
         is_list = lead.startswith("-") | lead.startswith("*") | lead.startswith("•") | lead.rlike(r"^\d+[.)]")
         ids = technique_ids(line)
         only_bad = (F.size(ids) > 0) & F.forall(ids, lambda i: ~F.array_contains(ok_ids, i))
@@ -156,7 +158,7 @@ def strip_disallowed_ids(text, allowed) -> Column:
     ok_ids = allowed_ids(allowed)
     bad = F.filter(technique_ids(text), lambda i: ~F.array_contains(ok_ids, i))
     return F.aggregate(bad, F.coalesce(_c(text), F.lit("")), lambda acc, i: F.regexp_replace(
-        acc, F.concat(F.lit(r"\b"), F.regexp_replace(i, r"\.", r"\\."), F.lit(r"\b(?!\.\d{3}\b)")), F.lit("")))
+        acc, F.concat(F.lit(r"(?U)\b"), F.regexp_replace(i, r"\.", r"\\."), F.lit(r"\b(?!\.\d{3}\b)")), F.lit("")))
 
 
 def rewrite_mitre_section(text, allowed) -> Column:

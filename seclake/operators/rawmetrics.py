@@ -19,10 +19,21 @@ MACHINES = ("DOMAIN_CONTROLLER", "CLIENT_MACHINE")
 LONG_SCHEMA = "source_machine string, metric string, key string, value bigint, rank int"
 
 
+#: Columns that the metrics read, with what stands in for an absent one.
+READ_COLUMNS = {"timestamp": "timestamp_ntz", "event_id": "int", "username": "string", "source_ip": "string", "process_name": "string", "command_line": "string"}
+
+
+def complete(raw: DataFrame) -> DataFrame:
+    """Columns that a collector didn't deliver are added as null, which counts as ''."""
+    missing = {c: F.lit(None).cast(kind) for c, kind in READ_COLUMNS.items() if c not in raw.columns}
+    return raw.withColumns(missing) if missing else raw
+
+
 def key_counts(raw: DataFrame, pair_event: int = EV_LOGON_SUCCESS) -> DataFrame:
     """Every counted key of L2, L3 and L5 in one aggregation:
     ``(source_machine, metric, key, value)``. Each row emits its entries
     (null → ''); partial aggregation collapses them before the one shuffle."""
+    raw = complete(raw)
     pair = F.concat(F.coalesce(F.col("username"), F.lit("")), F.lit("@"),
                     F.coalesce(strip_ws(F.col("source_ip")), F.lit("")))
     entries = F.array(
@@ -92,6 +103,7 @@ def top_processes(raw: DataFrame, n_proc: int = 15, n_cmd: int = 10, counts: Dat
 
 def raw_metrics(raw: DataFrame) -> DataFrame:
     """L4: rows, unique users (null counted as ''), unique trimmed IPs."""
+    raw = complete(raw)
     return (raw.where(F.col("source_machine").isin(*MACHINES)).groupBy("source_machine").agg(
         F.count(F.lit(1)).alias("rows"),
         F.countDistinct(F.coalesce(F.col("username"), F.lit(""))).alias("unique_users"),

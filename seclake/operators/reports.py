@@ -153,25 +153,16 @@ def incident_search(df: DataFrame, term: str) -> DataFrame:
     return df.where(has("username") | has("source_ip") | has("final_risk_level") | has("mitre_techniques"))
 
 
-SORT_SINGLE_TASK_MAX = 100_000
-
-
 def incident_sort(incidents: DataFrame, column: str, descending: bool = True) -> DataFrame:
     """Order an incident list by one column: numerically when every
     value is numeric, else by lower-cased text; adds ``sort_rank``. Ties
-    keep the incident order (``log_id``). A list up to a checked size is
-    numbered in one ordered window; a larger one by distributed numbering."""
+    keep the incident order (``log_id``). Numbered distributedly (range
+    partitions, local numbers, offsets)."""
+    from .indexing import row_numbers
     text = F.lower(F.coalesce(F.col(column).cast("string"), F.lit("")))
     num = F.coalesce(F.col(column).cast("string"), F.lit("")).try_cast("double")
     all_numeric = incidents.agg(F.min(F.when(num.isNull(), 0).otherwise(1)).alias("ok")).first()["ok"]
-    key = num if all_numeric in (1, None) else text
-    key = key.desc() if descending else key.asc()
-    if incidents.count() > SORT_SINGLE_TASK_MAX:
-        from .indexing import row_numbers
-        keyed = incidents.withColumn("_sort_key", num if all_numeric in (1, None) else text)
-        k = F.col("_sort_key").desc() if descending else F.col("_sort_key").asc()
-        return row_numbers(keyed, [k, F.col("log_id").asc()], "sort_rank").drop("_sort_key") \
-            .withColumn("sort_rank", F.col("sort_rank").cast("int"))
-    from pyspark.sql import Window
-    w = Window.orderBy(key, F.col("log_id").asc())  # bounded by the count check above
-    return incidents.withColumn("sort_rank", F.row_number().over(w))
+    keyed = incidents.withColumn("_sort_key", num if all_numeric in (1, None) else text)
+    order = F.col("_sort_key").desc() if descending else F.col("_sort_key").asc()
+    return row_numbers(keyed, [order, F.col("log_id").asc()], "sort_rank").drop("_sort_key") \
+        .withColumn("sort_rank", F.col("sort_rank").cast("int"))

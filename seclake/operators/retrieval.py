@@ -26,7 +26,8 @@ TOP_K = 3
 QUERY_PREFIX = "Mitigation and response for: "
 NO_CONTEXT = "No specific internal runbook context found."
 CONTEXT_JOIN = "\n\n"
-MAX_QUERIES = 4096
+QUERY_GROUP = 512  # queries and rows in a cell of the search grid
+ROW_GROUP = 4096
 
 
 # ------------------------------------------------------------------ V1
@@ -115,7 +116,7 @@ def fit_embedder(chunks: DataFrame, text_col: str = "text", dims: int = 256):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
     pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"\W+", toLowercase=True),
+        RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"(?U)\W+", toLowercase=True),
         HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dims),
         IDF(inputCol="_tf", outputCol="_idf"),
         Normalizer(inputCol="_idf", outputCol="_vec", p=2.0),
@@ -147,56 +148,35 @@ def _sq_l2(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return d
 
 
-def _knn_pass(corpus: DataFrame, qpdf: pd.DataFrame, qid_type, k: int, id_col: str, vec_col: str,
-              qid_col: str, qvec_col: str) -> DataFrame:
-    """One pass over the corpus for a bounded set of queries held in memory."""
-    qids = qpdf[qid_col].tolist()
-    qmat = np.vstack([np.asarray(v, dtype=np.float64) for v in qpdf[qvec_col]]) if len(qpdf) else np.zeros((0, 1))
-    schema = T.StructType([T.StructField(qid_col, qid_type), T.StructField(id_col, T.LongType()),
-                           T.StructField("distance", T.DoubleType())])
-
-    def local_topk(batches):
-        best_d = np.full((len(qids), 0), np.inf)
-        best_i = np.zeros((len(qids), 0), dtype=np.int64)
-        for pdf in batches:
-            if not len(pdf) or not len(qids):
-                continue
-            x = np.vstack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]])
-            ids = pdf[id_col].to_numpy(dtype=np.int64)
-            d = np.round(_sq_l2(x, qmat), 6).T                      # queries × rows
-            cand_d = np.concatenate([best_d, d], axis=1)
-            cand_i = np.concatenate([best_i, np.broadcast_to(ids, d.shape)], axis=1)
-            order = np.lexsort((cand_i, cand_d), axis=1)[:, :k]
-            best_d = np.take_along_axis(cand_d, order, axis=1)
-            best_i = np.take_along_axis(cand_i, order, axis=1)
-        rows = [(qids[q], int(best_i[q, j]), float(best_d[q, j]))
-                for q in range(best_d.shape[0]) for j in range(best_d.shape[1])]
-        if rows:
-            yield pd.DataFrame(rows, columns=[qid_col, id_col, "distance"])
-
-    return corpus.select(id_col, vec_col).mapInPandas(local_topk, schema)
-
-
 def knn(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str = "vec_id",
         vec_col: str = "embedding", qid_col: str = "query_id", qvec_col: str = "query_vec",
-        max_queries: int = MAX_QUERIES) -> DataFrame:
+        query_group: int = QUERY_GROUP, row_group: int = ROW_GROUP) -> DataFrame:
     """V4: for every query the ``k`` nearest corpus rows by squared L2
     (distance rounded to 6 dp, ties by id) → ``(query_id, id, distance, rank)``.
 
-    Queries are counted first; at most ``max_queries`` are held in memory at
-    a time. A larger query set is split by a hash of the query id into
-    chunks of about that size, one corpus pass per chunk."""
-    n_q = queries.count()
-    qid_type = queries.schema[qid_col].dataType
-    q = queries.select(qid_col, qvec_col)
-    chunks = max(1, -(-n_q // max_queries))
-    parts = []
-    for c in range(chunks):
-        part = q if chunks == 1 else q.where(F.pmod(F.xxhash64(qid_col), F.lit(chunks)) == c)
-        parts.append(_knn_pass(corpus, part.toPandas(), qid_type, k, id_col, vec_col, qid_col, qvec_col))
-    local = parts[0]
-    for p in parts[1:]:
-        local = local.unionByName(p)
+    Queries and rows are dealt over a grid of groups by a hash of their ids;
+    each cell holds one group of queries and one of rows, both of bounded
+    size, and keeps its ``k`` best rows per query. One pass over the
+    corpus whatever the number of queries, and nothing goes through the driver."""
+    n_q, n_c = max(1, -(-queries.count() // query_group)), max(1, -(-corpus.count() // row_group))
+    schema = T.StructType([T.StructField(qid_col, queries.schema[qid_col].dataType), T.StructField(id_col, T.LongType()),
+                           T.StructField("distance", T.DoubleType())])
+
+    def best(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(asked) and len(rows):
+            ids = rows[id_col].to_numpy(dtype=np.int64)
+            order = np.argsort(ids, kind="stable")
+            ids, x = ids[order], np.vstack([np.asarray(v, dtype=np.float64) for v in rows[vec_col]])[order]
+            apart = np.round(_sq_l2(x, np.vstack([np.asarray(v, dtype=np.float64) for v in asked[qvec_col]])), 6).T
+            for query, d in zip(asked[qid_col], apart):
+                at = np.argsort(d, kind="stable")[:k]  # ids rise, so that ties go to the smaller one
+                out.append(pd.DataFrame({qid_col: query, id_col: ids[at], "distance": d[at]}))
+        return pd.concat(out) if out else pd.DataFrame({qid_col: [], id_col: [], "distance": []})
+
+    asked = queries.select(qid_col, qvec_col, F.pmod(F.xxhash64(qid_col), F.lit(n_q)).alias("_q")).withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_c - 1).cast("long"))))
+    rows = corpus.select(id_col, vec_col, F.pmod(F.xxhash64(id_col), F.lit(n_c)).alias("_c")).withColumn("_q", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_q - 1).cast("long"))))
+    local = asked.groupBy("_q", "_c").cogroup(rows.groupBy("_q", "_c")).applyInPandas(best, schema)
     w = Window.partitionBy(qid_col).orderBy("distance", id_col)
     return local.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
 

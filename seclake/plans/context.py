@@ -16,7 +16,7 @@ from ..operators import guardrails, retrieval
 
 def query_texts(analyzed: DataFrame, scope: tuple = ()) -> DataFrame:
     """One query per scope (the whole run when ``scope`` is empty)."""
-    techs = guardrails.allowed_techniques(analyzed)
+    techs = guardrails.allowed_techniques(analyzed, scope=scope)
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("rank", "technique"))), lambda s: s["technique"])
     return techs.groupBy(*scope).agg(ordered.alias("techniques")).select(
         *scope, retrieval.retrieval_query(F.col("techniques")).alias("query_text"))

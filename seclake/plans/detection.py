@@ -34,10 +34,11 @@ def newest(raw: DataFrame, max_rows: int | None = None, cutoff=None) -> DataFram
 
 
 def analyze(raw: DataFrame, cfg: DetectionConfig = DEFAULT, model: str = "forest",
-            score_col: str | None = None, scope: tuple = (), persist_features: bool = True) -> DataFrame:
+            score_col: str | None = None, scope: tuple = (), persist_features: bool = True, saved=None) -> DataFrame:
     """Full detection. ``model``:
 
     * ``"forest"`` – fit the isolation forest on these rows and score them (M1–M6);
+    * ``"saved"`` – score with ``saved`` (``forest.load``) and its offset;
     * ``"score"`` – ``score_col`` already holds a model score (lower = abnormal);
     * ``"none"`` – rules only, ``is_anomaly`` = 0.
     """
@@ -48,10 +49,16 @@ def analyze(raw: DataFrame, cfg: DetectionConfig = DEFAULT, model: str = "forest
             feats = materialize(feats, "features")
         n_rows = feats.count()
         fitted = forest.fit(feats, cfg, rows=n_rows)
+        # Written once with its score, so that the offset reads one column and no row is scored twice.
         scored = forest.score(feats, fitted, out="_forest_score")
-        # Every row gets a score, so the row count bounds the score count.
+        if persist_features:
+            scored = materialize(scored, "scored")
         offset = anomaly.score_offset(scored, "_forest_score", cfg, rows=n_rows)
         feats = anomaly.with_anomaly(scored, "_forest_score", offset).drop("_forest_score")
+    elif model == "saved":
+        from ..operators import forest
+        scored = forest.score(feats, saved.forest, out="_forest_score")
+        feats = anomaly.with_anomaly(scored, "_forest_score", saved.offset).drop("_forest_score")
     elif model == "score":
         # Features keep every input row once, so the offset is taken on the
         # (column-pruned) input instead of the feature plan.

@@ -82,9 +82,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-MAX_RANGE_PARTITIONS = 100_000
-
-
 def partitions_for(df: DataFrame, requested: int | None = None) -> int:
     """Partition count for an explicit range repartition: at least the
     configured shuffle partitions, and enough that each holds about the AQE
@@ -99,4 +96,4 @@ def partitions_for(df: DataFrame, requested: int | None = None) -> int:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:
         return base
-    return int(min(MAX_RANGE_PARTITIONS, max(base, -(-size // max(target_bytes, 1)))))
+    return int(max(base, -(-size // max(target_bytes, 1))))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import uuid
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,36 +42,35 @@ def append_raw_logs(df: DataFrame, path: str) -> None:
      .partitionBy("event_date").parquet(path))
 
 
-def replace_analyzed(df: DataFrame, base: str) -> str:
-    """Write a new version directory, then switch the pointer, so a
-    reader never sees a half-written table. Rows are sorted by score only
-    within files (no global sort)."""
-    version = os.path.join(base, f"v-{uuid.uuid4().hex}")
-    df.sortWithinPartitions(F.col("total_threat_score").desc()).write.mode("overwrite").parquet(version)
-    df.sparkSession.createDataFrame([(version,)], "path string").coalesce(1) \
-        .write.mode("overwrite").text(os.path.join(base, "_current"))
-    return version
+def replace_analyzed(df: DataFrame, base: str, version: int | None = None) -> str:
+    """Write a new version directory, then append its name to the list
+    of committed versions. A reader takes the newest committed one, so that
+    it never sees a half-written table, nor none while one is replaced. The
+    same ``version`` (a stream's batch id) written again replaces itself;
+    by default it is the time. Rows are sorted by score only within files
+    (no global sort)."""
+    name = f"v-{time.time_ns() if version is None else version:020d}"
+    df.sortWithinPartitions(F.col("total_threat_score").desc()).write.mode("overwrite").parquet(os.path.join(base, name))
+    df.sparkSession.createDataFrame([(name,)], "name string").coalesce(1).write.mode("append").text(os.path.join(base, "committed"))
+    return os.path.join(base, name)
 
 
 def read_analyzed(spark: SparkSession, base: str) -> DataFrame:
-    current = spark.read.text(os.path.join(base, "_current")).first()["value"]
-    return spark.read.parquet(current)
+    newest = spark.read.text(os.path.join(base, "committed")).agg(F.max("value")).first()[0]
+    return spark.read.parquet(os.path.join(base, newest))
 
 
-SINGLE_FILE_EXPORT_MAX = 100_000
-
-
-def export_incidents_csv(incidents: DataFrame, path: str) -> None:
-    """Five columns, header, every value quoted. An incident list up to
-    a checked size goes into one file; a larger one is written in parallel
-    (one header per part file)."""
+def export_incidents_csv(incidents: DataFrame, path: str, single_file: bool = False) -> None:
+    """Five columns, header, every value quoted. Written in parallel with
+    a header in each part file, or with ``single_file`` (for a list known to
+    be short) by one task into one file."""
     cols = [F.coalesce(F.col("username"), F.lit("")).alias("username"),
             F.coalesce(F.col("source_ip"), F.lit("")).alias("source_ip"),
             F.coalesce(F.col("final_risk_level"), F.lit("")).alias("risk_level"),
             F.coalesce(F.col("total_threat_score").cast("string"), F.lit("")).alias("threat_score"),
             F.coalesce(F.col("mitre_techniques"), F.lit("")).alias("mitre_techniques")]
     out = incidents.select(*cols)
-    if incidents.limit(SINGLE_FILE_EXPORT_MAX + 1).count() <= SINGLE_FILE_EXPORT_MAX:
+    if single_file:
         out = out.coalesce(1)
     out.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
 
@@ -87,11 +86,11 @@ def chunk_key():
 
 
 def save_chunks(chunks: DataFrame, path: str, existing: DataFrame | None = None) -> str:
-    """Vector table keyed by a content hash; re-running with the same
-    chunks adds nothing. Writes a new version directory and returns it."""
-    keyed = chunks.withColumn("chunk_key", chunk_key())
+    """Vector table keyed by a content hash. Only chunks that ``existing``
+    (the table read back) lacks are appended, so saving the same ones again
+    adds nothing and rewrites nothing."""
+    keyed = chunks.withColumn("chunk_key", chunk_key()).dropDuplicates(["chunk_key"])
     if existing is not None:
-        keyed = keyed.unionByName(existing.select(*keyed.columns))
-    out = os.path.join(path, f"v-{uuid.uuid4().hex}")
-    keyed.dropDuplicates(["chunk_key"]).write.mode("overwrite").parquet(out)
-    return out
+        keyed = keyed.join(existing.select("chunk_key"), "chunk_key", "left_anti")
+    keyed.write.mode("append").parquet(path)
+    return path

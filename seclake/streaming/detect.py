@@ -1,9 +1,10 @@
 """Detection loop on a stream (K4).
 
 Each micro-batch only signals new data: the batch pipeline re-runs over
-a bounded look-back of the raw table (late rows inside it are picked up)
-and replaces ``analyzed_logs`` through a versioned directory, so a
-replayed batch id rewrites the same result.
+the raw table (late rows are picked up) and replaces ``analyzed_logs``.
+The version is named by the batch id, so a replayed batch rewrites its own.
+``lookback_hours`` is an explicit choice: it cuts older rows off, and with
+them their share of the lifetime counts.
 """
 
 from __future__ import annotations
@@ -19,18 +20,19 @@ from ..plans import detection
 from ..sources import sinks
 
 
-def detection_batch(raw_path: str, analyzed_base: str, lookback_hours: int = 24, model: str = "forest",
+def detection_batch(raw_path: str, analyzed_base: str, lookback_hours: int | None = None, model: str = "forest",
                     cfg: DetectionConfig = DEFAULT):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         newest = batch.agg(F.max("timestamp").alias("m")).first()["m"]
         if newest is None:
             return
-        since = newest - dt.timedelta(hours=lookback_hours)
-        raw = spark.read.parquet(raw_path).where(
-            (F.col("event_date") >= F.lit(since.date().isoformat()).cast("date"))
-            & (F.col("timestamp") > ntz_lit(since)))
-        sinks.replace_analyzed(detection.analyze(raw.drop("event_date"), cfg, model=model), analyzed_base)
+        raw = spark.read.parquet(raw_path)
+        if lookback_hours is not None:
+            since = newest - dt.timedelta(hours=lookback_hours)
+            raw = raw.where((F.col("event_date") >= F.lit(since.date().isoformat()).cast("date"))
+                            & (F.col("timestamp") > ntz_lit(since)))
+        sinks.replace_analyzed(detection.analyze(raw.drop("event_date"), cfg, model=model), analyzed_base, batch_id)
     return run
 
 

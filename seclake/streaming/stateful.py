@@ -1,16 +1,17 @@
 """Exact trailing-window failure counts on a stream (K5).
 
-Row-frame and range windows are not supported on streams, so per user a
-small state keeps (a) rows whose time is still above the watermark
-(later rows may still arrive before them) and (b) failure times that can
-still fall inside a future row's window. A row is emitted once the
-watermark passes its time, with the count of that user's failures in
-``(t - window, t]`` — the same number the batch window gives, whatever
-the arrival order within the watermark delay. An event-time timeout just
-past the newest pending row makes an idle user's rows come out once the
-watermark passes them; rows newer than the final watermark wait in the
-checkpointed state for more data. State per user is bounded by time
-(delay + window), not by the user's volume.
+Row-frame and range windows are not supported on streams, so state keeps
+(a) rows whose time is still above the watermark (earlier rows may still
+arrive) and (b) failure times that can still fall inside a later row's
+window. A row comes out as soon as the watermark passes its time, with the
+count of that user's failures in ``(t - window, t]``: the number that the
+batch window gives, whatever the arrival order within the watermark delay.
+
+The state is keyed by user and time bucket (one window wide), and a failure is
+copied into the next bucket, so that a busy user is many small states
+that end with their buckets. The timer stands at the *oldest* pending
+row, so an idle user's rows come out as well; rows above the final
+watermark wait in the checkpointed state for more data.
 """
 
 from __future__ import annotations
@@ -33,54 +34,37 @@ OUTPUT_SCHEMA = T.StructType([
 STATE_SCHEMA = T.StructType([
     T.StructField("pend_us", T.ArrayType(T.LongType())),
     T.StructField("pend_id", T.ArrayType(T.LongType())),
-    T.StructField("pend_fail", T.ArrayType(T.IntegerType())),
     T.StructField("fail_us", T.ArrayType(T.LongType())),
 ])
 
 
 def _counter(window_us: int):
     def step(key, batches, state):
-        (user,) = key
-        if state.exists:
-            pend_us, pend_id, pend_fail, fail_us = state.get
-            pend_us, pend_id, pend_fail, fail_us = list(pend_us), list(pend_id), list(pend_fail), list(fail_us)
-        else:
-            pend_us, pend_id, pend_fail, fail_us = [], [], [], []
+        user, bucket = key[0], int(key[1])
+        pend_us, pend_id, fail_us = (list(x) for x in state.get) if state.exists else ([], [], [])
         for pdf in batches:
-            pend_us.extend(pdf["event_us"].astype("int64").tolist())
-            pend_id.extend(pdf["log_id"].astype("int64").tolist())
-            flags = pdf["is_failed_login"].astype("int32").tolist()
-            pend_fail.extend(flags)
-            fail_us.extend(u for u, f in zip(pdf["event_us"].astype("int64").tolist(), flags) if f == 1)
+            us = pdf["event_us"].astype("int64")
+            own = ~pdf["copy"].astype(bool)
+            pend_us.extend(us[own].tolist())
+            pend_id.extend(pdf["log_id"][own].astype("int64").tolist())
+            fail_us.extend(us[pdf["is_failed_login"] == 1].tolist())
         wm_us = state.getCurrentWatermarkMs() * 1000
-        p_us = np.asarray(pend_us, dtype=np.int64)
-        ready = p_us <= wm_us
+        p_us, p_id = np.asarray(pend_us, dtype=np.int64), np.asarray(pend_id, dtype=np.int64)
         fails = np.sort(np.asarray(fail_us, dtype=np.int64))
-        out = None
-        if ready.any():
-            t = p_us[ready]
-            hi = np.searchsorted(fails, t, side="right")
-            lo = np.searchsorted(fails, t - window_us, side="right")
-            out = pd.DataFrame({"username": user, "log_id": np.asarray(pend_id, dtype=np.int64)[ready],
-                                "event_us": t, "failed_last_10min": (hi - lo).astype(np.int64)})
-        keep = ~ready
-        p_left = p_us[keep]
-        # A failure is still needed while some pending or future row (time ≥
-        # watermark) can have it in its window.
-        horizon = min(int(p_left.min()) if p_left.size else wm_us, wm_us) - window_us
-        fails = fails[fails > horizon]
-        if p_left.size or fails.size:
-            state.update((p_left.tolist(), np.asarray(pend_id, dtype=np.int64)[keep].tolist(),
-                          np.asarray(pend_fail, dtype=np.int32)[keep].tolist(), fails.tolist()))
-            # Wake up once the watermark passes the newest pending row (all of
-            # them are final then), or, with nothing pending, once the last
-            # failure can no longer fall inside a future row's window.
-            until_us = int(p_left.max()) if p_left.size else int(fails.max()) + window_us
+        ready = p_us <= wm_us
+        t = p_us[ready]
+        counts = np.searchsorted(fails, t, side="right") - np.searchsorted(fails, t - window_us, side="right")
+        left, ids = p_us[~ready], p_id[~ready]
+        fails = fails[fails > wm_us - window_us]  # what a row above the watermark can still count
+        end_us = (bucket + 1) * window_us  # no row of this bucket is later
+        if left.size or end_us > wm_us:
+            state.update((left.tolist(), ids.tolist(), fails.tolist()))
+            until_us = int(left.min()) if left.size else end_us
             state.setTimeoutTimestamp(max(until_us // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        else:
+        elif state.exists:
             state.remove()
-        if out is not None:
-            yield out
+        if t.size:
+            yield pd.DataFrame({"username": user, "log_id": p_id[ready], "event_us": t, "failed_last_10min": counts.astype(np.int64)})
     return step
 
 
@@ -88,9 +72,11 @@ def failed_window_stream(rows: DataFrame, window_seconds: int = 600) -> DataFram
     """``rows``: stream with ``username, log_id, timestamp, is_failed_login``
     and a watermark on ``event_time``. Null users are not keyed (their
     count is 0 by definition) and are left out of this output."""
+    width = window_seconds * 1_000_000
+    failed = F.col("is_failed_login") == 1
     prepared = (rows.where(F.col("username").isNotNull() & F.col("timestamp").isNotNull())
-                .select("username", "log_id", "event_time", micros("timestamp").alias("event_us"),
-                        "is_failed_login"))
-    return prepared.groupBy("username").applyInPandasWithState(
-        _counter(window_seconds * 1_000_000), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.EventTimeTimeout)
+                .select("username", "log_id", "event_time", micros("timestamp").alias("event_us"), "is_failed_login",
+                        F.explode(F.when(failed, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("shift"))
+                .withColumns({"bucket": F.floor(F.col("event_us") / width) + F.col("shift"), "copy": F.col("shift") > 0}))
+    return prepared.groupBy("username", "bucket").applyInPandasWithState(
+        _counter(width), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)

@@ -71,3 +71,18 @@ def test_vectorised_walk_equals_naive_traversal():
                 depth += 1
             total += depth + forest.avg_path_length([tree.loc[node, "size"]])[0]
         assert math.isclose(fast[i], -2 ** (-(total / 7) / c), rel_tol=1e-12)
+
+
+def test_saved_model_scores_like_fit_and_score(spark, scratch):
+    from seclake.operators import anomaly
+    from seclake.session import materialize
+    raw = fixtures.raw_logs(spark, SF_SMALL)
+    feats = materialize(detection.features_of(raw), "saved-model-features")
+    nodes, psi = forest.fit_nodes(feats)
+    nodes = materialize(nodes, "saved-model-nodes")
+    scored = forest.score(feats, forest.Forest.from_nodes(nodes.toPandas(), psi), "s")
+    forest.save(nodes, psi, anomaly.score_offset(scored, "s"), scratch + "/model")
+    cols = ["log_id", "anomaly_score_raw", "is_anomaly", "total_threat_score", "final_risk_level"]
+    saved = detection.analyze(raw, model="saved", saved=forest.load(spark, scratch + "/model")).select(*cols)
+    fitted = detection.analyze(raw, model="forest").select(*cols)
+    assert sorted(map(tuple, saved.collect())) == sorted(map(tuple, fitted.collect()))

@@ -273,7 +273,7 @@ def test_knn_chunks_large_query_sets(spark):
     corpus = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(40)], "vec_id long, embedding array<float>")
     queries = spark.createDataFrame([(q, [float(q) + 0.1, 0.0]) for q in range(9)], "query_id long, query_vec array<double>")
     one = retrieval.knn(corpus, queries, k=2).collect()
-    many = retrieval.knn(corpus, queries, k=2, max_queries=2).collect()
+    many = retrieval.knn(corpus, queries, k=2, query_group=2, row_group=2).collect()
     assert sorted(one) == sorted(many)
     assert {(r.query_id, r.vec_id) for r in one if r.rank == 1} == {(q, q) for q in range(9)}
 

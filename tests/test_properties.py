@@ -78,7 +78,7 @@ def test_score_is_weighted_flags_and_level_monotone(spark):
 
 def test_dense_index_distributed_path(spark):
     values = spark.createDataFrame([(f"s{i % 37:03d}",) for i in range(500)], "ip_subnet string")
-    got = indexing.dense_index(values, "ip_subnet", "enc", partitions=5, single_task_max=0).collect()
+    got = indexing.dense_index(values, "ip_subnet", "enc", partitions=5).collect()
     assert sorted((r.enc, r.ip_subnet) for r in got) == list(enumerate(sorted({f"s{i % 37:03d}" for i in range(500)})))
 
 
@@ -97,20 +97,42 @@ def test_running_sum_matches_cumsum(spark):
         assert before < r.cum <= before + by_key[(r.t, r.kind)] or (r.w == 0 and before <= r.cum <= before + by_key[(r.t, r.kind)])
 
 
-def test_incident_sort_distributed_path_equals_window(spark):
-    from seclake.operators import indexing, reports
+def test_incident_sort_equals_plain_sort(spark):
+    from seclake.operators import reports
     import random
     rnd = random.Random(11)
     rows = [(i, f"user{rnd.randint(0, 30)}", rnd.randint(0, 12)) for i in range(400)]
     df = spark.createDataFrame(rows, "log_id long, username string, total_threat_score int")
-    small = {(r.log_id, r.sort_rank) for r in reports.incident_sort(df, "username", descending=False).collect()}
-    old = reports.SORT_SINGLE_TASK_MAX
-    reports.SORT_SINGLE_TASK_MAX = 10
-    try:
-        big = {(r.log_id, r.sort_rank) for r in reports.incident_sort(df, "username", descending=False).collect()}
-        num = {(r.log_id, r.sort_rank) for r in reports.incident_sort(df, "total_threat_score").collect()}
-    finally:
-        reports.SORT_SINGLE_TASK_MAX = old
-    assert small == big
-    expect = sorted(rows, key=lambda r: (-r[2], r[0]))
-    assert num == {(r[0], i + 1) for i, r in enumerate(expect)}
+    text = {(r.log_id, r.sort_rank) for r in reports.incident_sort(df, "username", descending=False).collect()}
+    num = {(r.log_id, r.sort_rank) for r in reports.incident_sort(df, "total_threat_score").collect()}
+    assert text == {(r[0], i + 1) for i, r in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
+    assert num == {(r[0], i + 1) for i, r in enumerate(sorted(rows, key=lambda r: (-r[2], r[0])))}
+
+
+def test_order_statistic_equals_sorting(spark):
+    """Ties, negative and huge values, neighbours in floating point; few bins, so that bins are split again."""
+    import math
+    import random
+    from seclake.operators import anomaly
+    rnd = random.Random(5)
+    values = [rnd.gauss(0, 1) for _ in range(300)] + [0.25] * 100 + [1e300, -1e300, 1.0, math.nextafter(1.0, 2.0)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    want = sorted(values)
+    for rank in (0, 1, 12, 200, 250, 302, len(values) - 1):
+        assert anomaly.order_statistic(df.where("v is not null"), rank, bins=7) == want[rank]
+    from seclake.config import DEFAULT
+    at = (len(values) - 1) * DEFAULT.contamination
+    assert anomaly.score_offset(df, "v") == want[int(at)] + (at - int(at)) * (want[int(at) + 1] - want[int(at)])
+
+
+def test_every_tree_draws_its_own_rows(spark):
+    """Distinct fitted rows are close to trees × ψ, not a shared pool."""
+    from seclake.config import DEFAULT, MODEL_FEATURES
+    from seclake.operators import forest
+    n = 200_000
+    feats = spark.range(n).select(F.col("id").alias("log_id"), *[F.col("id").cast("double").alias(c) for c in MODEL_FEATURES])
+    chosen, psi = forest.sample_for_trees(feats, rows=n)
+    sizes = {r["count"] for r in chosen.groupBy("tree_id").count().collect()}
+    assert sizes == {psi}
+    expected = n * (1 - (1 - psi / n) ** DEFAULT.trees)  # of independent draws
+    assert chosen.select("_key").distinct().count() >= 0.97 * expected >= 0.9 * 0.9 * DEFAULT.trees * psi

@@ -88,6 +88,26 @@ def test_sinks_roundtrip(spark, scratch):
     an = os.path.join(scratch, "analyzed")
     sinks.replace_analyzed(df.withColumn("total_threat_score", F.lit(3)), an)
     assert sinks.read_analyzed(spark, an).count() == 1
+    two = df.unionAll(df).withColumn("total_threat_score", F.lit(3))
+    sinks.replace_analyzed(two, an)
+    assert sinks.read_analyzed(spark, an).count() == 2
+    by_batch = os.path.join(scratch, "by-batch")
+    for batch, rows in ((0, df), (1, df.unionAll(df)), (1, df)):  # batch 1 is replayed
+        sinks.replace_analyzed(rows.withColumn("total_threat_score", F.lit(3)), by_batch, batch)
+    assert sinks.read_analyzed(spark, by_batch).count() == 1
+
+
+def test_cutoff_set_clear_status(spark, scratch):
+    from seclake.sources import cutoff
+    path = os.path.join(scratch, "cutoff")
+    assert cutoff.status(spark, path).first() == (False, None)
+    cutoff.set_cutoff(spark, path, dt.datetime(2024, 1, 2))
+    cutoff.set_cutoff(spark, path, dt.datetime(2024, 1, 3, 4, 5, 6))
+    assert cutoff.status(spark, path).first() == (True, dt.datetime(2024, 1, 3, 4, 5, 6))
+    cutoff.clear_cutoff(spark, path)
+    assert cutoff.status(spark, path).first() == (False, None) and cutoff.current(spark, path).count() == 0
+    cutoff.set_cutoff(spark, path)
+    assert abs((cutoff.status(spark, path).first()[1] - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).total_seconds()) < 60
 
 
 def test_csv_export_quotes_everything(spark, scratch):
@@ -95,7 +115,7 @@ def test_csv_export_quotes_everything(spark, scratch):
                                "username string, source_ip string, final_risk_level string, "
                                "total_threat_score int, mitre_techniques string")
     out = os.path.join(scratch, "csv")
-    sinks.export_incidents_csv(df, out)
+    sinks.export_incidents_csv(df, out, single_file=True)
     text = "".join(open(os.path.join(out, f)).read() for f in os.listdir(out) if f.endswith(".csv"))
     assert text.splitlines()[0] == '"username","source_ip","risk_level","threat_score","mitre_techniques"'
     assert text.splitlines()[1] == '"a,b","1.1.1.1","HIGH","7","x ""y"""'
