@@ -82,6 +82,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+LARGEST_ESTIMATE = 1 << 50
+
+
 def partitions_for(df: DataFrame, requested: int | None = None) -> int:
     """Partition count for an explicit range repartition: at least the
     configured shuffle partitions, and enough that each holds about the AQE
@@ -96,4 +99,6 @@ def partitions_for(df: DataFrame, requested: int | None = None) -> int:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:
         return base
+    if size > LARGEST_ESTIMATE:  # Catalyst's way of saying that it doesn't know
+        return base
     return int(max(base, -(-size // max(target_bytes, 1))))
