@@ -4,8 +4,9 @@ Writing. Every page becomes one record. Of pages with equal payloads the
 one with the smallest id is a ``response`` with the payload in its block; the
 others are ``revisit`` records that refer to it. Archives are plain WARC/1.1
 files, written by Spark's text writer with the record end as line separator:
-page text is UTF-8, and so are the headers. A file holds at most
-``RECORDS`` records.
+page text is UTF-8, and so are the headers. A file holds at most ``RECORDS``
+records and is compressed as a whole; offsets in the index are those of the
+uncompressed archive.
 
 Reading. Each archive is parsed by its Content-Length headers, its payloads'
 digests are recomputed and held against the headers, and its captures, sorted
@@ -25,6 +26,7 @@ other id's page; if all ids are null, all are responses. A null URL has the empt
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -102,7 +104,7 @@ def write_archives(rows: DataFrame, path: str, first_capture: int = FIRST_CAPTUR
         F.when(revisit, F.concat(F.lit(f"WARC-Profile: {PROFILE}{CRLF}WARC-Refers-To: "), record_id("refers_to"))),
         F.lit("Content-Type: application/http; msgtype=response"), F.concat(F.lit("Content-Length: "), block.cast("string")))
     record = F.concat(head, F.lit(END), F.col("http"), F.when(revisit, "").otherwise(F.col("payload")))
-    rows.select(record.alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", RECORDS).text(path)
+    rows.select(record.alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", RECORDS).option("compression", "gzip").text(path)
 
 
 def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes, int, int]]:
@@ -129,7 +131,7 @@ def read_captures(spark: SparkSession, path: str) -> DataFrame:
 
     def captures(name: str, archive: bytes) -> list[tuple]:
         out = []
-        for headers, block, offset, length in parse(archive):
+        for headers, block, offset, length in parse(gzip.decompress(archive)):
             http, _, payload = block.partition(b"\r\n\r\n")
             size = int(http.rpartition(b"Content-Length: ")[2])
             digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")

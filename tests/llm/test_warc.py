@@ -1,4 +1,5 @@
 import base64
+import gzip
 import hashlib
 import random
 
@@ -39,7 +40,7 @@ def test_payloads_come_back(spark, scratch):
     pages = spark.createDataFrame([(i, u, h) for i, u, h in ODD], "page_id long, url string, html string")
     warc.write_archives(warc.decided(pages), scratch + "/w")
     from pathlib import Path
-    payloads = [b.partition(b"\r\n\r\n")[2].decode() for f in Path(scratch, "w").glob("part-*") for h, b, _, _ in warc.parse(f.read_bytes()) if h["WARC-Type"] == "response"]
+    payloads = [b.partition(b"\r\n\r\n")[2].decode() for f in Path(scratch, "w").glob("part-*") for h, b, _, _ in warc.parse(gzip.decompress(f.read_bytes())) if h["WARC-Type"] == "response"]
     assert set(payloads) == {h or "" for _, _, h in ODD} and len(payloads) == sum(r[3] == "response" for r in brute(ODD))
 
 
