@@ -36,13 +36,13 @@ from seclake.llm.common import unit_hash
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 20_000     # documents that are looked through for windows, about
-SAMPLE_WINDOWS = 1500    # windows that the field is fitted on, at most
+SAMPLE_WINDOWS = 800     # windows that the field is fitted on, at most
 WINDOW_TOKENS = 300      # of a window that is learned from
 MAX_TOKENS = 16          # of a candidate span
 MAX_CHARS = 64
 CONTEXT = 12             # characters around a number that belong to its window
 BUCKETS = 1 << 13
-EPOCHS = 10
+EPOCHS = 8
 MARGIN = 1.0             # what an added span has to gain
 Span = tuple[str, int, int]
 
