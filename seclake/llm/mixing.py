@@ -40,6 +40,7 @@ LEAST_DOCS = 3        # sampled documents that a feature stands in
 LEAST_G = 30.0        # the G statistic (of independence) of a feature and the domain
 ROUNDS = 60
 TOLERANCE = 1e-3      # largest miss of a target, as a share of it
+STALLED = 0.999       # share of the squared misses that a round has to go below; else no rates meet the targets better
 FIT_ROUNDS = 300
 DECAY = 3e-4
 PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
@@ -171,18 +172,21 @@ def rates(soft: DataFrame, weights: list[float], budget: float | None = None, ma
     if budget is None:
         budget = min((m / w for m, w in zip(there, weights) if w > 0), default=0.0)
     targets = [budget * w for w in weights]
-    rate, now = F.lit(1.0), there
+    rate, now, history, before = F.lit(1.0), there, [], np.inf
     for _ in range(ROUNDS):
         # In steps of a token count for each domain: no step then overshoots, as posteriors sum to 1.
         miss = [(a - t) / m if m > 0 else 0.0 for a, t, m in zip(now, targets, there)]
-        if all(abs(a - t) <= TOLERANCE * max(t, 1e-3 * budget) for a, t in zip(now, targets)):
+        squares = sum((a - t) * e for a, t, e in zip(now, targets, miss))
+        if all(abs(a - t) <= TOLERANCE * max(t, 1e-3 * budget) for a, t in zip(now, targets)) or squares > STALLED * before:
             break
-        step = F.lit(0.0)
-        for x, e in zip(p, miss):
-            step = step + x * F.lit(float(e))
-        rate = F.greatest(F.lit(0.0), rate - step)
-        if max_rate is not None:
-            rate = F.least(F.lit(float(max_rate)), rate)
+        before = squares
+        history.append(F.array(*[F.lit(float(e)) for e in miss]))
+
+        def moved(rate: Column, miss: Column) -> Column:
+            step = sum((x * F.element_at(miss, k + 1) for k, x in enumerate(p)), F.lit(0.0))
+            rate = F.greatest(F.lit(0.0), rate - step)
+            return rate if max_rate is None else F.least(F.lit(float(max_rate)), rate)
+        rate = F.aggregate(F.array(*history), F.lit(1.0), moved)
         now = expected(rate)
     return rate, now, targets
 

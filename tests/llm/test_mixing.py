@@ -11,11 +11,13 @@ SCHEMA = "tokens long, posterior array<double>"
 def brute_rates(tokens, p, targets, max_rate, rounds=60, tolerance=1e-3):
     """The same descent in numpy."""
     there = (tokens[:, None] * p).sum(axis=0)
-    r = np.ones(len(tokens))
+    r, before = np.ones(len(tokens)), np.inf
     for _ in range(rounds):
         now = (tokens[:, None] * r[:, None] * p).sum(axis=0)
-        if (abs(now - targets) <= tolerance * np.maximum(targets, 1e-3 * sum(targets))).all():
+        squares = ((now - targets) ** 2 / there).sum()
+        if (abs(now - targets) <= tolerance * np.maximum(targets, 1e-3 * sum(targets))).all() or squares > mixing.STALLED * before:
             break
+        before = squares
         r = np.clip(r - p @ np.where(there > 0, (now - targets) / np.where(there > 0, there, 1), 0), 0, max_rate)
     return r
 

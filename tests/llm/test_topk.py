@@ -21,7 +21,7 @@ def brute(rows, k, scale, is_query):
 def small(monkeypatch):
     monkeypatch.setattr(topk, "QUERY_GROUP", 7)
     monkeypatch.setattr(topk, "CANDIDATE_GROUP", 40)
-    monkeypatch.setattr(topk, "BINS", 64)  # so that windows are refined several times
+    monkeypatch.setattr(topk, "BINS", 300)  # so that windows are refined several times
 
 
 def run(spark, rows, k=10, mod=10):
