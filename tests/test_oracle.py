@@ -4,11 +4,11 @@ and every rows-only query runs."""
 import pytest
 
 import __spark_entry__ as entry
+from seclake.plans import catalog
 from conftest import SF_SMALL
 from oracle_harness import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE
 
 
 @pytest.fixture(scope="module")
