@@ -18,7 +18,7 @@ partition's texts, all of them, from the same start; the parameters are then ave
 by number of tokens (``ROUNDS`` times), so the model sees the whole corpus
 and what is gathered grows with it. The counts cover all training texts too.
 
-Counts of the ``KNOWN`` most frequent tokens (a bounded table) go to the tasks;
+Counts of the most frequent tokens (at most ``KNOWN``) go to the tasks;
 all other words of a text meet their counts in a join on the word.
 
 Null text is empty, an empty text is one end. Without training texts every
@@ -207,12 +207,30 @@ class Model:
         self.log_other = float(np.log10(max(total - ends - in_head, 0) + SMOOTH * (max(distinct - (ends > 0) - len(head), 0) + 1)))
 
 
+def most_frequent(counts: DataFrame) -> dict[bytes, int]:
+    """The most frequent words, most frequent first: as many whole classes of
+    frequency (a sixteenth of a natural logarithm wide) as fit ``KNOWN``. A
+    few hundred numbers decide which; then only those words come to the
+    driver, where a sort with a limit would send it that many from each task."""
+    frequency = F.floor(16 * F.log("c"))
+    total, least = 0, None
+    for r in counts.groupBy(frequency.alias("f")).agg(F.count("*").alias("n")).orderBy(F.desc("f")).collect():
+        total += r["n"]
+        if total > KNOWN:
+            break
+        least = r["f"]
+    if least is None:
+        return {}
+    rows = counts.where(frequency >= least).collect()
+    return {w: c for w, c in sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))}
+
+
 def train(docs: DataFrame, text_col: str = "text") -> tuple[Model, DataFrame]:
     """A model of all texts of ``docs`` and the counts of all their words."""
     counts = materialize(count_tokens(docs, text_col), "counts")
     ends = docs.count()
     words, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    known = {bytes(r["word"]): r["c"] for r in counts.orderBy(F.desc("c"), "word").limit(KNOWN).collect()}
+    known = most_frequent(counts)
     head = {w: k for k, w in enumerate(list(known)[:HEAD], 2)}
     unigram = np.array([ends, 0, *[known[w] for w in head]], dtype=np.float64)
     unigram[OTHER] = words - unigram[2:].sum()
