@@ -35,12 +35,13 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are drawn at the rates that meet the target weights, none more than once."""
+    """Documents are drawn at the rates that meet the target weights, none more than once; a lack of low or toxic ones costs no clean one."""
     labels = mixing.labelled_domains(table(spark, sf_dir, "labels"))
     classifier = mixing.train(docs, labels, list(queries.TARGETS))
     name = free_name(docs, "soft")
     soft = materialize(docs.withColumn(name, mixing.classified(docs, classifier)), "soft")
-    rate, _, _ = mixing.rates(soft, list(queries.TARGETS.values()), max_rate=1.0, posterior=f"{name}.posterior", tokens=f"{name}.tokens")
+    kept = list(queries.TARGETS).index(queries.KEPT)
+    rate, _, _ = mixing.rates(soft, list(queries.TARGETS.values()), max_rate=1.0, posterior=f"{name}.posterior", tokens=f"{name}.tokens", keep=kept)
     return soft.where(mixing.copies(rate, F.col("doc_id")) > 0).select(*docs.columns)
 
 

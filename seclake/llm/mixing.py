@@ -157,11 +157,14 @@ def classified(docs: DataFrame, classifier: Classifier, text_col: str = "text")
     return F.pandas_udf(run, "tokens long, posterior array<double>")(F.col(text_col))
 
 
-def rates(soft: DataFrame, weights: list[float], budget: float | None = None, max_rate: float | None = 1.0, posterior: str = "posterior", tokens: str = "tokens") -> tuple[Column, list[float], list[float]]:
+def rates(soft: DataFrame, weights: list[float], budget: float | None = None, max_rate: float | None = 1.0, posterior: str = "posterior", tokens: str = "tokens", keep: int | None = None) -> tuple[Column, list[float], list[float]]:
     """(rate as an expression of the posterior, expected tokens by domain, targets).
 
     ``budget``: tokens to take in all. Without one, as many as the domains
-    can give at these weights without any document being taken more than once."""
+    can give at these weights without any document being taken more than once.
+    ``keep``: number of a domain all of whose tokens are the target, if there is no
+    budget. The weights of the others, against its own, are then upper shares: of a domain
+    that has less the target is what is there, so that no lack of it costs the kept one."""
     p = [F.element_at(posterior, k + 1) for k in range(len(weights))]
 
     def expected(rate: Column) -> list[float]:
@@ -169,9 +172,15 @@ def rates(soft: DataFrame, weights: list[float], budget: float | None = None, ma
 
     there = expected(F.lit(1.0))
     weights = [w / sum(weights) for w in weights]
-    if budget is None:
-        budget = min((m / w for m, w in zip(there, weights) if w > 0), default=0.0)
-    targets = [budget * w for w in weights]
+    if budget is None and keep is not None:
+        if weights[keep] <= 0:
+            raise ValueError("the domain to keep needs a weight")
+        budget = there[keep] / weights[keep]
+        targets = [min(m, budget * w) if k != keep else m for k, (m, w) in enumerate(zip(there, weights))]
+    else:
+        if budget is None:
+            budget = min((m / w for m, w in zip(there, weights) if w > 0), default=0.0)
+        targets = [budget * w for w in weights]
     rate, now, history, before = F.lit(1.0), there, [], np.inf
     for _ in range(ROUNDS):
         # In steps of a token count for each domain: no step then overshoots, as posteriors sum to 1.
@@ -191,13 +200,13 @@ def rates(soft: DataFrame, weights: list[float], budget: float | None = None, ma
     return rate, now, targets
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", budget: float | None = None, max_rate: float | None = 1.0) -> DataFrame:
-    """One row per row of ``docs``: id, ``tokens``, ``posterior`` (a map), ``rate``, ``copies``."""
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", budget: float | None = None, max_rate: float | None = 1.0, keep: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: id, ``tokens``, ``posterior`` (a map), ``rate``, ``copies``. ``keep``: a domain, as in ``rates``."""
     domains = list(targets)
     classifier = train(docs, labels, domains, id_col, text_col)
     soft = docs.select(F.col(id_col).alias("id"), classified(docs, classifier, text_col).alias("x"))
     soft = materialize(soft.select("id", "x.tokens", "x.posterior"), "posteriors")
-    rate, _, _ = rates(soft, list(targets.values()), budget, max_rate)
+    rate, _, _ = rates(soft, list(targets.values()), budget, max_rate, keep=None if keep is None else domains.index(keep))
     found = soft.withColumn("rate", rate)
     posterior = F.map_from_arrays(F.array(*map(F.lit, domains)), F.col("posterior"))
     return found.select(F.col("id").alias(id_col), "tokens", posterior.alias("posterior"), "rate", copies(F.col("rate"), F.col("id")).alias("copies"))

@@ -22,15 +22,16 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-#: Shares of the tokens by domain that the mix aims at. The last two are few enough that clean documents limit the total and are all
-#: taken, and no fewer than what the posteriors of clean documents add up to (with less, no rates could meet them).
+#: Shares of the tokens by domain that the mix aims at. Clean documents set the total and are all taken; the shares of the last two are upper
+#: ones where there is less of them, and no fewer than what the posteriors of clean documents add up to (with less, no rates could meet them).
 TARGETS = {"clean": 0.90, "low": 0.04, "toxic": 0.06}
+KEPT = "clean"
 
 
 @register("op1_soft_mixing")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = mixing.labelled_domains(table(spark, sf_dir, "labels"))
-    found = mixing.mix(table(spark, sf_dir, "documents"), labels, TARGETS)
+    found = mixing.mix(table(spark, sf_dir, "documents"), labels, TARGETS, keep=KEPT)
     return found.select("doc_id", "tokens", *[F.col("posterior")[d].alias(f"p_{d}") for d in TARGETS], "rate", "copies")
 
 

@@ -3,6 +3,7 @@ import pytest
 from conftest import SF_MID
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from seclake.llm import mixing, queries
 
 SCHEMA = "tokens long, posterior array<double>"
@@ -38,6 +39,23 @@ def test_rates_meet_the_targets(spark, max_rate, budget):
     assert (got[:, None] * tokens[:, None] * p).sum(axis=0) == pytest.approx(now, rel=1e-6)
 
 
+@pytest.mark.parametrize("low,toxic", [(0.05, 0.0), (0.05, 0.005), (0.05, 0.02), (0.0, 0.0), (0.0, 0.3), (0.11, 0.13)])
+def test_scarce_domains_cost_no_clean_document(spark, scratch, low, toxic):
+    n, draw = 1000, np.random.default_rng(3)
+    kinds = ["toxic"] * int(toxic * n) + ["low"] * int(low * n)
+    kinds += ["clean"] * (n - len(kinds))
+    texts = [" ".join(draw.choice([f"{d}{k}" for k in range(20)] + [f"any{k}" for k in range(20)], 30)) for d in kinds]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame([(k, int(d != "low"), int(d == "toxic")) for k, d in enumerate(kinds)], "doc_id long, quality int, toxic int").write.parquet(f"{scratch}/labels.parquet")
+    rows = queries.op1(spark, scratch).collect()
+    left = [kinds[r.doc_id] for r in corpus_pipeline.mixture(spark, spark.read.parquet(f"{scratch}/documents.parquet"), scratch).collect()]
+    clean = kinds.count("clean")
+    assert np.mean([r.rate for r in rows if kinds[r.doc_id] == "clean"]) > 0.98 and left.count("clean") > 0.98 * clean
+    for d, share in (("low", low), ("toxic", toxic)):  # all of a scarce domain, else its share
+        want = min(share * n, clean * queries.TARGETS[d] / queries.TARGETS["clean"])
+        assert sum(r.rate for r in rows if kinds[r.doc_id] == d) == pytest.approx(want, rel=0.1, abs=1)
+
+
 def test_documents_table(spark):
     got = queries.op1(spark, SF_MID)
     assert got.columns == ["doc_id", "tokens", "p_clean", "p_low", "p_toxic", "rate", "copies"]
