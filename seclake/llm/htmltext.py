@@ -2,7 +2,9 @@
 
 1. ``build`` reads the markup into a tree. Tags that HTML implies are added
    (a row for a cell outside one, an end for a paragraph before a block, for an
-   item before the next one, for everything inside an element that ends);
+   item before the next one, for everything inside an element that ends); what may
+   not stand between a table's parts moves before the table, as in browsers, in a block of its own, and cells, rows
+   and sections come out of what misplaced elements stand around them;
    elements below ``DEPTH`` levels become siblings, as in browsers, so that no
    text is lost and nothing recurses deeper. One pass, linear in the page.
 2. ``render`` walks the tree. Invisible elements go (scripts, styles, the
@@ -45,6 +47,11 @@ ENDS = {
     "td": (("td", "th", "caption"), ("table",)), "th": (("td", "th", "caption"), ("table",)), "tr": (("tr", "td", "th", "caption"), ("table",)),
     "thead": (("thead", "tbody", "tfoot", "tr", "caption"), ("table",)), "tbody": (("thead", "tbody", "tfoot", "tr", "caption"), ("table",)), "tfoot": (("thead", "tbody", "tfoot", "tr", "caption"), ("table",)),
 }
+SECTIONS = ("thead", "tbody", "tfoot")
+CELLS = ("td", "th", "caption")
+#: Elements of a table that hold only other parts of it, and those parts.
+FRAMES = frozenset(("table", "tr", "colgroup", *SECTIONS))
+PARTS = frozenset(("tr", "colgroup", "col", *SECTIONS, *CELLS))
 P_LIMITS = ("table", "td", "th", "caption", "button", "object", "template")
 
 NAME = re.compile(r"/?([A-Za-z][^\s/>]*)")
@@ -89,9 +96,28 @@ def _tag_end(html: str, at: int, missing: set[str]) -> int:
 def build(html: str) -> Element:
     root = Element("html")
     stack, open_tags = [root], {"html": 1}
+    moved: dict[int, Element] = {}  # by open table: the block before it that misplaced content goes to
+
+    def add(child: Element | str) -> None:
+        """Into the open element, or before its table if it may not stand there."""
+        if stack[-1].tag not in FRAMES or not open_tags.get("table"):
+            stack[-1].children.append(child)
+            return
+        k = next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == "table")
+        block = moved.get(id(stack[k]))
+        if isinstance(child, Element) and child.tag in PARTS:
+            moved.pop(id(stack[k]), None)  # what is misplaced after a part is a block of its own
+            stack[-1].children.append(child)
+        elif child.tag in HIDDEN if isinstance(child, Element) else not child.strip() and block is None:
+            stack[-1].children.append(child)
+        else:
+            if block is None:
+                block = moved[id(stack[k])] = Element("div")
+                stack[k - 1].children.insert(len(stack[k - 1].children) - 1, block)  # an open table is the last child
+            block.children.append(child)
 
     def push(element: Element) -> None:
-        stack[-1].children.append(element)
+        add(element)
         if len(stack) < DEPTH:
             stack.append(element)
             open_tags[element.tag] = open_tags.get(element.tag, 0) + 1
@@ -114,16 +140,38 @@ def build(html: str) -> Element:
 
     def imply(tag: str) -> None:
         """What stands between a table's parts and the open element."""
-        if tag in ("td", "th", "tr", "thead", "tbody", "tfoot", "caption") and not open_tags.get("table"):
+        if tag not in PARTS:
+            return
+        if not open_tags.get("table"):
             push(Element("table"))
-        if tag in ("td", "th") and not any(x.tag == "tr" for x in _inside_table(stack)):
+        above = clear("table", *(("tr", *SECTIONS) if tag in ("td", "th") else SECTIONS if tag == "tr" else ()))
+        if tag in ("td", "th") and above != "tr":
             push(Element("tr"))
 
+    def clear(*frames: str) -> str | None:
+        """Ends everything inside the nearest open element of ``frames``, and returns its tag."""
+        for k in range(len(stack) - 1, 0, -1):
+            if stack[k].tag in frames:
+                cut(k + 1)
+                return stack[k].tag
+        return None
+
+    def frame() -> bool:
+        """Whether a table is open, and no cell or caption of it."""
+        return bool(open_tags.get("table")) and next((x.tag not in CELLS for x in reversed(stack) if x.tag in CELLS or x.tag in FRAMES), False)
+
     def start(tag: str, attributes: str) -> Element | None:
         if tag in ("html", "body"):
             if tag == "body":
                 end(("head",), ())
             return None
+        if tag == "table" and frame():  # it ends the open one
+            clear("table")
+            cut(len(stack) - 1)
+        elif tag in ("caption", "colgroup", "col") and frame():
+            clear(*(("table", "colgroup") if tag == "col" else ("table",)))
+        elif tag == "form" and stack[-1].tag in FRAMES:
+            return None  # browsers leave it empty there
         if open_tags.get("p") and tag in CLOSES_P:
             end(("p",), P_LIMITS)
         if tag in HEADINGS and stack[-1].tag in HEADINGS:
@@ -135,7 +183,7 @@ def build(html: str) -> Element:
             end(("head",), ())
         element = Element(tag, attributes)
         if tag in VOID:
-            stack[-1].children.append(element)
+            add(element)
         else:
             push(element)
         return element
@@ -145,7 +193,7 @@ def build(html: str) -> Element:
         lt = html.find("<", at)
         text_end = n if lt < 0 else lt
         if text_end > at:
-            stack[-1].children.append(html[at:text_end])
+            add(html[at:text_end])
         if lt < 0:
             break
         if html.startswith("<!--", lt):
@@ -158,7 +206,7 @@ def build(html: str) -> Element:
             continue
         m = NAME.match(html, lt + 1)
         if not m:
-            stack[-1].children.append("<")
+            add("<")
             at = lt + 1
             continue
         close = _tag_end(html, m.end(), missing)
@@ -192,13 +240,6 @@ def build(html: str) -> Element:
     return root
 
 
-def _inside_table(stack: list[Element]):
-    for x in reversed(stack):
-        if x.tag == "table":
-            return
-        yield x
-
-
 def visible(element: Element) -> bool:
     if element.tag in HIDDEN:
         return False
@@ -321,6 +362,16 @@ def _rows(element: Element):
                 yield from _rows(child)
 
 
+def _captions(element: Element):
+    """Captions, and cells without a row (below ``DEPTH`` levels)."""
+    for child in element.children:
+        if isinstance(child, Element) and visible(child):
+            if child.tag in SECTIONS or child.tag == "colgroup":
+                yield from _captions(child)
+            elif child.tag in CELLS:
+                yield child
+
+
 def table(element: Element, depth: int) -> list[str]:
     """Aligned columns if all cells are short single lines, else the cells as blocks."""
     rows, widths = [], []
@@ -344,12 +395,8 @@ def table(element: Element, depth: int) -> list[str]:
                 at += span
         small = len(widths) <= SPAN and sum(widths) + 2 * len(widths) <= TABLE_WIDTH
     out = Lines()
-    for child in element.children:  # captions, and what stands in a table where it may not
-        if isinstance(child, str):
-            if child.strip():
-                out.text(unescape(child))
-        elif visible(child) and child.tag not in ("tr", "thead", "tbody", "tfoot", "colgroup"):
-            out.add(render(child, False, depth), False)
+    for child in _captions(element):
+        out.add(render(child, False, depth), False)
     out.end_line()
     for cells in rows:
         if small:

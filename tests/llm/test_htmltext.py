@@ -33,6 +33,33 @@ def test_layout(html):
     assert htmltext.text_of(html) == CASES[html]
 
 
+#: Content that may not stand where it does in a table, and all words that browsers show.
+MISPLACED = {
+    "<table><tr>text<td>a</table>": "text\na", "<table><tr><td>a</td><b>x</b></tr></table>": "x\na", "<table><tr><td>a</td>one<td>b</td>two</table>": "one\ntwo\na  b",
+    "<table><tr><table><tr><td>in</table></tr></table>": "in", "<table><tbody><div>x</div><tr><td>a</table>": "x\na", "<table><thead>h<tfoot>f</table>": "h\nf",
+    "<table><tr><form><td>a</td><td>b</td></form></tr><tr><td>c</table>": "a  b\nc", "<table><tbody><form><tr><td>a</td></tr></form><tr><td>b</table>": "a\nb",
+    "<table><form hidden><tr><td>a</form></table>z": "a\n\nz", "<table><tr><div><td>a</div><span><td>b</table>": "a  b", "<table><div><tr><td>a</div></table>": "a",
+    "<table><colgroup><col>x<tr><td>a</table>": "x\na", "<table><tr><caption>cap</caption><td>a</table>": "cap\na", "<table><tr><td>a<tr><caption>cap</caption></table>": "cap\na",
+    "pre<table>one <b>two</b> <i>three</i><tr><td>a</table>": "pre\none two three\n\na", "<table><tr>a < b<td>c</table>": "a < b\nc",
+    "<table><tr><textarea>t</textarea><td>a</table>": "t\na", "<table><tr>x<br>y<td>a</table>": "x\ny\na", "<table><tr><script>no</script><td>a<tr style='display:none'>yes<td>no</table>": "yes\na",
+    "<table><tr><td>a<table>x<tr><td>b</table></table>": "a\nx\n\nb", "<table><tr><ul><li>i<li>j</ul><td>a</table>": "- i\n- j\n\na",
+}
+
+
+@pytest.mark.parametrize("html", list(MISPLACED))
+def test_misplaced_content_of_tables(html):
+    squeezed = lambda text: [x for x in text.split("\n") if x]
+    assert squeezed(htmltext.text_of(html)) == squeezed(MISPLACED[html])
+
+
+@pytest.mark.parametrize("levels", [150, 196, 197, 198, 199, 200, 300])
+@pytest.mark.parametrize("html", ["<table>a<tr>b<td>c</td>d<tr><form><td>e</form><caption>f</caption></table>g", "<table><colgroup>a<tbody>b<tr><b>c</b><td>d<table>e<tr>f<td>g</table></table>h"])
+def test_no_word_is_lost_at_any_depth(levels, html):
+    import re
+    want = sorted(re.sub("<[^>]*>", "", html))
+    assert sorted("".join(htmltext.text_of("<div>" * levels + html).split())) == want
+
+
 def test_large_and_deep_pages_take_linear_time():
     began = time.time()
     n = 60_000
