@@ -16,7 +16,7 @@ and loopback addresses can own a large share of all rows):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, DetectionConfig
@@ -29,6 +29,11 @@ USER_FEATURES = ("user_event_count", "user_failed_count", "user_success_count",
 IP_FEATURES = ("ip_event_count", "ip_unique_failed_users")
 
 
+def machine_key(columns) -> Column:
+    """What tells machines apart (A4, D3): the host where rows have one, else the collector's tag."""
+    return F.coalesce("host", "machine") if "host" in columns else F.col("machine")
+
+
 def user_profile(df: DataFrame, scope: tuple = ()) -> DataFrame:
     """A1–A5, A7, A9 in one aggregation; null users are excluded."""
     return (df.where(F.col("username").isNotNull())
@@ -36,7 +41,7 @@ def user_profile(df: DataFrame, scope: tuple = ()) -> DataFrame:
             .agg(F.count("event_id").alias("user_event_count"),
                  F.sum("is_failed_login").cast("bigint").alias("user_failed_count"),
                  F.sum("is_successful_login").cast("bigint").alias("user_success_count"),
-                 F.countDistinct("machine").alias("user_unique_machines"),
+                 F.countDistinct(machine_key(df.columns)).alias("user_unique_machines"),
                  F.countDistinct("source_ip").alias("user_unique_ips"),
                  F.avg("login_hour").alias("user_avg_hour"),
                  F.sum("is_kerberos_tgs").cast("bigint").alias("user_tgs_count")))
@@ -127,16 +132,20 @@ def with_features(df: DataFrame, cfg: DetectionConfig = DEFAULT, scope: tuple =
     users = user_profile(df, scope)
     ips = ip_profile(df, scope)
     subnets = subnet_index(df)
-    rows = with_failed_window(df, cfg)
+    return attach(with_failed_window(df, cfg), users, ips, subnets, scope)
+
+
+def attach(rows: DataFrame, users: DataFrame, ips: DataFrame, subnets: DataFrame | None, scope: tuple = ()) -> DataFrame:
+    """Rows with the profiles of their user and address, and the number of their subnet (0 without ``subnets``)."""
     # Null users never match; giving them distinct never-matching keys keeps
     # them from hashing into one partition if the join falls back to
     # sort-merge (no user name starts with NUL).
-    row_id = [F.col("log_id")] if "log_id" in rows.columns else [F.col(c) for c in df.columns]
+    row_id = [F.col("log_id")] if "log_id" in rows.columns else [F.col(c) for c in rows.columns if c != "failed_last_10min"]
     ukey = F.coalesce(F.col("username"), F.concat(F.lit("\u0000"), F.xxhash64(*row_id).cast("string")))
     out = (rows.withColumn("_ukey", ukey)
            .join(users.withColumnRenamed("username", "_ukey"), [*scope, "_ukey"], "left").drop("_ukey")
-           .join(ips, [*scope, "source_ip"], "left")
-           .join(subnets, "ip_subnet", "left"))
+           .join(ips, [*scope, "source_ip"], "left"))
+    out = out.withColumn("ip_subnet_enc", F.lit(0)) if subnets is None else out.join(subnets, "ip_subnet", "left")
     fills = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in (*USER_FEATURES, *IP_FEATURES)}
     fills["hour_deviation"] = F.coalesce(F.abs(F.col("login_hour") - F.col("user_avg_hour")), F.lit(0.0))
     fills["ip_subnet_enc"] = F.coalesce(F.col("ip_subnet_enc"), F.lit(0))

@@ -87,6 +87,17 @@ def allowed_ids(allowed) -> Column:
                                                   lambda a: F.regexp_extract_all(a, F.lit(TECHNIQUE_ID), 0))))
 
 
+def allowed_labels(texts: Column) -> Column:
+    """G3 for an array of technique texts: their distinct labels (split, squeezed, scrubbed), ordered by id (no id → ZZZZZ) then text."""
+    labels = F.transform(F.flatten(F.transform(texts, split_techniques)), lambda t: scrub(strip_ws(F.regexp_replace(t, r"(?U)\s+", " "))))
+
+    def keyed(t):
+        sort_id = F.regexp_extract(t, r"(?U)\b(T\d{4,5}(?:\.\d{3})?)\b", 1)
+        return F.struct(F.when(sort_id == "", F.lit(NO_ID_SORT_KEY)).otherwise(sort_id).alias("sort_id"), t.alias("technique"))
+    kept = F.array_distinct(F.filter(labels, lambda t: (t != "") & (t != "N/A")))
+    return F.transform(F.array_sort(F.transform(kept, keyed)), lambda s: s["technique"])
+
+
 def allowed_techniques(analyzed: DataFrame, high_levels=("CRITICAL", "HIGH"), scope: tuple = ()) -> DataFrame:
     """Distinct technique labels of high-risk rows (split, squeezed,
     scrubbed), ordered by their id (no id → ZZZZZ) then text; adds ``rank``.

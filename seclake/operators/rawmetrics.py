@@ -102,12 +102,15 @@ def top_processes(raw: DataFrame, n_proc: int = 15, n_cmd: int = 10, counts: Dat
 
 
 def raw_metrics(raw: DataFrame) -> DataFrame:
-    """L4: rows, unique users (null counted as ''), unique trimmed IPs."""
+    """L4: rows, unique users (null counted as ''), unique trimmed IPs; a collector without rows gets zeros."""
     raw = complete(raw)
-    return (raw.where(F.col("source_machine").isin(*MACHINES)).groupBy("source_machine").agg(
+    found = (raw.where(F.col("source_machine").isin(*MACHINES)).groupBy("source_machine").agg(
         F.count(F.lit(1)).alias("rows"),
         F.countDistinct(F.coalesce(F.col("username"), F.lit(""))).alias("unique_users"),
         F.countDistinct(F.coalesce(strip_ws(F.col("source_ip")), F.lit(""))).alias("unique_ips")))
+    both = raw.sparkSession.createDataFrame([(m,) for m in MACHINES], "source_machine string")
+    return F.broadcast(both).join(found, "source_machine", "left").select(
+        "source_machine", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("rows", "unique_users", "unique_ips")])
 
 
 def logon_pairs(raw: DataFrame, event_id: int = EV_LOGON_SUCCESS, min_events: int = 5,

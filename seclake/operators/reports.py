@@ -43,11 +43,10 @@ def after_cutoff(df: DataFrame, cutoff: DataFrame | None, ts_col: str = "timesta
     return out
 
 
-def summary_kpis(df: DataFrame) -> DataFrame:
-    """One row of totals, confidence bands, distinct high-risk
-    users / IPs / technique strings, verdict and confidence score."""
+def kpi_aggregates() -> list[Column]:
+    """The sums that R1 and R4–R8 follow from."""
     score = F.col("total_threat_score").try_cast("double")
-    agg = df.agg(
+    return [
         F.count(F.lit(1)).alias("total_events"),
         F.count(F.when(F.col("is_anomaly") == 1, 1)).alias("total_anomalies"),
         F.avg(score).alias("_avg"),
@@ -57,11 +56,15 @@ def summary_kpis(df: DataFrame) -> DataFrame:
         F.countDistinct(F.when(_high(), F.col("username"))).alias("unique_high_users"),
         F.countDistinct(F.when(_high(), F.col("source_ip"))).alias("unique_high_ips"),
         F.countDistinct(F.when(_high(), F.col("mitre_techniques"))).alias("unique_mitre_techniques"),
-    )
+    ]
+
+
+def kpi_columns() -> list:
+    """R1, R4–R8 from ``kpi_aggregates``."""
     total = F.col("total_events")
     hi, med = F.col("high_confidence_cases"), F.col("medium_confidence_cases")
     users, ips, mitre = F.col("unique_high_users"), F.col("unique_high_ips"), F.col("unique_mitre_techniques")
-    return agg.select(
+    return [
         "total_events", "total_anomalies",
         F.when(total > 0, F.round(F.col("total_anomalies") * 100.0 / total, 2)).otherwise(F.lit(0.0))
         .alias("anomaly_rate"),
@@ -73,7 +76,13 @@ def summary_kpis(df: DataFrame) -> DataFrame:
         F.when((hi > 5) & (users > 1) & (ips > 1) & (mitre > 1), F.lit(VERDICT_STRONG))
         .when(med > 0, F.lit(VERDICT_MODERATE)).otherwise(F.lit(VERDICT_LOW)).alias("machine_verdict"),
         F.least(F.lit(100), hi * 5 + med * 2 + mitre * 3 + ips * 2).cast("bigint").alias("confidence_score"),
-    )
+    ]
+
+
+def summary_kpis(df: DataFrame) -> DataFrame:
+    """One row of totals, confidence bands, distinct high-risk
+    users / IPs / technique strings, verdict and confidence score."""
+    return df.agg(*kpi_aggregates()).select(*kpi_columns())
 
 
 def risk_distribution(df: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from ..functions.timecols import ntz_lit, parse_mixed_timestamp
 from ..operators import features, forest, guardrails, normalize, reports, retrieval
 from ..operators import anomaly
 from ..session import checkpoint_dir, materialize
-from ..sources import cutoff, fixtures, records, sinks, upload, winevents
+from ..sources import cutoff, fixtures, marks, records, sinks, upload, winevents
 from . import catalog
 from . import oracle as O
 from .catalog import CUTOFF, _analyzed, _raw, _records_sql, _projection_sql, register
@@ -86,12 +86,28 @@ FROM fresh f JOIN after a ON f.host = a.host GROUP BY f.host""")
 def q_incremental_records(spark, base):
     """Records beyond each host's mark (one host has none yet), and the next marks."""
     recs = records.records_from_raw(_raw(spark, base))
-    marks = winevents.new_high_water(recs.where("record_number % 3 = 0 and host <> 'h1'")).withColumn("mark", F.col("mark") - 100)
-    after = winevents.new_high_water(recs, marks)
-    return (winevents.incremental(recs, marks).groupBy("host").agg(F.count("*").alias("new_records"), F.min("record_number").alias("first_record"))
+    before = winevents.new_high_water(recs.where("record_number % 3 = 0 and host <> 'h1'")).withColumn("mark", F.col("mark") - 100)
+    after = winevents.new_high_water(recs, before)
+    return (winevents.incremental(recs, before).groupBy("host").agg(F.count("*").alias("new_records"), F.min("record_number").alias("first_record"))
             .join(after, "host").withColumnRenamed("mark", "next_mark"))
 
 
+@register("incremental_commit", O.chain("raw_logs") + "," + _records_sql() + ", projected AS (" + _projection_sql() + """),
+m AS (SELECT host, max(record_number) AS mark FROM recs GROUP BY host)
+SELECT p.host, count(*) AS n_rows, count(DISTINCT record_number) AS n_records, max(mark) AS mark, 2 AS last_batch FROM projected p JOIN m ON p.host = m.host GROUP BY p.host""")
+def q_incremental_commit(spark, base):
+    """A run that breaks off between rows and commit, one that takes its place, and one that finds nothing new."""
+    collector = marks.Collector(spark, folder(spark, "collector"))
+    recs = materialize(records.records_from_raw(_raw(spark, base)), "records")
+    most = recs.agg(F.max("record_number")).first()[0] or 0
+    collector.collect(recs.where(F.col("record_number") <= most // 3))
+    collector.append(recs.where(F.col("record_number") <= 2 * (most // 3)), 1, collector.marks())  # and no commit
+    collector.collect(recs)
+    last = collector.collect(recs)
+    counts = collector.rows().groupBy("host").agg(F.count("*").alias("n_rows"), F.countDistinct("record_number").alias("n_records"))
+    return counts.join(collector.marks(), "host").withColumn("last_batch", F.lit(last))
+
+
 @register("raw_table", O.chain("raw_logs") + f"""
 SELECT {RAW_COLS}, CAST(timestamp AS DATE) AS event_date FROM raw_logs WHERE CAST(timestamp AS DATE) >= DATE '{CUTOFF[:10]}'""")
 def q_raw_table(spark, base):
@@ -278,6 +294,39 @@ def q_stream_timeline(spark, base):
     return spark.read.schema("hour string, count long").parquet(run_slices(spark, base, windows.hourly_timeline, "timeline"))
 
 
+@register("stream_spray", PROJECTED + """
+SELECT date_trunc('hour', timestamp) AS window_start, source_ip, count(DISTINCT username) AS failed_users FROM projected
+WHERE event_id = 4625 AND date_trunc('hour', timestamp) + INTERVAL 1 HOUR <= (SELECT final_mark FROM mark) GROUP BY 1, 2 HAVING count(DISTINCT username) >= 2""")
+def q_stream_spray(spark, base):
+    """K8: the addresses that failed to log on two users or more in an hour, of the hours that the watermark has closed; every file is delivered twice."""
+    from ..streaming import windows
+    out = run_slices(spark, base, lambda stream: windows.spray_candidates(stream, threshold=2), "spray", times=2)
+    found = spark.read.schema("window_start timestamp, source_ip string, failed_users long").parquet(out)
+    return found.withColumn("window_start", F.to_timestamp_ntz(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")))
+
+
+#: The SQL chain from rows to scores, over the projected records instead of raw_logs, without a model.
+_ON_RECORDS = O.chain("ruled")[O.chain("raw_logs").rstrip().__len__():].replace("count(DISTINCT machine)", "count(DISTINCT split_part(log_id, ':', 1))").replace("FROM raw_logs", "FROM (SELECT concat(host, ':', CAST(record_number AS VARCHAR)) AS log_id, *, 0.0 AS value FROM projected)")
+_LABELS = ", ".join(f"CASE WHEN {c} THEN {O._q(label)} END" for c, label in O.LABELS)
+
+
+# The slices come without the host's own address, which the projection would take for process events.
+@register("stream_detection", PROJECTED.replace("coalesce(host_ip, '127.0.0.1')", "'127.0.0.1'") + _ON_RECORDS + f"""
+SELECT split_part(log_id, ':', 1) AS host, CAST(split_part(log_id, ':', 2) AS BIGINT) AS record_number, failed_last_10min, user_failed_count, user_unique_ips, user_unique_machines,
+ ip_unique_failed_users, CAST({O.RULE_SCORE} AS INTEGER) AS rule_score, concat_ws(', ', {_LABELS}) AS mitre_techniques,
+ CASE WHEN {O.RULE_SCORE} >= 9 THEN 'CRITICAL' WHEN {O.RULE_SCORE} >= 6 THEN 'HIGH' WHEN {O.RULE_SCORE} >= 3 THEN 'MEDIUM' ELSE 'LOW' END AS final_risk_level FROM ruled""")
+def q_stream_detection(spark, base):
+    """K4: four slices, each processed as it comes, one replayed, the aggregates compacted on the way; then the scores of all rows."""
+    from ..streaming import incremental
+    store = incremental.Store(spark, folder(spark, "detection"), compact_every=2)
+    for k, part in enumerate(write_slices(spark, base, "")):
+        batch = materialize(winevents.to_raw_logs(part), "slice")
+        store.process(batch, k)
+        store.process(batch, k)  # a replay of what is committed changes nothing
+    return store.analyzed().select("host", "record_number", "failed_last_10min", "user_failed_count", "user_unique_ips", "user_unique_machines", "ip_unique_failed_users",
+                                   "rule_score", "mitre_techniques", "final_risk_level")
+
+
 # ---------------------------------------------------------------- the whole sanitiser, and scopes
 
 _KEPT_IDS = f"""array_to_string(list_transform(range(1, len(parts) + 1), lambda i: concat(parts[i],
@@ -307,3 +356,55 @@ def q_raw_defaults(spark, base):
     from ..operators import rawmetrics
     counts = rawmetrics.key_counts(_raw(spark, base).select("log_id", "source_machine", "event_id", "timestamp"))
     return counts.where("metric = 'top_processes' and key = ''").select("source_machine", "value")
+
+
+@register("raw_metrics_empty", O.chain("raw_logs") + """,
+m AS (SELECT * FROM (VALUES ('DOMAIN_CONTROLLER'), ('CLIENT_MACHINE')) m(source_machine)), r AS (SELECT * FROM raw_logs WHERE source_machine = 'DOMAIN_CONTROLLER')
+SELECT m.source_machine, count(r.log_id) AS rows, count(DISTINCT CASE WHEN r.log_id IS NOT NULL THEN coalesce(username, '') END) AS unique_users,
+ count(DISTINCT CASE WHEN r.log_id IS NOT NULL THEN coalesce(trim(source_ip), '') END) AS unique_ips FROM m LEFT JOIN r ON r.source_machine = m.source_machine GROUP BY 1""")
+def q_raw_metrics_empty(spark, base):
+    """A collector that sent nothing counts zero."""
+    from ..operators import rawmetrics
+    return rawmetrics.raw_metrics(_raw(spark, base).where("source_machine = 'DOMAIN_CONTROLLER'"))
+
+
+@register("lateral_by_host", PROJECTED + """,
+u AS (SELECT username, count(DISTINCT host) AS user_unique_machines FROM projected GROUP BY username)
+SELECT host, record_number, coalesce(user_unique_machines, 0) AS user_unique_machines, CAST(coalesce(user_unique_machines, 0) > 1 AS INTEGER) AS lateral_movement_flag
+FROM projected p LEFT JOIN u ON p.username = u.username""")
+def q_lateral_by_host(spark, base):
+    """A4, D3: rows that name their host are told apart by it."""
+    from . import detection
+    rows = materialize(winevents.to_raw_logs(records.records_from_raw(_raw(spark, base))), "rows")
+    return detection.analyze(rows, model="none").select("host", "record_number", "user_unique_machines", "lateral_movement_flag")
+
+
+@register("evidence_by_scope", O.chain() + f""",
+x AS (SELECT *, unnest(['all', 'day', 'collector']) AS scope, unnest(['', coalesce(strftime(timestamp, '%Y-%m-%d'), ''), coalesce(machine, '')]) AS scope_value FROM analyzed),
+k AS (SELECT scope, scope_value, count(*) AS total_events, count(*) FILTER (WHERE is_anomaly = 1) AS total_anomalies, sum(total_threat_score) AS score_sum, count(total_threat_score) AS score_n,
+  count(*) FILTER (WHERE total_threat_score >= 7) AS high_confidence_cases, count(*) FILTER (WHERE total_threat_score BETWEEN 4 AND 6) AS medium_confidence_cases,
+  count(*) FILTER (WHERE total_threat_score <= 3) AS low_confidence_cases, count(DISTINCT CASE WHEN {catalog.HIGH} THEN username END) AS unique_high_users,
+  count(DISTINCT CASE WHEN {catalog.HIGH} THEN source_ip END) AS unique_high_ips, count(DISTINCT CASE WHEN {catalog.HIGH} THEN mitre_techniques END) AS unique_mitre_techniques,
+  count(*) FILTER (WHERE final_risk_level = 'CRITICAL') AS n_critical, count(*) FILTER (WHERE final_risk_level = 'HIGH') AS n_high,
+  count(*) FILTER (WHERE final_risk_level = 'MEDIUM') AS n_medium, count(*) FILTER (WHERE final_risk_level = 'LOW') AS n_low FROM x GROUP BY scope, scope_value),
+t AS (SELECT scope, scope_value, string_agg(technique, ' | ' ORDER BY regexp_extract(technique, '^T[0-9.]+'), technique) AS techniques FROM
+  (SELECT DISTINCT scope, scope_value, trim(unnest(string_split(mitre_techniques, ','))) AS technique FROM x WHERE {catalog.HIGH}) d WHERE technique <> '' GROUP BY scope, scope_value),
+i AS (SELECT scope, scope_value, string_agg(concat(log_id, '|', coalesce(username, ''), '|', source_ip, '|', final_risk_level, '|', total_threat_score, '|', mitre_techniques), chr(10) ORDER BY rank) AS incidents FROM
+  (SELECT *, row_number() OVER (PARTITION BY scope, scope_value ORDER BY total_threat_score DESC, timestamp DESC NULLS LAST, log_id) AS rank FROM x WHERE {catalog.HIGH}) r WHERE rank <= 10 GROUP BY scope, scope_value)
+SELECT k.scope, k.scope_value, total_events, total_anomalies, {O.round2('100 * total_anomalies', 'total_events')} AS anomaly_rate, {O.round2('score_sum', 'score_n')} AS avg_threat_score,
+ high_confidence_cases, medium_confidence_cases, low_confidence_cases, unique_high_users, unique_high_ips, unique_mitre_techniques, n_critical, n_high, n_medium, n_low,
+ CASE WHEN high_confidence_cases > 5 AND unique_high_users > 1 AND unique_high_ips > 1 AND unique_mitre_techniques > 1
+      THEN 'STRONG_CORRELATED_ATTACK' WHEN medium_confidence_cases > 0 THEN 'MODERATE_CORRELATION_NO_CONFIRMED_COMPROMISE' ELSE 'LOW_CONFIDENCE_ACTIVITY' END AS machine_verdict,
+ CAST(least(100, high_confidence_cases * 5 + medium_confidence_cases * 2 + unique_mitre_techniques * 3 + unique_high_ips * 2) AS BIGINT) AS confidence_score,
+ coalesce(techniques, '') AS techniques, coalesce(incidents, '') AS incidents
+FROM k LEFT JOIN t ON t.scope = k.scope AND t.scope_value = k.scope_value LEFT JOIN i ON i.scope = k.scope AND i.scope_value = k.scope_value""")
+def q_evidence_by_scope(spark, base):
+    """R18 for everything, each day and each collector, from saved rows."""
+    from . import evidence
+    saved = materialize(_analyzed(spark, base), "analyzed")
+    risk = {f"n_{name.lower()}": F.col("risk_distribution")[name] for name in reports.RISK_ORDER}
+    line = lambda s: F.concat_ws("|", s["log_id"].cast("string"), F.coalesce(s["username"], F.lit("")), s["source_ip"], s["final_risk_level"], s["total_threat_score"].cast("string"), s["mitre_techniques"])
+    return evidence.by_scope(saved).select(
+        "scope", "scope_value", "total_events", "total_anomalies", "anomaly_rate", "avg_threat_score", "high_confidence_cases", "medium_confidence_cases", "low_confidence_cases",
+        "unique_high_users", "unique_high_ips", "unique_mitre_techniques", *[c.alias(k) for k, c in risk.items()], "machine_verdict", "confidence_score",
+        F.array_join("allowed_mitre_techniques", " | ").alias("techniques"), F.array_join(F.transform("top_incidents", line), "\n").alias("incidents"))

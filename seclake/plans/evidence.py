@@ -17,10 +17,6 @@ from ..operators import guardrails, rawmetrics, reports
 # Evidence text templates.
 NO_INCIDENTS = "  (no high-risk incidents)"
 NO_TECHNIQUES = "  (no techniques observed)"
-INCIDENT_LINE = "  {i}. User={user} | IP={ip} | Risk={risk} | Score={score} | Techniques={mitre}"
-RISK_SENTENCE = ("The ML model flagged {anomalies} anomalies out of {events} events ({rate}% anomaly rate), "
-                 "with {high} high-confidence and {medium} medium-confidence cases across {users} distinct "
-                 "user(s) and {ips} distinct source IP(s).")
 MAX_INCIDENT_LINES = 8
 
 
@@ -120,6 +116,34 @@ def raw_metrics_struct(raw: DataFrame, machine: str, long: DataFrame | None = No
     return out.select(F.struct(*out.columns).alias("m"))
 
 
+#: Kind of scope, and the SQL expression whose value a row counts under.
+SCOPES = (("all", "''"), ("day", "date_format(timestamp, 'yyyy-MM-dd')"), ("collector", "machine"))
+TOP_INCIDENTS = 10
+
+
+def by_scope(analyzed: DataFrame, scopes=SCOPES, top: int = TOP_INCIDENTS) -> DataFrame:
+    """R18 per scope: one row for everything, each day and each collector, with the totals, the risk distribution, the top
+    incidents and the allowed techniques of its rows.
+
+    One aggregation gives all but the incidents: distinct users and addresses are counted exactly, technique texts (at
+    most one for each combination of labels) are kept as a set, from which the allowed labels follow. The incidents are a ranking
+    whose partial form keeps ``top`` rows per scope in each partition, so that no task sees a scope's rows. It reads the high-risk rows only.
+    A row whose scope value is null (no time, no collector) counts under the empty one."""
+    scope = F.explode(F.array(*[F.struct(F.lit(kind).alias("scope"), F.coalesce(F.expr(value), F.lit("")).alias("scope_value")) for kind, value in scopes])).alias("s")
+    level = F.col("final_risk_level")
+    rows = analyzed.select("log_id", "timestamp", "username", "source_ip", "is_anomaly", "total_threat_score", "final_risk_level", "mitre_techniques", scope).select("s.*", "*").drop("s")
+    found = rows.groupBy("scope", "scope_value").agg(*reports.kpi_aggregates(), *[F.count(F.when(level == name, 1)).alias(name) for name in reports.RISK_ORDER],
+                                                     F.collect_set(F.when(level.isin(*reports.HIGH_LEVELS), F.col("mitre_techniques"))).alias("texts"))
+    kpis = reports.kpi_columns()
+    found = found.select("scope", "scope_value", *kpis, F.create_map(*[x for name in reports.RISK_ORDER for x in (F.lit(name), F.col(name))]).alias("risk_distribution"),
+                         guardrails.allowed_labels(F.col("texts")).alias("allowed_mitre_techniques"))
+    order = [F.col("total_threat_score").desc(), F.col("timestamp").desc_nulls_last(), F.col("log_id").asc()]
+    ranked = rows.where(level.isin(*reports.HIGH_LEVELS)).withColumn("rank", F.row_number().over(Window.partitionBy("scope", "scope_value").orderBy(*order))).where(F.col("rank") <= top)
+    incidents = ranked.groupBy("scope", "scope_value").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("rank", "log_id", "username", "source_ip", "final_risk_level", "total_threat_score", "mitre_techniques"))), lambda s: s.dropFields("rank")).alias("top_incidents"))
+    return found.join(incidents, ["scope", "scope_value"], "left").withColumn("top_incidents", F.coalesce("top_incidents", F.array().cast(incidents.schema["top_incidents"].dataType)))
+
+
 def evidence_summary(analyzed: DataFrame, raw: DataFrame, cfg: DetectionConfig = DEFAULT) -> DataFrame:
     """One row with every report part; ``summary_json`` is its text form."""
     kpis = reports.summary_kpis(analyzed)
