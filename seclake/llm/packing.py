@@ -38,8 +38,9 @@ ROOM = 2048
 END = 0
 MEMO_WORDS = 250_000  # in each of the two halves of the memory
 LONG_WORD = 200
-#: Where a space doesn't simply part two words.
-ODD = re.compile(r"\s\s|^\s|\s\Z")
+NUL = "\0"
+#: A line break between two words, as three parts.
+LINE = f" {NUL}\n {NUL}"
 SPLIT = re.compile(r"(?<=\S) (?=\S)")
 PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 PIECES = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.list_(pa.int32()))])
@@ -56,7 +57,10 @@ class Encoder:
     between two words (it begins the next token), a single line break between
     words, or the start of the punctuation that a word ends in. So the ids of
     such parts are put together, and the tokenizer sees each new part once;
-    a part of nothing but letters is one pre-token, and goes straight to its merges."""
+    a part of nothing but letters is one pre-token, and goes straight to its merges.
+    Texts that hold the string of a special token go to the tokenizer whole.
+
+    A part's key is its word if a space stands before it, else NUL and the part."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -64,30 +68,42 @@ class Encoder:
         self.tokenizer, self.letters = Tokenizer.from_file(path), byte_letters()
         self.merges = self.tokenizer.model
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # Ids of words: a word by itself is the key if a space stands before it, a tuple of it if none does.
-        self.young: dict[str | tuple[str], bytes] = {}
-        self.old: dict[str | tuple[str], bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     @staticmethod
-    def parts(key: str | tuple[str]) -> list[str | tuple[str]]:
-        word, spaced = (key, True) if isinstance(key, str) else (key[0], False)
+    def parts(key: str) -> list[str]:
+        bare = key[:1] == NUL
+        word = key[1:] if bare else key
         if "\n" not in word:
+            if word[-1:] not in PUNCTUATION:
+                return [key]
             core = word.rstrip(PUNCTUATION)
             if len(core) == len(word) or not core or not core[-1].isalnum():
                 return [key]
-            return [core if spaced else (core,), (word[len(core):],)]
+            return [NUL + core if bare else core, NUL + word[len(core):]]
         lines = word.split("\n")
         if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
             return [key]
-        out = Encoder.parts(lines[0] if spaced else (lines[0],))
+        out = Encoder.parts(NUL + lines[0] if bare else lines[0])
         for line in lines[1:]:
-            out += [("\n",), *Encoder.parts((line,))]
+            out += [NUL + "\n", *Encoder.parts(NUL + line)]
         return out
 
-    def encode(self, keys: set[str | tuple[str]]) -> dict[str | tuple[str], bytes]:
+    @staticmethod
+    def plain(text: str) -> bool:
+        """Whether all its whitespace is single spaces and line breaks between words."""
+        if "  " in text or "\n " in text or " \n" in text or "\n\n" in text or NUL in text or text[:1].isspace() or text[-1:].isspace():
+            return False
+        rest = text.replace(" ", "").replace("\n", "")
+        return not rest or rest.split(None, 1) == [rest]
+
+    def encode(self, keys: set[str]) -> dict[str, bytes]:
         out, rest, letters, merges = {}, [], self.letters, self.merges.tokenize
         for key in keys:
-            word, text = (key, " " + key) if isinstance(key, str) else (key[0], key[0])
+            bare = key[:1] == NUL
+            word = key[1:] if bare else key
+            text = word if bare else " " + word
             if word.isalpha():
                 ids = [t.id for t in merges(text.encode().decode("latin-1").translate(letters))]
                 out[key] = struct.pack(f"<{len(ids)}I", *ids)
@@ -99,7 +115,7 @@ class Encoder:
                 out[key] = struct.pack(f"<{len(e.ids)}I", *e.ids)
         return out
 
-    def learn(self, keys: set) -> None:
+    def learn(self, keys: set[str]) -> None:
         """Puts the ids of ``keys`` into the young half."""
         young, old, made, new, missing = self.young, self.old, {}, set(), []
         for key in keys:
@@ -121,30 +137,39 @@ class Encoder:
         for key, xs in made.items():
             young[key] = b"".join([young[x] for x in xs])
 
+    def whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def many(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit numbers."""
         if len(self.young) > MEMO_WORDS:
             self.old, self.young = self.young, {}
-        young, docs, unknown = self.young, [], set()
+        get, docs, unknown = self.young.get, [], set()
         for text in texts:
-            if any(s in text for s in self.specials):
-                first, rest = text, []  # a special token's string may stand inside a word
+            if any(s in text for s in self.specials) or NUL in text:
+                docs.append((None, self.whole(text), None))
+                continue
+            if self.plain(text):
+                keys = (NUL + text.replace("\n", LINE)).split(" ")
             else:
-                first, *rest = SPLIT.split(text) if ODD.search(text) else text.split(" ")
-            ids = list(map(young.get, rest))
+                keys = SPLIT.split(text)
+                keys[0] = NUL + keys[0]
+            ids = list(map(get, keys))
             gaps = [k for k, x in enumerate(ids) if x is None] if None in ids else []
-            unknown.update([rest[k] for k in gaps])
-            if (first,) not in young:
-                unknown.add((first,))
-            docs.append((first, rest, ids, gaps))
+            unknown.update([keys[k] for k in gaps])
+            docs.append((keys, ids, gaps))
         self.learn(unknown)
-        out = []
-        for first, rest, ids, gaps in docs:
+        young, out = self.young, []
+        for keys, ids, gaps in docs:
+            if keys is None:
+                out.append(ids)
+                continue
             for k in gaps:
-                ids[k] = young[rest[k]]
-            out.append(b"".join([young[first,], *ids]))
+                ids[k] = young[keys[k]]
+            out.append(b"".join(ids))
         for key in unknown:
-            if len(key if isinstance(key, str) else key[0]) > LONG_WORD:
+            if len(key) > LONG_WORD:
                 for x in (key, *self.parts(key)):
                     young.pop(x, None)
         return out

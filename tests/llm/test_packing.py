@@ -10,7 +10,7 @@ from seclake.llm import packing
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = [None, "", " ", "a", "a b  c\n\nd \t e", " lead and trail ", "x y   z\x85q \x1c r", "it's we'll 'tis 12 34", "a<|endoftext|>b <|endoftext|> c",
-         "éè 中文 \U0001f600 ok", "a.\nB c,\n\nd e\n f \ng", "x's it's. don't!' 'll' a'", "m²! n½?! \n", "-- a-- b\n-- c\n", "a\t.\nb \xa0c\xa0 d", "\n", "a\n", " \n ", "É!!\r\nx\r\ny", "word " * 5000, "z" * 30_000, "one two three " * 900, "tab\tspace \n line\r\n end"]
+         "éè 中文 \U0001f600 ok", "a.\nB c,\n\nd e\n f \ng", "x's it's. don't!' 'll' a'", "m²! n½?! \n", "-- a-- b\n-- c\n", "a\t.\nb \xa0c\xa0 d", "\n", "a\n", " \n ", "É!!\r\nx\r\ny", "a<|endoftext|>", "<|endoftext|>", "<|endoftext|>a", "a<|endoftext|>.", "a <|endoftext|>\nb", "a\n<|endoftext|>\n", "<|endoftext|", "nul\0in a\0 text\n", "a\0", "word " * 5000, "z" * 30_000, "one two three " * 900, "tab\tspace \n line\r\n end"]
 
 
 def test_ids_equal_the_tokenizers():
@@ -22,6 +22,19 @@ def test_ids_equal_the_tokenizers():
             assert np.frombuffer(ids, dtype="<u4").tolist() == plain.encode(text or "", add_special_tokens=False).ids
 
 
+def test_ids_of_random_texts():
+    """20,000 texts over an alphabet of everything that parts or joins words, the special token among it."""
+    import random
+    draw, plain = random.Random(7), Tokenizer.from_file(PATH)
+    alphabet = [" ", " ", " ", "\n", "a", "The", "word", "é", "²", "12", ".", ",", "!", "'s", "'", "-", "\t", "\x1c", "\xa0", "<|endoftext|>", "|>", "<", "中", "\U0001f600", "\r", "\0"]
+    texts = ["".join(draw.choices(alphabet, k=draw.randint(1, 12))) for _ in range(20_000)]
+    encoder = packing.Encoder(PATH)
+    for k in range(0, len(texts), 500):
+        some = texts[k:k + 500]
+        for text, ids, e in zip(some, encoder.many(some), plain.encode_batch(some, add_special_tokens=False)):
+            assert np.frombuffer(ids, dtype="<u4").tolist() == e.ids, repr(text)
+
+
 @pytest.mark.parametrize("n,want", [(1, [(0, 1)]), (8, [(0, 8)]), (9, [(0, 1), (1, 8)]), (16, [(0, 8), (8, 8)]), (20, [(0, 4), (4, 8), (12, 8)])])
 def test_pieces(n, want):
     assert packing.pieces_of(n, 8) == want
