@@ -15,9 +15,9 @@
    smallest ids; ranks by (score, id) settle the ties.
 
 Vectors that are null, or hold null or non-finite components, take no part.
-A shorter vector counts as filled up with zeros. Components are held at
-+-2^25 after scaling, which keeps scores of vectors of up to 8192 such
-components in 64 bits. Rows with a query's id are not its candidates; if an
+A shorter vector counts as filled up with zeros. Scores are whole 64-bit
+numbers; if the norms of queries and candidates allow one beyond 2^62, the run
+stops with a ValueError. Rows with a query's id are not its candidates; if an
 id is repeated among the queries, its first vector (by value) asks. Null ids
 are candidates (behind all others of the same score), not queries.
 """
@@ -40,7 +40,8 @@ from seclake.session import materialize
 BINS = 4096
 QUERY_GROUP = 512
 CANDIDATE_GROUP = 2048
-LARGEST = float(1 << 25)
+#: Scores and the differences between them have to stay in 64 bits.
+LARGEST = float(1 << 62)
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -50,11 +51,12 @@ def usable(vector: Column) -> Column:
 
 
 def scaled(vector: Column, scale: int) -> Column:
-    return F.transform(vector, lambda x: F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), F.floor(x.cast("double") * scale).cast("double"))).cast("long"))
+    """Whole components. One beyond a long saturates, which ``top_k`` refuses."""
+    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
 
 
 def _matrix(vectors, width: int) -> np.ndarray:
-    out = np.zeros((len(vectors), width))
+    out = np.zeros((len(vectors), width), dtype=np.int64)
     for k, v in enumerate(vectors):
         out[k, :len(v)] = v
     return out
@@ -62,9 +64,9 @@ def _matrix(vectors, width: int) -> np.ndarray:
 
 def _products(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """Exact integer products; in floating point where no sum can reach 2^53."""
-    if queries.size and candidates.size and np.abs(queries).max() * np.abs(candidates).max() * queries.shape[1] < 2.0 ** 53:
-        return (queries @ candidates.T).astype(np.int64)
-    return queries.astype(np.int64) @ candidates.T.astype(np.int64)
+    if queries.size and candidates.size and float(np.abs(queries).max()) * float(np.abs(candidates).max()) * queries.shape[1] < 2.0 ** 53:
+        return (queries.astype(np.float64) @ candidates.T.astype(np.float64)).astype(np.int64)
+    return queries @ candidates.T  # sums may wrap on the way, not at the end
 
 
 def _cell(queries: pd.DataFrame, candidates: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,7 +133,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     rows = materialize(rows.select(F.col(id_col).alias("id"), scaled(F.col(vector_col), scale).alias("v"), F.col(flag).alias("asks"), F.monotonically_increasing_id().alias("row")), "vectors")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     queries = rows.where("asks and id is not null").groupBy("id").agg(F.min("v").alias("v")).withColumn("norm", norm)
-    n, n_queries, largest = rows.agg(F.count("*"), F.count(F.when(F.col("asks"), 1)), F.max(norm)).first()
+    n, n_queries, largest, asking = rows.agg(F.count("*"), F.count(F.when(F.col("asks"), 1)), F.max(norm), F.max(F.when(F.col("asks"), norm))).first()
+    if (largest or 0.0) * (asking or 0.0) * 1.00001 >= LARGEST:
+        raise ValueError(f"scores may leave 64 bits: norms up to {asking:.3g} of queries and {largest:.3g} of candidates")
     n_q, n_c = max(1, math.ceil(n_queries / QUERY_GROUP)), max(1, math.ceil(n / CANDIDATE_GROUP))
     candidates = rows.select("id", "v", F.floor(unit_hash("row", seed=1) * n_c).cast("int").alias("c"))
     reach = F.ceil(F.col("norm") * float(largest or 0.0) * 1.000001).cast("long") + 1

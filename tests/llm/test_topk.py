@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,9 +46,18 @@ def test_fewer_candidates_than_k(spark, small):
     assert run(spark, [(0, [1.0])]) == []
 
 
-def test_wide_scores(spark):
+def test_wide_scores(spark, small):
+    draw = random.Random(3)
     rows = [(i, [30000.0 + i, -1000.0 * i]) for i in range(40)]
-    assert run(spark, rows) == brute([(i, list(map(lambda x: max(-2**25, min(2**25, math.floor(1024 * x))) / 1024, v))) for i, v in rows], 10, 1024, lambda i: i % 10 == 0)
+    assert run(spark, rows) == brute(rows, 10, 1024, lambda i: i % 10 == 0)
+    for most in (1e5, 1e6):
+        rows = [(i, [draw.uniform(-most, most) for _ in range(3)]) for i in range(60)] + [(101, [40000.0, 0.0, 0.0]), (102, [50000.0, 0.0, 0.0]), (100, [1.0, 0.0, 0.0])]
+        rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+        assert run(spark, rows) == brute(rows, 10, 1024, lambda i: i % 10 == 0)
+    small_query = [(0, [0.001, 0.0]), (1, [float(2**45), 1.0]), (2, [float(2**45 + 2**22), 1.0])]
+    assert run(spark, small_query, mod=100) == brute(small_query, 10, 1024, lambda i: i == 0)
+    with pytest.raises(ValueError, match="64 bits"):
+        run(spark, [(0, [1e30]), (1, [1e30])])
 
 
 def test_empty(spark):
