@@ -59,6 +59,7 @@ STOP = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 BLANKS = re.compile(r"[ \t\n\r\f]+")
 INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+COMMENT_END = re.compile("--!?>")
 RAW_END = {name: re.compile(f"</{name}(?=[\\s/>])", re.I) for name in RAW}
 
 
@@ -197,8 +198,11 @@ def build(html: str) -> Element:
         if lt < 0:
             break
         if html.startswith("<!--", lt):
-            close = html.find("-->", lt + 4)
-            at = n if close < 0 else close + 3
+            if html.startswith((">", "->"), lt + 4):  # an empty comment
+                at = html.index(">", lt) + 1
+            else:
+                m = COMMENT_END.search(html, lt + 4)
+                at = n if m is None else m.end()
             continue
         if html.startswith(("<!", "<?"), lt):
             close = html.find(">", lt)

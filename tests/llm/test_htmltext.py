@@ -88,3 +88,9 @@ def test_odd_rows(spark):
     pages = spark.createDataFrame([(1, None, "x"), (1, "<p>a", "x"), (None, "", "x")], "page_id long, html string, text string")
     assert sorted(map(tuple, htmltext.extract(pages).collect()), key=repr) == [(1, ""), (1, "a"), (None, "")]
     assert htmltext.extract(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("html,want", [("<p>one</p><!--><p>two</p>", "one\n\ntwo"), ("<p>one</p><!---><p>two</p>", "one\n\ntwo"), ("<p>one<!-- x --!>two", "onetwo"), ("<p>one<!-- -- > x -->two", "onetwo"),
+                                       ("<p>one<!-- a <!--> two", "one two"), ("one<!--!>gone-->two", "onetwo"), ("one<!---->two", "onetwo"), ("one<!-- never ends <p>two", "one")])
+def test_comments_end_as_in_browsers(html, want):
+    assert htmltext.text_of(html) == want
