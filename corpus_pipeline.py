@@ -16,10 +16,8 @@ from seclake.session import materialize
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go; a missing ``lang`` is filled in."""
-    model = langid.train(docs)
-    found = langid.predict_column(model, F.col("text"), spark)
-    return docs.where(~langid.rejected(model, F.col("text"), spark)).withColumn("lang", F.coalesce("lang", found["lang"]))
+    """Documents without a language go; a missing ``lang`` is filled in. Null texts have none; repeated rows are judged alike."""
+    return langid.keep(docs, langid.train(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,9 +8,8 @@ the mean over the n-grams found; the text's is the mean over its words, and the
 language with the largest one wins (ties: the smaller name).
 
 The model is fitted on a bounded sample of the labelled rows: about
-``SAMPLE_DOCS`` documents of each language, drawn by a hash of the id. It keeps
-the ``MAX_WORDS`` most frequent words of a language and the ``MAX_GRAMS`` most
-frequent n-grams of each length, so it has a size bound and is broadcast; every
+``SAMPLE_DOCS`` documents of each language, drawn by a hash of id and text. It keeps
+all words and n-grams of the sample, which bounds its size, and is broadcast; every
 other word takes the fallback. Prediction reads whole texts and nothing but the text.
 
 Null texts, texts without a letter and all texts of a model without
@@ -25,18 +24,17 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seclake.llm.common import free_name, unit_hash
 
 SAMPLE_DOCS = 1500    # labelled documents of a language that the model is fitted on, about
-MAX_WORDS = 50_000    # words of a language
-MAX_GRAMS = 20_000    # n-grams of a language, for each length
 LENGTHS = (5, 4, 3, 2, 1)
 #: What a language without the word or n-gram gets less than the rarest that it has (natural logarithm).
 PENALTY = 2.0
-MEMO_WORDS = 200_000
+MEMO_WORDS = 50_000
 LONG_WORD = 60        # longer "words" aren't remembered
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
@@ -121,7 +119,7 @@ def fit(counts: list[tuple[str, Counter]]) -> Model:
                     for g in grams_of(word, n):
                         seen[g] += times
             totals.append(sum(seen.values()))
-            kept.append(dict(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:MAX_GRAMS if n else MAX_WORDS]))
+            kept.append(seen)
         rows = {w: k for k, w in enumerate(sorted(set().union(*kept)))} if kept else {}
         logs = np.empty((len(rows), len(languages)))
         for k, (seen, total) in enumerate(zip(kept, totals)):
@@ -139,7 +137,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     if not sizes:
         return fit([])
     rate = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample_docs / n))])
-    drawn = rows.where(unit_hash("id", seed=3) < F.element_at(rate, F.col("lang")))
+    drawn = rows.where(unit_hash("id", "text", seed=3) < F.element_at(rate, F.col("lang")))
 
     def count(it):
         for frame in it:
@@ -172,8 +170,18 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return docs.withColumn(found, predict_column(model, F.col(text_col), docs.sparkSession)).withColumns({"lang_pred": F.col(f"{found}.lang"), "score": F.col(f"{found}.score")}).drop(found)
 
 
-def rejected(model: Model, text: Column, spark) -> Column:
-    """Whether a text has no language: no letter, or nothing in it that tells the model's languages apart."""
-    found = predict_column(model, text, spark)
-    languages = len(model.languages)
-    return (found["lang"] == UNDETERMINED) | (found["score"] <= 1.000001 / languages if languages > 1 else F.lit(False))
+def keep(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The documents that have a language, with ``lang`` filled in where it is null; columns as they were. Without one are texts
+    without a letter, and those in which nothing tells the model's languages apart. Each text is scored once, in one pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at, text_at = docs.columns.index(lang_col), docs.columns.index(text_col)
+
+    def run(it):
+        predict, languages = shared.value.predict, len(shared.value.languages)
+        for batch in it:
+            found = [predict(t) for t in batch.column(text_at).to_pylist()]
+            good = [lang != UNDETERMINED and not (languages > 1 and score <= 1.000001 / languages) for lang, score in found]
+            old = batch.column(at)
+            filled = pa.array([lang if o is None else o for (lang, _), o in zip(found, old.to_pylist())], type=old.type)
+            yield pa.RecordBatch.from_arrays([filled if k == at else c for k, c in enumerate(batch.columns)], schema=batch.schema).filter(pa.array(good, type=pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)

@@ -75,3 +75,18 @@ def test_packing(steps):
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF_SMALL).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert os.path.exists(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_empty_documents(spark):
+    """Every stage returns its columns and no rows."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF_SMALL)
+        assert out.collect() == [], name
+        assert name == corpus_pipeline.STAGES[-1][0] or out.columns == docs.columns
+
+
+def test_language_scores_each_text_once(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    plan = corpus_pipeline.language(spark, docs, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
