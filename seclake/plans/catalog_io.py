@@ -408,3 +408,13 @@ def q_evidence_by_scope(spark, base):
         "scope", "scope_value", "total_events", "total_anomalies", "anomaly_rate", "avg_threat_score", "high_confidence_cases", "medium_confidence_cases", "low_confidence_cases",
         "unique_high_users", "unique_high_ips", "unique_mitre_techniques", *[c.alias(k) for k, c in risk.items()], "machine_verdict", "confidence_score",
         F.array_join("allowed_mitre_techniques", " | ").alias("techniques"), F.array_join(F.transform("top_incidents", line), "\n").alias("incidents"))
+
+
+@register("knn_index")
+def q_knn_index(spark, base):
+    """V4 for large corpora: for every row whose id 20 divides its ten nearest rows among those that the hash-bucket index holds close (recall is tested against the exact path)."""
+    from ..operators import lsh
+    corpus = spark.read.parquet(f"{base}/embeddings.parquet").select("vec_id", "embedding")
+    queries = corpus.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    index = lsh.fit(corpus, bucket_rows=64, k=10)
+    return lsh.search(lsh.entries(corpus, index, 10), queries, index, 10)
