@@ -11,48 +11,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, DetectionConfig
+from ..session import materialize
 
 
-BINS = 1024
+BINS = 1 << 16
 
 
-def order_statistic(values: DataFrame, rank: int, bins: int = BINS) -> float:
-    """The value of 0-based ``rank`` among the non-null ``values(v)``, exactly:
-    count the values per equal-width bin, go on inside the bin that holds
-    the rank, until that holds one value. Every round is one grouped
+def order_statistics(values: DataFrame, rank: int, low: float, high: float, bins: int = BINS) -> tuple[float, float | None]:
+    """The values of 0-based ``rank`` and of the rank behind it (none behind the last)
+    among the non-null ``values(v)`` between ``low`` and ``high``, exactly: count the values per
+    equal-width bin, go on inside the bin that holds the rank, until that holds one value. Every round is one grouped
     count; at most ``bins`` rows come back, whatever the number of values."""
-    low, high = values.agg(F.min("v"), F.max("v")).first()
+    after, n = None, None
     while low < high:
         width = (high - low) / bins
         if not width or low + width == low:  # neighbours in floating point: bins would be empty
             width = high - low
         found = (values.where((F.col("v") >= low) & (F.col("v") <= high))
                  .groupBy(F.floor((F.col("v") - F.lit(low)) / F.lit(width)).alias("bin"))
-                 .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("bin").collect())
-        for r in found:
+                 .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect())
+        found.sort(key=lambda r: r["bin"])
+        for k, r in enumerate(found):
             if rank < r["n"]:
                 break
             rank -= r["n"]
-        low, high = r["low"], r["high"]
-    return low
+        low, high, n = r["low"], r["high"], r["n"]
+        if k + 1 < len(found):
+            after = found[k + 1]["low"]
+    if n is None:  # all values are equal
+        n = values.count()
+    return low, low if rank + 1 < n else after
 
 
 def score_offset(df: DataFrame, score_col: str, cfg: DetectionConfig = DEFAULT,
                  rows: int | None = None) -> float | None:
     """The ``contamination`` quantile with linear interpolation, exact at every
-    size (see ``order_statistic``). ``rows``: the number of non-null scores, if known."""
+    size (see ``order_statistics``). The score column is written once, so that its passes
+    don't run the plan of ``df`` again. ``rows``: the number of non-null scores, if known (and ``df`` is cheap to read)."""
     values = df.select(F.col(score_col).cast("double").alias("v")).where("v is not null")
-    n = rows if rows is not None else values.count()
+    if rows is None:
+        values = materialize(values, "scores")
+    n, low, high = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
     if n == 0:
         return None
     at = (n - 1) * cfg.contamination
     rank = int(at)
-    value = order_statistic(values, rank)
-    if at == rank:
-        return value
-    upto, above = values.agg(F.count(F.when(F.col("v") <= value, 1)), F.min(F.when(F.col("v") > value, F.col("v")))).first()
-    following = value if upto > rank + 1 else above
-    return value + (at - rank) * (following - value)
+    value, following = order_statistics(values, rank, low, high)
+    return value if at == rank else value + (at - rank) * (following - value)
 
 
 def with_anomaly(df: DataFrame, score_col: str, offset: float | None) -> DataFrame:

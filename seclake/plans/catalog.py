@@ -15,6 +15,7 @@ from ..config import DEFAULT, EV_LOGON_SUCCESS
 from ..functions import ipcols
 from ..operators import features, normalize, rawmetrics, reports, scoring
 from ..plans import detection
+from ..session import materialize
 from ..sources import fixtures
 from . import oracle as O
 
@@ -49,11 +50,22 @@ def _features(spark, base) -> DataFrame:
     return detection.features_of(_raw(spark, base))
 
 
-def _analyzed(spark, base) -> DataFrame:
+def _analyze(spark, base) -> DataFrame:
     """Rules + scores with ``events.value`` standing in for the model score."""
     return detection.analyze(fixtures.raw_logs_with_value(spark, base), model="score", score_col="value")
 
 
+_SAVED: dict = {}
+
+
+def _analyzed(spark, base) -> DataFrame:
+    """The saved ``analyzed_logs`` that reports read: one run per session and folder."""
+    key = (spark.sparkContext.applicationId, base)
+    if key not in _SAVED:
+        _SAVED[key] = materialize(_analyze(spark, base), "analyzed")
+    return _SAVED[key]
+
+
 def _r6(c: str) -> Column:
     return F.round(F.col(c), 6).alias(c)
 
@@ -256,13 +268,13 @@ def q_rule_flags(spark, base):
 
 @register("mitre_techniques", O.chain() + "SELECT log_id, mitre_techniques FROM analyzed")
 def q_mitre_techniques(spark, base):
-    return _analyzed(spark, base).select("log_id", "mitre_techniques")
+    return _analyze(spark, base).select("log_id", "mitre_techniques")
 
 
 @register("rule_scores", O.chain() + """
 SELECT log_id, rule_score, ml_score, total_threat_score, final_risk_level, is_anomaly FROM analyzed""")
 def q_rule_scores(spark, base):
-    return _analyzed(spark, base).select("log_id", "rule_score", "ml_score", "total_threat_score",
+    return _analyze(spark, base).select("log_id", "rule_score", "ml_score", "total_threat_score",
                                          "final_risk_level", "is_anomaly")
 
 
@@ -663,7 +675,6 @@ def q_chunk_documents(spark, base):
 @register("embed_chunks")
 def q_embed_chunks(spark, base):
     """V2: hashed TF-IDF vectors for every chunk."""
-    from ..session import materialize
     chunks = materialize(q_chunk_documents(spark, base), "chunks")  # read by the fit and the transform
     model = V.fit_embedder(chunks)
     return V.embed(model, chunks).select("doc_path", "chunk_idx", "embedding")
@@ -774,7 +785,6 @@ def q_upload_parse(spark, base):
 def q_runbook_context(spark, base):
     """V2–V5: context for the run's allowed techniques, retrieved from the
     chunked ``documents`` corpus."""
-    from ..session import materialize
     from . import context
     chunks = materialize(q_chunk_documents(spark, base), "chunks")
     return context.runbook_context(_analyzed(spark, base), chunks)

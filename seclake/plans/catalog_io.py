@@ -401,7 +401,7 @@ FROM k LEFT JOIN t ON t.scope = k.scope AND t.scope_value = k.scope_value LEFT J
 def q_evidence_by_scope(spark, base):
     """R18 for everything, each day and each collector, from saved rows."""
     from . import evidence
-    saved = materialize(_analyzed(spark, base), "analyzed")
+    saved = _analyzed(spark, base)
     risk = {f"n_{name.lower()}": F.col("risk_distribution")[name] for name in reports.RISK_ORDER}
     line = lambda s: F.concat_ws("|", s["log_id"].cast("string"), F.coalesce(s["username"], F.lit("")), s["source_ip"], s["final_risk_level"], s["total_threat_score"].cast("string"), s["mitre_techniques"])
     return evidence.by_scope(saved).select(

@@ -119,7 +119,9 @@ def test_order_statistic_equals_sorting(spark):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
     want = sorted(values)
     for rank in (0, 1, 12, 200, 250, 302, len(values) - 1):
-        assert anomaly.order_statistic(df.where("v is not null"), rank, bins=7) == want[rank]
+        following = want[rank + 1] if rank + 1 < len(want) else None
+        assert anomaly.order_statistics(df.where("v is not null"), rank, want[0], want[-1], bins=7) == (want[rank], following)
+    assert anomaly.order_statistics(df.where("v = 0.25"), 99, 0.25, 0.25) == (0.25, None) and anomaly.order_statistics(df.where("v = 0.25"), 98, 0.25, 0.25) == (0.25, 0.25)
     from seclake.config import DEFAULT
     at = (len(values) - 1) * DEFAULT.contamination
     assert anomaly.score_offset(df, "v") == want[int(at)] + (at - int(at)) * (want[int(at) + 1] - want[int(at)])
