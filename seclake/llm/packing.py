@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,28 +37,25 @@ from seclake.session import materialize, partitions_for
 
 ROOM = 2048
 END = 0
-MEMO_WORDS = 250_000  # in each of the two halves of the memory
-LONG_WORD = 200
+MEMO_WORDS = 500_000
+MEMO_BYTES = 64 << 20
+#: Characters that a task turns into ids at once, about.
+BLOCK_CHARS = 8_000_000
 NUL = "\0"
 #: A line break between two words, as three parts.
 LINE = f" {NUL}\n {NUL}"
 SPLIT = re.compile(r"(?<=\S) (?=\S)")
-PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 PIECES = pa.schema([("row", pa.int64()), ("id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
-def byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 bytes stand for themselves, the others follow from 256 on."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or b >= 161 and b != 173]
-    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(shown)))}
+#: The letters that stand for a space and a line break in a byte-level vocabulary.
+SPACE, BREAK = chr(256 + 32), chr(256 + 10)
 
 
 class Encoder:
     """Token ids of texts. No merge of the byte-level tokenizer crosses a space
-    between two words (it begins the next token), a single line break between
-    words, or the start of the punctuation that a word ends in. So the ids of
-    such parts are put together, and the tokenizer sees each new part once;
-    a part of nothing but letters is one pre-token, and goes straight to its merges.
+    between two words (it begins the next token) or a single line break between
+    words. So the ids of such parts are put together, and the tokenizer sees each new part once.
     Texts that hold the string of a special token go to the tokenizer whole.
 
     A part's key is its word if a space stands before it, else NUL and the part."""
@@ -65,30 +63,38 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
-        self.tokenizer, self.letters = Tokenizer.from_file(path), byte_letters()
-        self.merges = self.tokenizer.model
+        self.tokenizer = Tokenizer.from_file(path)
+        words = self.tokenizer.get_vocab(with_added_tokens=False)
+        # Whether a token begins with a space, and whether it is a line break (in the letters that stand for bytes).
+        self.spaced, self.broken = (np.zeros(max(words.values(), default=0) + 1, dtype=bool) for _ in range(2))
+        self.spaced[[k for w, k in words.items() if w.startswith(SPACE)]] = True
+        self.broken[[k for w, k in words.items() if w == BREAK]] = True
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    @staticmethod
-    def parts(key: str) -> list[str]:
-        bare = key[:1] == NUL
-        word = key[1:] if bare else key
-        if "\n" not in word:
-            if word[-1:] not in PUNCTUATION:
-                return [key]
-            core = word.rstrip(PUNCTUATION)
-            if len(core) == len(word) or not core or not core[-1].isalnum():
-                return [key]
-            return [NUL + core if bare else core, NUL + word[len(core):]]
-        lines = word.split("\n")
-        if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
-            return [key]
-        out = Encoder.parts(NUL + lines[0] if bare else lines[0])
-        for line in lines[1:]:
-            out += [NUL + "\n", *Encoder.parts(NUL + line)]
-        return out
+        self.clear()
+
+    def clear(self) -> None:
+        """Forgets all parts. A part's number is its place in ``known``; its ids are the ``sizes`` ones of ``pool`` from ``starts``."""
+        self.known = pa.array([], type=pa.large_string())
+        self.pool, self.starts, self.sizes = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def add(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray) -> int:
+        """Appends parts; returns the number of the first one."""
+        first = len(self.known)
+        self.known = pa.concat_arrays([self.known, pa.array(keys, type=pa.large_string())])
+        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.pool = np.concatenate([self.pool, ids])
+        return first
+
+    def numbers(self, keys: pa.Array) -> np.ndarray:
+        """The parts' numbers; -1 for unknown ones."""
+        return pc.fill_null(pc.index_in(keys, value_set=self.known), -1).to_numpy()
+
+    def ids(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the numbered parts in a row, and where each part ends (from 0 on)."""
+        sizes = self.sizes[part]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return self.pool[np.arange(ends[-1]) + np.repeat(self.starts[part] - ends[:-1], sizes)], ends
 
     @staticmethod
     def plain(text: str) -> bool:
@@ -98,80 +104,63 @@ class Encoder:
         rest = text.replace(" ", "").replace("\n", "")
         return not rest or rest.split(None, 1) == [rest]
 
-    def encode(self, keys: set[str]) -> dict[str, bytes]:
-        out, rest, letters, merges = {}, [], self.letters, self.merges.tokenize
-        for key in keys:
-            bare = key[:1] == NUL
-            word = key[1:] if bare else key
-            text = word if bare else " " + word
-            if word.isalpha():
-                ids = [t.id for t in merges(text.encode().decode("latin-1").translate(letters))]
-                out[key] = struct.pack(f"<{len(ids)}I", *ids)
-            else:
-                rest.append((key, text))
-        for k in range(0, len(rest), 4096):
-            block = rest[k:k + 4096]
-            for (key, _), e in zip(block, self.tokenizer.encode_batch_fast([t for _, t in block], add_special_tokens=False)):
-                out[key] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        return out
-
-    def learn(self, keys: set[str]) -> None:
-        """Puts the ids of ``keys`` into the young half."""
-        young, old, made, new, missing = self.young, self.old, {}, set(), []
-        for key in keys:
-            if (known := old.get(key)) is not None:
-                young[key] = known
-                continue
-            xs = self.parts(key)
-            if len(xs) > 1:
-                made[key] = xs
-                missing += [x for x in xs if x not in young]
-            else:
-                new.add(key)
-        for x in missing:
-            if (known := old.get(x)) is not None:
-                young[x] = known
-            else:
-                new.add(x)
-        young.update(self.encode(new))
-        for key, xs in made.items():
-            young[key] = b"".join([young[x] for x in xs])
+    def learn(self, keys: list[str]) -> np.ndarray:
+        """Adds new parts; returns their numbers. Parts without whitespace are encoded many at once, put together by the
+        space or line break before them; the first token of each shows where it begins."""
+        number = np.zeros(len(keys), dtype=np.int64)
+        groups: dict[str | None, list[int]] = {" ": [], "\n": [], None: []}
+        for k, key in enumerate(keys):
+            word = key[1:] if key[:1] == NUL else key
+            groups[None if word.split() != [word] else " " if word is key else "\n"].append(k)
+        for mark, starts in ((" ", self.spaced), ("\n", self.broken)):
+            for at in range(0, len(groups[mark]), 10_000):
+                some = groups[mark][at:at + 10_000]
+                words = [keys[k] for k in some] if mark == " " else [keys[k][1:] for k in some]
+                ids = np.array(self.tokenizer.encode_batch_fast([mark + mark.join(words)], add_special_tokens=False)[0].ids, dtype=np.int32)
+                first = starts[ids]
+                sizes = np.diff(np.flatnonzero(first), append=len(ids))
+                if mark == "\n":  # the line break itself is a part of its own
+                    ids, sizes = ids[~first], sizes - 1
+                number[some] = self.add([keys[k] for k in some], ids, sizes) + np.arange(len(some))
+        some = groups[None]
+        found = self.tokenizer.encode_batch_fast([keys[k][1:] if keys[k][:1] == NUL else " " + keys[k] for k in some], add_special_tokens=False)
+        sizes = np.array([len(e.ids) for e in found], dtype=np.int64)
+        number[some] = self.add([keys[k] for k in some], np.array([i for e in found for i in e.ids], dtype=np.int32), sizes) + np.arange(len(some))
+        return number
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def many(self, texts: list[str]) -> list[bytes]:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        if len(self.young) > MEMO_WORDS:
-            self.old, self.young = self.young, {}
-        get, docs, unknown = self.young.get, [], set()
-        for text in texts:
+        """Ids as little-endian unsigned 32-bit numbers. The texts' parts are numbered by Arrow, looked up once each, and put together by position."""
+        out: list[bytes] = [b""] * len(texts)
+        keyed, places = [], []
+        for k, text in enumerate(texts):
             if any(s in text for s in self.specials) or NUL in text:
-                docs.append((None, self.whole(text), None))
-                continue
-            if self.plain(text):
-                keys = (NUL + text.replace("\n", LINE)).split(" ")
+                out[k] = self.whole(text)
+            elif self.plain(text):
+                keyed.append(NUL + text.replace("\n", LINE))
+                places.append(k)
             else:
-                keys = SPLIT.split(text)
-                keys[0] = NUL + keys[0]
-            ids = list(map(get, keys))
-            gaps = [k for k, x in enumerate(ids) if x is None] if None in ids else []
-            unknown.update([keys[k] for k in gaps])
-            docs.append((keys, ids, gaps))
-        self.learn(unknown)
-        young, out = self.young, []
-        for keys, ids, gaps in docs:
-            if keys is None:
-                out.append(ids)
+                keyed.append(NUL + SPLIT.sub(NUL + NUL, text))
+                places.append(-1 - k)
+        for chosen, mark in (([x for x, k in zip(keyed, places) if k >= 0], " "), ([x for x, k in zip(keyed, places) if k < 0], NUL + NUL)):
+            if not chosen:
                 continue
-            for k in gaps:
-                ids[k] = young[keys[k]]
-            out.append(b"".join(ids))
-        for key in unknown:
-            if len(key) > LONG_WORD:
-                for x in (key, *self.parts(key)):
-                    young.pop(x, None)
+            if len(self.known) > MEMO_WORDS or self.known.nbytes > MEMO_BYTES:
+                self.clear()
+            lists = pc.split_pattern(pa.array(chosen, type=pa.large_string()), mark)
+            numbered = lists.flatten().dictionary_encode()
+            part = self.numbers(numbered.dictionary).astype(np.int64)
+            if (unknown := np.flatnonzero(part < 0)).size:
+                part[unknown] = self.learn(numbered.dictionary.take(pa.array(unknown)).to_pylist())
+            ids, ends = self.ids(part[numbered.indices.to_numpy()])
+            ids = ids.astype("<u4")
+            bounds = ends[lists.offsets.to_numpy()].tolist()
+            at = [k for k in places if k >= 0] if mark == " " else [-1 - k for k in places if k < 0]
+            for k, low, high in zip(at, bounds, bounds[1:]):
+                out[k] = ids[low:high].tobytes()
         return out
 
 
@@ -187,6 +176,17 @@ def pieces_of(n: int, room: int) -> list[tuple[int, int]]:
     return [(0, n)] if n <= room else [(0, first), *[(s, room) for s in range(first, n, room)]]
 
 
+def blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``BLOCK_CHARS`` bytes of text (a longer text by itself)."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+    start = 0
+    while start < batch.num_rows:
+        done = int(size[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(size, done + BLOCK_CHARS)))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def cut(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, room: int = ROOM, with_ids: bool = False) -> DataFrame:
     """The pieces of all documents: ``row, id, piece, start, length, ids_crc32, ids`` (null unless asked for)."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,8 +194,7 @@ def cut(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, room:
 
         def rows():
             for batch in it:
-                for k in range(0, batch.num_rows, 256):
-                    part = batch.slice(k, 256)
+                for part in blocks(batch):
                     texts = [t or "" for t in part.column(2).to_pylist()]
                     for row, doc, ids in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), encode(texts)):
                         ids += struct.pack("<I", END)
