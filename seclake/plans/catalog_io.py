@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.timecols import ntz_lit, parse_mixed_timestamp
 from ..operators import features, forest, guardrails, normalize, reports, retrieval
 from ..operators import anomaly
-from ..session import checkpoint_dir, materialize
-from ..sources import cutoff, fixtures, marks, records, sinks, upload, winevents
+from ..session import checkpoint_dir, list_path, materialize
+from ..sources import cutoff, fixtures, marks, records, sinks, snapshots, upload, winevents
 from . import catalog
 from . import oracle as O
 from .catalog import CUTOFF, _analyzed, _raw, _records_sql, _projection_sql, register
@@ -133,6 +133,31 @@ def q_analyzed_replace(spark, base):
     return sinks.read_analyzed(spark, path)
 
 
+@register("snapshot_retention", O.chain("raw_logs") + """
+SELECT step, CASE WHEN step = 'pinned' THEN count(*) FILTER (WHERE log_id % 4 = 0) ELSE count(*) END AS n_rows, CASE step WHEN 'pinned' THEN '0' WHEN 'newest' THEN '0,3' ELSE '3' END AS versions
+FROM raw_logs, (VALUES ('pinned'), ('newest'), ('released')) s(step) GROUP BY step""")
+def q_snapshot_retention(spark, base):
+    """A pinned version outlives three replacements and a clean-up, and goes once it is released."""
+    store = snapshots.Snapshots(spark, folder(spark, "snapshots"))
+    raw = _raw(spark, base).select("log_id")
+    out = []
+
+    def note(step, rows):
+        names = ",".join(str(int(n[2:])) for n in list_path(spark, store.path) if n.startswith("v-"))
+        out.append(materialize(rows.agg(F.count("*").alias("n_rows")).select(F.lit(step).alias("step"), "n_rows", F.lit("0" if step == "pinned" else names).alias("versions")), "step"))
+    store.publish(raw.where("log_id % 4 = 0"))
+    held = store.read(store.pin("report"))
+    for part in (raw.where("log_id % 4 = 1"), raw.where("log_id % 2 = 0"), raw):
+        store.publish(part)
+    store.clean()
+    note("pinned", held)
+    note("newest", store.read())
+    store.release("report")
+    store.clean()
+    note("released", store.read())
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 @register("incidents_csv", O.chain() + """
 SELECT coalesce(username, '') AS username, coalesce(source_ip, '') AS source_ip, final_risk_level AS risk_level,
  CAST(total_threat_score AS VARCHAR) AS threat_score, mitre_techniques FROM analyzed""")

@@ -7,6 +7,7 @@ unset, which is what tests and the local bench need.
 
 from __future__ import annotations
 
+import contextvars
 import os
 import uuid
 
@@ -74,14 +75,57 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     Cuts lineage (a lost executor re-reads the written files instead of
     recomputing the plan) and is columnar, so later readers prune columns.
+    What is written stays until the ``Scratch`` around it ends.
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     path = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    for scratch in _SCRATCH.get():
+        scratch.paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def list_path(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, by Spark's file system; none if there is no such folder."""
+    p, fs = _hadoop_path(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+_SCRATCH: contextvars.ContextVar[tuple] = contextvars.ContextVar("scratch", default=())
+
+
+class Scratch:
+    """Removes, when it ends, all that ``materialize`` wrote inside it. For the owner of a run: frames
+    built inside can't be read afterwards, so the result has to be written before.
+
+        with Scratch(spark):
+            detection.analyze(raw).write.parquet(path)
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        self._token = _SCRATCH.set((*_SCRATCH.get(), self))
+        return self
+
+    def __exit__(self, *error) -> None:
+        _SCRATCH.reset(self._token)
+        for path in self.paths:
+            delete_path(self.spark, path)
+
+
 LARGEST_ESTIMATE = 1 << 50
 
 
