@@ -232,3 +232,24 @@ def score(feats: DataFrame, forest: Forest, out: str = "anomaly_score") -> DataF
         return pd.Series(forest.score_samples(x) if len(x) else np.zeros(0))
 
     return feats.withColumn(out, iso_score(*[F.col(c).cast("double") for c in cols]))
+
+
+def walk(feats: DataFrame, nodes: DataFrame, psi: int, features: tuple = MODEL_FEATURES, key: str = "log_id") -> DataFrame:
+    """The score by its definition, on the node table alone: ``key, walked, leaves`` (the number of trees that the row reached a leaf of). Each row stands at every tree's
+    root and moves down by one join a level. For checks and for explaining single scores; ``score`` is the fast path."""
+    def c(size):  # average path length of ``size`` rows
+        harmonic = F.log(size - 1.0) + F.lit(float(np.euler_gamma))
+        return F.when(size <= 1, 0.0).when(size == 2, 1.0).otherwise(2.0 * harmonic - 2.0 * (size - 1.0) / size)
+
+    at = F.broadcast(nodes.select("tree_id", F.col("node_id").alias("at"), "feature", "threshold", "left", "right", "size"))  # at most trees x (2^(h+1) - 1) rows
+    trees = nodes.select("tree_id").distinct()
+    rows = feats.select(key, F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]).alias("x"))
+    ids = F.array(*[F.lit(r["tree_id"]) for r in trees.orderBy("tree_id").collect()])
+    here = rows.select(key, "x", F.explode(ids).alias("tree_id"), F.lit(0).alias("at"), F.lit(0).alias("depth"))
+    for _ in range(max(1, math.ceil(math.log2(max(psi, 2))))):
+        stood = here.join(at, ["tree_id", "at"])
+        inner = F.col("left") >= 0
+        below = F.when(F.element_at("x", F.greatest(F.col("feature"), F.lit(0)) + 1) <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
+        here = stood.select(key, "x", "tree_id", F.when(inner, below).otherwise(F.col("at")).alias("at"), (F.col("depth") + inner.cast("int")).alias("depth"))
+    ends = here.join(at, ["tree_id", "at"]).where("left < 0").groupBy(key).agg(F.avg(F.col("depth") + c(F.col("size").cast("double"))).alias("mean"), F.count("*").alias("leaves"))
+    return ends.select(key, (-F.pow(F.lit(2.0), -F.col("mean") / c(F.lit(float(psi))))).alias("walked"), "leaves")

@@ -109,6 +109,14 @@ def chunk_documents(docs: DataFrame, path_col: str = "doc_path", text_col: str =
     return src.mapInPandas(run, CHUNK_SCHEMA)
 
 
+def split_table():
+    """V1 as a table function of a text: ``chunk_idx, text``, to be joined laterally (``docs.lateralJoin(split_table()(F.col("text").outer()))``, or by name in SQL once registered)."""
+    class Split:
+        def eval(self, text: str):
+            yield from enumerate(split_text(text or ""))
+    return F.udtf(Split, returnType="chunk_idx int, chunk string", useArrow=False)
+
+
 # ------------------------------------------------------------------ V2
 
 def fit_embedder(chunks: DataFrame, text_col: str = "text", dims: int = 256):
@@ -130,6 +138,22 @@ def embed(model, df: DataFrame, out: str = "embedding") -> DataFrame:
             .drop("_tok", "_tf", "_idf", "_vec"))
 
 
+def hashed_tfidf(docs: DataFrame, id_col: str, text_col: str = "text", dims: int = 256) -> DataFrame:
+    """V2 by built-in functions alone: ``(id, pos, weight)``, the places of each text's unit vector that aren't zero. Words are runs of letters, digits and
+    underscores in lower case; a word's place is that of its MD5; weights are counts times log((n + 1) / (df + 1)), as ``fit_embedder`` has them. Sums are partial before each
+    shuffle; a text is never gathered. Texts with equal ids are one text; texts without a word, or with nothing but words that all texts have, give no rows."""
+    word = F.explode(F.split(F.lower(text_col), r"[^\p{L}\p{N}_]+")).alias("word")
+    place = (F.conv(F.substring(F.md5(F.encode("word", "UTF-8")), 1, 8), 16, 10).cast("long") % dims).cast("int")
+    counts = docs.select(F.col(id_col).alias("id"), word).where("word <> ''").groupBy("id", "word").agg(F.count("*").alias("n"))
+    tf = counts.select("id", place.alias("pos"), "n").groupBy("id", "pos").agg(F.sum("n").alias("tf"))
+    df = tf.groupBy("pos").agg(F.count("*").alias("df"))  # at most ``dims`` rows
+    total = docs.agg(F.count_distinct(F.col(id_col)).alias("n"))
+    idf = df.withColumn("one", F.lit(1)).join(total.withColumn("one", F.lit(1)), "one").select("pos", F.log((F.col("n") + 1) / (F.col("df") + 1)).alias("idf"))
+    weighted = tf.join(F.broadcast(idf), "pos").select("id", "pos", (F.col("tf") * F.col("idf")).alias("w")).where("w <> 0")
+    norms = weighted.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return weighted.join(norms, "id").select("id", "pos", (F.col("w") / F.col("norm")).alias("weight"))
+
+
 # ------------------------------------------------------------------ V3
 
 def retrieval_query(techniques: Column) -> Column:

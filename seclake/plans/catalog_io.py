@@ -7,8 +7,10 @@ checkpoint folder, reads it back, and is compared with SQL over the tables.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -221,29 +223,82 @@ def q_upload_elements(spark, base):
 
 @register("forest_check", """
 SELECT count(*) AS n_rows, CAST(ceil(count(*) * 0.03 - 0.5) AS BIGINT) - 1 <= CAST(count(*) * 0.04 AS BIGINT) AS share_right,
- true AS flag_is_sign, true AS scores_in_range FROM events""")
+ true AS flag_is_sign, count(*) AS n_walked, 100 * count(*) AS n_leaves FROM events""")
 def q_forest_check(spark, base):
-    """M2–M5: every row is scored in (-1, 0), about 3 % are flagged, and the flag is the sign."""
+    """M2–M5: about 3 % are flagged, the flag is the sign, and every row's score is the one that a walk of the saved node table, by joins, gives."""
     from . import detection
     feats = materialize(detection.features_of(_raw(spark, base)), "features")
-    fitted = forest.fit(feats, rows=feats.count())
-    scored = materialize(forest.score(feats, fitted, "s").select("log_id", "s"), "scores")
+    nodes, psi = forest.fit_nodes(feats)
+    nodes = materialize(nodes, "nodes")
+    scored = materialize(forest.score(feats, forest.Forest.from_nodes(nodes.toPandas(), psi), "s").select("log_id", "s"), "scores")
     flagged = anomaly.with_anomaly(scored, "s", anomaly.score_offset(scored, "s"))
+    walked = forest.walk(feats, nodes, psi)
+    both = flagged.join(walked, "log_id", "left")
     share = F.avg("is_anomaly")
-    return flagged.agg(F.count("*").alias("n_rows"), ((share > 0) & (share <= 0.031)).alias("share_right"),
-                       F.bool_and((F.col("anomaly_score_raw") < 0) == (F.col("is_anomaly") == 1)).alias("flag_is_sign"),
-                       F.bool_and((F.col("s") < 0) & (F.col("s") > -1)).alias("scores_in_range"))
+    return both.agg(F.count("*").alias("n_rows"), ((share > 0) & (share <= 0.031)).alias("share_right"),
+                    F.bool_and((F.col("anomaly_score_raw") < 0) == (F.col("is_anomaly") == 1)).alias("flag_is_sign"),
+                    F.count(F.when(F.abs(F.col("s") - F.col("walked")) < 1e-9, 1)).alias("n_walked"), F.sum("leaves").cast("long").alias("n_leaves"))
 
 
 @register("chunk_check", """
-SELECT doc_id, true AS short_enough, true AS found_in_order, length(regexp_replace(coalesce(text, ''), '\\s', '', 'g')) > 0 AS has_chunks FROM documents""")
+SELECT doc_id, true AS short_enough, true AS in_order, length(regexp_replace(coalesce(text, ''), '[\\t\\n\\f\\r ]', '', 'g')) AS covered FROM documents""")
 def q_chunk_check(spark, base):
-    """V1: chunks are short, stand in their document, and a document with text has some."""
-    docs = spark.read.parquet(f"{base}/documents.parquet").select("doc_id", F.col("doc_id").cast("string").alias("doc_path"), F.coalesce("text", F.lit("")).alias("whole"))
-    chunks = retrieval.chunk_documents(docs.withColumnRenamed("whole", "text")).select("doc_path", "text")
-    held = chunks.join(docs, "doc_path").groupBy("doc_id").agg(F.max(F.length("text")).alias("longest"), F.bool_and(F.contains("whole", "text")).alias("inside"))
-    return docs.join(held, "doc_id", "left").select(
-        "doc_id", (F.coalesce("longest", F.lit(0)) <= retrieval.CHUNK_SIZE).alias("short_enough"), F.coalesce("inside", F.lit(True)).alias("found_in_order"), F.col("longest").isNotNull().alias("has_chunks"))
+    """V1: chunks are short, stand in their document one behind the other, and hold all its characters but blanks: each is counted where a chunk first covers it."""
+    docs = spark.read.parquet(f"{base}/documents.parquet").select("doc_id", F.col("doc_id").cast("string").alias("doc_path"), F.coalesce("text", F.lit("")).alias("text"))
+    split = retrieval.split_table()
+    held = docs.lateralJoin(split(F.col("text").outer()), how="left").groupBy("doc_path").agg(
+        F.sort_array(F.collect_list(F.struct("chunk_idx", "chunk"))).alias("chunks"))  # one document's chunks
+    blank = re.compile(r"[\t\n\f\r ]")
+
+    @F.pandas_udf("in_order boolean, covered long, longest int")
+    def look(texts: pd.Series, chunks: pd.Series) -> pd.DataFrame:
+        out = []
+        for text, some in zip(texts, chunks):
+            some = [] if some is None else [c["chunk"] for c in some]
+            whole, ends = "".join(text.split()), {0}
+            for c in some:  # each begins where the one before ends, or at most the overlap earlier; a text that repeats itself allows several places
+                bare = "".join(c.split())
+                ends = {e - o + len(bare) for e in ends for o in range(min(e, retrieval.CHUNK_OVERLAP) + 1) if whole.startswith(bare, e - o)}
+            most = max(ends, default=0)
+            out.append((bool(ends), len(blank.sub("", text)) if most == len(whole) else most, max(map(len, some), default=0)))
+        return pd.DataFrame(out, columns=["in_order", "covered", "longest"])
+    seen = docs.join(held, "doc_path", "left").select("doc_id", look("text", F.filter("chunks", lambda c: c["chunk"].isNotNull())).alias("l"))
+    return seen.select("doc_id", (F.col("l.longest") <= retrieval.CHUNK_SIZE).alias("short_enough"), "l.in_order", "l.covered")
+
+
+_PLACE = "CAST(CAST(('0x' || substr(md5(word), 1, 8)) AS BIGINT) % 256 AS INTEGER)"
+
+
+@register("embed_texts", f"""
+WITH w AS (SELECT doc_id AS id, unnest(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}_]+')) AS word FROM documents),
+t AS (SELECT id, {_PLACE} AS pos, count(*) AS tf FROM w WHERE word <> '' GROUP BY 1, 2),
+d AS (SELECT pos, ln((SELECT count(DISTINCT doc_id) FROM documents) + 1) - ln(count(*) + 1) AS idf, count(*) AS df FROM t GROUP BY pos),
+x AS (SELECT id, t.pos, tf * ln(((SELECT count(DISTINCT doc_id) FROM documents) + 1) / (df + 1)) AS w FROM t JOIN d ON d.pos = t.pos WHERE df < (SELECT count(DISTINCT doc_id) FROM documents)),
+n AS (SELECT id, sqrt(sum(w * w)) AS norm FROM x GROUP BY id)
+SELECT x.id, pos, round(w / norm, 6) AS weight FROM x JOIN n ON n.id = x.id""")
+def q_embed_texts(spark, base):
+    """V2 by built-in functions over whole texts."""
+    found = retrieval.hashed_tfidf(spark.read.parquet(f"{base}/documents.parquet"), "doc_id")
+    return found.select("id", "pos", F.round("weight", 6).alias("weight"))
+
+
+SEARCH_TERMS = ("t1110", "USER_1", "10.0.", "192.168.1.1", "high", "brute force", "r_", "7", "nothing like it", "T1021 - Remote")
+
+
+@register("incident_search_indexed", O.chain() + f"""
+SELECT term, log_id FROM analyzed, (VALUES {", ".join(f"({O._q(t)})" for t in SEARCH_TERMS)}) s(term)
+WHERE contains(lower(coalesce(username, '')), lower(term)) OR contains(lower(coalesce(source_ip, '')), lower(term))
+   OR contains(lower(coalesce(final_risk_level, '')), lower(term)) OR contains(lower(coalesce(mitre_techniques, '')), lower(term))""")
+def q_incident_search_indexed(spark, base):
+    """R15 through the index of distinct values, for ten terms, some of them short."""
+    from ..operators import searchindex
+    rows = _analyzed(spark, base)
+    index = searchindex.build(rows)
+    out = None
+    for term in SEARCH_TERMS:
+        found = searchindex.search(rows, index, term).select(F.lit(term).alias("term"), "log_id")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 # ---------------------------------------------------------------- streams
