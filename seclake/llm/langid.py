@@ -37,6 +37,7 @@ PENALTY = 2.0
 MEMO_WORDS = 50_000
 LONG_WORD = 60        # longer "words" aren't remembered
 UNDETERMINED = "und"
+SLICE = 500           # rows that a task holds as Python texts
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -61,10 +62,12 @@ class Model:
         self.languages, self.tables, self.memo = languages, tables, {}
 
     def __getstate__(self):
-        return self.languages, self.tables
+        # Each table's words as one string: that takes a fraction of the memory that pickled words take on the way.
+        return self.languages, [("\n".join(rows), logs) for rows, logs in self.tables]
 
     def __setstate__(self, state):
-        self.__init__(*state)
+        languages, tables = state
+        self.__init__(languages, [({w: k for k, w in enumerate(words.split("\n"))} if len(logs) else {}, logs) for words, logs in tables])
 
     def unseen(self, word: str) -> np.ndarray:
         found = self.memo.get(word)
@@ -149,8 +152,9 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
     counted = drawn.mapInPandas(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     words: dict[str, Counter] = defaultdict(Counter)
-    for lang, word, n in counted.toPandas().itertuples(index=False):  # the sample's distinct words
-        words[lang][word] = n
+    for batch in counted.toArrow().to_batches():  # the sample's distinct words
+        for lang, word, n in zip(*(c.to_pylist() for c in batch.columns)):
+            words[lang][word] = n
     return fit(list(words.items()))
 
 
@@ -178,7 +182,7 @@ def keep(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str =
 
     def run(it):
         predict, languages = shared.value.predict, len(shared.value.languages)
-        for batch in it:
+        for batch in (b.slice(k, SLICE) for b in it for k in range(0, b.num_rows, SLICE)):
             found = [predict(t) for t in batch.column(text_at).to_pylist()]
             good = [lang != UNDETERMINED and not (languages > 1 and score <= 1.000001 / languages) for lang, score in found]
             old = batch.column(at)
