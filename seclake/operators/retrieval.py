@@ -104,7 +104,7 @@ def chunk_documents(docs: DataFrame, path_col: str = "doc_path", text_col: str =
                     paths.append(p)
                     idx.append(i)
                     texts.append(c)
-            yield pd.DataFrame({"doc_path": paths, "chunk_idx": pd.Series(idx, dtype="int32"), "text": texts})
+            yield pd.DataFrame({"doc_path": pd.Series(paths, dtype=object), "chunk_idx": pd.Series(idx, dtype="int32"), "text": pd.Series(texts, dtype=object)})
 
     return src.mapInPandas(run, CHUNK_SCHEMA)
 
@@ -114,7 +114,7 @@ def split_table():
     class Split:
         def eval(self, text: str):
             yield from enumerate(split_text(text or ""))
-    return F.udtf(Split, returnType="chunk_idx int, chunk string", useArrow=False)
+    return F.udtf(Split, returnType="chunk_idx int, chunk string", useArrow=True)
 
 
 # ------------------------------------------------------------------ V2
