@@ -184,6 +184,20 @@ def q_chunk_store(spark, base):
     return spark.read.parquet(path).select("doc_id", F.md5("text").alias("text_md5"))
 
 
+@register("chunk_store_bucketed", """
+SELECT doc_id, md5(coalesce(text, '')) AS text_md5, doc_id % 2 = 0 AS first_save FROM documents""")
+def q_chunk_store_bucketed(spark, base):
+    """S13 by buckets of the key: a half, then everything, then everything again; each save tells what it appended."""
+    path = folder(spark, "chunk-buckets")
+    docs = spark.read.parquet(f"{base}/documents.parquet")
+    chunks = docs.select("doc_id", F.col("doc_id").cast("string").alias("doc_path"), F.lit(0).alias("chunk_idx"), F.coalesce("text", F.lit("")).alias("text"))
+    first = sinks.save_chunks_bucketed(chunks.where("doc_id % 2 = 0"), path, 64).select("chunk_key", F.lit(True).alias("first_save"))
+    for _ in range(2):
+        sinks.save_chunks_bucketed(chunks, path, 64)
+    saved = spark.read.parquet(path).join(first, "chunk_key", "left")
+    return saved.select("doc_id", F.md5("text").alias("text_md5"), F.coalesce("first_save", F.lit(False)).alias("first_save"))
+
+
 @register("cutoff_status", O.chain("raw_logs") + """,
 c AS (SELECT max(timestamp) - INTERVAL 5 DAY AS since FROM raw_logs)
 SELECT step, step % 2 = 1 AS active, CASE WHEN step % 2 = 1 THEN since END AS watermark_ts,

@@ -94,3 +94,27 @@ def save_chunks(chunks: DataFrame, path: str, existing: DataFrame | None = None)
         keyed = keyed.join(existing.select("chunk_key"), "chunk_key", "left_anti")
     keyed.write.mode("append").parquet(path)
     return path
+
+
+KEY_BUCKETS = 1024
+
+
+def key_bucket(buckets: int = KEY_BUCKETS):
+    """The bucket of a content hash: its first 32 bits modulo the number of buckets."""
+    return F.pmod(F.conv(F.substring("chunk_key", 1, 8), 16, 10).cast("long"), F.lit(buckets)).cast("int")
+
+
+def save_chunks_bucketed(chunks: DataFrame, path: str, buckets: int = KEY_BUCKETS) -> DataFrame:
+    """S13 for large tables: the vector table in folders by a hash of the key. Saving reads the keys of those
+    buckets alone that the new chunks fall into (partition pruning; at most ``buckets`` numbers reach the driver), and appends what they
+    lack. Returns what was appended. The number of buckets belongs to the table and has to stay as it was."""
+    from ..session import list_path, materialize
+    spark = chunks.sparkSession
+    keyed = materialize(chunks.withColumn("chunk_key", chunk_key()).dropDuplicates(["chunk_key"]).withColumn("bucket", key_bucket(buckets)), "chunks")
+    touched = sorted(r["bucket"] for r in keyed.select("bucket").distinct().collect())
+    if any(name.startswith("bucket=") for name in list_path(spark, path)):
+        there = spark.read.parquet(path).where(F.col("bucket").isin(touched)).select("bucket", "chunk_key")
+        keyed = materialize(keyed.join(there, ["bucket", "chunk_key"], "left_anti"), "new-chunks")
+    # One task writes a bucket, so that a save adds one file to each; keys in order, so that readers skip row groups.
+    keyed.repartition("bucket").sortWithinPartitions("bucket", "chunk_key").write.mode("append").partitionBy("bucket").parquet(path)
+    return keyed

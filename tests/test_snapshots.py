@@ -70,3 +70,21 @@ def test_marks_and_rows_count_together(spark, scratch):
     from seclake.sources import winevents
     assert got.count() == winevents.to_raw_logs(recs).count()
     assert {r.host: r.mark for r in collector.marks().collect()} == {r.host: r.m for r in recs.groupBy("host").agg(F.max("record_number").alias("m")).collect()}
+
+
+def test_saving_chunks_reads_the_touched_buckets_alone(spark, scratch):
+    from seclake.sources import sinks
+    path = os.path.join(scratch, "chunks")
+    chunks = spark.range(3000).select(F.col("id").cast("string").alias("doc_path"), F.lit(0).alias("chunk_idx"), F.concat(F.lit("text "), (F.col("id") % 2990).cast("string")).alias("text"))
+    assert sinks.save_chunks_bucketed(chunks, path, 256).count() == 3000
+    some = chunks.where("int(doc_path) % 100 = 0").unionByName(spark.createDataFrame([("new", 0, "one more")], chunks.schema))
+    keyed = some.withColumn("chunk_key", sinks.chunk_key()).withColumn("bucket", sinks.key_bucket(256))
+    touched = {r.bucket for r in keyed.collect()}
+    there = spark.read.parquet(path).where(F.col("bucket").isin(sorted(touched)))
+    assert len(touched) <= 31 and {int(f.split("bucket=")[1].split("/")[0]) for f in there.inputFiles()} >= touched
+    assert "PartitionFilters: [bucket" in (plan := there._jdf.queryExecution().executedPlan().toString()) or "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    appended = sinks.save_chunks_bucketed(some, path, 256).collect()
+    assert [r.doc_path for r in appended] == ["new"]
+    saved = spark.read.parquet(path)
+    assert saved.count() == 3001 and sinks.save_chunks_bucketed(chunks.limit(0), path, 256).count() == 0
+    assert saved.where("bucket <> pmod(cast(conv(substring(chunk_key, 1, 8), 16, 10) as bigint), 256)").count() == 0
