@@ -653,15 +653,16 @@ def q_anomaly_scores(spark, base):
 
 @register("full_detection")
 def q_full_detection(spark, base):
-    """Everything: features, forest, rules, techniques, scores."""
-    return detection.analyze(_raw(spark, base), model="forest")
+    """Everything: features, forest, rules, techniques, scores; saved, as a run does."""
+    _SAVED[spark.sparkContext.applicationId, base, "forest"] = saved = detection.analyze_saved(_raw(spark, base), model="forest")
+    return saved
 
 
 @register("evidence_summary")
 def q_evidence_summary(spark, base):
-    """R18 over the forest-scored run."""
-    raw = _raw(spark, base)
-    return evidence.evidence_summary(detection.analyze_saved(raw, model="forest"), raw)
+    """R18 over the forest-scored run, read from where the session's last run saved it."""
+    saved = _SAVED.get((spark.sparkContext.applicationId, base, "forest"))
+    return evidence.evidence_summary(q_full_detection(spark, base) if saved is None else saved, _raw(spark, base))
 
 
 @register("chunk_documents")
