@@ -1,13 +1,12 @@
 """Runbook chunking, embedding and nearest-chunk retrieval (V1–V5).
 
-* V1 chunks every document in parallel (``mapInPandas``; a small
-  recursive splitter runs per row).
+* V1 chunks every document in parallel (``mapInPandas``, or a table function; a
+  small recursive splitter runs per row).
 * V2 embeds with MLlib feature hashing + IDF + L2 normalisation, all
-  JVM-side; precomputed vectors are accepted as well.
-* V4 is exact top-k without materialising (query, chunk) pairs: queries
-  form a small, count-checked set shipped with the function; each
-  partition keeps its own k best per query, and a final per-query
-  ranking merges at most partitions × k rows per query.
+  JVM-side, or by built-in functions (``hashed_tfidf``); precomputed vectors are accepted as well.
+* V4 is exact top-k over a grid of groups of queries and rows of bounded
+  size; each cell keeps its own k best per query, and a final ranking per
+  query merges them. ``lsh`` has the index for corpora too large for that.
 """
 
 from __future__ import annotations

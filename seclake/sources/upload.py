@@ -17,8 +17,7 @@ def parse_uploads(payloads: DataFrame, body_col: str = "body") -> tuple[DataFram
     non-empty JSON array is rejected whole; an element that is not an object
     is rejected by itself, with its position and text in ``pos`` and
     ``element``. So each element of an array is either accepted or
-    rejected. Inside an object a missing field becomes null. (A string
-    that spells out an object counts as that object.) Columns other than
+    rejected. A string that spells out an object is none. Inside an object a missing field becomes null. Columns other than
     the body (payload id, sender …) are carried onto every row, and ``log_id`` is a
     stable hash of the payload (its other columns, or its body when it has none) and the position."""
     n = F.json_array_length(F.col(body_col))
@@ -27,9 +26,11 @@ def parse_uploads(payloads: DataFrame, body_col: str = "body") -> tuple[DataFram
     carried = [c for c in payloads.columns if c != body_col]
     identity = [F.col(c) for c in carried] or [F.col(body_col)]
     elements = (tagged.where(F.col("_ok"))
-                .select(*carried, body_col, F.xxhash64(*identity).alias("_payload"),
-                        F.posexplode(F.from_json(F.col(body_col), "array<string>")).alias("_pos", "_element")))
-    is_object = F.coalesce(F.col("_element").rlike(r"^\s*\{") & F.from_json("_element", "map<string,string>").isNotNull(), F.lit(False))
+                .select(*carried, body_col, F.xxhash64(*identity).alias("_payload"), F.posexplode(F.arrays_zip(
+                    F.from_json(F.col(body_col), "array<string>").alias("text"),
+                    F.transform(F.from_json(F.col(body_col), "array<variant>"), lambda v: F.startswith(F.schema_of_variant(v), F.lit("OBJECT"))).alias("object"))).alias("_pos", "_e"))
+                .withColumns({"_element": F.col("_e.text"), "_object": F.col("_e.object")}).drop("_e"))
+    is_object = F.coalesce("_object", F.lit(False))
     rows = (elements.where(is_object).withColumn("r", F.from_json("_element", UPLOAD_ROW))
             .select(*carried, F.xxhash64("_payload", "_pos").alias("log_id"),
                     *[F.col(f"r.{f}").alias(f) for f in UPLOAD_FIELDS])

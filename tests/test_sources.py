@@ -169,3 +169,12 @@ def test_ingest_to_detection_end_to_end(spark):
     out = detection.analyze(rows.drop("payload_id"), model="none").orderBy("event_id").collect()
     assert [r.event_id for r in out] == [4624, 4625] and out[1].timestamp is not None
     assert len({r.log_id for r in out}) == 2
+
+
+def test_upload_tells_strings_from_objects(spark):
+    """A string that spells an object out is a string."""
+    from seclake.sources import upload
+    body = '["{\\"username\\":\\"a\\"}", {"username":"b","event_id":4625}, {}, "x", null, 3, [{}]]'
+    rows, rejected = upload.parse_uploads(spark.createDataFrame([(1, body), (2, '[{"username":"c"'), (3, None)], "pid int, body string"))
+    assert [(r.pid, r.username, r.event_id) for r in rows.orderBy("event_id").collect()] == [(1, None, None), (1, "b", 4625)]
+    assert sorted((r.pid, -1 if r.pos is None else r.pos) for r in rejected.collect()) == [(1, 0), (1, 3), (1, 4), (1, 5), (1, 6), (2, -1), (3, -1)]
