@@ -40,7 +40,7 @@ END = 0
 MEMO_WORDS = 500_000
 MEMO_BYTES = 64 << 20
 #: Characters that a task turns into ids at once, about.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 3_000_000
 NUL = "\0"
 #: A line break between two words, as three parts.
 LINE = f" {NUL}\n {NUL}"
