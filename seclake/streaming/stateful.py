@@ -7,10 +7,12 @@ window. A row comes out as soon as the watermark passes its time, with the
 count of that user's failures in ``(t - window, t]``: the number that the
 batch window gives, whatever the arrival order within the watermark delay.
 
-The state is keyed by user and time bucket (one window wide), and a failure is
+The state is keyed by a part of the users and a time bucket (one window wide), and a failure is
 copied into the next bucket, so that a busy user is many small states
-that end with their buckets. The timer stands at the *oldest* pending
-row, so an idle user's rows come out as well; rows above the final
+that end with their buckets. Users are dealt to ``PARTS`` parts by a hash: one call
+counts for all users of its part at once, since a call costs as much as thousands of rows and most users have
+few rows in a window. The timer stands at the *oldest* pending
+row, so an idle part's rows come out as well; rows above the final
 watermark wait in the checkpointed state for more data.
 """
 
@@ -32,51 +34,67 @@ OUTPUT_SCHEMA = T.StructType([
     T.StructField("failed_last_10min", T.LongType()),
 ])
 STATE_SCHEMA = T.StructType([
+    T.StructField("pend_user", T.ArrayType(T.StringType())),
     T.StructField("pend_us", T.ArrayType(T.LongType())),
     T.StructField("pend_id", T.ArrayType(T.LongType())),
+    T.StructField("fail_user", T.ArrayType(T.StringType())),
     T.StructField("fail_us", T.ArrayType(T.LongType())),
 ])
+#: Parts of the users. A group holds what one part does in a window; a checkpoint goes with its number of parts.
+PARTS = 4
+
+
+def _counts(users: np.ndarray, us: np.ndarray, fail_users: np.ndarray, fail_us: np.ndarray, start_us: int, window_us: int) -> np.ndarray:
+    """Per row, the failures of its user in ``(t - window, t]``. ``start_us``: no time and no window begins earlier."""
+    codes = pd.factorize(np.concatenate([users, fail_users]))[0].astype(np.int64)
+    bits = (2 * window_us).bit_length()  # user above time: one sorted array for all users
+    fails = np.sort((codes[len(users):] << bits) + (fail_us - start_us))
+    t = (codes[:len(users)] << bits) + (us - start_us)
+    return np.searchsorted(fails, t, side="right") - np.searchsorted(fails, t - window_us, side="right")
 
 
 def _counter(window_us: int):
     def step(key, batches, state):
-        user, bucket = key[0], int(key[1])
-        pend_us, pend_id, fail_us = (list(x) for x in state.get) if state.exists else ([], [], [])
+        bucket = int(key[1])
+        kept = state.get if state.exists else ([], [], [], [], [])
+        users, p_us, p_id, f_users, f_us = ([np.asarray(x, dtype=kind)] for x, kind in zip(kept, (object, np.int64, np.int64, object, np.int64)))
         for pdf in batches:
-            us = pdf["event_us"].astype("int64")
-            own = ~pdf["copy"].astype(bool)
-            pend_us.extend(us[own].tolist())
-            pend_id.extend(pdf["log_id"][own].astype("int64").tolist())
-            fail_us.extend(us[pdf["is_failed_login"] == 1].tolist())
+            us, who = pdf["event_us"].to_numpy(dtype=np.int64), pdf["username"].to_numpy(dtype=object)
+            own, failed = ~pdf["copy"].to_numpy(dtype=bool), pdf["is_failed_login"].to_numpy() == 1
+            users.append(who[own])
+            p_us.append(us[own])
+            p_id.append(pdf["log_id"].to_numpy()[own].astype(np.int64))
+            f_users.append(who[failed])
+            f_us.append(us[failed])
+        users, p_us, p_id, f_users, f_us = (np.concatenate(x) for x in (users, p_us, p_id, f_users, f_us))
         wm_us = state.getCurrentWatermarkMs() * 1000
-        p_us, p_id = np.asarray(pend_us, dtype=np.int64), np.asarray(pend_id, dtype=np.int64)
-        fails = np.sort(np.asarray(fail_us, dtype=np.int64))
         ready = p_us <= wm_us
-        t = p_us[ready]
-        counts = np.searchsorted(fails, t, side="right") - np.searchsorted(fails, t - window_us, side="right")
-        left, ids = p_us[~ready], p_id[~ready]
-        fails = fails[fails > wm_us - window_us]  # what a row above the watermark can still count
+        t, who = p_us[ready], users[ready]
+        counts = _counts(who, t, f_users, f_us, (bucket - 1) * window_us, window_us) if t.size else None
+        left = p_us[~ready]
+        still = f_us > wm_us - window_us  # what a row above the watermark can still count
         end_us = (bucket + 1) * window_us  # no row of this bucket is later
         if left.size or end_us > wm_us:
-            state.update((left.tolist(), ids.tolist(), fails.tolist()))
+            state.update((users[~ready].tolist(), left.tolist(), p_id[~ready].tolist(), f_users[still].tolist(), f_us[still].tolist()))
             until_us = int(left.min()) if left.size else end_us
             state.setTimeoutTimestamp(max(until_us // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         elif state.exists:
             state.remove()
         if t.size:
-            yield pd.DataFrame({"username": user, "log_id": p_id[ready], "event_us": t, "failed_last_10min": counts.astype(np.int64)})
+            yield pd.DataFrame({"username": who, "log_id": p_id[ready], "event_us": t, "failed_last_10min": counts.astype(np.int64)})
     return step
 
 
-def failed_window_stream(rows: DataFrame, window_seconds: int = 600) -> DataFrame:
+def failed_window_stream(rows: DataFrame, window_seconds: int = 600, parts: int = PARTS) -> DataFrame:
     """``rows``: stream with ``username, log_id, timestamp, is_failed_login``
     and a watermark on ``event_time``. Null users are not keyed (their
-    count is 0 by definition) and are left out of this output."""
+    count is 0 by definition) and are left out of this output. ``parts``: more
+    of them for streams with millions of rows in a window."""
     width = window_seconds * 1_000_000
     failed = F.col("is_failed_login") == 1
     prepared = (rows.where(F.col("username").isNotNull() & F.col("timestamp").isNotNull())
                 .select("username", "log_id", "event_time", micros("timestamp").alias("event_us"), "is_failed_login",
                         F.explode(F.when(failed, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("shift"))
-                .withColumns({"bucket": F.floor(F.col("event_us") / width) + F.col("shift"), "copy": F.col("shift") > 0}))
-    return prepared.groupBy("username", "bucket").applyInPandasWithState(
+                .withColumns({"bucket": F.floor(F.col("event_us") / width) + F.col("shift"), "copy": F.col("shift") > 0, "part": F.pmod(F.xxhash64("username"), F.lit(parts))}))
+    return prepared.groupBy("part", "bucket").applyInPandasWithState(
         _counter(width), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)

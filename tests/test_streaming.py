@@ -154,3 +154,26 @@ def test_stateful_exact_with_out_of_order_files(spark, scratch):
     batch = features.with_failed_window(normalize.with_flags(normalize.normalize(raw)))
     expect = {r.log_id: r.failed_last_10min for r in batch.collect()}
     assert got == final(expect, raw)
+
+
+def test_failure_window_calls_once_for_many_users(spark, scratch):
+    """K5: the number of groups goes with parts and time, not with users; users of one part don't count for each other."""
+    src = os.path.join(scratch, "many")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        for k in range(300):  # every user fails twice, eleven minutes apart, and once more in between for every third
+            for at, wanted in ((0, True), (5, k % 3 == 0), (11, True), (60, k == 0)):
+                if wanted:
+                    ins = ["-"] * 20
+                    ins[5], ins[8], ins[18] = f"user{k}", "3", "10.0.0.1"
+                    f.write(json.dumps({"record_number": 100 * k + at, "event_id_raw": 4625, "time_generated": f"2024-01-01 {at // 60:02d}:{at % 60:02d}:00", "string_inserts": ins, "host": "dc1", "profile": "dc"}) + "\n")
+    stream = ingest.to_raw_stream(ingest.read_event_stream(spark, src))
+    flagged = stream.withColumn("log_id", F.col("record_number")).withColumn("is_failed_login", (F.col("event_id") == 4625).cast("int"))
+    q = (stateful.failed_window_stream(flagged).writeStream.format("memory").queryName("k5_many").outputMode("append")
+         .option("checkpointLocation", os.path.join(scratch, "ck-many")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = {r.log_id: r.failed_last_10min for r in spark.sql("SELECT * FROM k5_many").collect()}
+    want = {100 * k: 1 for k in range(300)} | {100 * k + 5: 2 for k in range(0, 300, 3)} | {100 * k + 11: 2 if k % 3 == 0 else 1 for k in range(300)}
+    assert got == want
+    groups = max(op.numRowsTotal for p in q.recentProgress for op in p.stateOperators if op.operatorName == "applyInPandasWithState")
+    assert groups <= 4 * stateful.PARTS  # the three windows there are, and the one that the last is copied into
