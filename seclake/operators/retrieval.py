@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 # Fixed values of the reference's splitter and retriever settings.
 CHUNK_SIZE = 500
 CHUNK_OVERLAP = 50
@@ -143,14 +145,15 @@ def hashed_tfidf(docs: DataFrame, id_col: str, text_col: str = "text", dims: int
     shuffle; a text is never gathered. Texts with equal ids are one text; texts without a word, or with nothing but words that all texts have, give no rows."""
     word = F.explode(F.split(F.lower(text_col), r"[^\p{L}\p{N}_]+")).alias("word")
     place = (F.conv(F.substring(F.md5(F.encode("word", "UTF-8")), 1, 8), 16, 10).cast("long") % dims).cast("int")
-    counts = docs.select(F.col(id_col).alias("id"), word).where("word <> ''").groupBy("id", "word").agg(F.count("*").alias("n"))
-    tf = counts.select("id", place.alias("pos"), "n").groupBy("id", "pos").agg(F.sum("n").alias("tf"))
+    words = docs.select(F.col(id_col).alias("id"), word).where("word <> ''")
+    # Written once: the places' frequencies, the weights and the norms read the counts, not the texts.
+    tf = materialize(words.select("id", place.alias("pos")).groupBy("id", "pos").agg(F.count("*").alias("tf")), "tf")
     df = tf.groupBy("pos").agg(F.count("*").alias("df"))  # at most ``dims`` rows
     total = docs.agg(F.count_distinct(F.col(id_col)).alias("n"))
     idf = df.withColumn("one", F.lit(1)).join(total.withColumn("one", F.lit(1)), "one").select("pos", F.log((F.col("n") + 1) / (F.col("df") + 1)).alias("idf"))
-    weighted = tf.join(F.broadcast(idf), "pos").select("id", "pos", (F.col("tf") * F.col("idf")).alias("w")).where("w <> 0")
-    norms = weighted.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return weighted.join(norms, "id").select("id", "pos", (F.col("w") / F.col("norm")).alias("weight"))
+    weighted = tf.where("id is not null").join(F.broadcast(idf), "pos").select("id", "pos", (F.col("tf") * F.col("idf")).alias("w")).where("w <> 0")
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))  # at most ``dims`` rows a text
+    return weighted.select("id", "pos", (F.col("w") / norm).alias("weight"))
 
 
 # ------------------------------------------------------------------ V3

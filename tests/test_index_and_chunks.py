@@ -65,3 +65,15 @@ def test_the_walk_sees_a_wrong_score(spark):
     assert slow == {k: pytest.approx(v, abs=1e-12) for k, v in fast.items()}
     changed = nodes.withColumn("threshold", F.when(F.col("node_id") == 0, F.col("threshold") + 1e6).otherwise(F.col("threshold")))
     assert any(abs(r.walked - fast[r.log_id]) > 1e-3 for r in forest.walk(feats, changed, psi).collect())
+
+
+def test_sparse_embedding_reads_the_texts_once(spark):
+    """V2 by built-in functions: frequencies, weights and norms come from the saved counts; a text read for each of them would be split three times."""
+    docs = spark.createDataFrame([(1, "a b b c"), (2, "a a d"), (2, "e b"), (3, None), (None, "a b")], "doc_id long, text string")
+    found = retrieval.hashed_tfidf(docs, "doc_id")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "Window" in plan
+    norms = {}
+    for r in found.collect():
+        norms[r.id] = norms.get(r.id, 0) + r.weight ** 2
+    assert set(norms) == {1, 2} and all(abs(x - 1) < 1e-9 for x in norms.values())
