@@ -46,17 +46,23 @@ def strip_ws(x: Column | str) -> Column:
 
 def looks_like_ip(x: Column | str) -> Column:
     """IPv4 shape (octets unchecked) after an optional ``::ffff:``, or IPv6-like."""
-    s = strip_ws(_c(x))
+    return looks_like_stripped_ip(strip_ws(_c(x)))
+
+
+def looks_like_stripped_ip(s: Column) -> Column:
+    """P7 of a text without white space at its ends. As in the other functions of stripped texts, ``s`` stands here several times: give a column."""
     unmapped = F.when(F.lower(s).startswith(MAPPED_PREFIX), F.substring(s, 8, 1 << 30)).otherwise(s)
     return F.coalesce((unmapped.rlike(IPV4_SHAPE) | s.rlike(IPV6_LIKE)) & (s != ""), F.lit(False))
 
 
 def sanitize_ip_dc(x: Column | str) -> Column:
     """P5: domain-controller profile."""
-    raw = _c(x)
-    s = strip_ws(raw)
+    return sanitize_stripped_dc(strip_ws(_c(x)))
+
+
+def sanitize_stripped_dc(s: Column) -> Column:
     return (
-        F.when(raw.isNull(), F.lit(LOOPBACK))
+        F.when(s.isNull(), F.lit(LOOPBACK))
         .when(s.isin(*DC_LOOPBACK_FORMS), F.lit(LOOPBACK))
         .when(F.lower(s).startswith(MAPPED_PREFIX), F.substring(s, 8, 1 << 30))
         .when(s.rlike(IPV4_SHAPE), s)
@@ -69,13 +75,16 @@ def sanitize_ip_dc(x: Column | str) -> Column:
 def sanitize_ip_client(x: Column | str, unify_mapped: bool = False) -> Column:
     """Workstation profile. ``unify_mapped`` also strips ``::ffff:`` so
     both profiles produce one form for IPv4-mapped addresses."""
-    raw = _c(x)
-    s = strip_ws(raw)
+    s = strip_ws(_c(x))
     if unify_mapped:
         s = F.when(F.lower(s).startswith(MAPPED_PREFIX) & F.substring(s, 8, 1 << 30).rlike(CLIENT_IPV4),
                    F.substring(s, 8, 1 << 30)).otherwise(s)
+    return sanitize_stripped_client(s)
+
+
+def sanitize_stripped_client(s: Column) -> Column:
     return (
-        F.when(raw.isNull(), F.lit(LOOPBACK))
+        F.when(s.isNull(), F.lit(LOOPBACK))
         .when(s.isin(*CLIENT_LOOPBACK_FORMS), F.lit(LOOPBACK))
         .when(s.rlike(CLIENT_IPV4), s)
         .when(s.rlike(CLIENT_IPV6) & s.startswith("fe80"), F.lit(LOOPBACK))
@@ -86,9 +95,11 @@ def sanitize_ip_client(x: Column | str, unify_mapped: bool = False) -> Column:
 
 def first_ip_in(arr: Column | str) -> Column:
     """First element that looks like an IP, DC-sanitised; else loopback."""
-    a = _c(arr)
-    hit = F.get(F.filter(a, lambda e: e.isNotNull() & looks_like_ip(e)), 0)
-    return F.when(hit.isNull(), F.lit(LOOPBACK)).otherwise(sanitize_ip_dc(strip_ws(hit)))
+    return first_stripped_ip_in(F.transform(_c(arr), strip_ws))
+
+
+def first_stripped_ip_in(arr: Column) -> Column:
+    return F.coalesce(F.get(F.transform(F.slice(F.filter(arr, lambda e: e.isNotNull() & looks_like_stripped_ip(e)), 1, 1), sanitize_stripped_dc), 0), F.lit(LOOPBACK))
 
 
 def subnet24(ip: Column | str, unknown: str = "N/A") -> Column:

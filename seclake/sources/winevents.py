@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import CLIENT_EVENT_IDS, DC_EVENT_IDS, LOOPBACK
-from ..functions.ipcols import first_ip_in, looks_like_ip, sanitize_ip_client, sanitize_ip_dc, strip_ws
+from ..functions.ipcols import first_stripped_ip_in, looks_like_stripped_ip, sanitize_stripped_client, sanitize_stripped_dc, strip_ws
 from ..functions.timecols import parse_mixed_timestamp
 
 WIN_EVENT_SCHEMA = T.StructType([
@@ -43,7 +43,10 @@ def keep_target_events(df: DataFrame, profile_col: str = "profile", event_col: s
 
 def safe_get(arr: Column, i: int, default: str = "N/A") -> Column:
     """P4 (DC): element ``i`` trimmed; missing, empty or ``-`` → default."""
-    v = strip_ws(F.get(arr, i))
+    return _filled(strip_ws(F.get(arr, i)), default)
+
+
+def _filled(v: Column, default: str = "N/A") -> Column:
     return F.when(v.isNull() | (v == "") | (v == "-"), F.lit(default)).otherwise(v)
 
 
@@ -52,32 +55,34 @@ def _raw_get(arr: Column, i: int, default: str) -> Column:
     return F.when(F.size(arr) > i, F.get(arr, i)).otherwise(F.lit(default))
 
 
-def project_dc(ev: Column, s: Column) -> dict:
-    """P3/P5/P8/P9 for domain controllers."""
+def project_dc(ev: Column, clean: Column) -> dict:
+    """P3/P5/P8/P9 for domain controllers. ``clean``: the insertion strings, each stripped."""
+    def got(i, default="N/A"):
+        return _filled(F.get(clean, i), default)
     logon = ev.isin(4624, 4625)
     kerb = ev.isin(4768, 4769)
-    cand = safe_get(s, 9, "")
-    logon_ip = F.when(safe_get(s, 8, "0").isin("2", "0"), F.lit(LOOPBACK)) \
-        .otherwise(sanitize_ip_dc(safe_get(s, 18, "")))
-    kerb_ip = F.when(looks_like_ip(cand), sanitize_ip_dc(cand)).otherwise(first_ip_in(s))
+    cand = got(9, "")
+    logon_ip = F.when(got(8, "0").isin("2", "0"), F.lit(LOOPBACK)) \
+        .otherwise(sanitize_stripped_dc(got(18, "")))
+    kerb_ip = F.when(looks_like_stripped_ip(cand), sanitize_stripped_dc(cand)).otherwise(first_stripped_ip_in(clean))
     return {
-        "username": F.when(logon, safe_get(s, 5)).when(ev == 4672, safe_get(s, 1)).when(kerb, safe_get(s, 0))
-        .when(ev == 4688, safe_get(s, 1)).otherwise(F.lit("N/A")),
+        "username": F.when(logon, got(5)).when(ev == 4672, got(1)).when(kerb, got(0))
+        .when(ev == 4688, got(1)).otherwise(F.lit("N/A")),
         "source_ip": F.when(logon, logon_ip).when(ev == 4672, F.lit(LOOPBACK)).when(kerb, kerb_ip)
         .when(ev == 4688, F.lit(LOOPBACK)).otherwise(F.lit("N/A")),
-        "process_name": F.when(ev == 4688, safe_get(s, 5)).otherwise(F.lit("N/A")),
-        "command_line": F.when(ev == 4688, safe_get(s, 8, "")).otherwise(F.lit("N/A")),
+        "process_name": F.when(ev == 4688, got(5)).otherwise(F.lit("N/A")),
+        "command_line": F.when(ev == 4688, got(8, "")).otherwise(F.lit("N/A")),
     }
 
 
-def project_client(ev: Column, s: Column, host_ip: Column) -> dict:
+def project_client(ev: Column, s: Column, clean: Column, host_ip: Column) -> dict:
     """P3/P6 for workstations; 4688 rows carry the host's own address."""
     has = s.isNotNull() & (F.size(s) > 0)
     logon = has & ev.isin(4624, 4625)
     proc = has & (ev == 4688)
     return {
         "username": F.when(logon, _raw_get(s, 5, "N/A")).when(proc, _raw_get(s, 1, "N/A")).otherwise(F.lit("N/A")),
-        "source_ip": F.when(logon, sanitize_ip_client(_raw_get(s, 18, LOOPBACK)))
+        "source_ip": F.when(logon, sanitize_stripped_client(_raw_get(clean, 18, LOOPBACK)))
         .when(proc, F.coalesce(host_ip, F.lit(LOOPBACK))).otherwise(F.lit(LOOPBACK)),
         "process_name": F.when(proc, _raw_get(s, 5, "N/A")).otherwise(F.lit("N/A")),
         "command_line": F.when(proc, _raw_get(s, 8, "N/A")).otherwise(F.lit("N/A")),
@@ -87,10 +92,11 @@ def project_client(ev: Column, s: Column, host_ip: Column) -> dict:
 def to_raw_logs(records: DataFrame, host_ip_col: str | None = None) -> DataFrame:
     """Event records of either profile → ``raw_logs`` rows."""
     ev = mask_event_id("event_id_raw")
-    df = keep_target_events(records.withColumn("event_id", ev))
-    e, s = F.col("event_id"), F.col("string_inserts")
+    # A column of its own, so that a row's strings are stripped once and not for each expression that looks at one.
+    df = keep_target_events(records.withColumn("event_id", ev)).withColumn("_clean", F.transform("string_inserts", strip_ws))
+    e, s, clean = F.col("event_id"), F.col("string_inserts"), F.col("_clean")
     host_ip = F.col(host_ip_col) if host_ip_col else F.lit(None).cast("string")
-    dc, cl = project_dc(e, s), project_client(e, s, host_ip)
+    dc, cl = project_dc(e, clean), project_client(e, s, clean, host_ip)
     is_dc = F.col("profile") == "dc"
     cols = {k: F.when(is_dc, dc[k]).otherwise(cl[k]) for k in dc}
     return df.select(
