@@ -1,6 +1,6 @@
 """Runbook chunking, embedding and nearest-chunk retrieval (V1–V5).
 
-* V1 chunks every document in parallel (``mapInPandas``, or a table function; a
+* V1 chunks every document in parallel (``mapInArrow``, or a table function; a
   small recursive splitter runs per row).
 * V2 embeds with MLlib feature hashing + IDF + L2 normalisation, all
   JVM-side, or by built-in functions (``hashed_tfidf``); precomputed vectors are accepted as well.
@@ -11,8 +11,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +32,7 @@ NO_CONTEXT = "No specific internal runbook context found."
 CONTEXT_JOIN = "\n\n"
 QUERY_GROUP = 512  # queries and rows in a cell of the search grid
 ROW_GROUP = 4096
+BLOCK_CHARS = 1 << 20  # of chunks handed on at a time
 
 
 # ------------------------------------------------------------------ V1
@@ -97,17 +101,25 @@ def chunk_documents(docs: DataFrame, path_col: str = "doc_path", text_col: str =
     """V1: ``(doc_path, text)`` → ``(doc_path, chunk_idx, text)``."""
     src = docs.select(F.col(path_col).cast("string").alias("doc_path"), F.col(text_col).alias("text"))
 
-    def run(batches):
-        for pdf in batches:
-            paths, idx, texts = [], [], []
-            for p, t in zip(pdf["doc_path"], pdf["text"]):
-                for i, c in enumerate(split_text(t or "", size, overlap)):
-                    paths.append(p)
-                    idx.append(i)
-                    texts.append(c)
-            yield pd.DataFrame({"doc_path": pd.Series(paths, dtype=object), "chunk_idx": pd.Series(idx, dtype="int32"), "text": pd.Series(texts, dtype=object)})
-
-    return src.mapInPandas(run, CHUNK_SCHEMA)
+    return src.mapInArrow(lambda batches: chunk_batches(batches, size, overlap), CHUNK_SCHEMA)
+
+
+def chunk_batches(batches: Iterator[pa.RecordBatch], size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Iterator[pa.RecordBatch]:
+    """The chunks of batches of ``doc_path, text``, handed on whenever there are ``BLOCK_CHARS`` characters: what a worker holds of texts and
+    chunks besides the batch that came in is bounded by that and one document, however many rows a batch has."""
+    kinds = {"doc_path": pa.string(), "chunk_idx": pa.int32(), "text": pa.string()}
+    held, n = {c: [] for c in kinds}, 0
+    for batch in batches:
+        for path, text in zip(batch.column("doc_path"), batch.column("text")):
+            pieces = split_text(text.as_py() or "", size, overlap)
+            held["doc_path"].extend([path.as_py()] * len(pieces))
+            held["chunk_idx"].extend(range(len(pieces)))
+            held["text"].extend(pieces)
+            n += sum(map(len, pieces))
+            if n >= BLOCK_CHARS:
+                yield pa.RecordBatch.from_pydict({c: pa.array(held[c], kind) for c, kind in kinds.items()})
+                held, n = {c: [] for c in kinds}, 0
+    yield pa.RecordBatch.from_pydict({c: pa.array(held[c], kind) for c, kind in kinds.items()})
 
 
 def split_table():

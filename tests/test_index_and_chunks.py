@@ -77,3 +77,14 @@ def test_sparse_embedding_reads_the_texts_once(spark):
     for r in found.collect():
         norms[r.id] = norms.get(r.id, 0) + r.weight ** 2
     assert set(norms) == {1, 2} and all(abs(x - 1) < 1e-9 for x in norms.values())
+
+
+def test_chunks_leave_in_bounded_blocks():
+    """V1: a batch of many long texts is not held as chunks all at once."""
+    import pyarrow as pa
+    texts = [f"document {k} " + "some words here " * 400 for k in range(2000)] + ["", None]
+    batch = pa.RecordBatch.from_pydict({"doc_path": [str(k) for k in range(len(texts))], "text": texts})
+    out = list(retrieval.chunk_batches(iter([batch])))
+    assert max(sum(len(t) for t in b.column("text").to_pylist()) for b in out) <= retrieval.BLOCK_CHARS + 2 * max(len(t or "") for t in texts)
+    got = [(r["doc_path"], r["chunk_idx"], r["text"]) for b in out for r in b.to_pylist()]
+    assert got == [(str(k), i, c) for k, t in enumerate(texts) for i, c in enumerate(retrieval.split_text(t or ""))]
