@@ -11,9 +11,10 @@ the queries that look into one of its buckets:
 * What the buckets hold is verified by its exact distance; ties go to the smaller id.
 
 Equal vectors are indexed once, with their ``k`` smallest ids, so a vector that a third of all rows share is one
-entry. Buckets that are still large are dealt to parts of ``PART_ROWS`` rows, and their queries to groups of
-``QUERY_GROUP``, so that no task holds more than one part and one group at a time. Rows whose buckets nobody probes leave in the
-join with the probed buckets. Null vectors take no part; vectors have one length.
+entry. A search deals vectors to parts of ``CELL_ROWS`` and queries to groups of ``CELL_QUERIES``; no task holds more than one part and one
+group at a time, and the buckets meet inside it. So a vector travels once for each group, not once for each table, and a query once for each part, not once for each probe.
+Where there are more groups than tables or more parts than probes, ``by_bucket`` sends both to their buckets in place of that, large buckets dealt to parts of ``PART_ROWS`` and
+groups of ``QUERY_GROUP``: what travels for a row is bounded by the tables and probes, whatever the number of rows. Null vectors take no part; vectors have one length.
 """
 
 from __future__ import annotations
@@ -40,6 +41,13 @@ TUNING_QUERIES = 200
 BUCKET_ROWS = 1024
 PART_ROWS = 4096
 QUERY_GROUP = 512
+#: Vectors and queries in a cell of ``by_part``. Smaller tables have ``PARTS`` parts, so that there is work for many tasks, unless a part would get fewer rows than ``LEAST_ROWS``.
+CELL_ROWS = 32_768
+CELL_QUERIES = 8192
+PARTS = 24
+LEAST_ROWS = 1024
+#: Rows, and queries, that a cell works on at a time.
+BATCH = 128
 MAX_BITS = 24
 #: Of the bits with the smallest margins, so many take part in the choice of neighbouring buckets.
 NEAR_BITS = 8
@@ -128,36 +136,91 @@ def save(corpus: DataFrame, index: Index, path: str, k: int = TOP_K, **cols) ->
     entries(corpus, index, k, **cols).repartition("bucket").sortWithinPartitions("bucket").write.mode("overwrite").parquet(path)
 
 
-def search(table: DataFrame, queries: DataFrame, index: Index, k: int = TOP_K, id_col: str = "vec_id", qid_col: str = "query_id", qvec_col: str = "query_vec") -> DataFrame:
-    """``(query_id, id, distance, rank)`` as ``retrieval.knn`` gives, among the rows in the buckets probed. ``table``: from ``entries`` or ``save``."""
-    spark = queries.sparkSession
-    asked = queries.select(F.col(qid_col).alias("q"), F.col(qvec_col).alias("qv")).where("qv is not null")
-    looks = materialize(asked.select("q", "qv", F.explode(index.column(F.col("qv"), spark, looks=True)).alias("bucket")), "looks")
+def _found(asked: DataFrame) -> T.StructType:
+    return T.StructType([T.StructField("q", asked.schema["q"].dataType), T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("distance", T.DoubleType())])
+
+
+def _spread(name: str, n: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), n - 1)).alias(name)
+
+
+def _by_first_id(near: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors by rising first id, so that ties go to the smaller one."""
+    order = np.argsort(np.array([x[0] for x in near["ids"]]), kind="stable")
+    return near["ids"].to_numpy()[order], np.vstack([np.asarray(v, dtype=np.float64) for v in near["v"]])[order]
+
+
+def by_part(rows: DataFrame, asked: DataFrame, index: Index, k: int, parts: int, groups: int) -> DataFrame:
+    """``q, ids, distance``: for each query the ``k`` nearest vectors of each part, among those in the buckets it looks into. Every part meets every group in one cell, which works out their buckets anew."""
+    shared = asked.sparkSession.sparkContext.broadcast(index)
+    left = asked.select("q", "qv", F.pmod(F.xxhash64("q"), F.lit(groups)).cast("int").alias("g"), _spread("p", F.lit(parts)))
+    right = rows.select("v", "ids", F.pmod(F.xxhash64("v"), F.lit(parts)).cast("int").alias("p"), _spread("g", F.lit(groups)))
+
+    def best(some: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+        if not len(some) or not len(near):
+            return pd.DataFrame({"q": [], "ids": pd.Series([], dtype=object), "distance": []})
+        ids, x = _by_first_id(near)
+        held = np.concatenate([shared.value.buckets(x[i:i + BATCH]) for i in range(0, len(x), BATCH)])
+        order = [np.argsort(column, kind="stable") for column in held.T]
+        held = [column[o] for column, o in zip(held.T, order)]
+        columns = np.ascontiguousarray(x.T)
+        out = []
+        for i in range(0, len(some), BATCH):
+            asking = np.vstack([np.asarray(v, dtype=np.float64) for v in some["qv"][i:i + BATCH]])
+            looks = shared.value.looks(asking).reshape(len(asking), len(held), -1)
+            seen = np.zeros((len(asking), len(x)), dtype=bool)
+            for t, (column, o) in enumerate(zip(held, order)):
+                first, last = (np.searchsorted(column, looks[:, t].ravel(), side) for side in ("left", "right"))
+                size = last - first
+                at = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+                seen[np.repeat(np.arange(len(asking)).repeat(looks.shape[2]), size), o[at]] = True
+            for j, row in enumerate(seen):
+                row = np.flatnonzero(row)
+                apart = np.zeros(len(row))
+                for column, c in zip(columns, asking[j]):  # in dimension order, as the exact path does
+                    diff = column[row] - c
+                    apart += diff * diff
+                apart = np.round(apart, 6)
+                at = np.argsort(apart, kind="stable")[:k]
+                out.append((some["q"].iloc[i + j], row[at], apart[at]))
+        return pd.DataFrame({"q": [q for q, row, _ in out for _ in row], "ids": list(ids[np.concatenate([row for _, row, _ in out])]), "distance": np.concatenate([d for _, _, d in out])})
+
+    return left.groupBy("p", "g").cogroup(right.groupBy("p", "g")).applyInPandas(best, _found(asked))
+
+
+def by_bucket(table: DataFrame, asked: DataFrame, index: Index, k: int) -> DataFrame:
+    """As ``by_part``, with every vector and query sent to each of its buckets."""
+    looks = materialize(asked.select("q", "qv", F.explode(index.column(F.col("qv"), asked.sparkSession, looks=True)).alias("bucket")), "looks")
     probed = looks.groupBy("bucket").agg(F.ceil(F.count("*") / QUERY_GROUP).cast("int").alias("groups"))
     rows = materialize(table.join(probed, "bucket"), "probed")
     parts = rows.groupBy("bucket").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts"))
 
-    def spread(name: str, n: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(name)
     # Every part of a bucket meets every group of its queries in one cell.
     left = (looks.join(parts, "bucket").join(probed, "bucket")
-            .withColumn("g", F.pmod(F.xxhash64("q"), F.col("groups")).cast("int")).select("bucket", "g", "q", "qv", spread("p", "parts")))
-    right = rows.join(parts, "bucket").withColumn("p", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")).select("bucket", "p", "v", "ids", spread("g", "groups"))
-    schema = T.StructType([T.StructField("q", queries.schema[qid_col].dataType), T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("distance", T.DoubleType())])
+            .withColumn("g", F.pmod(F.xxhash64("q"), F.col("groups")).cast("int")).select("bucket", "g", "q", "qv", _spread("p", F.col("parts"))))
+    right = rows.join(parts, "bucket").withColumn("p", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")).select("bucket", "p", "v", "ids", _spread("g", F.col("groups")))
 
     def best(some: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
         if not len(some) or not len(near):
             return pd.DataFrame({"q": [], "ids": pd.Series([], dtype=object), "distance": []})
-        first = np.array([x[0] for x in near["ids"]])
-        order = np.argsort(first, kind="stable")
-        ids = near["ids"].to_numpy()[order]
-        x = np.vstack([np.asarray(v, dtype=np.float64) for v in near["v"]])[order]
+        ids, x = _by_first_id(near)
         apart = np.round(_sq_l2(x, np.vstack([np.asarray(v, dtype=np.float64) for v in some["qv"]])), 6).T
         out = [(q, at, d[at]) for q, d in zip(some["q"], apart) for at in [np.argsort(d, kind="stable")[:k]]]
         at = np.concatenate([a for _, a, _ in out])
         return pd.DataFrame({"q": [q for q, a, _ in out for _ in a], "ids": list(ids[at]), "distance": np.concatenate([d for _, _, d in out])})
 
-    found = left.groupBy("bucket", "p", "g").cogroup(right.groupBy("bucket", "p", "g")).applyInPandas(best, schema)
+    return left.groupBy("bucket", "p", "g").cogroup(right.groupBy("bucket", "p", "g")).applyInPandas(best, _found(asked))
+
+
+def search(table: DataFrame, queries: DataFrame, index: Index, k: int = TOP_K, id_col: str = "vec_id", qid_col: str = "query_id", qvec_col: str = "query_vec") -> DataFrame:
+    """``(query_id, id, distance, rank)`` as ``retrieval.knn`` gives, among the rows in the buckets probed. ``table``: from ``entries`` or ``save``."""
+    asked = queries.select(F.col(qid_col).alias("q"), F.col(qvec_col).alias("qv")).where("qv is not null")
+    # Every vector is in one bucket of the first table.
+    rows = materialize(table.where(F.col("bucket") < F.lit(1 << 32)).select("v", "ids"), "vectors")
+    n = rows.count()
+    parts, groups = max(1, -(-n // CELL_ROWS), min(PARTS, n // LEAST_ROWS)), max(1, -(-asked.count() // CELL_QUERIES))
+    tables = len(index.medians)
+    found = by_bucket(table, asked, index, k) if groups > tables or parts > max(PARTS, tables * index.probes) else by_part(rows, asked, index, k, parts, groups)
     # The same row may be found in several tables. Equal distances of different vectors keep all their ids until here.
     hits = found.select("q", "distance", F.explode("ids").alias("id")).distinct()
     w = Window.partitionBy("q").orderBy("distance", "id")

@@ -56,6 +56,57 @@ def test_all_probes_find_everything(spark, monkeypatch):
     assert whole.agg(F.max(F.size("ids"))).first()[0] == 4
 
 
+def drawn(spark, n=3000, d=8):
+    draw = random.Random(7)
+    rows = [(i, [draw.gauss(0, 1) for _ in range(d)]) for i in range(n)] + [(n + i, [0.25] * d) for i in range(300)]
+    corpus = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    return corpus, corpus.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+
+
+@pytest.mark.parametrize("cell_rows,cell_queries", [(32_768, 8192), (700, 90)])
+def test_parts_and_buckets_find_the_same(spark, monkeypatch, cell_rows, cell_queries):
+    """Cells of parts and groups, and cells of buckets (cut up as well), see the same pairs."""
+    corpus, queries = drawn(spark)
+    index = lsh.fit(corpus, tables=6, probes=3, bucket_rows=64)
+    monkeypatch.setattr(lsh, "PART_ROWS", 20)
+    monkeypatch.setattr(lsh, "QUERY_GROUP", 5)
+    by_bucket = lsh.by_bucket
+    monkeypatch.setattr(lsh, "by_part", lambda rows, asked, index, k, parts, groups: by_bucket(lsh.entries(corpus, index, k), asked, index, k))
+    sent = sorted(map(tuple, lsh.search(lsh.entries(corpus, index, 10), queries, index, 10).collect()))
+    monkeypatch.undo()
+    monkeypatch.setattr(lsh, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(lsh, "CELL_QUERIES", cell_queries)
+    monkeypatch.setattr(lsh, "by_bucket", None)
+    assert sorted(map(tuple, lsh.search(lsh.entries(corpus, index, 10), queries, index, 10).collect())) == sent
+    assert len(sent) >= 1500
+
+
+def test_many_groups_go_by_bucket(spark, monkeypatch):
+    """What travels is bounded by the tables and probes: with more groups than tables vectors go to their buckets."""
+    corpus, queries = drawn(spark, 400)
+    index = lsh.fit(corpus, tables=2, probes=4, bucket_rows=64)
+    want = sorted(map(tuple, lsh.search(lsh.entries(corpus, index), queries, index).collect()))
+    monkeypatch.setattr(lsh, "CELL_QUERIES", 5)
+    monkeypatch.setattr(lsh, "by_part", None)
+    assert sorted(map(tuple, lsh.search(lsh.entries(corpus, index), queries, index).collect())) == want
+
+
+def test_vectors_travel_once_whatever_the_tables(spark, monkeypatch):
+    """The rows that enter the cells do not grow with the tables: each vector once for each group, each query once for each part."""
+    from pyspark.sql.pandas.group_ops import PandasCogroupedOps
+    corpus, queries = drawn(spark, 2100)
+    entered, run = [], PandasCogroupedOps.applyInPandas
+
+    def counted(self, *args):
+        entered.append((self._gd1._df.count(), self._gd2._df.count()))
+        return run(self, *args)
+    monkeypatch.setattr(PandasCogroupedOps, "applyInPandas", counted)
+    for tables in (2, 12):
+        index = lsh.fit(corpus, tables=tables, bucket_rows=64)
+        lsh.search(lsh.entries(corpus, index, 10), queries, index, 10)
+    assert entered == [(2 * queries.count(), 2101)] * 2  # two parts, one group; equal vectors are one
+
+
 def test_empty(spark):
     corpus = spark.createDataFrame([], "vec_id long, embedding array<float>")
     index = lsh.fit(corpus)
