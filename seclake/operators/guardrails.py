@@ -101,12 +101,12 @@ def allowed_labels(texts: Column) -> Column:
 def allowed_techniques(analyzed: DataFrame, high_levels=("CRITICAL", "HIGH"), scope: tuple = ()) -> DataFrame:
     """Distinct technique labels of high-risk rows (split, squeezed,
     scrubbed), ordered by their id (no id → ZZZZZ) then text; adds ``rank``.
-    With ``scope`` columns the labels are listed and ranked per scope."""
+    With ``scope`` columns the labels are listed and ranked per scope. Texts are made distinct before they are split and scrubbed, so the patterns run once for each text, not once for each row."""
     from pyspark.sql import Window
 
     from .indexing import row_numbers
-    parts = (analyzed.where(F.col("final_risk_level").isin(*high_levels))
-             .select(*scope, F.explode(split_techniques(F.coalesce(F.col("mitre_techniques"), F.lit("")))).alias("t")))
+    texts = analyzed.where(F.col("final_risk_level").isin(*high_levels)).select(*scope, F.coalesce(F.col("mitre_techniques"), F.lit("")).alias("texts")).distinct()
+    parts = texts.select(*scope, F.explode(split_techniques("texts")).alias("t"))
     labels = (parts.select(*scope, scrub(strip_ws(F.regexp_replace("t", r"(?U)\s+", " "))).alias("technique"))
               .where((F.col("technique") != "") & (F.col("technique") != "N/A")).distinct())
     sort_id = F.regexp_extract("technique", r"(?U)\b(T\d{4,5}(?:\.\d{3})?)\b", 1)

@@ -4,8 +4,8 @@
   small recursive splitter runs per row).
 * V2 embeds with MLlib feature hashing + IDF + L2 normalisation, all
   JVM-side, or by built-in functions (``hashed_tfidf``); precomputed vectors are accepted as well.
-* V4 is exact top-k over a grid of groups of queries and rows of bounded
-  size; each cell keeps its own k best per query, and a final ranking per
+* V4 is exact top-k: one group of queries is sent to the rows, more are dealt with them over a
+  grid of groups of bounded size; each task or cell keeps its own k best per query, and a final ranking per
   query merges them. ``lsh`` has the index for corpora too large for that.
 """
 
@@ -132,21 +132,34 @@ def split_table():
 
 # ------------------------------------------------------------------ V2
 
+def _counting(text_col: str, dims: int) -> list:
+    from pyspark.ml.feature import HashingTF, RegexTokenizer
+    return [RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"(?U)\W+", toLowercase=True),
+            HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dims)]
+
+
+def term_counts(chunks: DataFrame, text_col: str = "text", dims: int = 256) -> DataFrame:
+    """``chunks`` with their hashed term counts ``_tf``. Written with the chunks, they let the fit and the embedding read counts, so that texts are split into words once."""
+    for stage in _counting(text_col, dims):
+        chunks = stage.transform(chunks)
+    return chunks.drop("_tok")
+
+
 def fit_embedder(chunks: DataFrame, text_col: str = "text", dims: int = 256):
-    """V2 default (offline): tokens → hashed term counts → IDF → L2 norm."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-    pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"(?U)\W+", toLowercase=True),
-        HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dims),
-        IDF(inputCol="_tf", outputCol="_idf"),
-        Normalizer(inputCol="_idf", outputCol="_vec", p=2.0),
-    ])
-    return pipe.fit(chunks)
+    """V2 default (offline): tokens → hashed term counts → IDF → L2 norm. ``chunks`` may have ``term_counts``, of as many ``dims``."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import IDF, Normalizer
+    weighing = [IDF(inputCol="_tf", outputCol="_idf"), Normalizer(inputCol="_idf", outputCol="_vec", p=2.0)]
+    if "_tf" in chunks.columns:
+        return PipelineModel([*_counting(text_col, dims), *Pipeline(stages=weighing).fit(chunks).stages])
+    return Pipeline(stages=[*_counting(text_col, dims), *weighing]).fit(chunks)
 
 
 def embed(model, df: DataFrame, out: str = "embedding") -> DataFrame:
+    """``df`` with the vectors of its texts, or of its ``term_counts`` if it has them."""
+    from pyspark.ml import PipelineModel
     from pyspark.ml.functions import vector_to_array
+    model = PipelineModel(model.stages[2:]) if "_tf" in df.columns else model
     return (model.transform(df).withColumn(out, vector_to_array("_vec", "float32"))
             .drop("_tok", "_tf", "_idf", "_vec"))
 
@@ -192,11 +205,11 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str = "ve
     """V4: for every query the ``k`` nearest corpus rows by squared L2
     (distance rounded to 6 dp, ties by id) → ``(query_id, id, distance, rank)``.
 
-    Queries and rows are dealt over a grid of groups by a hash of their ids;
+    One group of queries (``query_group`` at most) goes to every task, which keeps the ``k`` best of
+    each ``row_group`` rows it reads: the rows don't travel. More queries are dealt with the rows over a grid of groups by a hash of their ids;
     each cell holds one group of queries and one of rows, both of bounded
     size, and keeps its ``k`` best rows per query. One pass over the
-    corpus whatever the number of queries, and nothing goes through the driver."""
-    n_q, n_c = max(1, -(-queries.count() // query_group)), max(1, -(-corpus.count() // row_group))
+    corpus whatever the number of queries, and no more than one group goes through the driver."""
     schema = T.StructType([T.StructField(qid_col, queries.schema[qid_col].dataType), T.StructField(id_col, T.LongType()),
                            T.StructField("distance", T.DoubleType())])
 
@@ -209,14 +222,24 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str = "ve
             apart = np.round(_sq_l2(x, np.vstack([np.asarray(v, dtype=np.float64) for v in asked[qvec_col]])), 6).T
             for query, d in zip(asked[qid_col], apart):
                 at = np.argsort(d, kind="stable")[:k]  # ids rise, so that ties go to the smaller one
-                out.append(pd.DataFrame({qid_col: query, id_col: ids[at], "distance": d[at]}))
-        return pd.concat(out) if out else pd.DataFrame({qid_col: [], id_col: [], "distance": []})
+                out.append((query, ids[at], d[at]))
+        return pd.DataFrame({qid_col: pd.Series([q for q, at, _ in out for _ in at], dtype=object), id_col: np.concatenate([at for _, at, _ in out]) if out else [],
+                             "distance": np.concatenate([d for _, _, d in out]) if out else []})
 
+    w = Window.partitionBy(qid_col).orderBy("distance", id_col)
+
+    def ranked(local: DataFrame) -> DataFrame:
+        return local.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
+
+    few = queries.select(qid_col, qvec_col).limit(query_group + 1).collect()
+    if len(few) <= query_group:
+        group = pd.DataFrame({qid_col: [r[0] for r in few], qvec_col: [r[1] for r in few]})
+        return ranked(corpus.select(id_col, vec_col).mapInPandas(
+            lambda frames: (best(group, rows[i:i + row_group]) for rows in frames for i in range(0, len(rows), row_group)), schema))
+    n_q, n_c = max(1, -(-queries.count() // query_group)), max(1, -(-corpus.count() // row_group))
     asked = queries.select(qid_col, qvec_col, F.pmod(F.xxhash64(qid_col), F.lit(n_q)).alias("_q")).withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_c - 1).cast("long"))))
     rows = corpus.select(id_col, vec_col, F.pmod(F.xxhash64(id_col), F.lit(n_c)).alias("_c")).withColumn("_q", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_q - 1).cast("long"))))
-    local = asked.groupBy("_q", "_c").cogroup(rows.groupBy("_q", "_c")).applyInPandas(best, schema)
-    w = Window.partitionBy(qid_col).orderBy("distance", id_col)
-    return local.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
+    return ranked(asked.groupBy("_q", "_c").cogroup(rows.groupBy("_q", "_c")).applyInPandas(best, schema))
 
 
 def centroids(vectors: DataFrame, key: str, vec_col: str = "embedding") -> DataFrame:

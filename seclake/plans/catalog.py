@@ -676,7 +676,7 @@ def q_chunk_documents(spark, base):
 @register("embed_chunks")
 def q_embed_chunks(spark, base):
     """V2: hashed TF-IDF vectors for every chunk."""
-    chunks = materialize(q_chunk_documents(spark, base), "chunks")  # read by the fit and the transform
+    chunks = materialize(V.term_counts(q_chunk_documents(spark, base)), "chunks")  # read by the fit and the transform
     model = V.fit_embedder(chunks)
     return V.embed(model, chunks).select("doc_path", "chunk_idx", "embedding")
 
@@ -787,7 +787,7 @@ def q_runbook_context(spark, base):
     """V2–V5: context for the run's allowed techniques, retrieved from the
     chunked ``documents`` corpus."""
     from . import context
-    chunks = materialize(q_chunk_documents(spark, base), "chunks")
+    chunks = materialize(V.term_counts(q_chunk_documents(spark, base)), "chunks")
     return context.runbook_context(_analyzed(spark, base), chunks)
 
 

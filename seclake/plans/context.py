@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import guardrails, retrieval
+from ..session import materialize
 
 
 def query_texts(analyzed: DataFrame, scope: tuple = ()) -> DataFrame:
@@ -23,9 +24,9 @@ def query_texts(analyzed: DataFrame, scope: tuple = ()) -> DataFrame:
 
 
 def runbook_context(analyzed: DataFrame, chunks: DataFrame, k: int = retrieval.TOP_K) -> DataFrame:
-    """→ one row ``(query_text, context)``."""
+    """→ one row ``(query_text, context)``. ``chunks`` may have ``retrieval.term_counts``."""
     spark = analyzed.sparkSession
-    queries = query_texts(analyzed)
+    queries = materialize(query_texts(analyzed), "queries")  # one row, read by the check and the embedding
     q = queries.where(F.col("query_text").isNotNull())
     if q.limit(1).count() == 0:
         return spark.createDataFrame([(None, retrieval.NO_CONTEXT)], "query_text string, context string")
@@ -33,5 +34,5 @@ def runbook_context(analyzed: DataFrame, chunks: DataFrame, k: int = retrieval.T
     corpus = retrieval.embed(model, chunks.withColumn("chunk_id", F.xxhash64("doc_path", "chunk_idx")))
     qv = retrieval.embed(model, q.withColumnRenamed("query_text", "text")).select(
         F.col("text").alias("query_id"), F.col("embedding").alias("query_vec"))
-    hits = retrieval.knn(corpus, qv, k=k, id_col="chunk_id").join(corpus.select("chunk_id", "text"), "chunk_id")
-    return retrieval.context_join(hits).select(F.col("query_id").alias("query_text"), "context")
+    hits = retrieval.knn(corpus, qv, k=k, id_col="chunk_id")  # ``k`` rows, as there is one query: they go to the texts
+    return retrieval.context_join(corpus.select("chunk_id", "text").join(F.broadcast(hits), "chunk_id")).select(F.col("query_id").alias("query_text"), "context")
